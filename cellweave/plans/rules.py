@@ -102,7 +102,7 @@ RPA = Rules(
         "periode", "echeance", "budget", "montant", "cout", "prix", "ht", "ttc", "avancement",
         "progress", "%", "taux", "site", "analytique", "commentaire", "observations", "notes",
         "remarques", "trigramme", "nom", "cat point", "n° dossier", "ot", "ata", "bu", "immat", "wp",
-        "semaine", "mois", "annee", "intitule",
+        "semaine", "mois", "annee",
     ),
     date_words=PERIOD_WORDS,
     amount_words=(

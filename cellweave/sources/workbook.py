@@ -42,8 +42,12 @@ def read_workbooks(spark: SparkSession, paths: list[str] | str, first_sheet_only
 
 def list_sheets(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """One record per sheet, or one with an error for a file that cannot be opened."""
-    files = spark.read.format("binaryFile").load(paths).select("path", "content")
-    return files.mapInPandas(_open_workbooks, SHEETS)
+    return open_workbooks(spark.read.format("binaryFile").load(paths))
+
+
+def open_workbooks(files: DataFrame) -> DataFrame:
+    """Sheets of the workbooks held in a frame with columns ``path`` and ``content``."""
+    return files.select("path", "content").mapInPandas(_open_workbooks, SHEETS)
 
 
 def decode_sheets(sheets: DataFrame) -> DataFrame:
