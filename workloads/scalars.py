@@ -11,7 +11,7 @@ from workloads.base import (
 )
 
 QUERIES, SQL = {}, {}
-NBSP, NNBSP = "\xa0", " "
+NBSP, NNBSP = "\xa0", "\u202f"
 
 
 def query(name, shared=None, oracle=None, table=None):
@@ -70,8 +70,8 @@ KEYS = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
 KEY_LIST = KEYS.split(", ")
 STYLES = {
     "f03a_number_spaces": (numbers.PLAIN_SPACES, " \xa0", False),
-    "f03b_number_narrow_spaces": (numbers.WIDE_SPACES, " \xa0 ", False),
-    "f03c_number_euro": (numbers.EURO, " \xa0 €", False),
+    "f03b_number_narrow_spaces": (numbers.WIDE_SPACES, " \xa0\u202f", False),
+    "f03c_number_euro": (numbers.EURO, " \xa0\u202f€", False),
     "f03d_number_no_words": (numbers.NO_WORDS, " \xa0", True),
 }
 for _name, (_style, _remove, _words) in STYLES.items():
