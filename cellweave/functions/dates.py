@@ -19,25 +19,43 @@ DATE_TOKEN = (
 
 _TIME = r"(?:[ T]+([0-9]{1,2}:[0-9]{2}(?::[0-9]{2}(?:\.[0-9]{1,6})?)?))?$"
 _AB = r"^([0-9]{1,2})[-/.]([0-9]{1,2})[-/.]"
-YEAR_FIRST = r"^([0-9]{4})[-/.]([0-9]{1,2})[-/.]([0-9]{1,2})" + _TIME
-YEAR_LAST = _AB + "([0-9]{4})" + _TIME
-SHORT_2000 = _AB + "([0-5][0-9]|6[0-8])" + _TIME
-SHORT_1900 = _AB + "(69|[7-9][0-9])" + _TIME
-_MONTHS = (
-    "(?i)(jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|"
+_MONTH = (
+    "(jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|"
     "sept?(?:ember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)"
 )
-DAY_MONTH_NAME = "^(?i)([0-9]{1,2})[ -]" + _MONTHS[4:] + "[ -]([0-9]{4})" + _TIME
-MONTH_NAME_DAY = "^" + _MONTHS + " ([0-9]{1,2}),? ([0-9]{4})" + _TIME
-MONTH_NAME_YEAR = "^" + _MONTHS + "[ -]([0-9]{4})$"
-COMPACT = r"^([0-9]{4})([0-9]{2})([0-9]{2})$"
-YEAR_MONTH = r"^([0-9]{4})[-/]([0-9]{1,2})$"
-YEAR_IS_LAST = _AB + "[0-9]{2}"
-MONTH_YEAR = r"^([0-9]{1,2})[-/]([0-9]{4})$"
-YEAR_ONLY = r"^[0-9]{4}$"
-
-# The longest accepted text is shorter than this, so longer texts skip the patterns.
-_LONGEST = 48
+
+# Accepted forms by overall shape, with their rewriting to ``y-m-d time``. A leading space marks the
+# forms with the year last, which are read month first here and may be read day first.
+FORMS = (
+    (
+        "^[0-9]{1,2}[-/.][0-9]{1,2}[-/.][0-9]",
+        (
+            (_AB + "([0-9]{4})" + _TIME, " $3-$1-$2 $4"),
+            (_AB + "([0-5][0-9]|6[0-8])" + _TIME, " 20$3-$1-$2 $4"),
+            (_AB + "(69|[7-9][0-9])" + _TIME, " 19$3-$1-$2 $4"),
+        ),
+    ),
+    (
+        "^[0-9]{4}[-/.][0-9]",
+        (
+            (r"^([0-9]{4})[-/.]([0-9]{1,2})[-/.]([0-9]{1,2})" + _TIME, "$1-$2-$3 $4"),
+            (r"^([0-9]{4})[-/]([0-9]{1,2})$", "$1-$2-1"),
+        ),
+    ),
+    (
+        "^(?:[0-9]{4}|[0-9]{8})$",
+        ((r"^([0-9]{4})([0-9]{2})([0-9]{2})$", "$1-$2-$3"), (r"^([0-9]{4})$", "$1-1-1")),
+    ),
+    ("^[0-9]{1,2}[-/][0-9]{4}$", ((r"^([0-9]{1,2})[-/]([0-9]{4})$", "$2-$1-1"),)),
+)
+WORD_FORMS = (
+    ("(?i)^([0-9]{1,2})[ -]" + _MONTH + "[ -]([0-9]{4})" + _TIME, "$3-$2-$1 $4"),
+    ("(?i)^" + _MONTH + " ([0-9]{1,2}),? ([0-9]{4})" + _TIME, "$3-$1-$2 $4"),
+    ("(?i)^" + _MONTH + "[ -]([0-9]{4})$", "$2-$1-1"),
+)
+WORD_SHAPE = "(?i)^(?:[0-9]{1,2}[ -])?[a-z]{3,9}[ -][0-9][-0-9,.:T ]{3,40}$"
+# What all accepted forms with digits only look like; keeps most texts away from the patterns.
+DIGIT_SHAPE = "^[0-9][-0-9/.T: ]{3,40}$"
 
 # Nanosecond time covers 1677-09-21 to 2262-04-11; dates outside are no dates here either.
 _FIRST, _AFTER = "1677-09-22", "2262-04-12"
@@ -54,60 +72,32 @@ def in_range(ts: Column) -> Column:
     return F.when((ts >= first) & (ts < after), ts)
 
 
-def _month_number(name: Column) -> Column:
-    at = F.instr(F.lit("janfebmaraprmayjunjulaugsepoctnovdec"), F.lower(F.left(name, F.lit(3))))
-    return F.floor((at + 2) / 3).cast("string")
+def _rewrite(c: Column, forms: tuple[tuple[str, str], ...]) -> Column:
+    for pattern, replacement in forms:
+        c = F.regexp_replace(c, pattern, replacement)
+    return c
 
 
-def _named(c: Column, pattern: str, year: int, month: int, day: int | None, time: int | None) -> Column:
-    def part(i):
-        return F.regexp_extract(c, pattern, i)
-
-    return F.concat_ws(
-        "-", part(year), _month_number(part(month)), part(day) if day else F.lit("1")
-    ) if time is None else F.concat(
-        part(year), F.lit("-"), _month_number(part(month)), F.lit("-"), part(day), F.lit(" "), part(time)
-    )
+def _month_to_number(rewritten: Column) -> Column:
+    month = F.lower(F.regexp_extract(rewritten, "-([A-Za-z]{3})", 1))
+    number = F.floor((F.instr(F.lit("janfebmaraprmayjunjulaugsepoctnovdec"), month) + 2) / 3)
+    return F.regexp_replace(rewritten, F.lit("[A-Za-z]+"), number.cast("string"))
 
 
 def date_text(c: Column) -> Column:
     """Rewrite a date text to ``y-m-d time``, reading year-last texts month first.
 
-    Null when the text has none of the accepted forms. Year-first texts always mean y-m-d, so ISO
+    Each pattern is anchored and leaves other texts as they are, so a text takes one form at most;
+    what has none stays as it is and does not parse. Year-first texts always mean y-m-d, so ISO
     dates never swap day and month.
     """
-    month_first = "-$1-$2 $4"
-    digit_first = (
-        F.when(c.rlike(YEAR_FIRST), F.regexp_replace(c, YEAR_FIRST, "$1-$2-$3 $4"))
-        .when(c.rlike(YEAR_LAST), F.regexp_replace(c, YEAR_LAST, "$3" + month_first))
-        .when(c.rlike(SHORT_2000), F.regexp_replace(c, SHORT_2000, "20$3" + month_first))
-        .when(c.rlike(SHORT_1900), F.regexp_replace(c, SHORT_1900, "19$3" + month_first))
-        .when(c.rlike(YEAR_MONTH), F.regexp_replace(c, YEAR_MONTH, "$1-$2-1"))
-        .when(c.rlike(MONTH_YEAR), F.regexp_replace(c, MONTH_YEAR, "$2-$1-1"))
-        .when(c.rlike(DAY_MONTH_NAME), _named(c, DAY_MONTH_NAME, 3, 2, 1, 4))
-    )
-    bare = (
-        F.when(c.rlike(YEAR_ONLY), F.concat(c, F.lit("-1-1")))
-        .when(c.rlike(COMPACT), F.regexp_replace(c, COMPACT, "$1-$2-$3"))
-    )
-    letter_first = F.when(c.rlike(MONTH_NAME_DAY), _named(c, MONTH_NAME_DAY, 3, 1, 2, 4)).when(
-        c.rlike(MONTH_NAME_YEAR), _named(c, MONTH_NAME_YEAR, 2, 1, None, None)
-    )
-    # Cheap tests on length and shape keep most texts away from the patterns.
-    return F.when(
-        F.length(c).between(4, _LONGEST),
-        F.when(c.rlike("^[0-9]{1,4}[-/. ]"), digit_first)
-        .when(c.rlike("^[0-9]{4}"), bare)
-        .when(c.rlike("^(?i)[jfmasond][aepuco][a-z]"), letter_first),
-    )
-
-
-def swap_day_month(c: Column, rewritten: Column) -> Column:
+    digits = F.coalesce(*[F.when(c.rlike(shape), _rewrite(c, forms)) for shape, forms in FORMS])
+    return F.when(c.rlike(DIGIT_SHAPE), digits).when(c.rlike(WORD_SHAPE), _month_to_number(_rewrite(c, WORD_FORMS)))
+
+
+def swap_day_month(rewritten: Column) -> Column:
     """The day-first reading of ``date_text``: only year-last texts differ."""
-    return F.when(
-        rewritten.isNotNull() & c.rlike(YEAR_IS_LAST),
-        F.regexp_replace(rewritten, "^([0-9]+)-([0-9]+)-([0-9]+)", "$1-$3-$2"),
-    ).otherwise(rewritten)
+    return F.regexp_replace(rewritten, "^ ([0-9]+)-([0-9]+)-([0-9]+)", "$1-$3-$2")
 
 
 def to_timestamp(rewritten: Column) -> Column:
@@ -116,7 +106,7 @@ def to_timestamp(rewritten: Column) -> Column:
 
 def parse_date(c: Column, day_first: bool) -> Column:
     rewritten = date_text(c)
-    return in_range(to_timestamp(swap_day_month(c, rewritten) if day_first else rewritten))
+    return in_range(to_timestamp(swap_day_month(rewritten) if day_first else rewritten))
 
 
 def from_serial(v: Column, upper: float) -> Column:

@@ -50,11 +50,14 @@ def number_like(c: Column, style: NumberStyle) -> Column:
     return plain_number(clean_number(c, style))
 
 
+def to_integer(cleaned: Column) -> Column:
+    """Long for a cleaned number text; exact beyond the 53 bits of a double."""
+    exact = F.when(cleaned.rlike("^[+-]?[0-9]{1,18}$"), cleaned.try_cast("long"))
+    return F.coalesce(exact, F.rint(plain_number(cleaned)).try_cast("long"))
+
+
 def integer_like(c: Column, style: NumberStyle) -> Column:
-    """Long for an integral number text; exact beyond the 53 bits of a double."""
-    s = clean_number(c, style)
-    exact = F.when(s.rlike("^[+-]?[0-9]{1,18}$"), s.try_cast("long"))
-    return F.coalesce(exact, F.rint(plain_number(s)).try_cast("long"))
+    return to_integer(clean_number(c, style))
 
 
 def is_integral(v: Column) -> Column:

@@ -22,25 +22,54 @@ class TypedColumn(NamedTuple):
     method: str
 
 
-def cast_value(c: Column, tag: str, method: str, rules: Rules) -> Column:
+def _text(c: Column, rules: Rules) -> Column:
     v = text.trimmed(c)
-    if rules.zero_is_null:
-        v = text.zero_to_null(v)
+    return text.zero_to_null(v) if rules.zero_is_null else v
+
+
+def _prepare(v: Column, method: str, rules: Rules) -> Column:
+    """From the trimmed text to what the last step refers to several times."""
     if method == "iso":
-        out = dates.parse_iso(v)
+        return dates.to_timestamp(F.when(v.rlike(dates.ISO), v))
+    if method == "serial":
+        return numbers.plain_number(v)
+    if method == "day_first":
+        return dates.to_timestamp(dates.swap_day_month(dates.date_text(v)))
+    if method == "month_first":
+        return dates.to_timestamp(dates.date_text(v))
+    if method in ("int", "float"):
+        return numbers.clean_number(v, rules.number_style)
+    return v
+
+
+def _finish(p: Column, tag: str, method: str, rules: Rules) -> Column:
+    if method in ("iso", "day_first", "month_first"):
+        p = dates.in_range(p)
     elif method == "serial":
-        out = dates.from_serial(numbers.plain_number(v), rules.serial_upper)
-    elif method in ("day_first", "month_first"):
-        out = dates.parse_date(v, method == "day_first")
+        p = dates.from_serial(p, rules.serial_upper)
     elif method == "boolean":
-        out = booleans.boolean_word(v)
+        p = booleans.boolean_word(p)
     elif method == "int":
-        out = numbers.integer_like(v, rules.number_style)
+        p = numbers.to_integer(p)
     elif method == "float":
-        out = numbers.number_like(v, rules.number_style)
-    else:
-        out = v
-    return out.cast(SPARK_TYPES[tag])
+        p = numbers.plain_number(p)
+    return p.cast(SPARK_TYPES[tag])
+
+
+def cast_value(c: Column, tag: str, method: str, rules: Rules) -> Column:
+    """The cast of one column as a single expression."""
+    return _finish(_prepare(_text(c, rules), method, rules), tag, method, rules)
+
+
+def _cast_steps(df: DataFrame, sources: dict[str, Column], columns: list[TypedColumn], rules: Rules, keep: list[str]) -> DataFrame:
+    """The cast of many columns as three projections, so that no value is worked out twice."""
+    df = df.select(*keep, *[_text(sources[c.name], rules).alias(c.name) for c in columns])
+    for step in (
+        [_prepare(F.col(f"`{c.name}`"), c.method, rules).alias(c.name) for c in columns],
+        [_finish(F.col(f"`{c.name}`"), c.tag, c.method, rules).alias(c.name) for c in columns],
+    ):
+        df = df.select(*keep, *step)
+    return df
 
 
 def typed_columns(decided: DataFrame, source: str = "name") -> list[TypedColumn]:
@@ -51,15 +80,13 @@ def typed_columns(decided: DataFrame, source: str = "name") -> list[TypedColumn]
 
 def cast_table(df: DataFrame, columns: Iterable[TypedColumn], rules: Rules, keep: Iterable[str] = ()) -> DataFrame:
     """Typed projection of a table of texts; ``keep`` passes columns through."""
-    cast = [
-        cast_value(text.na_to_null(F.col(f"`{c.source}`").cast("string")), c.tag, c.method, rules).alias(c.name)
-        for c in columns
-    ]
-    return df.select(*keep, *cast)
+    columns = list(columns)
+    sources = {c.name: text.na_to_null(F.col(f"`{c.source}`").cast("string")) for c in columns}
+    return _cast_steps(df, sources, columns, rules, list(keep))
 
 
-def cast_rows(rows: DataFrame, columns: Iterable[TypedColumn], rules: Rules) -> DataFrame:
+def cast_rows(rows: DataFrame, columns: Iterable[TypedColumn], rules: Rules, keep: Iterable[str] = ()) -> DataFrame:
     """Typed projection of grid rows: each column is a position of the array."""
-    return rows.select(
-        *[cast_value(F.get("values", F.lit(c.source)), c.tag, c.method, rules).alias(c.name) for c in columns]
-    )
+    columns = list(columns)
+    sources = {c.name: F.get("values", F.lit(c.source)) for c in columns}
+    return _cast_steps(rows, sources, columns, rules, list(keep))

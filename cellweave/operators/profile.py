@@ -49,7 +49,7 @@ def cell_facts(cells: DataFrame, rules: Rules, keep: list[str]) -> DataFrame:
         F.col("iso_text").isNotNull().alias("is_iso"),
         dates.to_timestamp(F.col("iso_text")).alias("iso"),
         dates.to_timestamp(F.col("date_text")).alias("month_first"),
-        dates.to_timestamp(dates.swap_day_month(v, F.col("date_text"))).alias("day_first"),
+        dates.to_timestamp(dates.swap_day_month(F.col("date_text"))).alias("day_first"),
         F.when(F.col("cleaned") == v, F.col("number"))
         .otherwise(numbers.plain_number(F.col("cleaned")))
         .alias("number_like"),
