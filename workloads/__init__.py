@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("scalars", "columns")
+MODULES = ("scalars", "columns", "grids")
 
 
 def registry() -> tuple[dict, dict]:
