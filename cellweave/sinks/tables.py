@@ -16,10 +16,14 @@ class TableSink:
     schema: str | None = None
     mode: str = "overwrite"
     format: str = "parquet"
+    root: str | None = None  # keep the files under this folder instead of the warehouse
 
     def write(self, df: DataFrame, table: str, sql_types: dict[str, str] | None = None) -> None:
         name = f"`{self.schema}`.`{table}`" if self.schema else f"`{table}`"
-        df.write.mode(self.mode).format(self.format).saveAsTable(name)
+        writer = df.write.mode(self.mode).format(self.format)
+        if self.root:
+            writer = writer.option("path", f"{self.root}/{table}")
+        writer.saveAsTable(name)
 
 
 @dataclass(frozen=True)

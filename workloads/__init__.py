@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("scalars", "columns", "grids")
+MODULES = ("scalars", "intake", "columns", "grids", "jobs", "arrivals")
 
 
 def registry() -> tuple[dict, dict]:
