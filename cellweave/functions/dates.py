@@ -57,6 +57,8 @@ WORD_SHAPE = "(?i)^(?:[0-9]{1,2}[ -])?[a-z]{3,9}[ -][0-9][-0-9,.:T ]{3,40}$"
 # What all accepted forms with digits only look like; keeps most texts away from the patterns.
 DIGIT_SHAPE = "^[0-9][-0-9/.T: ]{3,40}$"
 
+PLAUSIBLE = "^ ?[0-9]{4}-(?:0?[1-9]|1[0-2])-(?:0?[1-9]|[12][0-9]|3[01])(?:[ T]|$)"
+
 # Nanosecond time covers 1677-09-21 to 2262-04-11; dates outside are no dates here either.
 _FIRST, _AFTER = "1677-09-22", "2262-04-12"
 SERIAL_LIMIT = 132_321.0
@@ -101,7 +103,11 @@ def swap_day_month(rewritten: Column) -> Column:
 
 
 def to_timestamp(rewritten: Column) -> Column:
-    return rewritten.try_cast("timestamp_ntz")
+    """Cast ``y-m-d time``; null for what is no date.
+
+    Casting a month 13 raises and catches an exception inside the JVM, so test the ranges first.
+    """
+    return F.when(rewritten.rlike(PLAUSIBLE), rewritten.try_cast("timestamp_ntz"))
 
 
 def parse_date(c: Column, day_first: bool) -> Column:

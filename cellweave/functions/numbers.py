@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 NUMBER = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
 INFINITE = r"^(?i)[+-]?inf(?:inity)?$"
 THOUSANDS_DOT = r"(?<=[0-9])\.(?=[0-9]{3}(?:[^0-9]|$))"
+DOT_BEFORE_THREE = r"\.[^,]*[0-9][^,]*[0-9][^,]*[0-9]"
 BOOLEAN_WORD = r"^(?i)(?:true|false|yes|no|vrai|faux)$"
 
 
@@ -40,9 +41,12 @@ def plain_number(c: Column) -> Column:
 
 def clean_number(c: Column, style: NumberStyle) -> Column:
     """Remove group spaces and thousands dots, turn the decimal comma into a dot."""
-    s = F.translate(c, style.remove, "")
-    s = F.when(F.instr(s, ".") > 0, F.regexp_replace(s, THOUSANDS_DOT, "")).otherwise(s)
-    s = F.translate(s, ",", ".")
+    s = c
+    for ch in style.remove:
+        s = F.replace(s, F.lit(ch), F.lit(""))
+    # Most texts have no dot to remove, so look for one before replacing.
+    s = F.when(c.rlike(DOT_BEFORE_THREE), F.regexp_replace(s, THOUSANDS_DOT, "")).otherwise(s)
+    s = F.replace(s, F.lit(","), F.lit("."))
     return F.when(c.rlike(BOOLEAN_WORD), "").otherwise(s) if style.blank_words else s
 
 

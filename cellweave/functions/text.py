@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import sys
 import unicodedata
 from functools import cache
 
@@ -22,6 +24,7 @@ SPACES = (
     "\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
+BEYOND_LATIN = "[^\\x00-\\x7fÀ-ÿ]"
 IDENTIFIER_LENGTH = 63
 NBSP = "\xa0"
 
@@ -84,18 +87,22 @@ def fold(c: Column) -> Column:
     expanded = F.array_join(
         F.transform(F.split(c, ""), lambda ch: F.coalesce(F.try_element_at(spread, ch), ch)), ""
     )
-    with_many = F.when(c.rlike("[" + "".join(many) + "]"), expanded).otherwise(c)
+    # The first test is cheap and settles nearly all texts; the second walks the whole list.
+    has_many = c.rlike(BEYOND_LATIN) & c.rlike("[" + "".join(many) + "]")
+    with_many = F.when(has_many, expanded).otherwise(c)
     folded = F.when(_is_ascii(c), c).otherwise(F.translate(with_many, source, target))
     return trimmed(F.lower(folded))
 
 
+@cache
+def _combining_marks() -> re.Pattern:
+    return re.compile("[" + "".join(chr(i) for i in range(sys.maxunicode + 1) if unicodedata.combining(chr(i))) + "]+")
+
+
 @F.pandas_udf(StringType())
 def fold_exact(values: pd.Series) -> pd.Series:
-    plain = values.str.normalize("NFKD")
-    return plain.map(
-        lambda s: "".join(ch for ch in s if not unicodedata.combining(ch)).lower().strip(),
-        na_action="ignore",
-    )
+    marks = _combining_marks()
+    return values.str.normalize("NFKD").map(lambda s: marks.sub("", s).lower().strip(), na_action="ignore")
 
 
 def snake(c: Column) -> Column:

@@ -17,45 +17,45 @@ from cellweave.plans.rules import Rules
 def cell_facts(cells: DataFrame, rules: Rules, keep: list[str]) -> DataFrame:
     """What one cell is: trimmed text, parsed dates and numbers, one column each.
 
-    The steps are separate projections, so that what several columns need is computed once.
+    Expensive steps are separate projections or shared subexpressions, so that what several
+    columns need is computed once. ``is_zero`` marks the zeros that were made null.
     """
     v = F.col("text")
     upper = rules.serial_upper if rules.serial_upper is not None else 0.0
-    cells = cells.select(*keep, "value", text.trimmed(F.col("value")).alias("stripped"))
-    stripped = F.col("stripped")
-    cells = cells.select(
-        *keep, "value", "stripped", (text.zero_to_null(stripped) if rules.zero_is_null else stripped).alias("text")
-    )
+    cells = cells.select(*keep, text.trimmed(F.col("value")).alias("text"))
+    if rules.zero_is_null:
+        cells = cells.select(*keep, text.zero_to_null(v).alias("text"), (v == "0").alias("is_zero"))
+    else:
+        cells = cells.withColumn("is_zero", F.lit(False))
+    is_iso = v.rlike(dates.ISO)
+    month_first = dates.date_text(v)
     cells = cells.select(
         *keep,
-        "value",
-        "stripped",
         "text",
-        F.when(v.rlike(dates.ISO), v).alias("iso_text"),
-        dates.date_text(v).alias("date_text"),
+        "is_zero",
+        is_iso.alias("is_iso"),
+        F.when(is_iso, dates.to_timestamp(v)).alias("iso"),
+        dates.to_timestamp(month_first).alias("month_first"),
+        dates.to_timestamp(dates.swap_day_month(month_first)).alias("day_first"),
         numbers.plain_number(v).alias("number"),
         numbers.clean_number(v, rules.number_style).alias("cleaned"),
         booleans.boolean_word(v).alias("boolean"),
         v.rlike(dates.DATE_TOKEN).alias("has_token"),
     )
-    cells = cells.select(
+    return cells.select(
         *keep,
-        "value",
-        "stripped",
         "text",
+        "is_zero",
+        "is_iso",
+        *[dates.in_range(F.col(c)).alias(c) for c in ("iso", "month_first", "day_first")],
         "number",
-        "boolean",
-        "has_token",
-        F.col("iso_text").isNotNull().alias("is_iso"),
-        dates.to_timestamp(F.col("iso_text")).alias("iso"),
-        dates.to_timestamp(F.col("date_text")).alias("month_first"),
-        dates.to_timestamp(dates.swap_day_month(F.col("date_text"))).alias("day_first"),
         F.when(F.col("cleaned") == v, F.col("number"))
         .otherwise(numbers.plain_number(F.col("cleaned")))
         .alias("number_like"),
         dates.from_serial(F.col("number"), upper).alias("serial"),
+        "boolean",
+        "has_token",
     )
-    return cells.withColumns({c: dates.in_range(F.col(c)) for c in ("iso", "month_first", "day_first")})
 
 
 def _statistics(rules: Rules) -> list[Column]:
@@ -68,9 +68,9 @@ def _statistics(rules: Rules) -> list[Column]:
     integral = numbers.is_close_to_integral if rules.close_is_integral else numbers.is_integral
     return [
         F.count(F.lit(1)).alias("n_cells"),
-        F.count("value").alias("n_value"),
-        F.count_if(F.col("stripped") != "").alias("n_filled"),
-        F.count_if(~F.col("stripped").isin("", "nan")).alias("n_not_nan"),
+        (F.count("text") + F.count_if("is_zero")).alias("n_value"),
+        (F.count_if(F.col("text") != "") + F.count_if("is_zero")).alias("n_filled"),
+        (F.count_if(~F.col("text").isin("", "nan")) + F.count_if("is_zero")).alias("n_not_nan"),
         F.count("text").alias("n_nonnull"),
         F.count_if(F.col("text") != "").alias("n_text"),
         F.count_if("is_iso").alias("n_iso"),
@@ -111,17 +111,18 @@ def melt(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*texts).unpivot([], columns, "name", "value")
 
 
-def profile_body(body: DataFrame, rules: Rules) -> DataFrame:
-    """Profile grid rows per (path, sheet, column).
+def profile_body(body: DataFrame, headers: DataFrame, rules: Rules) -> DataFrame:
+    """Profile the rows below the headers per (path, sheet, column).
 
-    Rows may be ragged, so ``n`` is the sheet's number of rows: every row has a first position,
-    whose count is carried to the other columns within the (small) profile.
+    Cells carry the number of their sheet instead of its path and name, which are looked up in the
+    small result. Rows may be ragged, so ``n`` is the sheet's number of rows: every row has a first
+    position, whose count is carried to the other columns.
     """
-    sheet = ["path", "sheet", "sheet_idx"]
-    cells = body.select(*sheet, F.posexplode("values").alias("col_idx", "value"))
-    stats = cell_facts(cells, rules, [*sheet, "col_idx"]).groupBy(*sheet, "col_idx").agg(*_statistics(rules))
-    per_sheet = Window.partitionBy("path", "sheet_idx")
-    return stats.withColumn("n", F.max("n_cells").over(per_sheet)).drop("n_cells")
+    cells = body.select("sheet_id", F.posexplode("values").alias("col_idx", "value"))
+    by = ["sheet_id", "col_idx"]
+    stats = cell_facts(cells, rules, by).groupBy(*by).agg(*_statistics(rules))
+    stats = stats.withColumn("n", F.max("n_cells").over(Window.partitionBy("sheet_id"))).drop("n_cells")
+    return headers.select("sheet_id", "path", "sheet", "sheet_idx").join(stats, "sheet_id").drop("sheet_id")
 
 
 def ratios(profile: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from cellweave.functions import text
 from cellweave.plans.rules import Rules
-from cellweave.session import join_metadata
+from cellweave.session import join_metadata, settle
 
 SHEET = ["path", "sheet", "sheet_idx"]
 SHEET_KEY = ["path", "sheet_idx"]
@@ -72,14 +72,20 @@ def column_survives(rules: Rules) -> Column:
 
 # --- header -------------------------------------------------------------------------------------
 
-def head_rows(rows: DataFrame, scan: int) -> DataFrame:
-    """The first rows of each sheet which hold a value.
+def head_rows(rows: DataFrame, scan: int, blanks_dropped: bool = False) -> DataFrame:
+    """The first rows of each sheet which hold a value, with their position.
 
-    The rank filter is applied per task before the shuffle, so a sheet of any size sends at most
-    ``scan`` rows per task.
+    Only the row numbers are ranked: the rank filter runs per task before the shuffle, so a sheet
+    of any size sends at most ``scan`` numbers per task. The few rows wanted are then read by
+    number. Rows staged without blanks are ranked without reading their values.
     """
     order = Window.partitionBy(*SHEET_KEY).orderBy("row_idx")
-    return drop_blank_rows(rows).withColumn("position", F.row_number().over(order)).filter(F.col("position") <= scan)
+    live = rows if blanks_dropped else drop_blank_rows(rows)
+    first = live.select(*SHEET_KEY, "row_idx").withColumn("position", F.row_number().over(order))
+    first = settle(first.filter(F.col("position") <= scan))
+    size = first.agg(F.count(F.lit(1)).alias("n"), F.max("row_idx").alias("last")).first()
+    wanted = rows.filter(F.col("row_idx") <= F.lit(size.last))
+    return join_metadata(wanted, first, [*SHEET_KEY, "row_idx"], n_rows=size.n)
 
 
 def score_rows(head: DataFrame, rules: Rules) -> DataFrame:
@@ -96,9 +102,13 @@ def score_rows(head: DataFrame, rules: Rules) -> DataFrame:
     return head.withColumns({"hits": hits, "density": latin - present - 2 * blank})
 
 
-def find_headers(rows: DataFrame, rules: Rules) -> DataFrame:
-    """One header per sheet: (path, sheet, sheet_idx, header_row, header_values, hits)."""
-    scored = score_rows(head_rows(rows, rules.scan), rules)
+def find_headers(rows: DataFrame, rules: Rules, blanks_dropped: bool = False) -> DataFrame:
+    """One header per sheet: (path, sheet, sheet_idx, header_row, header_values, hits, sheet_id).
+
+    The result is metadata and is settled, since names, bodies and profiles all refer to it;
+    ``sheet_id`` numbers the sheets within it.
+    """
+    scored = score_rows(head_rows(rows, rules.scan, blanks_dropped), rules)
     enough = F.col("hits") >= rules.min_hits
     by_density = F.col("density") if rules.density_fallback else F.lit(0)
     late = F.col("position") if rules.last_density_wins else -F.col("position")
@@ -108,23 +118,23 @@ def find_headers(rows: DataFrame, rules: Rules) -> DataFrame:
         F.when(enough, -F.col("position")).otherwise(late),
     )
     best = F.max_by(F.struct("row_idx", "values", "hits"), rank)
-    return (
-        scored.groupBy(*SHEET)
-        .agg(best.alias("b"))
-        .select(
+    headers = scored.groupBy(*SHEET).agg(best.alias("b"))
+    return settle(
+        headers.select(
             *SHEET,
             F.col("b.row_idx").alias("header_row"),
             F.col("b.values").alias("header_values"),
             F.col("b.hits").alias("hits"),
+            F.monotonically_increasing_id().alias("sheet_id"),
         )
     )
 
 
-def body_rows(rows: DataFrame, headers: DataFrame) -> DataFrame:
+def body_rows(rows: DataFrame, headers: DataFrame, blanks_dropped: bool = False) -> DataFrame:
     """Rows below the header of their sheet."""
-    where = headers.select(*SHEET_KEY, "header_row")
+    where = headers.select(*SHEET_KEY, "header_row", "sheet_id")
     body = join_metadata(rows, where, SHEET_KEY).filter(F.col("row_idx") > F.col("header_row"))
-    return drop_blank_rows(body.drop("header_row"))
+    return body if blanks_dropped else drop_blank_rows(body)
 
 
 # --- column names -------------------------------------------------------------------------------

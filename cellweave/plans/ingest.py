@@ -52,22 +52,22 @@ def type_table(df: DataFrame, rules: Rules, columns: list[str] | None = None, ke
 # --- sheets ---------------------------------------------------------------------------------------
 
 def stage(rows: DataFrame) -> DataFrame:
-    """Write grid rows once to the shared folder, one partition folder per sheet.
+    """Write grid rows without blank rows to the shared folder, one partition folder per sheet.
 
     Header search, profile and one cast per sheet read them again; without this a workbook would
     be decoded every time, and a cast would read sheets other than its own.
     """
     spark = rows.sparkSession
     path = new_folder(spark, "staged")
-    keyed = rows.withColumn("sheet_key", F.md5(F.concat_ws("|", "path", F.col("sheet_idx").cast("string"))))
+    keyed = shape.drop_blank_rows(rows).withColumn("sheet_key", F.md5(F.concat_ws("|", "path", F.col("sheet_idx").cast("string"))))
     keyed.write.partitionBy("sheet_key").parquet(path)
     return spark.read.schema(keyed.schema).parquet(path)
 
 
-def decide_sheets(rows: DataFrame, rules: Rules) -> DataFrame:
+def decide_sheets(rows: DataFrame, rules: Rules, blanks_dropped: bool = False) -> DataFrame:
     """Decisions for every column of every sheet: metadata, with the header's position."""
-    headers = settle(shape.find_headers(rows, rules))
-    stats = profile.profile_body(shape.body_rows(rows, headers), rules)
+    headers = shape.find_headers(rows, rules, blanks_dropped)
+    stats = profile.profile_body(shape.body_rows(rows, headers, blanks_dropped), headers, rules)
     decided = decide.decide(shape.name_columns(stats, headers, rules), rules)
     return decided.join(headers.select(*shape.SHEET_KEY, "header_row"), shape.SHEET_KEY)
 
@@ -88,7 +88,7 @@ def typed_sheets(staged: DataFrame, rules: Rules, counts: DataFrame | None = Non
     ``staged`` comes from ``stage``. Decisions stream to the driver sheet by sheet, so the number
     of sheets is not bounded; each yielded frame reads one sheet only.
     """
-    decided = settle(decide_sheets(staged, rules))
+    decided = settle(decide_sheets(staged, rules, blanks_dropped=True))
     base = text.snake(F.regexp_extract("path", r"([^/]*?)(?:\.[^./]*)?$", 1))
     named = decided.join(counts if counts is not None else sheet_counts(staged), "path").withColumn(
         "table", shape.table_name(base, F.col("sheet"), F.col("n_sheets"), rules.cut_table_name)
@@ -110,7 +110,7 @@ def _typed_sheet(staged: DataFrame, columns: list, rules: Rules) -> TypedTable:
     return TypedTable(
         first.path,
         first.table,
-        cast.cast_rows(shape.drop_blank_rows(rows), typed, rules),
+        cast.cast_rows(rows, typed, rules),
         {c.name: kinds[c.tag] for c in typed},
         sum(c.lost_values for c in columns),
     )
@@ -138,7 +138,7 @@ def payment_terms(rows: DataFrame, rules: Rules = R.CDP) -> DataFrame:
 
 def client_categories(rows: DataFrame, rules: Rules = R.CATCLIENTS) -> DataFrame:
     """All sheets stacked by canonical name, one row per label, labels with a category first."""
-    headers = settle(shape.find_headers(rows, rules))
+    headers = shape.find_headers(rows, rules)
     names = shape.header_columns(headers).select(shape.canonical_name(F.col("name")).alias("name"))
     present = {r.name for r in names.filter(F.col("name").isin(*shape.CATEGORY_COLUMNS)).distinct().collect()}
     if "libelle" not in present:

@@ -87,12 +87,14 @@ def settle(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def join_metadata(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+def join_metadata(
+    big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner", n_rows: int | None = None
+) -> DataFrame:
     """Join a large frame with a settled metadata frame.
 
     The metadata is broadcast only when its counted size is within bounds; beyond that the
     join shuffles and adaptive execution splits skewed keys.
     """
-    if small.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        small = F.broadcast(small)
-    return big.join(small, keys, how)
+    if n_rows is None:
+        n_rows = small.limit(BROADCAST_ROWS + 1).count()
+    return big.join(F.broadcast(small) if n_rows <= BROADCAST_ROWS else small, keys, how)

@@ -8,7 +8,6 @@ from cellweave.functions import text
 from cellweave.operators import dedupe, profile, shape
 from cellweave.plans import ingest
 from cellweave.plans import rules as R
-from cellweave.session import settle
 from cellweave.sources.table import table_cells, table_rows
 from workloads.base import derive, french, plain_sql, q, scan, sql_fold, sql_has_any, sql_na, sql_snake, sql_trim
 
@@ -113,8 +112,8 @@ for _name, (_rules, _having) in _KEPT.items():
 
     def _kept(spark, sf, r=_rules):
         rows = grid(spark, sf)
-        headers = settle(shape.find_headers(rows, r))
-        stats = profile.profile_body(shape.body_rows(rows, headers), r)
+        headers = shape.find_headers(rows, r)
+        stats = profile.profile_body(shape.body_rows(rows, headers), headers, r)
         return stats.filter(shape.column_survives(r)).select("path", "sheet_idx", "col_idx")
 
     add(_name, f"{sql_headers(_rules)} SELECT path, sheet_idx, col_idx FROM body GROUP BY ALL HAVING {_having}")(_kept)
@@ -141,7 +140,7 @@ for _name, _rules in {
 )
 def n06(spark, sf):
     rows = grid(spark, sf)
-    body = shape.body_rows(rows, settle(shape.find_headers(rows, R.SPA)))
+    body = shape.body_rows(rows, shape.find_headers(rows, R.SPA))
     n = F.size(F.filter("values", lambda v: v.isNotNull())).cast("long")
     return body.select("path", "sheet_idx", "row_idx", n.alias("n_value"))
 
@@ -215,7 +214,7 @@ STACKED_SQL = (
 @add("n12_stack_sheets", f"{STACKED_SQL} SELECT * FROM stacked")
 def n12(spark, sf):
     rows = grid(spark, sf)
-    headers = settle(shape.find_headers(rows, R.CATCLIENTS))
+    headers = shape.find_headers(rows, R.CATCLIENTS)
     return shape.stack_sheets(rows, headers, ("libelle", "categorie")).drop("sheet")
 
 
