@@ -13,8 +13,8 @@ ISO = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}(?:[ T][0-9]{2}:[0-9]{2}:[0-9]{2})?$"
 
 # What makes a text look like it holds a date, anywhere, in any case.
 DATE_TOKEN = (
-    r"(?iu)[0-9]{4}[-/.][0-9]{1,2}[-/.][0-9]{1,2}|[0-9]{1,2}[-/.][0-9]{1,2}[-/.][0-9]{2,4}"
-    r"|jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec|févr|fevr|avr|mai|juin|juil|déc"
+    r"[0-9]{4}[-/.][0-9]{1,2}[-/.][0-9]{1,2}|[0-9]{1,2}[-/.][0-9]{1,2}[-/.][0-9]{2,4}"
+    r"|j(?:an|un|ul|uin|uil)|f(?:eb|évr|evr)|m(?:ar|ay|ai)|a(?:pr|ug|vr)|sep|oct|nov|d(?:ec|éc)"
 )
 
 _TIME = r"(?:[ T]+([0-9]{1,2}:[0-9]{2}(?::[0-9]{2}(?:\.[0-9]{1,6})?)?))?$"
@@ -24,6 +24,9 @@ _MONTH = (
     "sept?(?:ember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)"
 )
 
+# The texts that are both a plain number and a date.
+BARE = "^(?:[0-9]{4}|[0-9]{8})$"
+
 # Accepted forms by overall shape, with their rewriting to ``y-m-d time``. A leading space marks the
 # forms with the year last, which are read month first here and may be read day first.
 FORMS = (
@@ -43,7 +46,7 @@ FORMS = (
         ),
     ),
     (
-        "^(?:[0-9]{4}|[0-9]{8})$",
+        BARE,
         ((r"^([0-9]{4})([0-9]{2})([0-9]{2})$", "$1-$2-$3"), (r"^([0-9]{4})$", "$1-1-1")),
     ),
     ("^[0-9]{1,2}[-/][0-9]{4}$", ((r"^([0-9]{1,2})[-/]([0-9]{4})$", "$2-$1-1"),)),
@@ -65,13 +68,21 @@ SERIAL_LIMIT = 132_321.0
 SERIAL_MIN = 60.0
 
 
+def has_date_token(c: Column) -> Column:
+    return F.lower(c).rlike(DATE_TOKEN)
+
+
 def parse_iso(c: Column) -> Column:
     return in_range(F.when(c.rlike(ISO), to_timestamp(c)))
 
 
-def in_range(ts: Column) -> Column:
+def is_in_range(ts: Column) -> Column:
     first, after = (F.lit(d).cast("timestamp_ntz") for d in (_FIRST, _AFTER))
-    return F.when((ts >= first) & (ts < after), ts)
+    return (ts >= first) & (ts < after)
+
+
+def in_range(ts: Column) -> Column:
+    return F.when(is_in_range(ts), ts)
 
 
 def _rewrite(c: Column, forms: tuple[tuple[str, str], ...]) -> Column:

@@ -29,14 +29,19 @@ EURO = NumberStyle(" \xa0\u202f€")
 NO_WORDS = NumberStyle(" \xa0", blank_words=True)
 
 
-def plain_number(c: Column) -> Column:
-    """Double for a text that is a number as it stands, else null.
-
-    A finite text too large for a double is no number.
-    """
+def finite_number(c: Column) -> Column:
+    """Double for a text made of digits as they stand; one too large for a double is no number."""
     parsed = F.when(c.rlike(NUMBER), c.try_cast("double"))
-    finite = F.nullif(F.nullif(parsed, F.lit(float("inf"))), F.lit(float("-inf")))
-    return F.coalesce(finite, F.when(F.length(c).between(3, 9) & c.rlike(INFINITE), c.try_cast("double")))
+    return F.nullif(F.nullif(parsed, F.lit(float("inf"))), F.lit(float("-inf")))
+
+
+def infinite_number(c: Column) -> Column:
+    return F.when(F.length(c).between(3, 9) & c.rlike(INFINITE), c.try_cast("double"))
+
+
+def plain_number(c: Column) -> Column:
+    """Double for a text that is a number as it stands, else null."""
+    return F.coalesce(finite_number(c), infinite_number(c))
 
 
 def clean_number(c: Column, style: NumberStyle) -> Column:

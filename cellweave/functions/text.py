@@ -87,8 +87,8 @@ def fold(c: Column) -> Column:
     expanded = F.array_join(
         F.transform(F.split(c, ""), lambda ch: F.coalesce(F.try_element_at(spread, ch), ch)), ""
     )
-    # The first test is cheap and settles nearly all texts; the second walks the whole list.
-    has_many = c.rlike(BEYOND_LATIN) & c.rlike("[" + "".join(many) + "]")
+    # The first test settles nearly all texts; the second removes the characters and looks for a loss.
+    has_many = c.rlike(BEYOND_LATIN) & (F.length(F.translate(c, "".join(many), "")) < F.length(c))
     with_many = F.when(has_many, expanded).otherwise(c)
     folded = F.when(_is_ascii(c), c).otherwise(F.translate(with_many, source, target))
     return trimmed(F.lower(folded))

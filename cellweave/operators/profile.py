@@ -17,74 +17,84 @@ from cellweave.plans.rules import Rules
 def cell_facts(cells: DataFrame, rules: Rules, keep: list[str]) -> DataFrame:
     """What one cell is: trimmed text, parsed dates and numbers, one column each.
 
-    Expensive steps are separate projections or shared subexpressions, so that what several
-    columns need is computed once. ``is_zero`` marks the zeros that were made null.
+    Each step is a projection of its own, so that what several columns need is computed once. What
+    a text can be narrows down quickly: without a digit it is neither date nor finite number, and a
+    plain number is a date only when it has four or eight digits. ``is_zero`` marks the zeros that
+    were made null; the dates still have to be checked against the accepted range.
     """
-    v = F.col("text")
+    v, has_digit = F.col("text"), F.col("has_digit")
+    zero = v == "0" if rules.zero_is_null else F.lit(False)
     upper = rules.serial_upper if rules.serial_upper is not None else 0.0
-    cells = cells.select(*keep, text.trimmed(F.col("value")).alias("text"))
-    if rules.zero_is_null:
-        cells = cells.select(*keep, text.zero_to_null(v).alias("text"), (v == "0").alias("is_zero"))
-    else:
-        cells = cells.withColumn("is_zero", F.lit(False))
-    is_iso = v.rlike(dates.ISO)
-    month_first = dates.date_text(v)
+    cells = cells.select(
+        *keep, text.trimmed(F.col("value")).alias("text"), F.col("value").rlike("[0-9]").alias("has_digit")
+    )
+    cells = cells.select(
+        *keep,
+        F.when(~zero, v).alias("text"),
+        zero.alias("is_zero"),
+        has_digit,
+        F.when(has_digit, F.when(~zero, numbers.finite_number(v))).otherwise(numbers.infinite_number(v)).alias("number"),
+    )
+    number = F.col("number")
+    mixed = has_digit & number.isNull()
     cells = cells.select(
         *keep,
         "text",
         "is_zero",
-        is_iso.alias("is_iso"),
-        F.when(is_iso, dates.to_timestamp(v)).alias("iso"),
-        dates.to_timestamp(month_first).alias("month_first"),
-        dates.to_timestamp(dates.swap_day_month(month_first)).alias("day_first"),
-        numbers.plain_number(v).alias("number"),
-        numbers.clean_number(v, rules.number_style).alias("cleaned"),
+        "number",
+        F.when(mixed, F.when(v.rlike(dates.ISO), v)).alias("iso_text"),
+        F.when(mixed | (has_digit & v.rlike(dates.BARE)), dates.date_text(v)).alias("date_text"),
+        F.when(number.isNotNull() & ~v.contains("."), v)
+        .otherwise(numbers.clean_number(v, rules.number_style))
+        .alias("cleaned"),
         booleans.boolean_word(v).alias("boolean"),
-        v.rlike(dates.DATE_TOKEN).alias("has_token"),
+        (number.isNull() & dates.has_date_token(v)).alias("has_token"),
     )
+    cleaned = F.col("cleaned")
     return cells.select(
         *keep,
         "text",
         "is_zero",
-        "is_iso",
-        *[dates.in_range(F.col(c)).alias(c) for c in ("iso", "month_first", "day_first")],
+        F.col("iso_text").isNotNull().alias("is_iso"),
+        dates.to_timestamp(F.col("iso_text")).alias("iso"),
+        dates.to_timestamp(F.col("date_text")).alias("month_first"),
+        dates.to_timestamp(dates.swap_day_month(F.col("date_text"))).alias("day_first"),
         "number",
-        F.when(F.col("cleaned") == v, F.col("number"))
-        .otherwise(numbers.plain_number(F.col("cleaned")))
-        .alias("number_like"),
-        dates.from_serial(F.col("number"), upper).alias("serial"),
+        F.when(cleaned == v, number).otherwise(numbers.plain_number(cleaned)).alias("number_like"),
+        dates.from_serial(number, upper).alias("serial"),
         "boolean",
         "has_token",
     )
 
 
 def _statistics(rules: Rules) -> list[Column]:
-    def count_timed(c: str) -> Column:
-        return F.count_if(dates.has_time(F.col(c)))
+    def count_dates(c: str, name: str) -> list[Column]:
+        ok = dates.is_in_range(F.col(c))
+        return [
+            F.count_if(ok).alias(f"n_{name}"),
+            F.count_if(ok & dates.has_time(F.col(c))).alias(f"n_{name.removesuffix('_parsed')}_timed"),
+        ]
 
     in_range = F.col("number").between(
         dates.SERIAL_MIN, rules.serial_upper if rules.serial_upper is not None else 0.0
     )
     integral = numbers.is_close_to_integral if rules.close_is_integral else numbers.is_integral
+    n_zero = F.count_if("is_zero")
     return [
         F.count(F.lit(1)).alias("n_cells"),
-        (F.count("text") + F.count_if("is_zero")).alias("n_value"),
-        (F.count_if(F.col("text") != "") + F.count_if("is_zero")).alias("n_filled"),
-        (F.count_if(~F.col("text").isin("", "nan")) + F.count_if("is_zero")).alias("n_not_nan"),
+        (F.count("text") + n_zero).alias("n_value"),
+        (F.count_if(F.col("text") != "") + n_zero).alias("n_filled"),
+        (F.count_if(~F.col("text").isin("", "nan")) + n_zero).alias("n_not_nan"),
         F.count("text").alias("n_nonnull"),
         F.count_if(F.col("text") != "").alias("n_text"),
         F.count_if("is_iso").alias("n_iso"),
-        F.count("iso").alias("n_iso_parsed"),
-        count_timed("iso").alias("n_iso_timed"),
+        *count_dates("iso", "iso_parsed"),
         F.count("number").alias("n_number"),
         F.count_if(in_range).alias("n_in_range"),
-        F.count("serial").alias("n_serial"),
-        count_timed("serial").alias("n_serial_timed"),
+        *count_dates("serial", "serial"),
         F.count_if("has_token").alias("n_token"),
-        F.count("day_first").alias("n_day_first"),
-        count_timed("day_first").alias("n_day_first_timed"),
-        F.count("month_first").alias("n_month_first"),
-        count_timed("month_first").alias("n_month_first_timed"),
+        *count_dates("day_first", "day_first"),
+        *count_dates("month_first", "month_first"),
         F.count("boolean").alias("n_boolean"),
         F.count("number_like").alias("n_number_like"),
         F.coalesce(F.bool_and(integral(F.col("number_like"))), F.lit(False)).alias("all_integral"),

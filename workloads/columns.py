@@ -250,12 +250,13 @@ SQL["c01_typed_table"] = (
 def a12(spark, sf):
     """The two gates of the payment terms over whole columns."""
     long = cells(spark, sf)
-    v, raw = text.trimmed(c("value")), numbers.number_like(c("value"), numbers.WIDE_SPACES)
-    return long.select("name", v.rlike("^[0-9]+$").alias("digits"), numbers.is_integral(raw).alias("whole")).groupBy(
-        "name"
-    ).agg(
+    texts = long.select(
+        "name", text.trimmed(c("value")).alias("v"), numbers.clean_number(c("value"), numbers.WIDE_SPACES).alias("cleaned")
+    )
+    parsed = texts.select("name", c("v").rlike("^[0-9]+$").alias("digits"), numbers.plain_number(c("cleaned")).alias("x"))
+    return parsed.groupBy("name").agg(
         F.coalesce(F.bool_and("digits"), F.lit(True)).alias("all_digits"),
-        F.coalesce(F.bool_and("whole"), F.lit(True)).alias("all_whole"),
+        F.coalesce(F.bool_and(numbers.is_integral(c("x"))), F.lit(True)).alias("all_whole"),
     )
 
 

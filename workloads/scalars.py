@@ -141,7 +141,7 @@ def f07(df):
     f"SELECT id, {sql_token('v')} AS has_token FROM src",
 )
 def f08(df):
-    return df.select("id", c("v").rlike(dates.DATE_TOKEN).alias("has_token"))
+    return df.select("id", dates.has_date_token(c("v")).alias("has_token"))
 
 
 @query(
