@@ -26,7 +26,7 @@ LINES = (
     "cast(DAYS(l_shipdate) as string) AS jour_date, cast(l_quantity as string) AS heures, "
     "case l_returnflag when 'A' then 'oui' when 'N' then 'non' else 'Vrai' end AS retour, "
     "case when l_linenumber = 1 then null when l_linenumber = 2 then '0' else l_linestatus end AS statut, "
-    "cast(l_partkey as string) AS code_article, cast(l_tax * 100 as string) || '%' AS taux_tva, "
+    "cast(1000000 + l_partkey as string) AS code_article, cast(l_tax * 100 as string) || '%' AS taux_tva, "
     "case when l_linenumber < 4 then 'N/A' else cast(l_quantity * 10 as string) end AS nature "
     "FROM {lineitem}"
 )
@@ -241,7 +241,7 @@ SQL["c01_typed_table"] = (
     "cast(l_shipdate as date) AS dt_edition, cast(l_shipdate as date) AS livraison, "
     "cast(l_shipdate as date) AS jour_date, cast(l_quantity as bigint) AS heures, l_returnflag <> 'N' AS retour, "
     "case when l_linenumber > 2 then l_linestatus end AS statut, "
-    f"{sql_serial('l_partkey', 2_950_000.0).replace('(case', 'cast((case', 1)} as date) AS code_article, "
+    "1000000 + l_partkey AS code_article, "
     "cast(l_tax * 100 as string) || '%' AS taux_tva, "
     "case when l_linenumber >= 4 then cast(l_quantity * 10 as string) end AS nature FROM lineitem"
 )
