@@ -29,6 +29,7 @@ SHEETS = (
 # Built-in number formats that show a date or a time.
 BUILTIN_DATE_FORMATS = {*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)}
 BATCH_ROWS = 5_000
+CHUNK_BYTES = 1 << 20
 _RELATION = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 
 
@@ -51,7 +52,8 @@ def open_workbooks(files: DataFrame) -> DataFrame:
 
 
 def decode_sheets(sheets: DataFrame) -> DataFrame:
-    tasks = sheets.sparkSession.sparkContext.defaultParallelism
+    spark = sheets.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     columns = sheets.drop("n_sheets", "error")
     return columns.repartition(tasks, "path", "sheet_idx").mapInPandas(_decode, ROWS)
 
@@ -79,13 +81,38 @@ def _sheets_of(path: str, content: bytes) -> Iterator[list]:
         relations = ElementTree.fromstring(z.read("xl/_rels/workbook.xml.rels"))
         targets = {r.get("Id"): r.get("Target") for r in relations}
         date1904 = any(_tag(e) == "workbookPr" and e.get("date1904") in ("1", "true") for e in book.iter())
-        strings = zlib.compress(z.read("xl/sharedStrings.xml")) if "xl/sharedStrings.xml" in entries else None
+        strings = _packed(z, "xl/sharedStrings.xml") if "xl/sharedStrings.xml" in entries else None
         styles = _date_styles(z.read("xl/styles.xml")) if "xl/styles.xml" in entries else []
         sheets = [e for e in book.iter() if _tag(e) == "sheet"]
         for i, sheet in enumerate(sheets):
             target = targets[sheet.get(_RELATION)]
             part = target.lstrip("/") if target.startswith("/") else "xl/" + target
-            yield [path, sheet.get("name"), i, len(sheets), zlib.compress(z.read(part)), strings, styles, date1904, None]
+            yield [path, sheet.get("name"), i, len(sheets), _packed(z, part), strings, styles, date1904, None]
+
+
+def _packed(z: zipfile.ZipFile, name: str) -> bytes:
+    """A part of the zip, compressed by itself; never held unpacked."""
+    packer, out = zlib.compressobj(), []
+    with z.open(name) as part:
+        while chunk := part.read(CHUNK_BYTES):
+            out.append(packer.compress(chunk))
+    return b"".join([*out, packer.flush()])
+
+
+def _elements(packed: bytes, name: str) -> Iterator:
+    """Stream the elements of one name out of a packed part, dropping each once it is used."""
+    parser, unpacker = ElementTree.XMLPullParser(("start", "end")), zlib.decompressobj()
+    parents: list = []
+    for i in range(0, len(packed), CHUNK_BYTES):
+        parser.feed(unpacker.decompress(packed[i : i + CHUNK_BYTES]))
+        for event, e in parser.read_events():
+            if event == "start":
+                parents.append(e)
+                continue
+            parents.pop()
+            if _tag(e) == name:
+                yield e
+                parents[-1].clear()
 
 
 def _date_styles(xml: bytes) -> list[int]:
@@ -102,14 +129,7 @@ def _date_styles(xml: bytes) -> list[int]:
 
 
 def _shared_strings(packed: bytes | None) -> list[str]:
-    if packed is None:
-        return []
-    out = []
-    for _, e in ElementTree.iterparse(io.BytesIO(zlib.decompress(packed))):
-        if _tag(e) == "si":
-            out.append(_rich_text(e))
-            e.clear()
-    return out
+    return [] if packed is None else [_rich_text(e) for e in _elements(packed, "si")]
 
 
 def _rich_text(item) -> str:
@@ -123,7 +143,7 @@ def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for s in batch.itertuples(index=False):
             strings, styles = _shared_strings(s.strings), set(s.date_styles)
             rows = []
-            for row_idx, values in _sheet_rows(zlib.decompress(s.part), strings, styles, s.date1904):
+            for row_idx, values in _sheet_rows(s.part, strings, styles, s.date1904):
                 rows.append((s.path, s.sheet, s.sheet_idx, row_idx, values))
                 if len(rows) >= BATCH_ROWS:
                     yield _frame(rows)
@@ -136,12 +156,10 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["path", "sheet", "sheet_idx", "row_idx", "values"])
 
 
-def _sheet_rows(xml: bytes, strings: list[str], styles: set[int], date1904: bool):
+def _sheet_rows(packed: bytes, strings: list[str], styles: set[int], date1904: bool):
     """Stream (row index, values) out of a sheet; gaps in a row become null."""
     next_row = 0
-    for _, e in ElementTree.iterparse(io.BytesIO(xml)):
-        if _tag(e) != "row":
-            continue
+    for e in _elements(packed, "row"):
         row = int(e.get("r", next_row + 1)) - 1
         next_row = row + 1
         values: list[str | None] = []
@@ -150,7 +168,6 @@ def _sheet_rows(xml: bytes, strings: list[str], styles: set[int], date1904: bool
             values.extend([None] * (at - len(values)))
             value = _cell_text(cell, strings, styles, date1904)
             values.append(None if value in NA_TOKENS else value)
-        e.clear()
         yield row, values
 
 
