@@ -67,15 +67,15 @@ def cells(spark, sf):
 REMOVE = {"fqt": f" {NBSP}{NNBSP}", "fnp": f" {NBSP}", "rpa": f" {NBSP}", "spa": f" {NBSP}", "paae": f" {NBSP}{NNBSP}€"}
 
 
-def sql_profile(r: R.Rules) -> str:
-    """CTEs ending in ``prof``: the statistics of each column."""
+def sql_profile(r: R.Rules, source: str = SOURCES_SQL, cells: str = "cells") -> str:
+    """CTEs ending in ``prof``: the statistics of each column of ``cells`` (name, raw)."""
     v = f"nullif({sql_trim('raw')}, '0')" if r.zero_is_null else sql_trim("raw")
     upper = r.serial_upper or 0.0
     integral = (
         "abs(nl - round_even(nl, 0)) <= 1e-8 + 1e-5 * abs(round_even(nl, 0))" if r.close_is_integral else "nl % 1 = 0"
     )
     return (
-        f"{SOURCES_SQL}, texts AS (SELECT name, raw, {sql_trim('raw')} AS st, {v} AS v FROM cells), "
+        f"{source}, texts AS (SELECT name, raw, {sql_trim('raw')} AS st, {v} AS v FROM {cells}), "
         f"facts AS MATERIALIZED (SELECT name, raw, st, v, {sql_is_iso('v')} AS is_iso, {sql_iso('v')} AS iso, {sql_number('v')} AS num, "
         f"{sql_serial(sql_number('v'), upper)} AS ser, {sql_token('v')} AS tok, {sql_date('v', True)} AS df, "
         f"{sql_date('v', False)} AS mf, {sql_boolean('v')} AS boo, "
@@ -181,15 +181,18 @@ def _decided(r):
     return run
 
 
+SQL_OUTCOME = (
+    "n, split_part(d, ':', 1) AS tag, split_part(d, ':', 2) AS method, n_text - case split_part(d, ':', 2) "
+    "when 'iso' then n_iso_parsed when 'serial' then n_serial when 'day_first' then n_day_first "
+    "when 'month_first' then n_month_first when 'boolean' then n_boolean when 'int' then n_number_like "
+    "when 'float' then n_number_like else n_text end AS lost_values"
+)
+
+
 def sql_decided(r: R.Rules) -> str:
-    kept = (
-        "case split_part(d, ':', 2) when 'iso' then n_iso_parsed when 'serial' then n_serial "
-        "when 'day_first' then n_day_first when 'month_first' then n_month_first when 'boolean' then n_boolean "
-        "when 'int' then n_number_like when 'float' then n_number_like else n_text end"
-    )
     return (
         f"{sql_profile(r)}, hinted AS (SELECT *, name AS hint FROM prof), decided AS (SELECT *, {sql_chain(r)} AS d FROM hinted) "
-        f"SELECT name, n, split_part(d, ':', 1) AS tag, split_part(d, ':', 2) AS method, n_text - {kept} AS lost_values FROM decided"
+        f"SELECT name, {SQL_OUTCOME} FROM decided"
     )
 
 

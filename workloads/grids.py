@@ -9,6 +9,7 @@ from cellweave.operators import dedupe, profile, shape
 from cellweave.plans import ingest
 from cellweave.plans import rules as R
 from cellweave.sources.table import table_cells, table_rows
+from workloads.columns import SQL_OUTCOME, sql_chain, sql_profile
 from workloads.base import derive, french, plain_sql, q, scan, sql_fold, sql_has_any, sql_na, sql_snake, sql_trim
 
 QUERIES, SQL = {}, {}
@@ -348,9 +349,18 @@ def a11(spark, sf):
     return profile.sheet_report(decided)
 
 
+_KEY = "path || '|' || sheet_idx || '|' || col_idx"
+_KEYED = f"{sql_headers(R.FQT)}, keyed AS (SELECT {_KEY} AS name, value AS raw FROM body)"
+
+
 @add(
     "n16_sheet_columns_decided",
-    None,
+    f"{sql_profile(R.FQT, _KEYED, 'keyed')}, "
+    f"named AS (SELECT path, sheet, sheet_idx, col_idx, {_KEY} AS key, {sql_snake('value')} AS snake FROM head_cells), "
+    "uniq AS (SELECT *, row_number() OVER (PARTITION BY path, sheet_idx, snake ORDER BY col_idx) AS nth FROM named), "
+    "hinted AS (SELECT prof.*, path, sheet, col_idx, case when nth = 1 then snake else snake || '_' || nth end AS hint "
+    "FROM prof JOIN uniq ON name = key WHERE n_value > 0 AND (n_filled > 0 OR n_value < n)), "
+    f"decided AS (SELECT *, {sql_chain(R.FQT)} AS d FROM hinted) SELECT path, sheet, col_idx, hint AS name, {SQL_OUTCOME} FROM decided",
 )
 def n16(spark, sf):
     """Names, types and lost values of every column of every sheet."""
