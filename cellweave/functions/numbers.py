@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 # A number as accepted from text; try_cast alone would also take suffixes such as 1d.
 NUMBER = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
-INFINITE = r"^(?i)[+-]?inf(?:inity)?$"
+# The infinite numbers accepted from text, in any case.
+INFINITE = ("inf", "+inf", "-inf", "infinity", "+infinity", "-infinity")
 THOUSANDS_DOT = r"(?<=[0-9])\.(?=[0-9]{3}(?:[^0-9]|$))"
 DOT_BEFORE_THREE = r"\.[^,]*[0-9][^,]*[0-9][^,]*[0-9]"
 BOOLEAN_WORD = r"^(?i)(?:true|false|yes|no|vrai|faux)$"
@@ -36,7 +37,7 @@ def finite_number(c: Column) -> Column:
 
 
 def infinite_number(c: Column) -> Column:
-    return F.when(F.length(c).between(3, 9) & c.rlike(INFINITE), c.try_cast("double"))
+    return F.when(F.length(c).between(3, 9) & F.lower(c).isin(*INFINITE), c.try_cast("double"))
 
 
 def plain_number(c: Column) -> Column:
@@ -50,7 +51,7 @@ def clean_number(c: Column, style: NumberStyle) -> Column:
     for ch in style.remove:
         s = F.replace(s, F.lit(ch), F.lit(""))
     # Most texts have no dot to remove, so look for one before replacing.
-    s = F.when(c.rlike(DOT_BEFORE_THREE), F.regexp_replace(s, THOUSANDS_DOT, "")).otherwise(s)
+    s = F.when(c.contains(".") & c.rlike(DOT_BEFORE_THREE), F.regexp_replace(s, THOUSANDS_DOT, "")).otherwise(s)
     s = F.replace(s, F.lit(","), F.lit("."))
     return F.when(c.rlike(BOOLEAN_WORD), "").otherwise(s) if style.blank_words else s
 

@@ -36,14 +36,14 @@ def cell_facts(cells: DataFrame, rules: Rules, keep: list[str]) -> DataFrame:
         F.when(has_digit, F.when(~zero, numbers.finite_number(v))).otherwise(numbers.infinite_number(v)).alias("number"),
     )
     number = F.col("number")
-    mixed = has_digit & number.isNull()
+    mixed, length = has_digit & number.isNull(), F.length(v)
     cells = cells.select(
         *keep,
         "text",
         "is_zero",
         "number",
-        F.when(mixed, F.when(v.rlike(dates.ISO), v)).alias("iso_text"),
-        F.when(mixed | (has_digit & v.rlike(dates.BARE)), dates.date_text(v)).alias("date_text"),
+        F.when(mixed & length.isin(10, 19), F.when(v.rlike(dates.ISO), v)).alias("iso_text"),
+        F.when(mixed | (has_digit & length.isin(4, 8)), dates.date_text(v)).alias("date_text"),
         F.when(number.isNotNull() & ~v.contains("."), v)
         .otherwise(numbers.clean_number(v, rules.number_style))
         .alias("cleaned"),
