@@ -219,8 +219,6 @@ def f14(df):
     return _gate(df, "delay", whole, numbers.integer_like(c("delay"), numbers.WIDE_SPACES))
 
 
-HINTS = ("date", "dt", "heure", "time", "écart", "n° pièce")
-
 
 @query(
     "f15_name_hint",
