@@ -2,15 +2,31 @@
 
 from __future__ import annotations
 
+import public_tokenizers as vocabularies
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cellweave.llm import bpe, packing, token_files
-
-import public_tokenizers as vocabularies
+from cellweave.llm import bpe, fertility, hostrank, lines, mtree, packing, ring, simhash, token_files, warc
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
 END_OF_DOCUMENT = 2
+FERTILITY = fertility.Vocabularies(
+    ranks=vocabularies.path("byte_bpe_multi_50k.tiktoken"),
+    pattern=vocabularies.PATTERN,
+    pieces=vocabularies.path("piece_bpe_32k.model"),
+)
+BANDS = {
+    "latin": fertility.Band(least_chars=1.2, most_chars=7.0, most_bytes=0.2, least_entropy=3.0),
+    "other": fertility.Band(least_chars=0.4, most_chars=7.0, most_bytes=0.7, least_entropy=3.0),
+}
+RULES = (
+    hostrank.Rule("com", "/", "allow"),
+    hostrank.Rule("example.com", "/en/", "block"),
+    hostrank.Rule("www.example.com", "/en/", "allow"),
+    hostrank.Rule("net", "/es/", "block"),
+    hostrank.Rule("net", "/fr/", "block"),
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,23 +37,58 @@ def vocabulary(name: str) -> str:
     return vocabularies.path(name)
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), width=4, max_bits=4)
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return token_files.token_files(docs, vocabulary(BYTE_BPE), END_OF_DOCUMENT)
 
 
+def op3_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archives(table(spark, sf_dir, "pages"), min_bytes=0)
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack_documents(docs, vocabulary(WORD_BPE), END_OF_DOCUMENT)
 
 
+def op5_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ring.shard_documents(table(spark, sf_dir, "documents"), shards=8)
+
+
 def op6_pair_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_and_decode(table(spark, sf_dir, "documents"), vocabulary(WORD_BPE))
 
 
+def op7_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fertility.judge(table(spark, sf_dir, "documents"), FERTILITY, BANDS)
+
+
+def op8_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.describe(table(spark, sf_dir, "documents"))
+
+
+def op9_host_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hostrank.judge_urls(table(spark, sf_dir, "pages"), RULES)
+
+
+def op10_metric_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
 QUERIES = {
+    "op1_simhash": op1_simhash,
     "op2_token_files": op2_token_files,
+    "op3_archives": op3_archives,
     "op4_packing": op4_packing,
+    "op5_ring": op5_ring,
     "op6_pair_encoding": op6_pair_encoding,
+    "op7_fertility": op7_fertility,
+    "op8_line_runs": op8_line_runs,
+    "op9_host_rank": op9_host_rank,
+    "op10_metric_tree": op10_metric_tree,
 }
 SQL: dict[str, str] = {}
