@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -27,21 +26,13 @@ import regex
 from pyspark.sql import DataFrame
 
 from cellweave.llm.common import rows, text_or_empty
-from cellweave.llm.encoder import parts_without_blanks
+from cellweave.llm.encoder import byte_alphabet, normalised, parts_without_blanks, words_of
 
 NEVER = 1 << 60
-CACHE_PARTS = 500_000
+CACHE_PARTS = 400_000
 CACHE_CHARS = 48
 
 
-def byte_alphabet() -> list[str]:
-    """The visible character that stands for each byte value: itself if printable in Latin-1, else one from 256 on."""
-    shown = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b <= 0xFF]
-    hidden = [b for b in range(256) if b not in set(shown)]
-    table = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
-    return [table[b] for b in range(256)]
-
-
 class MergeTree:
     """Segment tree of pair ranks; ``root`` is the lowest and of equal ones the leftmost."""
 
@@ -141,7 +132,7 @@ class PairEncoder:
 
     def _part(self, part: str) -> bytes:
         ids: list[int] = []
-        for word in self.vocabulary.words.findall(normalised(part)):
+        for word in words_of(normalised(part), self.vocabulary.words):
             ids += self.word(word)
         return np.array(ids, dtype="<u4").tobytes()
 
@@ -174,14 +165,6 @@ class PairEncoder:
         return [s for s in symbols if s >= 0]
 
 
-def normalised(part: str) -> str:
-    """NFC and lower case of each letter by itself, whatever stands around it."""
-    if part.isascii():
-        return part.lower()
-    part = unicodedata.normalize("NFC", part)
-    return "".join([c.lower() for c in part]) if "Σ" in part else part.lower()
-
-
 @lru_cache(maxsize=1)
 def pair_encoder(path: str) -> PairEncoder:
     """One encoder for each worker process."""

@@ -25,6 +25,12 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Hand rows to Python workers in small batches, since a text may have a hundred thousand characters."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return spark
+
+
 def keep(df: DataFrame, label: str) -> DataFrame:
     """Write a frame to the scratch folder and read it back: computed once, no lineage to lose."""
     spark = df.sparkSession

@@ -9,13 +9,18 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
 from functools import lru_cache
+from struct import pack
 
-import numpy as np
+import regex
 
-CACHE_PARTS = 600_000
+CACHE_PARTS = 400_000
 # Longer parts are encoded but not kept.
 CACHE_CHARS = 48
+# The patterns by which the two public tokenizers cut text into words.
+BYTE_LEVEL_WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+LOWER_CASE_WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 # A place between two words with exactly one blank or line feed, which belongs to the word after it.
 _ONE_BLANK = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
@@ -36,8 +41,45 @@ def parts_without_blanks(text: str) -> list[str]:
     return [part for part in text.replace("\n", " ").split(" ") if part]
 
 
+def words_of(part: str, pattern: regex.Pattern) -> list[str]:
+    """Words of a part by the pattern; letters alone, and letters before one sign, need no search."""
+    if part.isalpha():
+        return [part]
+    if part[:-1].isalpha() and part[-1:] in ".,;:!?":
+        return [part[:-1], part[-1]]
+    if part[:1] == "\n" and not part[1:2].isspace():
+        return ["\n", *words_of(part[1:], pattern)]
+    if part[:1] == " ":
+        if part[1:].isalpha():
+            return [part]
+        if part[1:-1].isalpha() and part[-1] in ".,;:!?":
+            return [part[:-1], part[-1]]
+    return pattern.findall(part)
+
+
+def normalised(part: str) -> str:
+    """NFC and lower case of each letter by itself, whatever stands around it."""
+    if part.isascii():
+        return part.lower()
+    part = unicodedata.normalize("NFC", part)
+    return "".join([c.lower() for c in part]) if "Σ" in part else part.lower()
+
+
+def byte_alphabet() -> list[str]:
+    """The visible character that stands for each byte value: itself if printable in Latin-1, else one from 256 on."""
+    shown = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b <= 0xFF]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    table = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+    return [table[b] for b in range(256)]
+
+
 class TextEncoder:
-    """Ids of whole texts as little-endian unsigned 32-bit integers."""
+    """Ids of whole texts as little-endian unsigned 32-bit integers.
+
+    A part without special tokens is cut by the tokenizer's own pattern and written in its byte alphabet here, which
+    is much quicker than the library's general way; the library's model gives the ids of the words. All else goes to
+    the library as it is.
+    """
 
     def __init__(self, path: str, keeps_blanks: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -46,27 +88,47 @@ class TextEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model = self.tokenizer.model
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cut = parts_with_blanks if keeps_blanks else parts_without_blanks
+        self.words = BYTE_LEVEL_WORDS if keeps_blanks else LOWER_CASE_WORDS
+        self.normal = (lambda part: part) if keeps_blanks else normalised
         self.known: dict[str, bytes] = {}
+        self.alphabet = dict(enumerate(byte_alphabet()))
 
     def encode(self, text: str) -> bytes:
+        for content in self.special:
+            if content in text:
+                return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
         parts = self.cut(text)
         known = self.known
         try:
             return b"".join([known[p] for p in parts])
         except KeyError:
             pass
-        missing = list({p for p in parts if p not in known})
-        fresh = {}
-        for part, encoded in zip(
-            missing, self.tokenizer.encode_batch(missing, add_special_tokens=False), strict=True
-        ):
-            fresh[part] = np.array(encoded.ids, dtype="<u4").tobytes()
-        ids = b"".join([fresh[p] if p in fresh else known[p] for p in parts])
         if len(known) > CACHE_PARTS:
             known.clear()
-        known.update((p, v) for p, v in fresh.items() if len(p) <= CACHE_CHARS)
-        return ids
+        found = []
+        for part in parts:
+            ids = known.get(part)
+            if ids is None:
+                ids = self._part(part)
+                if len(part) <= CACHE_CHARS:
+                    known[part] = ids
+            found.append(ids)
+        return b"".join(found)
+
+    def _part(self, part: str) -> bytes:
+        ids, tokenize = [], self.model.tokenize
+        for word in words_of(self.normal(part), self.words):
+            if not word.isascii():
+                word = word.encode().decode("latin-1")
+            ids += [t.id for t in tokenize(word.translate(self.alphabet))]
+        return self._packed(ids)
+
+    @staticmethod
+    def _packed(ids: list[int]) -> bytes:
+        return pack(f"<{len(ids)}I", *ids)
 
 
 @lru_cache(maxsize=2)
