@@ -173,7 +173,8 @@ class Pivots:
     def __init__(self, sample: list[list[int]], wanted: int):
         lengths = [len(v) for v in sample]
         self.length = max(set(lengths), key=lambda n: (lengths.count(n), n)) if lengths else 0
-        rows = np.array([v for v in sample if len(v) == self.length], dtype=np.float64).reshape(-1, self.length)
+        alike = [v for v in sample if len(v) == self.length]
+        rows = np.array(alike, dtype=np.float64).reshape(len(alike), self.length)
         self.vectors = self._spread(np.unique(rows, axis=0), wanted)
         self.norms = (self.vectors**2).sum(axis=1)
 
