@@ -56,9 +56,9 @@ WORD_FORMS = (
     ("(?i)^" + _MONTH + " ([0-9]{1,2}),? ([0-9]{4})" + _TIME, "$3-$1-$2 $4"),
     ("(?i)^" + _MONTH + "[ -]([0-9]{4})$", "$2-$1-1"),
 )
-WORD_SHAPE = "(?i)^(?:[0-9]{1,2}[ -])?[a-z]{3,9}[ -][0-9][-0-9,.:T ]{3,40}$"
+WORD_SHAPE = "(?i)^(?:[0-9]{1,2}[ -])?[a-z]{3,9}[ -][0-9][-0-9,.:T ]{3,}$"
 # What all accepted forms with digits only look like; keeps most texts away from the patterns.
-DIGIT_SHAPE = "^[0-9][-0-9/.T: ]{3,40}$"
+DIGIT_SHAPE = "^[0-9][-0-9/.T: ]{3,}$"
 
 PLAUSIBLE = "^ ?[0-9]{4}-(?:0?[1-9]|1[0-2])-(?:0?[1-9]|[12][0-9]|3[01])(?:[ T]|$)"
 

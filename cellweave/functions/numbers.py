@@ -62,7 +62,7 @@ def number_like(c: Column, style: NumberStyle) -> Column:
 
 def to_integer(cleaned: Column) -> Column:
     """Long for a cleaned number text; exact beyond the 53 bits of a double."""
-    exact = F.when(cleaned.rlike("^[+-]?[0-9]{1,18}$"), cleaned.try_cast("long"))
+    exact = F.when(cleaned.rlike("^[+-]?[0-9]{1,19}$"), cleaned.try_cast("long"))
     return F.coalesce(exact, F.rint(plain_number(cleaned)).try_cast("long"))
 
 

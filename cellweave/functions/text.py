@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import re
+import json
 import sys
 import unicodedata
 from functools import cache
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 # Texts read as "no value" in a cell.
 NA_TOKENS = (
@@ -27,6 +25,7 @@ SPACES = (
 BEYOND_LATIN = "[^\\x00-\\x7fÀ-ÿ]"
 IDENTIFIER_LENGTH = 63
 NBSP = "\xa0"
+FIRST_SYLLABLE, LAST_SYLLABLE = "\uac00", "\ud7a3"
 
 
 def na_to_null(c: Column) -> Column:
@@ -53,16 +52,17 @@ def _fold_char(ch: str) -> str:
 
 @cache
 def _fold_tables() -> tuple[str, str, dict[str, str]]:
-    """Folding rule applied to the alphabetic scripts of the basic plane.
+    """Folding rule applied to all of Unicode but the Hangul syllables, which have a rule of their own.
 
     Returns (characters to replace, their replacements) for ``translate``, with the characters to
     delete at the end of the first string, and the characters which become several.
     """
     one, gone, many = [], [], {}
-    ranges = (range(0x80, 0x2E80), range(0x3000, 0x3100), range(0xFB00, 0xFB50), range(0xFE20, 0xFE30), range(0xFF00, 0xFFF0))
-    for ch in (chr(i) for r in ranges for i in r):
+    for ch in map(chr, range(0x80, sys.maxunicode + 1)):
+        if FIRST_SYLLABLE <= ch <= LAST_SYLLABLE or unicodedata.category(ch) in ("Cn", "Co", "Cs"):
+            continue
         folded = _fold_char(ch)
-        if folded == ch or unicodedata.category(ch) == "Cn":
+        if folded == ch:
             continue
         if len(folded) == 1:
             one.append((ch, folded))
@@ -73,38 +73,44 @@ def _fold_tables() -> tuple[str, str, dict[str, str]]:
     return "".join(a for a, _ in one) + "".join(gone), "".join(b for _, b in one), many
 
 
+def _jamo(ch: Column) -> Column:
+    """A Hangul syllable taken apart by the arithmetic of the standard."""
+    def sign(first: int, count: int, nth: Column) -> Column:
+        return F.substring(F.lit("".join(chr(first + i) for i in range(count))), nth.cast("int") + 1, F.lit(1))
+
+    number = F.ascii(ch) - ord(FIRST_SYLLABLE)
+    tail = number % 28
+    return F.concat(
+        sign(0x1100, 19, F.floor(number / 588)),
+        sign(0x1161, 21, F.floor(number % 588 / 28)),
+        F.when(tail > 0, sign(0x11A7, 28, tail)).otherwise(""),
+    )
+
+
 def _is_ascii(c: Column) -> Column:
     return F.length(c) == F.octet_length(c)
 
 
 def fold(c: Column) -> Column:
-    """Lower case without accents, trimmed; stays in the JVM.
-
-    Covers the alphabetic scripts; ``fold_exact`` covers all of Unicode at the price of Python.
-    """
+    """Lower case without accents, trimmed; for any text, without leaving the JVM."""
     source, target, many = _fold_tables()
-    spread = F.create_map(*[F.lit(x) for pair in many.items() for x in pair])
+    spread = F.from_json(F.lit(json.dumps(many)), "map<string,string>")
+    syllable = f"[{FIRST_SYLLABLE}-{LAST_SYLLABLE}]"
     expanded = F.array_join(
-        F.transform(F.split(c, ""), lambda ch: F.coalesce(F.try_element_at(spread, ch), ch)), ""
+        F.transform(
+            F.split(c, ""),
+            lambda ch: F.coalesce(F.try_element_at(spread, ch), F.when(ch.rlike(syllable), _jamo(ch)), ch),
+        ),
+        "",
     )
     # The first test settles nearly all texts; the second removes the characters and looks for a loss.
-    has_many = c.rlike(BEYOND_LATIN) & (F.length(F.translate(c, "".join(many), "")) < F.length(c))
+    lost = F.length(F.translate(c, "".join(many), "")) < F.length(c)
+    has_many = c.rlike(BEYOND_LATIN) & (lost | c.rlike(syllable))
     with_many = F.when(has_many, expanded).otherwise(c)
     folded = F.when(_is_ascii(c), c).otherwise(F.translate(with_many, source, target))
     return trimmed(F.lower(folded))
 
 
-@cache
-def _combining_marks() -> re.Pattern:
-    return re.compile("[" + "".join(chr(i) for i in range(sys.maxunicode + 1) if unicodedata.combining(chr(i))) + "]+")
-
-
-@F.pandas_udf(StringType())
-def fold_exact(values: pd.Series) -> pd.Series:
-    marks = _combining_marks()
-    return values.str.normalize("NFKD").map(lambda s: marks.sub("", s).lower().strip(), na_action="ignore")
-
-
 def snake(c: Column) -> Column:
     """Identifier in snake case; empty or null becomes ``col``."""
     s = F.regexp_replace(fold(c), f"[{SPACES}.-]+", "_")

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cellweave.functions.text import trimmed
 from cellweave.operators.dedupe import number_within
 from cellweave.plans.rules import DATASET_KEYS
 
@@ -37,17 +38,23 @@ def path_parts(df: DataFrame, path: str = "path") -> DataFrame:
 
 
 def make_contract(settings: DataFrame) -> DataFrame:
-    """Contract from (env_key, path): blank paths are skipped, known keys get their dataset."""
+    """Contract from (env_key, path): other keys and blank paths are skipped; of several keys of a path the last counts."""
     datasets = F.create_map(*[F.lit(x) for pair in DATASET_KEYS.items() for x in pair])
-    trimmed = settings.withColumn("path", F.trim("path")).filter("path <> ''")
-    return path_parts(trimmed).select(
-        "env_key", "path", "parent", F.try_element_at(datasets, F.col("env_key")).alias("dataset")
+    places = F.create_map(*[F.lit(x) for i, key in enumerate(DATASET_KEYS) for x in (key, i)])
+    # A listing writes the scheme of local files with one slash.
+    path = F.regexp_replace(trimmed(F.col("path")), "^file:/+", "file:/")
+    listed = settings.filter(F.col("env_key").isin(*DATASET_KEYS)).withColumn("path", path)
+    last = listed.filter("path <> ''").groupBy("path").agg(
+        F.max_by("env_key", F.element_at(places, F.col("env_key"))).alias("env_key")
+    )
+    return path_parts(last).select(
+        "env_key", "path", "parent", F.element_at(datasets, F.col("env_key")).alias("dataset")
     )
 
 
 def missing_settings(settings: DataFrame) -> DataFrame:
     """Required settings that are null or blank."""
-    return settings.filter(F.coalesce(F.trim("value"), F.lit("")) == "").select("key")
+    return settings.filter(F.coalesce(trimmed(F.col("value")), F.lit("")) == "").select("key")
 
 
 def watched_folders(contract: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from cellweave.functions import text
 from cellweave.plans.rules import Rules
-from cellweave.session import join_metadata, settle
+from cellweave.session import settle
 
 SHEET = ["path", "sheet", "sheet_idx"]
 SHEET_KEY = ["path", "sheet_idx"]
@@ -83,9 +83,9 @@ def head_rows(rows: DataFrame, scan: int, blanks_dropped: bool = False) -> DataF
     live = rows if blanks_dropped else drop_blank_rows(rows)
     first = live.select(*SHEET_KEY, "row_idx").withColumn("position", F.row_number().over(order))
     first = settle(first.filter(F.col("position") <= scan))
-    size = first.agg(F.count(F.lit(1)).alias("n"), F.max("row_idx").alias("last")).first()
-    wanted = rows.filter(F.col("row_idx") <= F.lit(size.last))
-    return join_metadata(wanted, first, [*SHEET_KEY, "row_idx"], n_rows=size.n)
+    last = first.agg(F.max("row_idx")).first()[0]
+    wanted = rows.filter(F.col("row_idx") <= F.lit(last))
+    return wanted.join(first, [*SHEET_KEY, "row_idx"])
 
 
 def score_rows(head: DataFrame, rules: Rules) -> DataFrame:
@@ -133,7 +133,7 @@ def find_headers(rows: DataFrame, rules: Rules, blanks_dropped: bool = False) ->
 def body_rows(rows: DataFrame, headers: DataFrame, blanks_dropped: bool = False) -> DataFrame:
     """Rows below the header of their sheet."""
     where = headers.select(*SHEET_KEY, "header_row", "sheet_id")
-    body = join_metadata(rows, where, SHEET_KEY).filter(F.col("row_idx") > F.col("header_row"))
+    body = rows.join(where, SHEET_KEY).filter(F.col("row_idx") > F.col("header_row"))
     return body if blanks_dropped else drop_blank_rows(body)
 
 
@@ -202,17 +202,20 @@ def keep_listed(df: DataFrame, listed: tuple[str, ...]) -> DataFrame:
     return df.select(*kept)
 
 
-def stack_sheets(rows: DataFrame, headers: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+def stack_sheets(
+    rows: DataFrame, headers: DataFrame, columns: tuple[str, ...], cells: DataFrame | None = None
+) -> DataFrame:
     """Stack all sheets by canonical column name; a sheet without a column gives nulls.
 
     One plan for any number of sheets: each sheet's positions are looked up, not one union branch
     per sheet. When a sheet has a name twice, its first column is taken.
     """
-    cells = header_columns(headers).withColumn("name", canonical_name(F.col("name")))
+    if cells is None:
+        cells = header_columns(headers).withColumn("name", canonical_name(F.col("name")))
     positions = cells.groupBy(*SHEET_KEY).agg(
         *[F.min(F.when(F.col("name") == c, F.col("col_idx"))).alias(f"_{c}") for c in columns]
     )
-    body = join_metadata(body_rows(rows, headers), positions, SHEET_KEY)
+    body = body_rows(rows, headers).join(positions, SHEET_KEY)
     return body.select(*SHEET, "row_idx", *[F.get("values", F.col(f"_{c}")).alias(c) for c in columns])
 
 
@@ -236,6 +239,22 @@ def project_positions(rows: DataFrame, names: tuple[str, ...]) -> DataFrame:
     return rows.select(*SHEET, "row_idx", *[F.get("values", F.lit(i)).alias(n) for i, n in zip(found, names)])
 
 
+def unique_tables(sheets: DataFrame, cut: bool = True) -> DataFrame:
+    """Number table names that several sheets would have: the second ``t`` becomes ``t__2``.
+
+    ``sheets`` has a row for each sheet (path, sheet_idx, table). Names are numbered by path and sheet, cut
+    again so that the number fits, and numbered once more should a numbered name be taken already.
+    """
+    while sheets.groupBy("table").count().where("count > 1").limit(1).count():
+        by_place = Window.partitionBy("table").orderBy("path", "sheet_idx")
+        nth = F.concat(F.lit("__"), F.row_number().over(by_place).cast("string"))
+        sheets = sheets.withColumn("_nth", nth)
+        room = F.lit(text.IDENTIFIER_LENGTH) - F.length("_nth") if cut else F.length("table")
+        numbered = F.concat(F.left("table", room), "_nth")
+        sheets = sheets.withColumn("table", F.when(F.col("_nth") == "__1", F.col("table")).otherwise(numbered)).drop("_nth")
+    return sheets
+
+
 def table_name(base: Column, sheet: Column, n_sheets: Column, cut: bool = True) -> Column:
     """Target table of a sheet: the file's name, with the sheet's when there are several."""
     name = F.when(n_sheets == 1, base).otherwise(F.concat_ws("__", base, text.snake(sheet)))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import posixpath
+import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from itertools import groupby
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +20,7 @@ from cellweave.plans.rules import Rules
 from cellweave.session import new_folder, settle
 
 CATEGORY_TABLE = "dim_client_categories"
+STAGED_ROWS = 250_000
 PAYMENT_COLUMNS = ("code_condition", "libelle", "delai_source")
 
 
@@ -51,8 +53,8 @@ def type_table(df: DataFrame, rules: Rules, columns: list[str] | None = None, ke
 
 # --- sheets ---------------------------------------------------------------------------------------
 
-def stage(rows: DataFrame) -> DataFrame:
-    """Write grid rows without blank rows to the shared folder, one partition folder per sheet.
+def stage(rows: DataFrame) -> tuple[DataFrame, str]:
+    """Write grid rows without blank rows to the shared folder, one partition folder per sheet; the rows and the folder.
 
     Header search, profile and one cast per sheet read them again; without this a workbook would
     be decoded every time, and a cast would read sheets other than its own.
@@ -60,8 +62,10 @@ def stage(rows: DataFrame) -> DataFrame:
     spark = rows.sparkSession
     path = new_folder(spark, "staged")
     keyed = shape.drop_blank_rows(rows).withColumn("sheet_key", F.md5(F.concat_ws("|", "path", F.col("sheet_idx").cast("string"))))
-    keyed.write.partitionBy("sheet_key").parquet(path)
-    return spark.read.schema(keyed.schema).parquet(path)
+    # Rows of a sheet are dealt together, in parts, so that a sheet is a few files and not one for each task.
+    spread = F.floor(F.coalesce("row_idx", F.lit(0)) / STAGED_ROWS)
+    keyed.repartition("sheet_key", spread).write.partitionBy("sheet_key").parquet(path)
+    return spark.read.schema(keyed.schema).parquet(path), path
 
 
 def decide_sheets(rows: DataFrame, rules: Rules, blanks_dropped: bool = False) -> DataFrame:
@@ -82,6 +86,14 @@ def sheet_counts(rows: DataFrame) -> DataFrame:
     return rows.groupBy("path").agg(F.count_distinct("sheet_idx").alias("n_sheets"))
 
 
+def sheet_tables(sheets: DataFrame, counts: DataFrame, rules: Rules) -> DataFrame:
+    """Path, sheet_idx and target table of each sheet; no two sheets have the same table."""
+    base = text.snake(F.regexp_extract("path", r"([^/]*?)(?:\.[^./]*)?$", 1))
+    each = sheets.select("path", "sheet", "sheet_idx").distinct().join(counts, "path")
+    named = each.withColumn("table", shape.table_name(base, F.col("sheet"), F.col("n_sheets"), rules.cut_table_name))
+    return settle(shape.unique_tables(settle(named.select("path", "sheet_idx", "table")), rules.cut_table_name))
+
+
 def typed_sheets(staged: DataFrame, rules: Rules, counts: DataFrame | None = None) -> Iterator[TypedTable]:
     """The typed table of each sheet.
 
@@ -89,10 +101,8 @@ def typed_sheets(staged: DataFrame, rules: Rules, counts: DataFrame | None = Non
     of sheets is not bounded; each yielded frame reads one sheet only.
     """
     decided = settle(decide_sheets(staged, rules, blanks_dropped=True))
-    base = text.snake(F.regexp_extract("path", r"([^/]*?)(?:\.[^./]*)?$", 1))
-    named = decided.join(counts if counts is not None else sheet_counts(staged), "path").withColumn(
-        "table", shape.table_name(base, F.col("sheet"), F.col("n_sheets"), rules.cut_table_name)
-    )
+    tables = sheet_tables(decided, counts if counts is not None else sheet_counts(staged), rules)
+    named = decided.join(tables, ["path", "sheet_idx"])
     ordered = named.select(
         "path", "sheet_idx", "table", "header_row", "col_idx", "name", "tag", "method", "lost_values"
     ).orderBy("path", "sheet_idx", "col_idx")
@@ -121,7 +131,10 @@ def _typed_sheet(staged: DataFrame, columns: list, rules: Rules) -> TypedTable:
 def payment_terms(rows: DataFrame, rules: Rules = R.CDP) -> DataFrame:
     """First sheet by position; codes and delays become integers only when all of them are."""
     grid = shape.drop_blank_rows(rows.filter("sheet_idx = 0"))
-    table = shape.project_positions(grid, PAYMENT_COLUMNS)
+    return _payment_columns(shape.project_positions(grid, PAYMENT_COLUMNS), rules)
+
+
+def _payment_columns(table: DataFrame, rules: Rules) -> DataFrame:
     code = text.trimmed(F.col("code_condition"))
     gates = [F.coalesce(F.bool_and(code.rlike("^[0-9]+$")), F.lit(True)).alias("code")]
     if "delai_source" in table.columns:
@@ -139,12 +152,16 @@ def payment_terms(rows: DataFrame, rules: Rules = R.CDP) -> DataFrame:
 def client_categories(rows: DataFrame, rules: Rules = R.CATCLIENTS) -> DataFrame:
     """All sheets stacked by canonical name, one row per label, labels with a category first."""
     headers = shape.find_headers(rows, rules)
-    names = shape.header_columns(headers).select(shape.canonical_name(F.col("name")).alias("name"))
-    present = {r.name for r in names.filter(F.col("name").isin(*shape.CATEGORY_COLUMNS)).distinct().collect()}
+    # A column without any value on its sheet is no column of that sheet.
+    stats = shape.column_counts(shape.rows_to_cells(shape.body_rows(rows, headers)))
+    filled = stats.filter(shape.column_survives(rules)).select(*shape.SHEET_KEY, "col_idx")
+    cells = shape.header_columns(headers).join(filled, [*shape.SHEET_KEY, "col_idx"], "left_semi")
+    cells = settle(cells.withColumn("name", shape.canonical_name(F.col("name"))))
+    present = {r.name for r in cells.filter(F.col("name").isin(*shape.CATEGORY_COLUMNS)).select("name").distinct().collect()}
     if "libelle" not in present:
         raise ValueError("no sheet has the column libelle")
     columns = tuple(c for c in shape.CATEGORY_COLUMNS if c in present)
-    stacked = shape.stack_sheets(rows, headers, columns)
+    stacked = shape.stack_sheets(rows, headers, columns, cells)
     clean = stacked.withColumns({c: text.clean_text(F.col(c)) for c in columns})
     return shape.keep_listed(dedupe_labels(clean, ["sheet_idx", "row_idx"]), shape.CATEGORY_COLUMNS)
 
@@ -156,32 +173,81 @@ def typed_tables(dataset: str, rows: DataFrame, counts: DataFrame | None = None)
     if dataset in R.INFERRED:
         yield from typed_sheets(rows, R.INFERRED[dataset], counts)
         return
-    path = rows.select("path").limit(1).first()
-    path = path.path if path else ""
-    stem = posixpath.splitext(posixpath.basename(path))[0]
     if dataset == "cdp":
-        frame = payment_terms(rows)
-        base = rows.sparkSession.range(1).select(text.snake(F.lit(stem)).alias("t")).first().t
-        kinds = {"bigint": R.CDP.sql_integer, "string": "TEXT"}
-        yield TypedTable(path, base, frame, {n: kinds[t] for n, t in frame.dtypes})
+        # Each workbook is a table of its own, with its own columns and types.
+        books = rows.select("path").distinct()
+        base = text.snake(F.regexp_extract("path", r"([^/]*?)(?:\.[^./]*)?$", 1))
+        named = settle(books.select("path", F.lit(0).alias("sheet_idx"), text.cut_identifier(base).alias("table")))
+        for book in shape.unique_tables(named).orderBy("path").toLocalIterator():
+            frame = payment_terms(rows.filter(F.col("path") == book.path))
+            kinds = {"bigint": R.CDP.sql_integer, "string": "TEXT"}
+            yield TypedTable(book.path, book.table, frame, {n: kinds[t] for n, t in frame.dtypes})
     elif dataset == "catclients":
         frame = client_categories(rows)
+        path = rows.agg(F.min("path")).first()[0] or ""
         yield TypedTable(path, CATEGORY_TABLE, frame, dict.fromkeys(frame.columns, "TEXT"))
     else:
         raise ValueError(f"unknown dataset {dataset}")
 
 
-def load_dataset(dataset: str, rows: DataFrame, sink, run: Run, counts: DataFrame | None = None) -> int:
-    """Write every table of a dataset with audit columns; returns the number of rows written."""
+@dataclass
+class LoadReport:
+    """What a load did: rows written, texts lost by casts, and why a table was not written."""
+
+    rows: int = 0
+    tables: int = 0
+    lost_values: int = 0
+    problems: list[str] = field(default_factory=list)
+
+    def note(self) -> str | None:
+        """What did not go as it should, for the record of the outcome."""
+        lost = [f"{self.lost_values} values lost"] if self.lost_values else []
+        return "; ".join([*self.problems, *lost]) or None
+
+
+def load_dataset(
+    dataset: str, rows: DataFrame, sink, run: Run, counts: DataFrame | None = None, taken: dict[str, str] | None = None
+) -> LoadReport:
+    """Write every table of a dataset with audit columns.
+
+    A table that fails on its data is reported and the others go on. ``taken`` holds the tables this run
+    has written with their file; a table another file has written is refused, never overwritten.
+    """
     audit_types = {"created_at": "TIMESTAMP WITH TIME ZONE", "created_by": "TEXT"}
-    written = 0
+    report, taken = LoadReport(), {} if taken is None else taken
     for table in typed_tables(dataset, rows, counts):
+        if taken.setdefault(table.name, table.path) != table.path:
+            report.problems.append(f"{table.name}: already written in this run from {taken[table.name]}")
+            continue
         audited = with_audit(table.frame, run)
         count = F.count(F.lit(1)).alias("n")
         observed = _observe(audited, count)
-        sink.write(observed[0], table.name, {**table.sql_types, **audit_types})
-        written += observed[1].get["n"]
-    return written
+        try:
+            sink.write(observed[0], table.name, {**table.sql_types, **audit_types})
+        except Exception as error:
+            if not is_data_error(error):
+                raise
+            report.problems.append(f"{table.name}: {cause(error)}")
+            continue
+        report.rows += observed[1].get["n"]
+        report.tables += 1
+        report.lost_values += table.lost_values
+    return report
+
+
+def is_data_error(error: Exception) -> bool:
+    """Whether the file is at fault: bad content, not a lost executor, a full disk or a stopped session."""
+    text_ = str(error)
+    lost = ("ExecutorLostFailure", "FetchFailed", "No space left", "OutOfMemory", "SparkContext was shut down", "Job aborted due to stage failure: Task not serializable")
+    return isinstance(error, (ValueError, PySparkException)) and not any(x in text_ for x in lost)
+
+
+def cause(error: Exception) -> str:
+    """The innermost cause in one line; errors of Python workers begin with empty lines and a trace."""
+    lines = [x.strip() for x in str(error).splitlines() if x.strip()]
+    told = [x for x in lines if not x.startswith(("at ", "File ", "Traceback", "JVM stacktrace", "***", "..."))]
+    errors = [x for x in told if re.match(r"[\w.]*(Error|Exception|BadZipFile)\b.*: ?\S", x)]
+    return f"{type(error).__name__}: {(errors or told or ['no message'])[-1 if errors else 0][:300]}"
 
 
 def _observe(df: DataFrame, metric):

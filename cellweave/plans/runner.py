@@ -5,16 +5,17 @@ from __future__ import annotations
 import time
 from collections.abc import Iterable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellweave.operators import gate
 from cellweave.operators.audit import Run
-from cellweave.plans.ingest import load_dataset, stage
-from cellweave.session import settle
+from cellweave.plans.ingest import LoadReport, cause, is_data_error, load_dataset, stage
+from cellweave.session import remove, settle
 from cellweave.sinks import outcomes
-from cellweave.sources.listing import list_arrivals
-from cellweave.sources.workbook import decode_sheets, list_sheets
+from cellweave.sources.listing import list_arrivals, literal_path
+from cellweave.sources.workbook import BROKEN_ROW, decode_sheets, list_sheets
 
 GRACE_SECONDS = 2.0
 
@@ -29,15 +30,31 @@ def decide_arrivals(
     return gate.gate(gate.stability(first, list_arrivals(spark, folders)), contract)
 
 
-def load_file(spark: SparkSession, path: str, dataset: str, sink, run: Run) -> int:
-    """Load one accepted workbook; an unreadable one raises, so that it is recorded as rejected."""
-    sheets = settle(list_sheets(spark, path).withColumn("path", F.lit(path)))
+def load_file(
+    spark: SparkSession, path: str, dataset: str, sink, run: Run, taken: dict[str, str] | None = None
+) -> LoadReport:
+    """Load one accepted workbook; one without any readable table raises, so that it is recorded as rejected.
+
+    Decoded rows are staged for the load and removed after it.
+    """
+    sheets = settle(list_sheets(spark, literal_path(path)).withColumn("path", F.lit(path)))
     problem = sheets.filter("error is not null").select("error").first()
     if problem:
         raise ValueError(problem.error)
     wanted = sheets.filter("sheet_idx = 0") if dataset == "cdp" else sheets
     counts = sheets.groupBy("path").agg(F.max("n_sheets").alias("n_sheets"))
-    return load_dataset(dataset, stage(decode_sheets(wanted)), sink, run, counts)
+    staged, folder = stage(decode_sheets(wanted, report_errors=True))
+    broken = staged.filter(F.col("row_idx") == BROKEN_ROW).select("sheet_idx", "sheet", F.get("values", F.lit(0)).alias("why"))
+    broken = broken.orderBy("sheet_idx").collect()  # at most a row for each sheet of the workbook
+    sound = staged.filter(~F.col("sheet_idx").isin(*[r.sheet_idx for r in broken])) if broken else staged
+    try:
+        report = load_dataset(dataset, sound, sink, run, counts, taken)
+    finally:
+        remove(spark, folder)
+    report.problems[:0] = [f"{r.sheet}: {r.why}" for r in broken]
+    if report.problems and not report.tables:
+        raise ValueError("; ".join(report.problems))
+    return report
 
 
 def run_once(
@@ -47,8 +64,12 @@ def run_once(
     run: Run | None = None,
     grace: float = GRACE_SECONDS,
     arrivals: DataFrame | None = None,
+    store: str | None = None,
 ) -> DataFrame:
-    """Gate, load and record. One file's failure does not stop the others.
+    """Gate, load and record. One file's failure does not stop the others, nor does one sheet's.
+
+    With ``store`` the outcomes are kept in that folder, one part for each run. A fault of the cluster
+    rather than of a file ends the run.
 
     Accepted files are at most the files the contract lists, so going through them one after
     another on the driver is bounded by the contract; each load is a distributed job. Returns the
@@ -62,27 +83,31 @@ def run_once(
     else:
         decided = settle(gate.gate(arrivals, contract))
 
-    results = []
+    results, taken = [], {}
     for f in decided.filter(F.col("decision") == gate.RUN).orderBy("path").toLocalIterator():
-        started, rows, problem = time.perf_counter(), None, None
+        started, rows, problem, note = time.perf_counter(), None, None, None
         try:
-            rows = load_file(spark, f.path, f.dataset, sink, run)
-        except Exception as e:
-            problem = f"ETL failed: {type(e).__name__}: {str(e).splitlines()[0] if str(e) else ''}"
-        results.append((f.path, rows, time.perf_counter() - started, problem))
-
-    done = spark.createDataFrame(results, "path string, rows long, duration_s double, problem string")
-    tried = decided.drop("reason").join(done, "path").withColumnRenamed("problem", "reason")
+            report = load_file(spark, f.path, f.dataset, sink, run, taken)
+            rows, note = report.rows, report.note()
+        except (ValueError, PySparkException) as error:
+            if not is_data_error(error):
+                raise
+            problem = f"ETL failed: {cause(error)}"
+        results.append((f.path, rows, time.perf_counter() - started, problem, note))
+
+    done = spark.createDataFrame(results, "path string, rows long, duration_s double, problem string, note string")
+    tried = decided.drop("reason").join(done, "path")
     at = F.lit(run.at)
-    failed = tried.filter("reason is not null").withColumn("decision", F.lit(gate.REJECT))
+    failed = tried.filter("problem is not null").withColumns({"decision": F.lit(gate.REJECT), "reason": F.col("problem")})
+    fine = tried.filter("problem is null").withColumnRenamed("note", "reason")
     refused = decided.filter(F.col("decision") == gate.REJECT)
     records = (
         outcomes.rejected(refused, run.id, at)
         .unionByName(outcomes.rejected(failed, run.id, at))
-        .unionByName(outcomes.loaded(tried.filter("reason is null"), run.id, at))
+        .unionByName(outcomes.loaded(fine, run.id, at))
     )
     contract.unpersist()
-    return records
+    return outcomes.append(records, store, run.id) if store else records
 
 
 def update_manifest(manifest: DataFrame, arrivals: DataFrame, run: Run) -> DataFrame:

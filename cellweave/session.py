@@ -1,12 +1,10 @@
-"""Session helpers: recommended settings, shared folder, joins against small tables."""
+"""Session helpers: recommended settings and the shared folder."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Settings the engine relies on. ANSI mode stays on: every conversion of untyped text
 # goes through try_cast, so a bad value becomes null and never fails a job.
@@ -18,11 +16,10 @@ SETTINGS = {
     # The JVM compiles no method above 8000 bytes of bytecode; a larger fused stage would be
     # interpreted, so let Spark generate it in smaller methods instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Rows get heavy text work, so even a small file is worth a task for each of its row groups.
+    "spark.sql.files.openCostInBytes": "262144",
 }
 
-# Largest number of rows a metadata table (headers, contracts) may have to be broadcast.
-BROADCAST_ROWS = 100_000
-
 
 def local_session(cores: int | str = 8, **extra: str) -> SparkSession:
     """Session for tests and benchmarks on one machine."""
@@ -48,30 +45,16 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a scan of few splits one partition per core, since the work per row is heavy.
-
-    A large table has more splits than cores and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder of this machine.
+    Where it is unset, as in tests, a folder in the warehouse, which is shared as well, takes its place.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
-    )
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="cellweave-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+        spark.conf.set("spark.checkpoint.dir", named)
+    return named.rstrip("/")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
@@ -87,14 +70,7 @@ def settle(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def join_metadata(
-    big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner", n_rows: int | None = None
-) -> DataFrame:
-    """Join a large frame with a settled metadata frame.
-
-    The metadata is broadcast only when its counted size is within bounds; beyond that the
-    join shuffles and adaptive execution splits skewed keys.
-    """
-    if n_rows is None:
-        n_rows = small.limit(BROADCAST_ROWS + 1).count()
-    return big.join(F.broadcast(small) if n_rows <= BROADCAST_ROWS else small, keys, how)
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared folder that no frame reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

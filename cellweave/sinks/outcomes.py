@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellweave.operators import gate
@@ -20,9 +20,24 @@ def rejected(decided: DataFrame, run_id: str, at: Column) -> DataFrame:
 
 
 def loaded(decided: DataFrame, run_id: str, at: Column) -> DataFrame:
-    """Outcome records of loaded files; ``rows`` and ``duration_s`` are used when present."""
+    """Outcome records of loaded files; ``rows`` and ``duration_s`` are used when present.
+
+    The reason of a loaded file says which of its sheets were not loaded, and how many values casts lost.
+    """
     files = gate.destinations(decided.filter(F.col("decision") == gate.RUN), F.lit(gate.LOADED), at)
-    return _shape(files.withColumn("reason", F.lit(None).cast("string")), run_id, gate.LOADED)
+    return _shape(files, run_id, gate.LOADED)
+
+
+def append(records: DataFrame, store: str, run_id: str) -> DataFrame:
+    """Keep the records of a run in the store; a run written again replaces its own. Returns the records as stored."""
+    spark, part = records.sparkSession, f"{store.rstrip('/')}/run_id={run_id}"
+    records.drop("run_id").write.mode("overwrite").parquet(part)
+    return read(spark, store).filter(F.col("run_id") == run_id)
+
+
+def read(spark: SparkSession, store: str) -> DataFrame:
+    """All outcomes in the store."""
+    return spark.read.schema(OUTCOMES).parquet(store)
 
 
 def _shape(files: DataFrame, run_id: str, status: str) -> DataFrame:

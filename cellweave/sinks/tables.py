@@ -56,7 +56,7 @@ class JdbcSink:
             "dbtable": f"{self.schema}.{table}",
             "batchsize": str(BATCH_SIZE),
             "numPartitions": str(self.write_partitions),
-            "createTableColumnTypes": column_types(sql_types),
+            **({"createTableColumnTypes": column_types(sql_types)} if column_types(sql_types) else {}),
             **self.options,
         }
 
@@ -66,8 +66,9 @@ class JdbcSink:
 
 
 def column_types(sql_types: dict[str, str]) -> str:
-    """Column definitions for ``createTableColumnTypes``.
+    """Column definitions for ``createTableColumnTypes``: the integers that are narrower than a long.
 
-    Spark parses these types itself and knows no TEXT, so text columns keep the dialect's default.
+    Spark parses these types itself and knows neither TEXT nor DOUBLE PRECISION nor a timestamp with zone; for all of them
+    the dialect's own type for the column is the one wanted.
     """
-    return ", ".join(f"`{name}` {kind}" for name, kind in sql_types.items() if kind != "TEXT")
+    return ", ".join(f"`{name}` {kind}" for name, kind in sql_types.items() if kind == "INTEGER")

@@ -6,6 +6,7 @@ and drops empty files, which the gate must see. A listing holds names only, one
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,11 @@ from pyspark.sql import functions as F
 from cellweave.operators.gate import path_parts
 
 
+def literal_path(path: str) -> str:
+    """The path for a reader that would take brackets, braces, stars and question marks for patterns."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def list_arrivals(spark: SparkSession, folders: Iterable[str]) -> DataFrame:
     """Arrivals of the folders: (path, name, parent, ext, length, mtime). Missing folders are skipped."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
@@ -27,7 +33,9 @@ def list_arrivals(spark: SparkSession, folders: Iterable[str]) -> DataFrame:
         while entries.hasNext():
             e = entries.next()
             if e.isFile():
-                found.append((e.getPath().toUri().getPath(), e.getLen(), e.getModificationTime()))
+                # A path reads like that of its folder: with scheme and bucket if the folder has them.
+                name = e.getPath().toString() if ":" in folder else e.getPath().toUri().getPath()
+                found.append((name, e.getLen(), e.getModificationTime()))
     files = spark.createDataFrame(found, "path string, length long, millis long")
     return path_parts(files).select(
         "path", "name", "parent", "ext", "length", F.timestamp_millis("millis").alias("mtime")

@@ -29,13 +29,17 @@ SHEETS = (
 # Built-in number formats that show a date or a time.
 BUILTIN_DATE_FORMATS = {*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)}
 BATCH_ROWS = 5_000
+# Row number that marks a sheet which could not be read.
+BROKEN_ROW = -1
 CHUNK_BYTES = 1 << 20
 _RELATION = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 
 
 def read_workbooks(spark: SparkSession, paths: list[str] | str, first_sheet_only: bool = False) -> DataFrame:
-    """All sheets of the workbooks as grid rows. Files that are no workbooks give no rows."""
-    sheets = list_sheets(spark, paths).filter("error is null")
+    """All sheets of the workbooks as grid rows. A file that cannot be opened fails the read with its reason."""
+    sheets = list_sheets(spark, paths)
+    reason = F.concat_ws(": ", "path", "error")
+    sheets = sheets.withColumn("path", F.when(F.col("error").isNull(), F.col("path")).otherwise(F.raise_error(reason)))
     if first_sheet_only:
         sheets = sheets.filter("sheet_idx = 0")
     return decode_sheets(sheets)
@@ -51,11 +55,16 @@ def open_workbooks(files: DataFrame) -> DataFrame:
     return files.select("path", "content").mapInPandas(_open_workbooks, SHEETS)
 
 
-def decode_sheets(sheets: DataFrame) -> DataFrame:
+def decode_sheets(sheets: DataFrame, report_errors: bool = False) -> DataFrame:
+    """Grid rows of the sheets. A sheet that cannot be read to its end fails the job, or, with
+    ``report_errors``, gives a row ``BROKEN_ROW`` whose value is the reason; its other rows are not to be used.
+    """
     spark = sheets.sparkSession
     tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     columns = sheets.drop("n_sheets", "error")
-    return columns.repartition(tasks, "path", "sheet_idx").mapInPandas(_decode, ROWS)
+    return columns.repartition(tasks, "path", "sheet_idx").mapInPandas(
+        lambda batches: _decode(batches, report_errors), ROWS
+    )
 
 
 def _open_workbooks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -103,8 +112,14 @@ def _elements(packed: bytes, name: str) -> Iterator:
     """Stream the elements of one name out of a packed part, dropping each once it is used."""
     parser, unpacker = ElementTree.XMLPullParser(("start", "end")), zlib.decompressobj()
     parents: list = []
-    for i in range(0, len(packed), CHUNK_BYTES):
-        parser.feed(unpacker.decompress(packed[i : i + CHUNK_BYTES]))
+    waiting, at = b"", 0
+    while not unpacker.eof:
+        if not waiting:
+            waiting, at = packed[at : at + CHUNK_BYTES], at + CHUNK_BYTES
+            if not waiting:
+                raise ValueError("a part of the workbook ends early")
+        parser.feed(unpacker.decompress(waiting, CHUNK_BYTES))
+        waiting = unpacker.unconsumed_tail
         for event, e in parser.read_events():
             if event == "start":
                 parents.append(e)
@@ -112,7 +127,10 @@ def _elements(packed: bytes, name: str) -> Iterator:
             parents.pop()
             if _tag(e) == name:
                 yield e
-                parents[-1].clear()
+                if parents:
+                    parents[-1].clear()
+    # Fails if the document is not complete, so a cut-off sheet is never taken for a short one.
+    parser.close()
 
 
 def _date_styles(xml: bytes) -> list[int]:
@@ -138,18 +156,27 @@ def _rich_text(item) -> str:
     return "".join(t.text or "" for run in runs for t in run if _tag(t) == "t")
 
 
-def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _decode(batches: Iterator[pd.DataFrame], report_errors: bool) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for s in batch.itertuples(index=False):
-            strings, styles = _shared_strings(s.strings), set(s.date_styles)
+            try:
+                yield from _decode_sheet(s)
+            except Exception as error:
+                if not report_errors:
+                    raise
+                yield _frame([(s.path, s.sheet, s.sheet_idx, BROKEN_ROW, [f"{type(error).__name__}: {error}"])])
+
+
+def _decode_sheet(s) -> Iterator[pd.DataFrame]:
+    strings, styles = _shared_strings(s.strings), set(s.date_styles)
+    rows = []
+    for row_idx, values in _sheet_rows(s.part, strings, styles, s.date1904):
+        rows.append((s.path, s.sheet, s.sheet_idx, row_idx, values))
+        if len(rows) >= BATCH_ROWS:
+            yield _frame(rows)
             rows = []
-            for row_idx, values in _sheet_rows(s.part, strings, styles, s.date1904):
-                rows.append((s.path, s.sheet, s.sheet_idx, row_idx, values))
-                if len(rows) >= BATCH_ROWS:
-                    yield _frame(rows)
-                    rows = []
-            if rows:
-                yield _frame(rows)
+    if rows:
+        yield _frame(rows)
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:

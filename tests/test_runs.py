@@ -1,14 +1,17 @@
 """Gate, run, manifest, sinks and streams on real files."""
 
+import io
 import os
+import zipfile
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from cellweave.operators import audit, dedupe, gate
+from cellweave.operators import audit, decide, dedupe, gate
 from cellweave.plans import rules as R
 from cellweave.plans.runner import run_once, update_manifest
+from cellweave.sinks import outcomes
 from cellweave.sinks.tables import FolderSink, JdbcSink, TableSink, column_types
 from cellweave.sources.listing import list_arrivals
 from cellweave.streaming import watch
@@ -76,6 +79,91 @@ def test_run_once(spark, contract, depot, tmp_path_factory):
     assert rpa.dtypes[:3] == [("trigramme", "string"), ("semaine", "date"), ("heures", "double")]
 
 
+def test_contract_takes_known_keys_and_the_last_of_a_path(spark):
+    rows = [("FILE_PATH_AUTRE", "/d/a.xlsx"), ("FILE_PATH_FQT", "\t/d/b.xlsx\xa0"), ("FILE_PATH_CDP", "/d/b.xlsx"), ("FILE_PATH_SPA", " \t"), ("FILE_PATH_RPA", None), ("FILE_PATH_FNP", "file:///d/c.xlsx")]
+    got = gate.make_contract(spark.createDataFrame(rows, "env_key string, path string")).collect()
+    assert sorted((r.path, r.dataset) for r in got) == [("/d/b.xlsx", "cdp"), ("file:/d/c.xlsx", "fnp")]
+
+
+def cut_short(content, part):
+    """The workbook with one of its parts cut in half, in a zip that is sound."""
+    source, out = zipfile.ZipFile(io.BytesIO(content)), io.BytesIO()
+    with zipfile.ZipFile(out, "w") as target:
+        for name in source.namelist():
+            data = source.read(name)
+            target.writestr(name, data[: len(data) // 2] if name == part else data)
+    return out.getvalue()
+
+
+HOURS = [["Trigramme", "Semaine", "Heures"], *[["abc", f"2025-01-{d:02}", d] for d in range(1, 29)]]
+
+
+def load(spark, folder, files, **options):
+    """Write workbooks, list them all as one dataset each, run, and return outcomes and the tables' folder."""
+    keys = ["RPA", "FQT", "SPA"]
+    for name, content in files.items():
+        (folder / name).parent.mkdir(parents=True, exist_ok=True)
+        (folder / name).write_bytes(content)
+    rows = [(f"FILE_PATH_{k}", options.get("prefix", "") + str(folder / n)) for k, n in zip(keys, files)]
+    contract = gate.make_contract(spark.createDataFrame(rows, "env_key string, path string"))
+    out = str(folder / "out")
+    records = run_once(spark, contract, FolderSink(out), audit.Run(user="u"), grace=0.0, store=options.get("store"))
+    return {os.path.basename(r.path): r for r in records.collect()}, out
+
+
+def test_one_broken_sheet_of_three_is_reported_and_the_others_load(spark, tmp_path):
+    content = cut_short(workbook({"Un": HOURS, "Deux": HOURS, "Trois": HOURS}), "xl/worksheets/sheet2.xml")
+    got, out = load(spark, tmp_path, {"pointages.xlsx": content})
+    record = got["pointages.xlsx"]
+    assert (record.status, record.rows) == ("Loaded", 56)
+    assert record.reason.startswith("Deux: ParseError")
+    assert sorted(os.listdir(out)) == ["pointages__trois", "pointages__un"]
+
+
+def test_a_cut_off_sheet_is_rejected(spark, tmp_path):
+    got, out = load(spark, tmp_path, {"a.xlsx": cut_short(workbook({"Un": HOURS}), "xl/worksheets/sheet1.xml")})
+    assert got["a.xlsx"].status == "Rejects" and "ParseError" in got["a.xlsx"].reason
+    assert not os.path.exists(out)
+
+
+def test_tables_of_equal_name_are_numbered_and_all_rows_kept(spark, tmp_path):
+    long_name = "Une feuille au nom long, numero"
+    book = workbook({"Feuille 1": HOURS, "Feuille-1": HOURS[:9], long_name[:30] + "A": HOURS[:5], long_name[:30] + "B": HOURS[:3]})
+    got, out = load(spark, tmp_path, {f"{'classeur au nom tres long ' * 2}.xlsx": book})
+    (record,) = got.values()
+    names = os.listdir(out)
+    assert len(names) == 4 and all(len(n) <= 63 for n in names)
+    assert record.rows == sum(spark.read.parquet(f"{out}/{n}").count() for n in names) == 28 + 8 + 4 + 2
+
+
+def test_a_second_file_never_overwrites_the_first(spark, tmp_path):
+    got, out = load(spark, tmp_path, {"x/releve.xlsx": workbook({"s": HOURS}), "y/releve.xlsx": workbook({"s": HOURS[:4]})})
+    assert spark.read.parquet(f"{out}/releve").count() == 28
+
+
+def test_paths_with_scheme_and_signs(spark, tmp_path):
+    got, out = load(spark, tmp_path, {"Suivi [2025] {a}.xlsx": workbook({"s": HOURS})}, prefix="file:")
+    (record,) = got.values()
+    assert (record.status, record.rows) == ("Loaded", 28)
+    assert record.path == f"file:{tmp_path}/Suivi [2025] {{a}}.xlsx"
+
+
+def test_outcomes_are_kept(spark, tmp_path, tmp_path_factory):
+    store = str(tmp_path_factory.mktemp("outcomes"))
+    files = {"a.xlsx": workbook({"s": HOURS}), "b.xlsx": b"no workbook"}
+    first, _ = load(spark, tmp_path, files, store=store)
+    second, _ = load(spark, tmp_path, files, store=store)
+    kept = outcomes.read(spark, store).collect()
+    assert len(kept) == len(first) + len(second) and len({r.run_id for r in kept}) == 2
+    assert first["a.xlsx"].duration_s > 0 and "BadZipFile" in first["b.xlsx"].reason
+
+
+def test_staged_rows_are_removed(spark, tmp_path):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    load(spark, tmp_path, {"a.xlsx": workbook({"s": HOURS})})
+    assert not [n for n in os.listdir(shared) if n.startswith("staged-")]
+
+
 def test_unstable_or_vanished_files_wait(spark, contract, depot):
     first = list_arrivals(spark, [str(depot)])
     second = first.filter(~F.col("name").startswith("point")).withColumn("length", F.col("length") + (F.col("name") == "suivi.xlsx").cast("int"))
@@ -134,12 +222,28 @@ def test_loader_user():
 
 def test_jdbc_options():
     sink = JdbcSink("jdbc:example:db", options={"user": "u"}, write_partitions=4)
-    options = sink.writer_options("t", {"a": "BIGINT", "b": "TEXT", "c": "DATE"})
+    options = sink.writer_options("t", {"a": "INTEGER", "b": "TEXT", "c": "DATE"})
     assert options == {
         "url": "jdbc:example:db", "dbtable": "public.t", "batchsize": "1000", "numPartitions": "4",
-        "createTableColumnTypes": "`a` BIGINT, `c` DATE", "user": "u",
+        "createTableColumnTypes": "`a` INTEGER", "user": "u",
     }
-    assert column_types({}) == ""
+    assert column_types({"x": "TEXT", "y": "TIMESTAMP WITH TIME ZONE", "z": "DOUBLE PRECISION"}) == ""
+    assert "createTableColumnTypes" not in sink.writer_options("t", {"b": "TEXT"})
+
+
+def test_database_accepts_the_columns_of_every_dataset(spark):
+    """Spark's own table definition for the dialect, which needs no database."""
+    jvm = spark._jvm.org.apache.spark.sql.execution.datasources.jdbc.JdbcUtils
+    dialects = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects
+    frame = audit.with_audit(spark.sql("SELECT 1L AS n, 1.5D AS x, 'a' AS t, true AS b, DATE '2025-01-01' AS d, TIMESTAMP_NTZ '2025-01-01 00:00:00' AS at"), audit.Run(user="u"))
+    for rules in R.INFERRED.values():
+        kinds = decide.sql_types(rules)
+        types = {"n": kinds["INT"], "x": kinds["FLOAT"], "t": "TEXT", "b": kinds["BOOL"], "d": kinds["DATE"], "at": kinds["DATETIME"], "created_at": "TIMESTAMP WITH TIME ZONE", "created_by": "TEXT"}
+        columns = column_types(types)
+        option = spark._jvm.scala.Option.apply(columns or None)
+        text = jvm.schemaString(dialects.get("jdbc:postgresql://h/d"), frame._jdf.schema(), False, option)
+        assert ('"n" INTEGER' in text) == (kinds["INT"] == "INTEGER")
+        assert '"x" FLOAT8' in text and '"at" TIMESTAMP ' in text and '"created_at" TIMESTAMP WITH TIME ZONE' in text
     assert R.PAAE.sql_integer == "BIGINT" and R.FQT.sql_integer == "INTEGER"
 
 

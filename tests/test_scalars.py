@@ -1,3 +1,5 @@
+import sys
+import unicodedata
 from datetime import datetime
 
 import pytest
@@ -13,9 +15,23 @@ def test_fold(column):
     assert got == ["ete facade", "fin 1⁄2", "straße", "œuvre", None]
 
 
-def test_fold_agrees_with_exact(column):
-    values = ["Ångström", "İstanbul", "Ǆ ½ ﬃ ①", "Ελληνικά Ώ", "Привет Й", "é", "Ｆｕｌｌ　ｗｉｄｔｈ", "x²", "…"]
-    assert column(values, lambda c: text.fold(c)) == column(values, lambda c: text.fold_exact(c))
+def fold_by_hand(value):
+    plain = unicodedata.normalize("NFKD", value)
+    return "".join(ch for ch in plain if not unicodedata.combining(ch)).lower().strip()
+
+
+def test_fold_covers_all_of_unicode(column):
+    values = ["Ångström", "İstanbul", "Ǆ ½ ﬃ ①", "Ελληνικά Ώ", "Привет Й", "é", "Ｆｕｌｌ　ｗｉｄｔｈ", "x²", "…", "12 ㎡", "한글 값", "𝐁𝐨𝐥𝐝 𝟙", "㍿ 豈"]
+    assert column(values, lambda c: text.fold(c)) == [fold_by_hand(v) for v in values]
+    kept = [chr(i) for i in range(0x20, sys.maxunicode, 7) if unicodedata.category(chr(i)) not in ("Cn", "Co", "Cs", "Cc")]
+    got = column([f"a{ch}b" for ch in kept], lambda c: text.fold(c))
+    assert [(k, g) for k, g in zip(kept, got) if g != fold_by_hand(f"a{k}b")] == []
+
+
+def test_integers_of_19_digits(column):
+    values = ["1234567890123456789", "-9223372036854775808", "9223372036854775808", "12"]
+    got = column(values, lambda c: numbers.to_integer(c).cast("string"))
+    assert got[:2] == values[:2] and got[3] == "12" and got[2] != values[2]
 
 
 def test_snake(column):

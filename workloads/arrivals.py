@@ -21,9 +21,9 @@ ARRIVALS = (
     "SELECT doc_id AS id, '/depot/' || source || '/' || case cast(doc_id % 10 as int) when 0 then '~$suivi.xlsx' when 1 then '.cache' "
     "when 2 then 'SUIVI.XLSX' when 3 then 'notes.csv' when 4 then 'a.b.Part' when 5 then 'releve' "
     "else 'suivi_' || cast(doc_id as string) || '.xlsx' end AS path, "
-    "case when doc_id % 13 = 0 then 0 else n_chars end AS length, ts AS mtime "
-    "FROM {documents} JOIN {events} ON doc_id = event_id UNION ALL "
-    "SELECT 1000000000 + page_id, url, cast(length(html) as bigint), ts FROM {pages} JOIN {events} ON page_id = event_id"
+    "case when doc_id % 13 = 0 then 0 else n_chars end AS length, coalesce(ts, TIMESTAMP '2024-01-01 00:00:00') AS mtime "
+    "FROM {documents} LEFT JOIN {events} ON doc_id = event_id UNION ALL "
+    "SELECT 1000000000 + page_id, url, cast(length(html) as bigint), coalesce(ts, TIMESTAMP '2024-01-01 00:00:00') FROM {pages} LEFT JOIN {events} ON page_id = event_id"
 )
 # A listing has each path once.
 LISTING = f"SELECT path, max(length) AS length, max(mtime) AS mtime, min(id) AS id FROM ({ARRIVALS}) GROUP BY path"
@@ -31,7 +31,8 @@ KEYS = ("FQT", "FNP", "SPA", "RPA", "CDP", "PAAE", "CATCLIENTS")
 SETTINGS = (
     "SELECT 'FILE_PATH_' || case cast(id % 8 as int) "
     + " ".join(f"when {i} then '{k}'" for i, k in enumerate(KEYS))
-    + f" else 'AUTRE' end AS env_key, case when id % 17 = 0 then '  ' else path end AS path FROM ({LISTING}) WHERE id % 4 <> 3"
+    + f" else 'AUTRE' end AS env_key, case when id % 17 = 0 then ' \t ' when id % 19 = 0 then '\t' || path || ' ' else path end AS path "
+    f"FROM ({LISTING}) WHERE id % 9 <> 4 UNION ALL SELECT 'FILE_PATH_RPA', path FROM ({LISTING}) WHERE id % 7 = 0"
 )
 MANIFEST = (
     f"SELECT path, case when length % 2 = 0 then mtime else TIMESTAMP '2024-01-10 00:00:00' end AS mtime, length FROM ({LISTING}) WHERE id % 3 > 0 "
@@ -43,10 +44,12 @@ _PARTS = (
     "regexp_extract(regexp_extract(path, '[^/]*$'), '[^.](\\.[^.]+)$', 1) AS ext"
 )
 _DATASET = "case env_key " + " ".join(f"when 'FILE_PATH_{k}' then '{k.lower()}'" for k in KEYS) + " end"
+_ORDER = "case env_key " + " ".join(f"when 'FILE_PATH_{k}' then {i}" for i, k in enumerate(KEYS)) + " end"
 CTES = (
     f"WITH arr AS MATERIALIZED (SELECT *, {_PARTS} FROM ({plain_sql(ARRIVALS)})), "
     f"lst AS MATERIALIZED (SELECT *, {_PARTS} FROM ({plain_sql(LISTING)})), "
-    f"con AS MATERIALIZED (SELECT env_key, trim(path) AS path, {_DATASET} AS dataset, {_PARTS} FROM ({plain_sql(SETTINGS)}) WHERE trim(path) <> ''), "
+    f"con AS MATERIALIZED (SELECT env_key, path, {_DATASET} AS dataset, {_PARTS} FROM (SELECT env_key, trim(path, ' \t') AS path FROM ({plain_sql(SETTINGS)})) "
+    f"WHERE path <> '' AND {_DATASET} IS NOT NULL QUALIFY row_number() OVER (PARTITION BY path ORDER BY {_ORDER} DESC) = 1), "
     f"man AS MATERIALIZED ({plain_sql(MANIFEST)}), "
     "nxt AS (SELECT path, length + case when id % 5 = 0 then 1 else 0 end AS length FROM lst WHERE id % 11 <> 0), "
     "gated AS (SELECT l.*, c.env_key, c.dataset, coalesce(n.length = l.length, false) AS stable, "
@@ -293,7 +296,7 @@ def p09(spark, sf):
         batch.write.mode("overwrite").parquet(f"{seen}/batch_id={batch_id}")
 
     for half in (True, False):
-        part = docs.filter(c("english") == half).repartition("source")
+        part = docs.filter(c("english") == half).groupBy("source", "english").agg(F.count("doc_id").alias("n")).repartition("source")
         part.write.mode("append").partitionBy("english", "source").json(root)
         watch.watch(watch.arriving_files(spark, f"{root}/*/*"), checkpoint, record, None).awaitTermination()
     source = F.regexp_extract("parent", "source=(.*)$", 1).alias("source")

@@ -7,7 +7,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 from cellweave.functions.text import SPACES
-from cellweave.session import spread, tune
+from cellweave.session import tune
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
@@ -15,13 +15,8 @@ TABLES = (
 )
 
 
-# Tables whose rows get heavy text work, worth spreading when they come in few splits.
-LARGE = ("orders", "lineitem", "events", "documents", "pages", "conversations")
-
-
 def scan(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df) if name in LARGE else df
+    return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def derive(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:

@@ -8,7 +8,6 @@ from cellweave.functions import booleans, dates, numbers, text
 from cellweave.operators import cast, decide, profile
 from cellweave.plans import rules as R
 from cellweave.plans.ingest import type_table
-from cellweave.session import spread
 from workloads.base import (
     clock, derive, dmy, french, iso, mdy, plain_sql, sql_boolean, sql_clean_number, sql_date, sql_fold, sql_has_any,
     sql_is_iso, sql_iso, sql_na, sql_number, sql_number_like, sql_serial, sql_timed, sql_token, sql_trim, sql_snake,

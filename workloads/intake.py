@@ -91,7 +91,7 @@ SQL["s03_delimited_files"] = f"SELECT c0, c1, c2, nullif(c3, 'N/A') AS c3 FROM (
 def s06(spark, sf):
     """List one folder per document source; each holds one file."""
     folder = new_folder(tune(spark), "arrivals")
-    docs = scan(spark, sf, "documents").select("doc_id", "source")
+    docs = scan(spark, sf, "documents").groupBy("source").agg(F.count("doc_id").alias("n"))
     docs.repartition("source").write.partitionBy("source").parquet(folder)
     sources = [r.source for r in docs.select("source").distinct().toLocalIterator()]
     found = list_arrivals(spark, [f"{folder}/source={s}" for s in sources])
@@ -133,7 +133,7 @@ def k03(spark, sf):
     decided = columns.QUERIES["t03_decide_rpa"](spark, sf)
     kinds = decide.sql_types(R.RPA)
     kind = F.create_map(*[F.lit(x) for pair in kinds.items() for x in pair])[c("tag")]
-    return decided.filter(kind != "TEXT").select(
+    return decided.filter(kind == "INTEGER").select(
         "name", F.concat(F.lit("`"), c("name"), F.lit("` "), kind).alias("definition")
     )
 
@@ -146,5 +146,5 @@ QUERIES["k03_database_columns"] = k03
 SQL["k03_database_columns"] = (
     "SELECT name, '`' || name || '` ' || case tag when 'DATE' then 'DATE' when 'DATETIME' then 'TIMESTAMP' "
     "when 'INT' then 'INTEGER' when 'FLOAT' then 'DOUBLE PRECISION' else 'BOOLEAN' end AS definition "
-    f"FROM ({columns.SQL['t03_decide_rpa']}) WHERE tag <> 'STRING'"
+    f"FROM ({columns.SQL['t03_decide_rpa']}) WHERE tag = 'INT'"
 )

@@ -47,7 +47,7 @@ def sheets(spark, sf):
 
 def _job(rules):
     def run(spark, sf):
-        tables = ingest.typed_sheets(ingest.stage(sheets(spark, sf)), rules)
+        tables = ingest.typed_sheets(ingest.stage(sheets(spark, sf))[0], rules)
         frames = [t.frame.withColumn("target", F.lit(t.name)) for t in tables]
         return reduce(lambda a, b: a.unionByName(b), frames)
 
