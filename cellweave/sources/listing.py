@@ -40,3 +40,12 @@ def list_arrivals(spark: SparkSession, folders: Iterable[str]) -> DataFrame:
     return path_parts(files).select(
         "path", "name", "parent", "ext", "length", F.timestamp_millis("millis").alias("mtime")
     )
+
+
+def child_folders(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the folders in a folder, none if it does not exist."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    return [e.getPath().getName() for e in fs.listStatus(path) if e.isDirectory()]

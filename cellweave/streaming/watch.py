@@ -10,8 +10,13 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType, TimestampType
 
 from cellweave.operators import gate
+from cellweave.operators.audit import Run
+from cellweave.plans.runner import run_once, update_manifest
+from cellweave.session import remove, settle
+from cellweave.sources.listing import child_folders, list_arrivals
 
 POLL_SECONDS = 5
+MANIFEST = "path string, mtime timestamp, length long, run_id string"
 
 FILES = StructType(
     [
@@ -52,6 +57,43 @@ def watch(
     return writer.trigger(processingTime=f"{poll_seconds} seconds").start()
 
 
+def run_on_changes(
+    spark: SparkSession, contract: DataFrame, sink, state: str, run: Run | None = None
+) -> DataFrame | None:
+    """One poll: list the contract's folders, run what is new or changed, remember it. None if nothing is.
+
+    ``state`` is a folder with the outcomes of all polls and the manifest, one small record for each file that
+    still exists; a poll writes the next version of the manifest and removes those before the last.
+    """
+    run = run or Run()
+    folders = [r.parent for r in gate.watched_folders(contract).orderBy("parent").toLocalIterator()]
+    arrivals = settle(list_arrivals(spark, folders).filter(~gate.is_ignored_by_watch(F.col("name"))))
+    versions = sorted(int(v) for v in child_folders(spark, f"{state}/manifest"))
+    last = f"{state}/manifest/{versions[-1]}" if versions else None
+    known = spark.read.schema(MANIFEST).parquet(last) if last else spark.createDataFrame([], MANIFEST)
+    changed = settle(gate.new_or_updated(arrivals, known))
+    if changed.isEmpty():
+        return None
+    records = run_once(spark, contract, sink, run, arrivals=changed, store=f"{state}/outcomes")
+    after = versions[-1] + 1 if versions else 0
+    update_manifest(known, arrivals, run).write.parquet(f"{state}/manifest/{after}")
+    for old in versions[:-1]:
+        remove(spark, f"{state}/manifest/{old}")
+    return records
+
+
+def watch_contract(
+    spark: SparkSession, contract: DataFrame, sink, state: str, checkpoint: str, poll_seconds: int = POLL_SECONDS
+) -> StreamingQuery:
+    """Poll the contract's folders and run changes, for as long as the query runs.
+
+    The clock is a rate stream, since the file stream never emits a changed file again.
+    """
+    clock = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    writer = clock.writeStream.foreachBatch(lambda batch, batch_id: run_on_changes(spark, contract, sink, state))
+    return writer.option("checkpointLocation", checkpoint).trigger(processingTime=f"{poll_seconds} seconds").start()
+
+
 def latest_versions(listings: DataFrame) -> DataFrame:
     """Change feed: the newest (mtime, length) per path over a stream of listings.
 

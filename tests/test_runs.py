@@ -256,6 +256,27 @@ def test_table_sink_replaces_and_appends(spark):
     assert spark.table("t_replace").count() == 6
 
 
+def test_a_changed_file_is_loaded_again_and_an_unchanged_one_once(spark, tmp_path, tmp_path_factory):
+    state, out = str(tmp_path_factory.mktemp("state")), str(tmp_path_factory.mktemp("tables"))
+    for name in ("a.xlsx", "b.xlsx"):
+        (tmp_path / name).write_bytes(workbook({"s": HOURS}))
+    (tmp_path / "c.part").write_bytes(b"x")
+    rows = [("FILE_PATH_RPA", str(tmp_path / "a.xlsx")), ("FILE_PATH_FQT", str(tmp_path / "b.xlsx"))]
+    contract = gate.make_contract(spark.createDataFrame(rows, "env_key string, path string"))
+
+    def poll():
+        done = watch.run_on_changes(spark, contract, FolderSink(out), state)
+        return None if done is None else sorted((os.path.basename(r.path), r.rows) for r in done.collect())
+
+    assert poll() == [("a.xlsx", 28), ("b.xlsx", 28)]
+    assert poll() is None
+    (tmp_path / "a.xlsx").write_bytes(workbook({"s": HOURS[:5]}))
+    os.utime(tmp_path / "a.xlsx", (2_000_000_000, 2_000_000_000))
+    assert poll() == [("a.xlsx", 4)]
+    assert poll() is None
+    assert outcomes.read(spark, f"{state}/outcomes").count() == 3
+
+
 def test_stream_sees_each_file_once(spark, tmp_path):
     folder, seen, checkpoint = tmp_path / "in", str(tmp_path / "seen"), str(tmp_path / "ck")
     folder.mkdir()

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("scalars", "intake", "columns", "grids", "jobs", "arrivals")
+MODULES = ("scalars", "intake", "columns", "grids", "jobs", "arrivals", "runs")
 
 
 def registry() -> tuple[dict, dict]:

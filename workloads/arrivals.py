@@ -199,12 +199,6 @@ def g13(spark, sf):
     return gate.run_summary(records)
 
 
-@add("g14_durations", "SELECT path, length / 1000 AS duration_s FROM decided WHERE decision = 'run'")
-def g14(spark, sf):
-    files = decided(spark, sf).withColumn("duration_s", c("length") / 1000)
-    return outcomes.loaded(files, "run-1", c("mtime")).select("path", "duration_s")
-
-
 @add("g15_blank_settings_skipped", "SELECT env_key, path, parent, dataset FROM con")
 def g15(spark, sf):
     return contract(spark, sf)
@@ -224,18 +218,6 @@ def k05(spark, sf):
     return outcomes.loaded(decided(spark, sf), "run-1", c("mtime")).select(*FIELDS)
 
 
-@add(
-    "p08_run_outcomes",
-    _RECORD.format(status="'Rejects'", reason="reason", decision="'reject'")
-    + " UNION ALL "
-    + _RECORD.format(status="'Loaded'", reason="cast(null as string)", decision="'run'"),
-)
-def p08(spark, sf):
-    files, at = decided(spark, sf), c("mtime")
-    records = outcomes.rejected(files, "run-1", at).unionByName(outcomes.loaded(files, "run-1", at))
-    return records.select(*FIELDS)
-
-
 @add(
     "p08b_manifest_after_run",
     "SELECT path, mtime FROM lst l WHERE NOT EXISTS (SELECT 1 FROM man m WHERE m.path = l.path AND l.mtime <= m.mtime) UNION ALL "
