@@ -9,5 +9,6 @@ FALSE_WORDS = ("false", "faux", "non", "no", "0", "n")
 
 
 def boolean_word(c: Column) -> Column:
-    low = F.lower(c)
+    # No word is longer, so whole texts are not lower-cased to find out.
+    low = F.lower(F.when(F.length(c) <= 5, c))
     return F.when(low.isin(*TRUE_WORDS), True).when(low.isin(*FALSE_WORDS), False)

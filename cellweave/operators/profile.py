@@ -44,7 +44,8 @@ def cell_facts(cells: DataFrame, rules: Rules, keep: list[str]) -> DataFrame:
         "number",
         F.when(mixed & length.isin(10, 19), F.when(v.rlike(dates.ISO), v)).alias("iso_text"),
         F.when(mixed | (has_digit & length.isin(4, 8)), dates.date_text(v)).alias("date_text"),
-        F.when(number.isNotNull() & ~v.contains("."), v)
+        # Without a digit only the infinite words can be a number, and these begin with an i.
+        F.when(F.when(has_digit, number.isNotNull() & ~v.contains(".")).otherwise(~v.rlike("^[^a-zA-Z]*[iI]")), v)
         .otherwise(numbers.clean_number(v, rules.number_style))
         .alias("cleaned"),
         booleans.boolean_word(v).alias("boolean"),
