@@ -32,7 +32,7 @@ from cellweave.llm.common import keep
 SAMPLE = 4096
 PIVOTS = 256
 TREE_ROWS = 8192
-PAGE = 64
+PAGE = 256
 # Queries one task searches a tree for.
 QUERY_BLOCK = 2048
 # Larger components would not give exact sums in double precision.
@@ -143,9 +143,12 @@ class MTree:
             near = np.flatnonzero(np.abs(away - self.to_center[node.low : node.high]) <= limit + margin) + node.low
             if not len(near):
                 continue
-            scores = self.vectors[near] @ query
+            # A page of which nothing is left out is read as it lies, without a copy.
+            held = slice(node.low, node.high) if len(near) == node.high - node.low else near
+            scores = self.vectors[held] @ query
             computed += len(near)
-            good = np.flatnonzero((scores >= bound) & (self.ids[near] != own))
+            good = np.flatnonzero(scores >= bound)
+            good = good[self.ids[near[good]] != own]
             if len(good):
                 found = zip(scores[good].astype(np.int64).tolist(), (-self.ids[near[good]]).tolist(), strict=True)
                 best = heapq.nlargest(k, [*best, *found])
