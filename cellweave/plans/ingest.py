@@ -91,7 +91,7 @@ def sheet_tables(sheets: DataFrame, counts: DataFrame, rules: Rules) -> DataFram
     base = text.snake(F.regexp_extract("path", r"([^/]*?)(?:\.[^./]*)?$", 1))
     each = sheets.select("path", "sheet", "sheet_idx").distinct().join(counts, "path")
     named = each.withColumn("table", shape.table_name(base, F.col("sheet"), F.col("n_sheets"), rules.cut_table_name))
-    return settle(shape.unique_tables(settle(named.select("path", "sheet_idx", "table")), rules.cut_table_name))
+    return shape.unique_tables(settle(named.select("path", "sheet_idx", "table")), rules.cut_table_name)
 
 
 def typed_sheets(staged: DataFrame, rules: Rules, counts: DataFrame | None = None) -> Iterator[TypedTable]:
