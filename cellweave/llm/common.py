@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 import pyarrow as pa
 from pyarrow import fs
@@ -21,13 +22,16 @@ def scratch(spark: SparkSession, label: str) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
-        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Hand rows to Python workers in small batches, since a text may have a hundred thousand characters."""
+    """Hand rows to Python workers in small batches, since a text may have a hundred thousand characters.
+
+    Workers of this machine find the package whatever the working folder; on a cluster it travels with ``--py-files``.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     return spark
 
 
