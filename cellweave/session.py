@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,9 +40,13 @@ def local_session(cores: int | str = 8, **extra: str) -> SparkSession:
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the settings to a session made elsewhere."""
+    """Apply the settings to a session made elsewhere, and let Python workers of this machine find the package.
+
+    On a cluster the package travels with ``--py-files``.
+    """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[1]))
     return spark
 
 
@@ -53,7 +58,6 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
-        spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
 
 
