@@ -29,7 +29,8 @@ from cellweave.llm.common import rows, text_or_empty
 from cellweave.llm.encoder import byte_alphabet, normalised, parts_without_blanks, words_of
 
 NEVER = 1 << 60
-CACHE_PARTS = 400_000
+CACHE_PARTS = 300_000
+CACHE_WORDS = 700_000
 CACHE_CHARS = 48
 
 
@@ -93,6 +94,7 @@ class PairEncoder:
     def __init__(self, path: str):
         self.vocabulary = Vocabulary(path)
         self.known: dict[str, bytes] = {}
+        self.known_words: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""
@@ -131,10 +133,17 @@ class PairEncoder:
         return b"".join(found)
 
     def _part(self, part: str) -> bytes:
-        ids: list[int] = []
+        found, known = [], self.known_words
         for word in words_of(normalised(part), self.vocabulary.words):
-            ids += self.word(word)
-        return np.array(ids, dtype="<u4").tobytes()
+            ids = known.get(word)
+            if ids is None:
+                ids = np.array(self.word(word), dtype="<u4").tobytes()
+                if len(word) <= CACHE_CHARS:
+                    if len(known) > CACHE_WORDS:
+                        known.clear()
+                    known[word] = ids
+            found.append(ids)
+        return b"".join(found)
 
     def word(self, word: str) -> list[int]:
         """Merge the bytes of one word until no neighbours can be merged."""

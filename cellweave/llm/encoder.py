@@ -15,7 +15,8 @@ from struct import pack
 
 import regex
 
-CACHE_PARTS = 400_000
+CACHE_PARTS = 300_000
+CACHE_WORDS = 700_000
 # Longer parts are encoded but not kept.
 CACHE_CHARS = 48
 # The patterns by which the two public tokenizers cut text into words.
@@ -94,6 +95,7 @@ class TextEncoder:
         self.words = BYTE_LEVEL_WORDS if keeps_blanks else LOWER_CASE_WORDS
         self.normal = (lambda part: part) if keeps_blanks else normalised
         self.known: dict[str, bytes] = {}
+        self.known_words: dict[str, bytes] = {}
         self.alphabet = dict(enumerate(byte_alphabet()))
 
     def encode(self, text: str) -> bytes:
@@ -119,12 +121,21 @@ class TextEncoder:
         return b"".join(found)
 
     def _part(self, part: str) -> bytes:
-        ids, tokenize = [], self.model.tokenize
-        for word in words_of(self.normal(part), self.words):
-            if not word.isascii():
-                word = word.encode().decode("latin-1")
-            ids += [t.id for t in tokenize(word.translate(self.alphabet))]
-        return self._packed(ids)
+        words = words_of(self.normal(part), self.words)
+        try:
+            return b"".join([self.known_words[w] for w in words])
+        except KeyError:
+            pass
+        if len(self.known_words) > CACHE_WORDS:
+            self.known_words.clear()
+        return b"".join([self.known_words.get(w) or self._word(w) for w in words])
+
+    def _word(self, word: str) -> bytes:
+        spelled = word if word.isascii() else word.encode().decode("latin-1")
+        ids = self._packed([t.id for t in self.model.tokenize(spelled.translate(self.alphabet))])
+        if len(word) <= CACHE_CHARS:
+            self.known_words[word] = ids
+        return ids
 
     @staticmethod
     def _packed(ids: list[int]) -> bytes:
