@@ -32,7 +32,9 @@ def parts_with_blanks(text: str) -> list[str]:
     A byte-level pattern takes one leading blank into a word and a lone line feed by itself, and in
     both cases starts anew there. Longer runs of white space are left whole.
     """
-    if "\0" not in text and text.split() == text.replace("\n", " ").split(" "):
+    # White space other than a blank is not printable, so this finds texts with single blanks and line feeds only.
+    plain = text.replace("\n", " ")
+    if plain.isprintable() and "  " not in plain and plain[:1] != " " and plain[-1:] != " ":
         return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
     return _ONE_BLANK.split(text)
 
@@ -104,31 +106,25 @@ class TextEncoder:
                 return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
         parts = self.cut(text)
         known = self.known
-        try:
-            return b"".join([known[p] for p in parts])
-        except KeyError:
-            pass
-        if len(known) > CACHE_PARTS:
-            known.clear()
-        found = []
-        for part in parts:
-            ids = known.get(part)
-            if ids is None:
-                ids = self._part(part)
-                if len(part) <= CACHE_CHARS:
-                    known[part] = ids
-            found.append(ids)
+        found = list(map(known.get, parts))
+        if None in found:
+            if len(known) > CACHE_PARTS:
+                known.clear()
+            for at in [i for i, ids in enumerate(found) if ids is None]:
+                part = parts[at]
+                ids = known.get(part)
+                if ids is None:
+                    ids = self._part(part)
+                    if len(part) <= CACHE_CHARS:
+                        known[part] = ids
+                found[at] = ids
         return b"".join(found)
 
     def _part(self, part: str) -> bytes:
-        words = words_of(self.normal(part), self.words)
-        try:
-            return b"".join([self.known_words[w] for w in words])
-        except KeyError:
-            pass
         if len(self.known_words) > CACHE_WORDS:
             self.known_words.clear()
-        return b"".join([self.known_words.get(w) or self._word(w) for w in words])
+        known = self.known_words.get
+        return b"".join([known(w) or self._word(w) for w in words_of(self.normal(part), self.words)])
 
     def _word(self, word: str) -> bytes:
         spelled = word if word.isascii() else word.encode().decode("latin-1")
