@@ -238,7 +238,11 @@ def without_near_duplicates(docs: DataFrame, width: int = 4, max_bits: int = 4)
 
     Rows of equal id count as one document, so one of them stays; rows without an id all stay.
     """
-    found = near_duplicates(docs, width, max_bits)
+    return one_of_each(docs, near_duplicates(docs, width, max_bits))
+
+
+def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """Of ``docs`` the rows whose id is the least of its group (``found``: ``doc_id``, ``component_id``), and those without an id."""
     kept = found.where("doc_id = component_id").select("doc_id")
     stays = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return stays.select(docs.columns).unionByName(docs.where("doc_id is null"))

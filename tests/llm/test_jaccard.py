@@ -1,0 +1,86 @@
+import random
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from cellweave.llm import jaccard
+from helpers_llm import LOWER, WORD, documents, odd_documents
+from test_simhash import near_copies
+
+
+def set_by_hand(text, width=5):
+    words = WORD.findall((text or "").translate(LOWER))
+    return {" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1))} if words else set()
+
+
+def groups_by_hand(rows, least=0.8):
+    sets = [set_by_hand(t) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            common = len(sets[i] & sets[j])
+            if sets[i] == sets[j] or common and common >= least * (len(sets[i]) + len(sets[j]) - common) - 1e-9:
+                root[find(i)] = find(j)
+    result = []
+    for i, (doc_id, _) in enumerate(rows):
+        ids = [rows[j][0] for j in range(len(rows)) if find(j) == find(i) and rows[j][0] is not None]
+        result.append((doc_id, min(ids, default=None)))
+    return result
+
+
+def edited(seed=3):
+    """Groups of copies with 1 to 12 changed words of 120, so that similarities lie on both sides of 0.8."""
+    choose = random.Random(seed)
+    rows = []
+    for group in range(12):
+        base = [f"w{choose.randrange(900)}" for _ in range(120)]
+        for copy in range(40 if not group else 8):
+            text = list(base)
+            for _ in range(choose.randint(0, 12)):
+                text[choose.randrange(120)] = f"x{choose.randrange(900)}"
+            rows.append((group * 100 + copy, " ".join(text)))
+    choose.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("rows", [odd_documents(), near_copies(300), edited()], ids=["odd", "copies", "edited"])
+def test_against_all_pairs(spark, rows):
+    found = jaccard.near_copies(documents(spark, rows)).collect()
+    assert sorted(((r.doc_id, r.component_id) for r in found), key=repr) == sorted(groups_by_hand(rows), key=repr)
+
+
+def test_stage_drops_copies_that_differ_in_many_bits(spark):
+    """Five of 160 words changed: similarity above 0.8, SimHash often further apart than 4 bits."""
+    choose = random.Random(5)
+    rows = []
+    for i in range(0, 60, 2):
+        text = [f"w{choose.randrange(2000)}" for _ in range(160)]
+        rows.append((i, " ".join(text)))
+        for at in (10, 11, 12, 90, 159):
+            text[at] = "other"
+        rows.append((i + 1, " ".join(text)))
+    kept = corpus_pipeline.without_copies(spark, documents(spark, rows), "").collect()
+    assert sorted(r.doc_id for r in kept) == list(range(0, 60, 2))
+
+
+def test_bands_find_what_is_alike():
+    """Sets of similarity 0.8 share a key in all of 2000 cases (one in twenty million shares none)."""
+    rng = np.random.default_rng(1)
+    for n in (5, 9, 90, 900):
+        for _ in range(500):
+            values = rng.integers(-(1 << 62), 1 << 62, n + n // 9)
+            one, other = np.sort(values[:n]), np.sort(values[n // 9 :])
+            if n == 5:
+                other = one[:4]
+            assert set(jaccard.keys(one)) & set(jaccard.keys(other))
+
+
+def test_empty_table(spark):
+    assert jaccard.near_copies(documents(spark, [])).count() == 0
