@@ -14,7 +14,7 @@ not the links, and components are found from these.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import combinations
 
@@ -23,6 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from cellweave.llm.common import keep, rows, text_or_empty
 from cellweave.llm.components import components
@@ -236,13 +237,32 @@ def near_duplicates(docs: DataFrame, width: int = 4, max_bits: int = 4) -> DataF
 def without_near_duplicates(docs: DataFrame, width: int = 4, max_bits: int = 4) -> DataFrame:
     """Keep of every group of near-duplicates the document of the least id, with its columns.
 
-    Rows of equal id count as one document, so one of them stays; rows without an id all stay.
+    Rows of equal id and fingerprint count as one document, so one of them stays, that of the least text; rows of equal id
+    and different fingerprints are judged each by its own; rows without an id all stay.
     """
-    return one_of_each(docs, near_duplicates(docs, width, max_bits))
+    found = near_duplicates(docs, width, max_bits).withColumnRenamed("fingerprint", "fp")
+    return one_of_each(docs, found, lambda text: f"{fingerprint(text, width) & (1 << 64) - 1:016x}")
 
 
-def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """Of ``docs`` the rows whose id is the least of its group (``found``: ``doc_id``, ``component_id``), and those without an id."""
-    kept = found.where("doc_id = component_id").select("doc_id")
-    stays = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return stays.select(docs.columns).unionByName(docs.where("doc_id is null"))
+def one_of_each(docs: DataFrame, found: DataFrame, name: Callable[[str], str]) -> DataFrame:
+    """Of ``docs`` a row for each id that is the least of its group, and all rows without an id.
+
+    ``found`` has ``doc_id``, ``fp`` (what ``name`` gives for a text) and ``component_id``. Only rows of repeated ids are named again.
+    """
+    found = found.where("doc_id is not null")
+    kept = found.where("doc_id = component_id").select("doc_id", "fp").distinct()
+    repeated = found.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    stays = docs.join(kept.select("doc_id").distinct(), "doc_id", "left_semi").select(docs.columns)
+    again = stays.join(repeated, "doc_id", "left_semi").select(F.struct(docs.columns).alias("row"), "doc_id", text_or_empty().alias("text"))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = pa.array([name(text) for _, text in rows(batch, "doc_id", "text")], pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns, names], ["row", "doc_id", "text", "fp"])
+
+    named = again.mapInArrow(work, StructType([*again.schema.fields, StructField("fp", StringType())]))
+    named = named.join(kept, ["doc_id", "fp"], "left_semi")
+    order = F.struct("text", F.xxhash64("row"))
+    chosen = named.groupBy("doc_id", "fp").agg(F.min_by("row", order).alias("row")).select("row.*")
+    once = stays.join(repeated, "doc_id", "left_anti").select(docs.columns)
+    return once.unionByName(chosen).unionByName(docs.where("doc_id is null"))

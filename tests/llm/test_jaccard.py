@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from cellweave.llm import jaccard
+from cellweave.llm import jaccard, simhash
 from helpers_llm import LOWER, WORD, documents, odd_documents
 from test_simhash import near_copies
 
@@ -84,3 +84,23 @@ def test_bands_find_what_is_alike():
 
 def test_empty_table(spark):
     assert jaccard.near_copies(documents(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("without", [jaccard.without_near_copies, simhash.without_near_duplicates], ids=["jaccard", "simhash"])
+def test_unrelated_texts_of_one_id_are_judged_each(spark, without):
+    def text(k):
+        return " ".join(f"t{k}w{i}" for i in range(40))
+
+    rows = []
+    for k in range(0, 60, 3):
+        # The second id has a copy of the first's text and one of its own, in either order.
+        rows += [(k, text(k)), *[(k + 1, text(k)), (k + 1, text(k + 1))][:: 1 if k % 2 else -1]]
+        # Both texts of the third are its own; the last two are equal but for case.
+        rows += [(k + 2, text(f"{k}a")), (k + 2, text(f"{k}b")), (k + 2, text(f"{k}b").upper())]
+    wanted = []
+    for k in range(0, 60, 3):
+        wanted += [(k, text(k)), (k + 1, text(k + 1)), (k + 2, text(f"{k}a")), (k + 2, text(f"{k}b").upper())]
+    table = documents(spark, rows)
+    kept = without(table)
+    assert kept.columns == table.columns
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted(wanted)
