@@ -9,8 +9,8 @@ parent. A query visits pages best first. What the triangle inequality excludes t
 without computing a distance, and the search ends when no page can hold anything as near as the k-th best.
 
 Queries first search the cell of their nearest pivot. With the score found there they go only to cells whose covering radius
-leaves a chance. Scores are integers, computed exactly from the integer vectors; distances only exclude, with a margin above
-their rounding error.
+leaves a chance. Scores are integers, computed exactly from the integer vectors, in whole numbers of any length where doubles do not suffice;
+distances only exclude, with a margin above their rounding error that grows with the vectors.
 """
 
 from __future__ import annotations
@@ -35,9 +35,13 @@ TREE_ROWS = 8192
 PAGE = 256
 # Queries one task searches a tree for.
 QUERY_BLOCK = 2048
-# Larger components would not give exact sums in double precision.
-MOST = 2.0**20
+# Doubles add up exactly what stays below, as the product of two vectors' lengths does for all their sums.
+EXACT = 2.0**52
 MARGIN = 1e-6
+# Rounding error of a product, as a share of the two lengths.
+ROUNDING = 1e-9
+# Stands for all scores below those a long holds.
+LOWEST = -(1 << 63)
 
 
 @dataclass
@@ -58,6 +62,7 @@ class MTree:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, largest: float, page: int = PAGE):
         self.vectors = vectors.astype(np.float64)
         self.norms = (self.vectors**2).sum(axis=1)
+        self.longest = float(np.sqrt(self.norms.max(initial=0.0)))
         self.extra = np.sqrt(np.maximum(0.0, largest - self.norms))
         self.largest = largest
         self.order = np.arange(len(ids))
@@ -111,7 +116,13 @@ class MTree:
     def search(self, query: np.ndarray, own: int, k: int, floor: float) -> tuple[list[tuple[int, int]], int]:
         """The k best (score, id) of at least ``floor``, the row ``own`` left out, and how many distances it took."""
         query = query.astype(np.float64)
-        size = float(query @ query) + self.largest
+        length = float(np.sqrt(query @ query))
+        size = length**2 + self.largest
+        wide = length * self.longest >= EXACT
+        digits = [int(x) for x in query] if wide else []
+        if abs(floor) >= EXACT:
+            # It may have been rounded up.
+            floor -= abs(floor) * 2.0**-50
         slack = MARGIN * (1.0 + size)
         best: list[tuple[int, int]] = []
         bound, computed = floor, 1
@@ -147,10 +158,16 @@ class MTree:
             held = slice(node.low, node.high) if len(near) == node.high - node.low else near
             scores = self.vectors[held] @ query
             computed += len(near)
-            good = np.flatnonzero(scores >= bound)
+            # The widest rows are only counted out where their rounding error leaves no doubt.
+            unsure = ROUNDING * length * np.sqrt(self.norms[held]) if wide else 0.0
+            good = np.flatnonzero(scores + unsure >= bound)
             good = good[self.ids[near[good]] != own]
             if len(good):
-                found = zip(scores[good].astype(np.int64).tolist(), (-self.ids[near[good]]).tolist(), strict=True)
+                if wide:
+                    exact = [sum(a * int(b) for a, b in zip(digits, self.vectors[i], strict=True)) for i in near[good]]
+                else:
+                    exact = scores[good].astype(np.int64).tolist()
+                found = zip(exact, (-self.ids[near[good]]).tolist(), strict=True)
                 best = heapq.nlargest(k, [*best, *found])
                 if len(best) == k:
                     bound = max(bound, best[-1][0])
@@ -160,9 +177,14 @@ class MTree:
 
 def whole_vectors(table: DataFrame, scale: int = 256) -> DataFrame:
     """``vec_id`` and ``vector``: floor(scale * x) of every component, of rows that take part."""
-    vector = F.transform("embedding", lambda x: F.floor(F.lit(scale) * x.cast("double")))
-    # Infinite and not-a-number components compare above the bound.
-    fit = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double") * scale) < MOST))
+
+    def whole(x):
+        """Whole as it is where doubles have no fractions, and perhaps too large for a long."""
+        return F.when(F.abs(x) < EXACT, F.floor(x).cast("double")).otherwise(x)
+
+    vector = F.transform("embedding", lambda x: whole(F.lit(scale) * x.cast("double")))
+    # Not-a-number components compare above infinite ones.
+    fit = F.forall("embedding", lambda x: x.isNotNull() & (F.abs(x.cast("double")) < float("inf")))
     return table.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & F.coalesce(fit, F.lit(False))).select("vec_id", vector.alias("vector"))
 
 
@@ -220,7 +242,7 @@ def assign(vectors: DataFrame, pivots: Pivots, largest: dict[int, float]) -> Dat
                 ["vec_id", "vector", "pivot", "away"],
             )
 
-    return vectors.mapInArrow(work, "vec_id long, vector array<long>, pivot long, away double")
+    return vectors.mapInArrow(work, "vec_id long, vector array<double>, pivot long, away double")
 
 
 def build_trees(assigned: DataFrame, parts: dict[int, int], largest: dict[int, float]) -> DataFrame:
@@ -258,7 +280,7 @@ def search_trees(trees: DataFrame, asked: DataFrame, blocks: int, k: int) -> Dat
             tree: MTree = pickle.loads(held["tree"].iloc[0])
             for number, own, vector, floor in queries[["number", "query_id", "vector", "floor"]].itertuples(index=False):
                 best, computed = tree.search(np.asarray(vector, dtype=np.float64), own, k, floor)
-                found += [(number, own, vec_id, score, computed) for score, vec_id in best]
+                found += [(number, own, vec_id, max(score, LOWEST), computed) for score, vec_id in best]
         return pd.DataFrame(found, columns=[c.split()[0] for c in FOUND.split(", ")])
 
     return trees.groupBy(*key).cogroup(asked.groupBy(*key)).applyInPandas(work, FOUND)
@@ -297,7 +319,7 @@ def _asked(queries: DataFrame, pivots: Pivots, largest: dict[int, float], parts:
                 [*taken.columns, pa.array(cell), pa.array(part)], [*taken.schema.names, "pivot", "part"]
             )
 
-    schema = "number long, query_id long, vector array<long>, floor double, pivot long, part long"
+    schema = "number long, query_id long, vector array<double>, floor double, pivot long, part long"
     return queries.select("number", "query_id", "vector", "floor").mapInArrow(work, schema)
 
 
@@ -305,16 +327,19 @@ def top_k(table: DataFrame, is_query, k: int = 5, scale: int = 256) -> DataFrame
     """``query_id``, ``rank`` (from 1), ``vec_id``, ``score``: for rows that fulfil ``is_query`` the k rows of the largest inner
     product with them, all if there are fewer, ties to the smaller id.
 
-    Defined cases: vectors that are null or hold a null or non-finite component, or one of 2**20 and more once scaled, take no
-    part, nor do rows without id; vectors of other lengths are no candidates; a row is no candidate of a query of its id;
+    Defined cases: vectors that are null or hold a null or non-finite component take no part, nor do rows without id; a score
+    among the best that a long does not hold is an error, as in SQL, and so are components whose squares a double does not hold
+    (no float's); vectors of other lengths are no candidates; a row is no candidate of a query of its id;
     repeated rows are candidates each, and repeated queries are answered each; an empty table gives no rows. Other columns are
     ignored.
     """
     spark = table.sparkSession
     vectors = keep(whole_vectors(table, scale), "vectors")
-    norm = F.aggregate("vector", F.lit(0).cast("long"), lambda a, x: a + x * x)
+    norm = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
     sizes = vectors.groupBy(F.size("vector").alias("length")).agg(F.max(norm), F.count("*")).collect()
     largest = {row[0]: float(row[1]) for row in sizes}
+    if not np.isfinite(list(largest.values())).all():
+        raise ValueError("squares of components are beyond double precision")
     rows_ = sum(row[2] for row in sizes)
     # The rows whose hashed id is least: a sample that does not depend on how the table is cut.
     sample = [r[0] for r in vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("vector").collect()]
@@ -333,8 +358,10 @@ def top_k(table: DataFrame, is_query, k: int = 5, scale: int = 256) -> DataFrame
     queries = keep(queries, "queries")
     blocks = max(1, -(-queries.count() // QUERY_BLOCK))
     first = search_trees(trees, _asked(queries, pivots, largest, parts, radius, True), blocks, k)
-    floors = _best(first, k).where(F.col("rank") == k).select("number", F.col("score").cast("double").alias("floor"))
+    floors = _best(first, k).where((F.col("rank") == k) & (F.col("score") > LOWEST)).select("number", F.col("score").cast("double").alias("floor"))
     bounded = queries.drop("floor").join(floors, "number", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
     bounded = keep(bounded, "bounded")
     found = search_trees(trees, _asked(bounded, pivots, largest, parts, radius, False), blocks, k)
-    return _best(found, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    low = F.raise_error(F.lit("a score is below those a long holds")).cast("long")
+    score = F.when(F.col("score") > LOWEST, F.col("score")).otherwise(low).alias("score")
+    return _best(found, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", score)

@@ -86,3 +86,25 @@ def test_covering_radii_hold():
             walk(child, depth + 1)
 
     walk(tree.root)
+
+
+def wide():
+    """Small and wide vectors, and wide ones whose products differ only beyond the digits of a double."""
+    rng = np.random.default_rng(6)
+    rows = [(i, (rng.normal(size=2) * 10.0 ** rng.integers(-2, 7)).clip(-3e6, 3e6).tolist()) for i in range(400)]
+    near = [(1000 + i, [3e6, int(k) / 256]) for i, k in enumerate(rng.permutation(120))]
+    return [*rows, *near, (2000, [3e6, 1 / 256]), (2050, [3e6, -1 / 256]), (2100, [4096.0, 0.0]), (2150, [0.0, 3e6])]
+
+
+@pytest.mark.parametrize("tree_rows", [40, 8192])
+def test_wide_components_take_part(spark, tree_rows, monkeypatch):
+    monkeypatch.setattr(mtree, "TREE_ROWS", tree_rows)
+    result = mtree.top_k(vectors(spark, wide()), F.col("vec_id") % 50 == 0)
+    assert sorted(map(tuple, result.collect())) == sorted(best_by_hand(wide()))
+
+
+def test_components_beyond_a_long_take_part(spark):
+    rows = [(0, [0.0, 1.0]), (1, [1e30, 1.0]), (2, [-3e38, 2.0]), (3, [1.0, 0.5]), (4, [5.0, None]), (5, [float("inf"), 1.0])]
+    assert sorted(map(tuple, mtree.top_k(vectors(spark, rows), F.col("vec_id") == 0).collect())) == [
+        r for r in best_by_hand(rows) if r[0] == 0
+    ]
