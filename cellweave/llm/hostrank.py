@@ -2,8 +2,10 @@
 
 A page's URL is judged by the longest rule that fits it. Hosts that no rule decides are judged by the link graph:
 trust starts at hosts whose pages the rules allow and follows links (personalised PageRank), distrust starts
-at hosts whose pages the rules block and follows links backwards, to those who link there. A host is blocked where
-its share of distrust exceeds its share of trust and an even share, each by a factor.
+at hosts whose pages the rules block and follows links backwards, to those who link there. By shares, a host is blocked where
+its share of distrust exceeds its share of trust and an even share, each by a factor; only hosts most of whose pages are
+judged alike are seeds. By itself (``own``, as the query does) a host has between no and full trust and distrust: hosts are seeds by the share of such pages, and what a host gets is a mean over its own links, so that neither the size
+of other seeds nor the number of others who link there changes it.
 
 Hosts and links are added up before they are shuffled; each round joins scores with links and adds up again, and is
 a written table. Host tables are joined by shuffle, where adaptive execution splits a host with many pages.
@@ -14,6 +16,7 @@ from __future__ import annotations
 import string
 from collections.abc import Sequence
 from dataclasses import dataclass
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -77,22 +80,38 @@ def seeds(judged: DataFrame) -> DataFrame:
     return each.where("2 * pages > n").select("kind", "host", F.col("pages").cast("double").alias("seed"))
 
 
-def propagate(links: DataFrame, start: DataFrame, damping: float, tolerance: float, rounds: int) -> DataFrame:
+def own_seeds(judged: DataFrame) -> DataFrame:
+    """``kind``, ``host``, ``seed``: hosts most of whose pages rules allow (trust) or block (distrust), with the share of these pages."""
+    by_host = judged.where("host <> ''").groupBy("host").agg(
+        (F.count_if(F.col("rule_verdict") == "allow") / F.count("*")).alias("trust"),
+        (F.count_if(F.col("rule_verdict") == "block") / F.count("*")).alias("distrust"),
+    )
+    each = by_host.select("host", F.expr("stack(2, 'trust', trust, 'distrust', distrust) as (kind, seed)"))
+    return each.where("2 * seed > 1").select("kind", "host", "seed")
+
+
+def propagate(
+    links: DataFrame, start: DataFrame, damping: float, tolerance: float, rounds: int | None, own: bool = False
+) -> DataFrame:
     """``kind``, ``host``, ``score``: personalised PageRank of each kind, distrust over links reversed.
 
     Mass of hosts without links on is not dealt again, which changes all scores of a kind by one factor. Ends when a round
-    moves less than ``tolerance`` of the seeds' mass.
+    moves less than ``tolerance`` of the seeds' mass, or after ``rounds``.
+
+    With ``own``, seeds are taken as they are and a link passes its share of the links of the host that gets the score; a round ends it
+    that moves no host by ``tolerance``.
     """
     spark = links.sparkSession
     forward = links.select(F.lit("trust").alias("kind"), "source", "target", "weight")
     backward = links.select(F.lit("distrust").alias("kind"), F.col("target").alias("source"), F.col("source").alias("target"), "weight")
     both = forward.unionByName(backward)
-    out = both.groupBy("kind", "source").agg(F.sum("weight").alias("out"))
-    steps = keep(both.join(out, ["kind", "source"]).selectExpr("kind", "source", "target", "weight / out as share"), "steps")
+    side = "target" if own else "source"
+    out = both.groupBy("kind", side).agg(F.sum("weight").alias("out"))
+    steps = keep(both.join(out, ["kind", side]).selectExpr("kind", "source", "target", "weight / out as share"), "steps")
     total = start.groupBy("kind").agg(F.sum("seed").alias("total"))
-    base = keep(start.join(F.broadcast(total), "kind").selectExpr("kind", "host", "seed / total as seed"), "seeds")
+    base = keep(start.join(F.broadcast(total), "kind").selectExpr("kind", "host", "seed as seed" if own else "seed / total as seed"), "seeds")
     scores, path = base.withColumnRenamed("seed", "score"), None
-    for _ in range(rounds):
+    for _ in range(rounds) if rounds else count():
         passed = scores.join(steps, (scores["kind"] == steps["kind"]) & (scores["host"] == steps["source"]))
         parts = (
             passed.select(scores["kind"], F.col("target").alias("host"), (F.col("score") * F.col("share") * damping).alias("new"), F.lit(0.0).alias("old"))
@@ -105,7 +124,8 @@ def propagate(links: DataFrame, start: DataFrame, damping: float, tolerance: flo
         written = spark.read.schema(summed.schema).parquet(path)
         if before:
             discard(spark, before)
-        moved = written.agg(F.sum(F.abs(F.col("score") - F.col("old")))).first()[0] or 0.0
+        measure = F.max if own else F.sum
+        moved = written.agg(measure(F.abs(F.col("score") - F.col("old")))).first()[0] or 0.0
         scores = written.drop("old")
         if moved < tolerance:
             break
@@ -113,7 +133,7 @@ def propagate(links: DataFrame, start: DataFrame, damping: float, tolerance: flo
 
 
 def host_verdicts(
-    judged: DataFrame, links: DataFrame, damping: float = 0.85, tolerance: float = 1e-6, rounds: int = 60,
+    judged: DataFrame, links: DataFrame, damping: float = 0.85, tolerance: float = 1e-6, rounds: int | None = None,
     ratio: float = 1.0, floor: float = 1.0,
 ) -> DataFrame:
     """``host``, ``host_verdict``, ``trust_share``, ``distrust_share`` of the hosts any score reaches.
@@ -135,8 +155,27 @@ def host_verdicts(
     return by_host.select("host", verdict.alias("host_verdict"), "trust_share", "distrust_share")
 
 
-def judge_urls(pages: DataFrame, rules: Sequence[Rule], **thresholds: float) -> DataFrame:
-    """Per page: ``host``, ``path``, ``rule`` (null if none fits), ``verdict``.
+def own_verdicts(
+    judged: DataFrame, links: DataFrame, damping: float = 0.85, tolerance: float = 1e-6, ratio: float = 1.0, least: float = 0.5
+) -> DataFrame:
+    """As ``host_verdicts``, each host by itself; the shares are those of a seed all of whose pages are judged so.
+
+    Blocked are hosts whose distrust is above ``ratio`` times their trust and at least ``least`` times that of a host all of whose links
+    go to hosts that are blocked as a whole and link nowhere.
+    """
+    scores = propagate(links, own_seeds(judged), damping, tolerance, None, own=True)
+    share = F.col("score") / (1 - damping)
+    by_host = scores.groupBy("host").agg(
+        F.coalesce(F.sum(F.when(F.col("kind") == "trust", share)), F.lit(0.0)).alias("trust_share"),
+        F.coalesce(F.sum(F.when(F.col("kind") == "distrust", share)), F.lit(0.0)).alias("distrust_share"),
+    )
+    blocked = (F.col("distrust_share") > ratio * F.col("trust_share")) & (F.col("distrust_share") >= least * damping - 1e-9)
+    verdict = F.when(blocked, F.lit("block")).otherwise(F.lit("allow"))
+    return by_host.select("host", verdict.alias("host_verdict"), "trust_share", "distrust_share")
+
+
+def judge_urls(pages: DataFrame, rules: Sequence[Rule], own: bool = False, **thresholds: float) -> DataFrame:
+    """Per page: ``host``, ``path``, ``rule`` (null if none fits), ``verdict``. With ``own`` hosts are judged each by itself.
 
     Defined cases: a null URL or one without ``://`` has an empty host and path and, unless a rule for it exists, is allowed;
     a null html has no links; links to the own host do not count; a host that neither trust nor distrust reaches is
@@ -150,7 +189,7 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], **thresholds: float) ->
     )
     judged = keep(judged, "urls")
     links = keep(host_links(pages), "host-links")
-    hosts = host_verdicts(judged, links, **thresholds)
+    hosts = (own_verdicts if own else host_verdicts)(judged, links, **thresholds)
     verdict = F.coalesce("rule_verdict", "host_verdict", F.lit("allow")).alias("verdict")
     return judged.join(hosts, "host", "left").select(
         "page_id", "host", "path", "rule", verdict, "trust_share", "distrust_share"

@@ -78,7 +78,7 @@ def op8_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_host_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hostrank.judge_urls(table(spark, sf_dir, "pages"), RULES)
+    return hostrank.judge_urls(table(spark, sf_dir, "pages"), RULES, own=True)
 
 
 def op10_metric_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@ import re
 
 import pytest
 
-from cellweave.llm import hostrank
+from cellweave.llm import hostrank, queries
 from cellweave.llm.queries import RULES
 
 PAGES = "page_id long, url string, html string, host string, score double"
@@ -110,3 +110,27 @@ def test_distrust_reaches_those_who_link_to_blocked_hosts(spark):
 
 def test_empty_table(spark):
     assert hostrank.judge_urls(pages(spark, []), RULES).count() == 0
+
+
+def judged_by_query(spark, tmp_path, rows):
+    path = tmp_path / "pages.parquet"
+    pages(spark, rows).write.parquet(str(path))
+    return {r.page_id: r.verdict for r in queries.op9_host_rank(spark, str(tmp_path)).collect()}
+
+
+def test_query_blocks_linkers_whatever_the_size_of_other_seeds(spark, tmp_path):
+    """A seed of many pages, small ones with one or many linkers; trusted hosts and hosts with few such links stay."""
+    bad = [f"http://hot.net/es/{i}" for i in range(60)] + [f"http://cold{k}.net/es/{i}" for k in range(4) for i in range(2)]
+    only = [(f"http://linker{k}.org/", f'<a href="http://cold{min(k, 3)}.net/es/">') for k in range(12)]
+    few = "".join(f'<a href="http://other{i}.org/">' for i in range(9)) + '<a href="http://hot.net/es/">'
+    rest = [("http://few.org/", few), ("http://good.com/", '<a href="http://known.org/">'), ("http://known.org/", ""), ("http://alone.org/", "")]
+    rows = [(i, *r) for i, r in enumerate([*[(u, "") for u in bad], *only, *rest])]
+    found = judged_by_query(spark, tmp_path, rows)
+    assert [found[i] for i, _, _ in rows] == ["block"] * (len(bad) + len(only)) + ["allow"] * len(rest)
+
+
+def test_rounds_go_on_to_the_tolerance_in_a_cycle(spark):
+    links = spark.createDataFrame([("a", "b", 1.0), ("b", "a", 1.0)], "source string, target string, weight double")
+    start = spark.createDataFrame([("trust", "a", 1.0)], "kind string, host string, seed double")
+    score = {r.host: r.score for r in hostrank.propagate(links, start, 0.85, 1e-6, None).collect()}
+    assert score["a"] == pytest.approx(0.15 / (1 - 0.85**2), abs=1e-5)
