@@ -4,7 +4,8 @@ A page's URL is judged by the longest rule that fits it. Hosts that no rule deci
 trust starts at hosts whose pages the rules allow and follows links (personalised PageRank), distrust starts
 at hosts whose pages the rules block and follows links backwards, to those who link there. By shares, a host is blocked where
 its share of distrust exceeds its share of trust and an even share, each by a factor; only hosts most of whose pages are
-judged alike are seeds. By itself (``own``, as the query does) a host has between no and full trust and distrust: hosts are seeds by the share of such pages, and what a host gets is a mean over its own links, so that neither the size
+judged alike are seeds. By itself (``own``, as the query does) a host has between no and full trust and distrust: every host with
+a judged page is a seed by the share of such pages, and what a host gets is a mean over its own links, so that neither the size
 of other seeds nor the number of others who link there changes it.
 
 Hosts and links are added up before they are shuffled; each round joins scores with links and adds up again, and is
@@ -81,13 +82,13 @@ def seeds(judged: DataFrame) -> DataFrame:
 
 
 def own_seeds(judged: DataFrame) -> DataFrame:
-    """``kind``, ``host``, ``seed``: hosts most of whose pages rules allow (trust) or block (distrust), with the share of these pages."""
+    """``kind``, ``host``, ``seed``: all hosts with pages that rules allow (trust) or block (distrust), with the share of these pages."""
     by_host = judged.where("host <> ''").groupBy("host").agg(
         (F.count_if(F.col("rule_verdict") == "allow") / F.count("*")).alias("trust"),
         (F.count_if(F.col("rule_verdict") == "block") / F.count("*")).alias("distrust"),
     )
     each = by_host.select("host", F.expr("stack(2, 'trust', trust, 'distrust', distrust) as (kind, seed)"))
-    return each.where("2 * seed > 1").select("kind", "host", "seed")
+    return each.where("seed > 0").select("kind", "host", "seed")
 
 
 def propagate(

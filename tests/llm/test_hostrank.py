@@ -129,6 +129,14 @@ def test_query_blocks_linkers_whatever_the_size_of_other_seeds(spark, tmp_path):
     assert [found[i] for i, _, _ in rows] == ["block"] * (len(bad) + len(only)) + ["allow"] * len(rest)
 
 
+def test_query_counts_blocked_pages_that_are_no_majority(spark, tmp_path):
+    """Half and less of a host's pages are blocked: evidence against the rest of them and those who link there."""
+    rows = [(i, f"http://half.net/{'es' if i < 5 else 'de'}/{i}", "") for i in range(10)]
+    rows += [(10 + i, f"http://tenth.net/{'es' if i < 1 else 'de'}/{i}", "") for i in range(10)]
+    found = judged_by_query(spark, tmp_path, rows)
+    assert [found[i] for i in range(20)] == ["block"] * 11 + ["allow"] * 9
+
+
 def test_rounds_go_on_to_the_tolerance_in_a_cycle(spark):
     links = spark.createDataFrame([("a", "b", 1.0), ("b", "a", 1.0)], "source string, target string, weight double")
     start = spark.createDataFrame([("trust", "a", 1.0)], "kind string, host string, seed double")
