@@ -12,6 +12,9 @@ from cellweave.llm.common import tune
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
 END_OF_DOCUMENT = 2
+# Words of a shingle and differing bits of fingerprints that are linked, for the query and the pipeline's stage.
+SHINGLE = 4
+MAX_BITS = 4
 FERTILITY = fertility.Vocabularies(
     ranks=vocabularies.path("byte_bpe_multi_50k.tiktoken"),
     pattern=vocabularies.PATTERN,
@@ -44,7 +47,7 @@ def vocabulary(name: str) -> str:
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(table(spark, sf_dir, "documents"), width=4, max_bits=4)
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), SHINGLE, MAX_BITS)
 
 
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

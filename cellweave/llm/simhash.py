@@ -240,7 +240,7 @@ def without_near_duplicates(docs: DataFrame, width: int = 4, max_bits: int = 4)
     Rows of equal id and fingerprint count as one document, so one of them stays, that of the least text; rows of equal id
     and different fingerprints are judged each by its own; rows without an id all stay.
     """
-    found = near_duplicates(docs, width, max_bits).withColumnRenamed("fingerprint", "fp")
+    found = keep(near_duplicates(docs, width, max_bits).withColumnRenamed("fingerprint", "fp"), "groups")
     return one_of_each(docs, found, lambda text: f"{fingerprint(text, width) & (1 << 64) - 1:016x}")
 
 
