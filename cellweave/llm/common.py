@@ -35,12 +35,17 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def keep(df: DataFrame, label: str) -> DataFrame:
-    """Write a frame to the scratch folder and read it back: computed once, no lineage to lose."""
+def written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """Write a frame to the scratch folder and read it back: computed once, no lineage to lose. Also gives the folder."""
     spark = df.sparkSession
     path = scratch(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def keep(df: DataFrame, label: str) -> DataFrame:
+    """As ``written``, for a frame the result reads, so that its folder stays."""
+    return written(df, label)[0]
 
 
 def discard(spark: SparkSession, path: str) -> None:
