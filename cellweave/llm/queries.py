@@ -6,7 +6,21 @@ import public_tokenizers as vocabularies
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.llm import bpe, fertility, hostrank, lines, mtree, packing, ring, simhash, token_files, warc
+from cellweave.llm import (
+    bestposition,
+    bpe,
+    fertility,
+    hostrank,
+    langfilter,
+    lines,
+    mtree,
+    packing,
+    ring,
+    simhash,
+    token_files,
+    variants,
+    warc,
+)
 from cellweave.llm.common import tune
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -88,6 +102,18 @@ def op10_metric_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mtree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
 
 
+def op11_best_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bestposition.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op12_part_enum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group_variants(table(spark, sf_dir, "documents"), least_chars=6, least=5, ratio=5, one_in=199)
+
+
+def op13_language_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langfilter.identify(table(spark, sf_dir, "documents"), folds=4, held_out=2)
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_token_files": op2_token_files,
@@ -99,6 +125,9 @@ QUERIES = {
     "op8_line_runs": op8_line_runs,
     "op9_host_rank": op9_host_rank,
     "op10_metric_tree": op10_metric_tree,
+    "op11_best_position": op11_best_position,
+    "op12_part_enum": op12_part_enum,
+    "op13_language_filters": op13_language_filters,
 }
 # The operators whose results SQL can express; the others are tested against plain versions of them.
 SQL: dict[str, str] = {
@@ -151,4 +180,37 @@ SQL: dict[str, str] = {
         )
         select query_id, rank, vec_id, score from r where rank <= 5
     """,
+    "op11_best_position": r"""
+        with d as (
+            select row_number() over () as number, doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms
+            from documents
+        ), s as (
+            select number, doc_id, len(terms)::BIGINT as n from d where len(terms) > 0
+        ), a as (
+            select count(*) as docs, sum(n)::BIGINT as total from s
+        ), p as (
+            select number, term, count(*) as tf from (select number, unnest(terms) as term from d) group by all
+        ), w as (
+            select term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT as w
+            from (select term, count(*) as df from p group by term), a
+        ), i as (
+            select item_id, term, count(*) as q from (
+                select item_id, unnest(regexp_extract_all(
+                    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+                from benchmark
+            ) group by all
+        ), f as (
+            select i.item_id, s.number, s.doc_id,
+                   sum(q * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // total))))::BIGINT as score
+            from i join p on i.term = p.term join w on w.term = p.term join s on s.number = p.number, a
+            group by all
+        ), r as (
+            select *, row_number() over (partition by item_id order by score desc, doc_id nulls last)::INTEGER as rank
+            from f where score > 0
+        )
+        select item_id, rank, doc_id, score from r where rank <= 10
+    """,
 }
