@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 from itertools import combinations
 
+import numpy as np
 import pytest
 
 from cellweave.llm import variants
@@ -117,17 +118,49 @@ def test_words_near_each_other_share_a_signature(spark):
     coded = variants.codes(spark.createDataFrame([(w, 5) for w in flat], "word string, n long"), parts)
     held = {}
     for r in variants.signatures(coded).collect():
-        held.setdefault(r.word, set()).add((r.choice, r.signature))
+        held.setdefault(r.word, set()).add((r.choice, r.same_0, r.same_1, r.same_2, r.same_3))
     assert all(len(s) == 15 for s in held.values())
     assert all(held[a] & held[b] for a, b in pairs)
 
 
-def test_a_pair_comes_once_and_only_verified(spark):
-    words = ["abcdef", "fedcba", "abcdeff", "abcdeg", "bcdefa"]
+def coded_words(spark, words):
     frame = spark.createDataFrame([(w, 5) for w in words], "word string, n long")
-    coded = variants.codes(frame, variants.balanced_parts(frame))
-    found = [(r.a, r.b) for r in variants.near_words(coded).collect()]
-    assert sorted(found) == [("abcdef", "abcdeff"), ("abcdef", "abcdeg")]
+    return variants.codes(frame, variants.balanced_parts(frame))
+
+
+def test_a_pair_comes_once_from_either_side_and_only_verified(spark):
+    coded = coded_words(spark, ["abcdef", "fedcba", "abcdeff", "abcdeg", "bcdefa"])
+    found = sorted((r.word, r.near) for r in variants.near_words(coded).collect())
+    assert found == [("abcdef", "abcdeff"), ("abcdef", "abcdeg"), ("abcdeff", "abcdef"), ("abcdeg", "abcdef")]
+
+
+@pytest.mark.parametrize("block", [3, 10, 4096])
+def test_large_groups_are_dealt_and_stay_whole(spark, block):
+    rng = random.Random(9)
+    # Anagrams and near anagrams: many words have a signature in common.
+    words = sorted({"".join(rng.sample("abcdefgh", 8)) for _ in range(80)})
+    words = sorted({*words, *(w[:i] + "x" + w[i + 1 :] for w in words[:30] for i in (2, 5)), *(w + w[-1] for w in words[30:60])})
+    expected = sorted((a, b) for a in words for b in words if is_near(a, b))
+    found = sorted((r.word, r.near) for r in variants.near_words(coded_words(spark, words), block).collect())
+    assert found == expected and len(found) > 150
+
+
+def test_pairs_of_groups_in_bounded_steps(monkeypatch):
+    monkeypatch.setattr(variants, "PAIRS", 4)
+    sizes = np.array([1, 5, 2, 1, 7])
+    steps = list(variants._pairs(sizes))
+    found = [p for i, j in steps for p in zip(i.tolist(), j.tolist(), strict=True)]
+    start = np.cumsum(sizes) - sizes
+    assert sorted(found) == sorted((a, b) for s, n in zip(start, sizes, strict=True) for a, b in combinations(range(s, s + n), 2))
+    assert all(len(i) <= 6 for i, _ in steps)
+
+
+def test_words_of_any_length_are_compared():
+    rng = random.Random(6)
+    words = ["".join(rng.choices("abé", k=rng.choice([6, 7, 63, 64, 65, 66]))) for _ in range(40)]
+    words += [w[:i] + w[i + 1 :] for w in words for i in (0, 3, 5)] + [w[:4] + "b" + w[5:] for w in words]
+    i, j = np.array(list(combinations(range(len(words)), 2))).T
+    assert variants._Words(words).one_apart(i, j).tolist() == [is_near(words[a], words[b]) for a, b in zip(i, j, strict=True)]
 
 
 def test_a_ratio_that_would_allow_circles_is_refused(spark):
