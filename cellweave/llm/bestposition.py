@@ -31,7 +31,7 @@ from cellweave.llm.common import keep, rows, text_or_empty
 # Terms of the items one task holds at a time, repeats of other items included; an item with more is a block of its own.
 ITEM_TERMS = 200_000
 # Postings of a block of documents; a longer document is a block of its own.
-BLOCK_POSTINGS = 4_000_000
+BLOCK_POSTINGS = 500_000
 # Places each list is first read; doubles each time.
 FIRST_READ = 32
 
@@ -122,11 +122,11 @@ class Lists:
 
     def __init__(self, start: np.ndarray, term: np.ndarray, gain: np.ndarray, n_terms: int):
         self.start, self.term, self.gain = start, term, gain
-        doc = np.repeat(np.arange(len(start) - 1), np.diff(start))
+        doc = np.repeat(np.arange(len(start) - 1, dtype=np.int32), np.diff(start))
         order = np.lexsort((doc, -gain, term))
         self.list_doc, self.list_gain = doc[order], gain[order]
-        self.place = np.empty(len(order), dtype=np.int64)
-        self.place[order] = np.arange(len(order))
+        self.place = np.empty(len(order), dtype=np.int32)
+        self.place[order] = np.arange(len(order), dtype=np.int32)
         self.bound = np.concatenate(([0], np.cumsum(np.bincount(term, minlength=n_terms))))
         self.seen_place = np.zeros(len(order), dtype=bool)
         self.seen_doc = np.zeros(len(start) - 1, dtype=bool)
