@@ -206,9 +206,15 @@ class LoadReport:
 
 
 def load_dataset(
-    dataset: str, rows: DataFrame, sink, run: Run, counts: DataFrame | None = None, taken: dict[str, str] | None = None
+    dataset: str,
+    rows: DataFrame,
+    sink,
+    run: Run,
+    counts: DataFrame | None = None,
+    taken: dict[str, str] | None = None,
+    load_id: str | None = None,
 ) -> LoadReport:
-    """Write every table of a dataset with audit columns.
+    """Write every table of a dataset with audit columns. ``load_id`` names the load to the sink, by default the run does.
 
     A table that fails on its data is reported and the others go on. ``taken`` holds the tables this run
     has written with their file; a table another file has written is refused, never overwritten.
@@ -223,21 +229,24 @@ def load_dataset(
         count = F.count(F.lit(1)).alias("n")
         observed = _observe(audited, count)
         try:
-            sink.write(observed[0], table.name, {**table.sql_types, **audit_types})
+            known = sink.write(observed[0], table.name, {**table.sql_types, **audit_types}, load_id or run.id)
         except Exception as error:
             if not is_data_error(error):
                 raise
             report.problems.append(f"{table.name}: {cause(error)}")
             continue
-        report.rows += observed[1].get["n"]
+        # A sink that has the load already writes nothing, so nothing was observed.
+        report.rows += observed[1].get["n"] if known is None else known
         report.tables += 1
         report.lost_values += table.lost_values
     return report
 
 
 def is_data_error(error: Exception) -> bool:
-    """Whether the file is at fault: bad content, not a lost executor, a full disk or a stopped session."""
+    """Whether the file is at fault: bad content, not a lost executor, a full disk, a stopped session or a worker without the package."""
     text_ = str(error)
+    if re.search(r"\b(ModuleNotFoundError|ImportError)\b", text_):
+        return False
     lost = ("ExecutorLostFailure", "FetchFailed", "No space left", "OutOfMemory", "SparkContext was shut down", "Job aborted due to stage failure: Task not serializable")
     return isinstance(error, (ValueError, PySparkException)) and not any(x in text_ for x in lost)
 

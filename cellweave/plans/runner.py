@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import time
 from collections.abc import Iterable
 
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from cellweave.operators import gate
 from cellweave.operators.audit import Run
 from cellweave.plans.ingest import LoadReport, cause, is_data_error, load_dataset, stage
-from cellweave.session import remove, settle
+from cellweave.session import new_folder, remove, scratch_space, settle
 from cellweave.sinks import outcomes
 from cellweave.sources.listing import list_arrivals, literal_path
 from cellweave.sources.workbook import BROKEN_ROW, decode_sheets, list_sheets
@@ -25,32 +26,47 @@ def decide_arrivals(
 ) -> DataFrame:
     """List the folders twice, ``grace`` seconds apart, and gate what is there."""
     folders = list(folders)
-    first = list_arrivals(spark, folders)
+    first = list_arrivals(spark, folders)  # listed here and now, not when the frame is read
     time.sleep(grace)
     return gate.gate(gate.stability(first, list_arrivals(spark, folders)), contract)
 
 
+def version_id(path: str, mtime, length: int) -> str:
+    """Names a file as it was when it was listed, so that a load of the same content has the same id."""
+    return hashlib.md5(f"{path}|{mtime}|{length}".encode()).hexdigest()
+
+
 def load_file(
-    spark: SparkSession, path: str, dataset: str, sink, run: Run, taken: dict[str, str] | None = None
+    spark: SparkSession,
+    path: str,
+    dataset: str,
+    sink,
+    run: Run,
+    taken: dict[str, str] | None = None,
+    load_id: str | None = None,
 ) -> LoadReport:
     """Load one accepted workbook; one without any readable table raises, so that it is recorded as rejected.
 
-    Decoded rows are staged for the load and removed after it.
+    What the load writes down on its way is removed at its end.
     """
+    with scratch_space(spark, "load"):
+        return _load_file(spark, path, dataset, sink, run, taken, load_id)
+
+
+def _load_file(
+    spark: SparkSession, path: str, dataset: str, sink, run: Run, taken: dict[str, str] | None, load_id: str | None
+) -> LoadReport:
     sheets = settle(list_sheets(spark, literal_path(path)).withColumn("path", F.lit(path)))
     problem = sheets.filter("error is not null").select("error").first()
     if problem:
         raise ValueError(problem.error)
     wanted = sheets.filter("sheet_idx = 0") if dataset == "cdp" else sheets
     counts = sheets.groupBy("path").agg(F.max("n_sheets").alias("n_sheets"))
-    staged, folder = stage(decode_sheets(wanted, report_errors=True))
+    staged, _ = stage(decode_sheets(wanted, report_errors=True))
     broken = staged.filter(F.col("row_idx") == BROKEN_ROW).select("sheet_idx", "sheet", F.get("values", F.lit(0)).alias("why"))
     broken = broken.orderBy("sheet_idx").collect()  # at most a row for each sheet of the workbook
     sound = staged.filter(~F.col("sheet_idx").isin(*[r.sheet_idx for r in broken])) if broken else staged
-    try:
-        report = load_dataset(dataset, sound, sink, run, counts, taken)
-    finally:
-        remove(spark, folder)
+    report = load_dataset(dataset, sound, sink, run, counts, taken, load_id)
     report.problems[:0] = [f"{r.sheet}: {r.why}" for r in broken]
     if report.problems and not report.tables:
         raise ValueError("; ".join(report.problems))
@@ -65,11 +81,13 @@ def run_once(
     grace: float = GRACE_SECONDS,
     arrivals: DataFrame | None = None,
     store: str | None = None,
+    repeatable: bool = False,
 ) -> DataFrame:
     """Gate, load and record. One file's failure does not stop the others, nor does one sheet's.
 
-    With ``store`` the outcomes are kept in that folder, one part for each run. A fault of the cluster
-    rather than of a file ends the run.
+    With ``store`` the outcomes are kept in that folder, one part for each run, and nothing else of the run stays; without
+    it the returned frame reads the decisions in the shared folder. A fault of the cluster rather than of a file ends the
+    run. A ``repeatable`` run names loads by the files' versions, so that a sink that publishes takes each version once.
 
     Accepted files are at most the files the contract lists, so going through them one after
     another on the driver is bounded by the contract; each load is a distributed job. Returns the
@@ -79,15 +97,29 @@ def run_once(
     contract = contract.persist()
     if arrivals is None:
         folders = [r.parent for r in gate.watched_folders(contract).orderBy("parent").toLocalIterator()]
-        decided = settle(decide_arrivals(spark, contract, folders, grace))
+        gated = decide_arrivals(spark, contract, folders, grace)
     else:
-        decided = settle(gate.gate(arrivals, contract))
+        gated = gate.gate(arrivals, contract)
+    folder = new_folder(spark, "decided")
+    gated.write.parquet(folder)
+    decided = spark.read.schema(gated.schema).parquet(folder)
+    try:
+        records = _outcomes(spark, decided, sink, run, repeatable)
+        return outcomes.append(records, store, run.id) if store else records
+    finally:
+        contract.unpersist()
+        if store:
+            remove(spark, folder)
+
 
+def _outcomes(spark: SparkSession, decided: DataFrame, sink, run: Run, repeatable: bool) -> DataFrame:
+    """Load the accepted files; the records of all files."""
     results, taken = [], {}
     for f in decided.filter(F.col("decision") == gate.RUN).orderBy("path").toLocalIterator():
         started, rows, problem, note = time.perf_counter(), None, None, None
         try:
-            report = load_file(spark, f.path, f.dataset, sink, run, taken)
+            load_id = version_id(f.path, f.mtime, f.length) if repeatable else None
+            report = load_file(spark, f.path, f.dataset, sink, run, taken, load_id)
             rows, note = report.rows, report.note()
         except (ValueError, PySparkException) as error:
             if not is_data_error(error):
@@ -101,13 +133,11 @@ def run_once(
     failed = tried.filter("problem is not null").withColumns({"decision": F.lit(gate.REJECT), "reason": F.col("problem")})
     fine = tried.filter("problem is null").withColumnRenamed("note", "reason")
     refused = decided.filter(F.col("decision") == gate.REJECT)
-    records = (
+    return (
         outcomes.rejected(refused, run.id, at)
         .unionByName(outcomes.rejected(failed, run.id, at))
         .unionByName(outcomes.loaded(fine, run.id, at))
     )
-    contract.unpersist()
-    return outcomes.append(records, store, run.id) if store else records
 
 
 def update_manifest(manifest: DataFrame, arrivals: DataFrame, run: Run) -> DataFrame:

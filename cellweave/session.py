@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,9 +64,24 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+_SPACE: ContextVar[str | None] = ContextVar("scratch space", default=None)
+
+
+@contextmanager
+def scratch_space(spark: SparkSession, label: str) -> Iterator[str]:
+    """Folders made inside are removed at the end, however that comes; no frame that reads them is to be used after it."""
+    space = new_folder(spark, label)
+    before = _SPACE.set(space)
+    try:
+        yield space
+    finally:
+        _SPACE.reset(before)
+        remove(spark, space)
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A path not used before inside the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path not used before inside the scratch space, or the shared folder if there is none."""
+    return f"{_SPACE.get() or shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame) -> DataFrame:

@@ -1,4 +1,7 @@
-"""Write typed tables: to the Spark catalog or to a database."""
+"""Write typed tables: to the Spark catalog or to a database.
+
+``load_id`` names a load. These sinks do not use it, so a load that is repeated is written again; ``published`` has one that does.
+"""
 
 from __future__ import annotations
 
@@ -18,7 +21,7 @@ class TableSink:
     format: str = "parquet"
     root: str | None = None  # keep the files under this folder instead of the warehouse
 
-    def write(self, df: DataFrame, table: str, sql_types: dict[str, str] | None = None) -> None:
+    def write(self, df: DataFrame, table: str, sql_types: dict[str, str] | None = None, load_id: str | None = None) -> None:
         name = f"`{self.schema}`.`{table}`" if self.schema else f"`{table}`"
         writer = df.write.mode(self.mode).format(self.format)
         if self.root:
@@ -33,7 +36,7 @@ class FolderSink:
     root: str
     mode: str = "overwrite"
 
-    def write(self, df: DataFrame, table: str, sql_types: dict[str, str] | None = None) -> None:
+    def write(self, df: DataFrame, table: str, sql_types: dict[str, str] | None = None, load_id: str | None = None) -> None:
         df.write.mode(self.mode).parquet(f"{self.root}/{table}")
 
 
@@ -60,7 +63,14 @@ class JdbcSink:
             **self.options,
         }
 
-    def write(self, df: DataFrame, table: str, sql_types: dict[str, str] | None = None) -> None:
+    def definition(self, df: DataFrame, sql_types: dict[str, str] | None = None) -> str:
+        """Columns of the table a load creates, as Spark's dialect of the database writes them. Opens no connection."""
+        jvm = df.sparkSession._jvm
+        dialect = jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(self.url)
+        own = jvm.scala.Option.apply(column_types(sql_types or {}) or None)
+        return jvm.org.apache.spark.sql.execution.datasources.jdbc.JdbcUtils.schemaString(dialect, df._jdf.schema(), False, own)
+
+    def write(self, df: DataFrame, table: str, sql_types: dict[str, str] | None = None, load_id: str | None = None) -> None:
         options = self.writer_options(table, sql_types or {})
         df.write.format("jdbc").mode(self.mode).options(**options).save()
 

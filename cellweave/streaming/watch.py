@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,9 +12,10 @@ from pyspark.sql.types import BinaryType, LongType, StringType, StructField, Str
 
 from cellweave.operators import gate
 from cellweave.operators.audit import Run
-from cellweave.plans.runner import run_once, update_manifest
-from cellweave.session import remove, settle
+from cellweave.plans.runner import GRACE_SECONDS, run_once, update_manifest
+from cellweave.session import new_folder, remove, scratch_space
 from cellweave.sources.listing import child_folders, list_arrivals
+from cellweave.streaming.stable import FORGET_SECONDS, listing_stream, stable_files
 
 POLL_SECONDS = 5
 MANIFEST = "path string, mtime timestamp, length long, run_id string"
@@ -58,40 +60,87 @@ def watch(
 
 
 def run_on_changes(
-    spark: SparkSession, contract: DataFrame, sink, state: str, run: Run | None = None
+    spark: SparkSession, contract: DataFrame, sink, state: str, run: Run | None = None, grace: float = GRACE_SECONDS
 ) -> DataFrame | None:
     """One poll: list the contract's folders, run what is new or changed, remember it. None if nothing is.
 
-    ``state`` is a folder with the outcomes of all polls and the manifest, one small record for each file that
-    still exists; a poll writes the next version of the manifest and removes those before the last.
+    What is new is listed again after ``grace`` seconds; a listed file whose length has changed by then waits for another
+    poll, which sees it as new again. ``state`` is a folder with the outcomes of all polls and the manifest, one small
+    record for each file that still exists; a poll writes the next version of the manifest and removes those before
+    the last. A poll that broke before that is repeated under its number with the same loads, so its outcomes replace
+    those of the broken one and a sink that publishes adds nothing twice. An idle poll writes nothing.
     """
-    run = run or Run()
     folders = [r.parent for r in gate.watched_folders(contract).orderBy("parent").toLocalIterator()]
-    arrivals = settle(list_arrivals(spark, folders).filter(~gate.is_ignored_by_watch(F.col("name"))))
+
+    def listing() -> DataFrame:
+        return list_arrivals(spark, folders).filter(~gate.is_ignored_by_watch(F.col("name")))
+
+    arrivals = listing()
     versions = sorted(int(v) for v in child_folders(spark, f"{state}/manifest"))
     last = f"{state}/manifest/{versions[-1]}" if versions else None
     known = spark.read.schema(MANIFEST).parquet(last) if last else spark.createDataFrame([], MANIFEST)
-    changed = settle(gate.new_or_updated(arrivals, known))
+    changed = gate.new_or_updated(arrivals, known)
     if changed.isEmpty():
         return None
-    records = run_once(spark, contract, sink, run, arrivals=changed, store=f"{state}/outcomes")
+    time.sleep(grace)
+    checked = gate.stability(changed, listing())
     after = versions[-1] + 1 if versions else 0
-    update_manifest(known, arrivals, run).write.parquet(f"{state}/manifest/{after}")
+    run = run or Run(id=f"poll-{after}")
+    records = run_once(spark, contract, sink, run, arrivals=checked, store=f"{state}/outcomes", repeatable=True)
+    waiting = gate.gate(checked, contract).filter(F.col("decision") == gate.DEFER)
+    seen = arrivals.join(waiting, "path", "left_anti")
+    # A poll that broke while it wrote the manifest has left a part of it under this number.
+    update_manifest(known, seen, run).write.mode("overwrite").parquet(f"{state}/manifest/{after}")
     for old in versions[:-1]:
         remove(spark, f"{state}/manifest/{old}")
     return records
 
 
-def watch_contract(
-    spark: SparkSession, contract: DataFrame, sink, state: str, checkpoint: str, poll_seconds: int = POLL_SECONDS
+def load_stable(
+    spark: SparkSession,
+    listings: DataFrame,
+    contract: DataFrame,
+    sink,
+    state: str,
+    checkpoint: str,
+    grace: float = GRACE_SECONDS,
+    poll_seconds: int | None = POLL_SECONDS,
 ) -> StreamingQuery:
-    """Poll the contract's folders and run changes, for as long as the query runs.
+    """Load files of a stream of listings once they have kept their length for ``grace`` seconds.
 
-    The clock is a rate stream, since the file stream never emits a changed file again.
+    The stream's state stands for the manifest. A micro-batch that is repeated has the same number and the same loads,
+    so its outcomes replace themselves and a sink that publishes adds nothing twice.
     """
-    clock = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
-    writer = clock.writeStream.foreachBatch(lambda batch, batch_id: run_on_changes(spark, contract, sink, state))
-    return writer.option("checkpointLocation", checkpoint).trigger(processingTime=f"{poll_seconds} seconds").start()
+    wanted = listings.filter(~gate.is_ignored_by_watch(F.regexp_extract("path", "[^/]*$", 0)))
+    ready = stable_files(wanted, grace, FORGET_SECONDS if poll_seconds else None)
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        with scratch_space(spark, "batch"):
+            # Written once, since reading the batch again would list the folders and move the state again.
+            folder = new_folder(spark, "ready")
+            batch.write.parquet(folder)
+            arrivals = gate.path_parts(spark.read.schema(batch.schema).parquet(folder))
+            if not arrivals.isEmpty():
+                run_once(spark, contract, sink, Run(id=f"batch-{batch_id}"), arrivals=arrivals, store=f"{state}/outcomes", repeatable=True)
+
+    writer = ready.writeStream.outputMode("update").foreachBatch(load).option("checkpointLocation", checkpoint)
+    if poll_seconds is None:
+        return writer.trigger(availableNow=True).start()
+    return writer.trigger(processingTime=f"{poll_seconds} seconds").start()
+
+
+def watch_contract(
+    spark: SparkSession,
+    contract: DataFrame,
+    sink,
+    state: str,
+    checkpoint: str,
+    poll_seconds: int = POLL_SECONDS,
+    grace: float = GRACE_SECONDS,
+) -> StreamingQuery:
+    """Poll the contract's folders and load files that are new or changed and stable, for as long as the query runs."""
+    folders = [r.parent for r in gate.watched_folders(contract).orderBy("parent").toLocalIterator()]
+    return load_stable(spark, listing_stream(spark, folders), contract, sink, state, checkpoint, grace, poll_seconds)
 
 
 def latest_versions(listings: DataFrame) -> DataFrame:

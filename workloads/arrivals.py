@@ -11,6 +11,7 @@ from cellweave.plans.runner import update_manifest
 from cellweave.session import new_folder, tune
 from cellweave.sinks import outcomes
 from cellweave.streaming import watch
+from cellweave.streaming.stable import stable_files
 from workloads.base import derive, plain_sql, q, scan
 
 QUERIES, SQL = {}, {}
@@ -290,6 +291,48 @@ SQL["p09_watch_folder"] = (
 )
 
 
+GRACE = 6 * 3600.0
+
+
+@add("p09b_stable_files")
+def p09b(spark, sf):
+    """A stream of listings in three micro-batches; a version of a file is let through once it has been there for six hours."""
+    events = scan(spark, sf, "events")
+    listings = events.select(
+        F.concat(F.lit("/depot/"), c("event_type"), F.lit("/"), c("user_id").cast("string")).alias("path"),
+        F.floor(F.abs(c("value")) / 40).cast("long").alias("length"),
+        F.date_trunc("week", c("ts")).cast("timestamp").alias("mtime"),
+        c("ts").cast("timestamp").alias("listed_at"),
+    )
+    root, found, checkpoint = (new_folder(tune(spark), x) for x in ("listings", "stable", "stream"))
+    day = F.datediff(c("listed_at"), F.lit("1970-01-01").cast("date"))
+    low, high = listings.agg(F.min(day), F.max(day)).first()
+    third = (high - low) / 3
+
+    def record(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{found}/batch_id={batch_id}")
+
+    for k in range(3):
+        part = listings.filter((day >= low + third * k) & ((day < low + third * (k + 1)) | (k == 2)))
+        part.write.mode("append").parquet(root)
+        stream = spark.readStream.schema(listings.schema).parquet(root)
+        writer = stable_files(stream, GRACE).writeStream.outputMode("update").foreachBatch(record)
+        writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    read = spark.read.schema("path string, length long, mtime timestamp, listed_at timestamp").parquet(found)
+    return read.select("path", "length", c("listed_at").cast("timestamp_ntz").alias("listed_at"))
+
+
+SQL["p09b_stable_files"] = (
+    "WITH l AS (SELECT '/depot/' || event_type || '/' || user_id AS path, cast(floor(abs(value) / 40) as bigint) AS length, "
+    "date_trunc('week', ts) AS mtime, ts AS seen_at FROM events), "
+    "n AS (SELECT *, coalesce((lag(length) OVER w, lag(mtime) OVER w) <> (length, mtime), true) AS fresh FROM l "
+    "WINDOW w AS (PARTITION BY path ORDER BY seen_at, mtime, length)), "
+    "v AS (SELECT *, sum(fresh::int) OVER (PARTITION BY path ORDER BY seen_at, mtime, length ROWS UNBOUNDED PRECEDING) AS version FROM n), "
+    "s AS (SELECT *, min(seen_at) OVER (PARTITION BY path, version) AS since FROM v) "
+    "SELECT path, length, min(seen_at) AS listed_at FROM s WHERE seen_at - since >= INTERVAL 6 HOUR GROUP BY path, version, length"
+)
+
+
 def _feed(spark, sf):
     schema = spark.read.parquet(f"{sf}/events.parquet").schema
     events = spark.readStream.schema(schema).parquet(f"{sf}/events.parque[t]")
