@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from cellweave.operators import decide
 from cellweave.plans import rules as R
 from cellweave.session import new_folder, tune
-from cellweave.sinks.tables import TableSink, column_types
+from cellweave.sinks.published import PublishedSink
+from cellweave.sinks.tables import JdbcSink, TableSink
 from cellweave.sources.delimited import read_delimited
 from cellweave.sources.listing import list_arrivals
 from cellweave.sources.workbook import decode_sheets, open_workbooks
@@ -130,21 +133,48 @@ def k02(spark, sf):
 
 def k03(spark, sf):
     """Column definitions a database load would use. No database is opened here."""
-    decided = columns.QUERIES["t03_decide_rpa"](spark, sf)
+    decided = columns.QUERIES["t03_decide_rpa"](spark, sf).collect()  # a row for each column of a table
     kinds = decide.sql_types(R.RPA)
-    kind = F.create_map(*[F.lit(x) for pair in kinds.items() for x in pair])[c("tag")]
-    return decided.filter(kind == "INTEGER").select(
-        "name", F.concat(F.lit("`"), c("name"), F.lit("` "), kind).alias("definition")
-    )
+    empty = spark.createDataFrame([], StructType([StructField(r.name, decide.SPARK_TYPES[r.tag]) for r in decided]))
+    made = JdbcSink("jdbc:postgresql://unused/db").definition(empty, {r.name: kinds[r.tag] for r in decided})
+    rows = [(re.match('"([^"]*)"', d.strip()).group(1), d.strip()) for d in made.split(" , ")]
+    return spark.createDataFrame(rows, "name string, definition string")
 
 
+def k01b(spark, sf):
+    """Loads that replace each other, some of them repeated: the last new one is what is seen."""
+    root, name = _table(spark)
+    orders, sink = scan(spark, sf, "orders"), PublishedSink(root, mode="overwrite")
+    first, second = orders.select("o_orderkey", "o_orderdate"), orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
+    for load_id, load in (("a", first), ("a", first), ("b", second), ("b", first)):
+        sink.write(load, name, load_id=load_id)
+    return spark.table(name)
+
+
+def k02b(spark, sf):
+    """Loads that add rows, each of them repeated, the second with another column: every row is there once."""
+    root, name = _table(spark)
+    orders, sink = scan(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus"), PublishedSink(root)
+    low, high = orders.filter("o_totalprice < 200000").drop("o_orderstatus"), orders.filter("o_totalprice >= 200000")
+    for load_id, load in (("low", low), ("low", low), ("high", high), ("low", low), ("high", high)):
+        sink.write(load, name, load_id=load_id)
+    return spark.table(name)
+
+
+QUERIES["k01b_published_replace"] = k01b
+SQL["k01b_published_replace"] = "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders"
+QUERIES["k02b_published_append"] = k02b
+SQL["k02b_published_append"] = (
+    "SELECT o_orderkey, o_totalprice, case when o_totalprice >= 200000 then o_orderstatus end AS o_orderstatus, "
+    "case when o_totalprice >= 200000 then 'high' else 'low' end AS load_id FROM orders"
+)
 QUERIES["k01_replace_table"] = k01
 SQL["k01_replace_table"] = "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders"
 QUERIES["k02_append_table"] = k02
 SQL["k02_append_table"] = "SELECT o_orderkey, o_totalprice FROM orders"
 QUERIES["k03_database_columns"] = k03
 SQL["k03_database_columns"] = (
-    "SELECT name, '`' || name || '` ' || case tag when 'DATE' then 'DATE' when 'DATETIME' then 'TIMESTAMP' "
-    "when 'INT' then 'INTEGER' when 'FLOAT' then 'DOUBLE PRECISION' else 'BOOLEAN' end AS definition "
-    f"FROM ({columns.SQL['t03_decide_rpa']}) WHERE tag = 'INT'"
+    "SELECT name, '\"' || name || '\" ' || case tag when 'DATE' then 'DATE' when 'DATETIME' then 'TIMESTAMP' "
+    "when 'INT' then 'INTEGER' when 'FLOAT' then 'FLOAT8' when 'BOOL' then 'BOOLEAN' else 'TEXT' end AS definition "
+    f"FROM ({columns.SQL['t03_decide_rpa']})"
 )

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import pandas as pd
 from pyarrow import fs
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cellweave.functions import numbers
 from cellweave.operators import audit, gate, shape
 from cellweave.plans.runner import run_once
-from cellweave.session import new_folder, tune
+from cellweave.session import new_folder, settle, tune
 from cellweave.sinks import outcomes
 from cellweave.sinks.tables import FolderSink
 from workloads.base import scan
@@ -19,15 +20,16 @@ QUERIES, SQL = {}, {}
 c = F.col
 
 HEADER = ["Code projet", "Client", "Nom", "Trigramme", "Montant budget"]
-# Customers of the first five nations are workbooks of a dataset; the other files go wrong in a way each.
+# Customers of the first five nations are workbooks of a dataset, one for each range of keys; the other files go wrong in a way each.
+BOOK_CUSTOMERS = 1000
 LISTED = ("FQT", "FNP", "SPA", "RPA", "PAAE")
 NAMES = {5: "conditions.xlsx", 6: "clients.csv", 7: "~$suivi.xlsx", 8: "vide.xlsx"}
 
 
 def _write_file(folder: str):
     def write(part: pd.DataFrame) -> pd.DataFrame:
-        nation = int(part["c_nationkey"].iloc[0])
-        name = f"suivi_{nation}.xlsx" if nation < len(LISTED) else NAMES.get(nation, f"autre_{nation}.xlsx")
+        nation, book = int(part["c_nationkey"].iloc[0]), int(part["book"].iloc[0])
+        name = f"suivi_{nation}_{book}.xlsx" if nation < len(LISTED) else NAMES.get(nation, f"autre_{nation}.xlsx")
         part = part.sort_values("c_custkey")
         rows = [[f"P{r.c_custkey}", r.c_name, r.c_mktsegment, "abc", 100_000 + int(r.c_custkey)] for r in part.itertuples()]
         content = workbook({"Clients": [HEADER, *rows]})
@@ -36,26 +38,30 @@ def _write_file(folder: str):
         system.create_dir(root)
         with system.open_output_stream(f"{root}/{name}") as out:
             out.write(content)
-        return pd.DataFrame({"name": [name], "length": [len(content)]})
+        return pd.DataFrame({"nation": [nation], "book": [book], "name": [name], "length": [len(content)]})
 
     return write
 
 
-def depot(spark, sf, nations=None):
-    """A folder of files made of the customers of each nation."""
+def depot(spark, sf):
+    """A folder of files made of the customers of each nation; a file holds a bounded range of their keys. And the files' names."""
     folder = new_folder(tune(spark), "depot")
     customers = scan(spark, sf, "customer")
-    customers = customers.filter(c("c_nationkey").isin(*nations)) if nations else customers
-    customers.groupBy("c_nationkey").applyInPandas(_write_file(folder), "name string, length long").count()
-    return folder
+    # Of the nations that are no workbook of a dataset a file has to be there, not its rows.
+    book = F.when(c("c_nationkey") < len(LISTED), F.floor(c("c_custkey") / BOOK_CUSTOMERS))
+    few = Window.partitionBy("c_nationkey").orderBy("c_custkey")
+    other = customers.filter(c("c_nationkey") >= len(LISTED)).withColumn("nth", F.row_number().over(few)).filter("nth <= 5").drop("nth")
+    files = customers.filter(c("c_nationkey") < len(LISTED)).unionByName(other).withColumn("book", F.coalesce(book, F.lit(0)))
+    kinds = "nation int, book int, name string, length long"
+    return folder, files.groupBy("c_nationkey", "book").applyInPandas(_write_file(folder), kinds)
 
 
-def outcomes_of(spark, sf, nations=None):
+def outcomes_of(spark, sf):
     """Run over the folder and read the stored outcomes."""
-    folder = depot(spark, sf, nations)
-    names = {**{k: f"suivi_{i}.xlsx" for i, k in enumerate(LISTED)}, "CDP": NAMES[5], "CATCLIENTS": NAMES[6]}
-    settings = [(f"FILE_PATH_{k}", f"{folder}/{n}") for k, n in names.items()]
-    contract = gate.make_contract(spark.createDataFrame(settings, "env_key string, path string"))
+    folder, written = depot(spark, sf)
+    keys = F.create_map(*[F.lit(x) for i, k in enumerate((*LISTED, "CDP", "CATCLIENTS")) for x in (i, f"FILE_PATH_{k}")])
+    settings = settle(written).select(F.try_element_at(keys, c("nation")).alias("env_key"), F.concat(F.lit(f"{folder}/"), "name").alias("path"))
+    contract = gate.make_contract(settings.filter("env_key is not null"))
     sink, store = FolderSink(new_folder(spark, "tables")), new_folder(spark, "outcomes")
     run_once(spark, contract, sink, audit.Run(user="loader"), grace=0.0, store=store)
     return outcomes.read(spark, store).withColumn("name", F.regexp_extract("path", "[^/]*$", 0))
@@ -66,15 +72,16 @@ def p08(spark, sf):
 
 
 def g14(spark, sf):
-    records = outcomes_of(spark, sf, nations=(0, 1)).filter(c("status") == gate.LOADED)
+    records = outcomes_of(spark, sf).filter(c("status") == gate.LOADED)
     return records.select("name", (c("duration_s") > 0).alias("timed"))
 
 
 _NAME = (
-    "case when c_nationkey < 5 then 'suivi_' || c_nationkey || '.xlsx' "
+    "case when c_nationkey < 5 then 'suivi_' || c_nationkey || '_' || book || '.xlsx' "
     + " ".join(f"when c_nationkey = {k} then '{n}'" for k, n in NAMES.items())
     + " else 'autre_' || c_nationkey || '.xlsx' end"
 )
+_FILES = f"(SELECT c_nationkey, case when c_nationkey < 5 then c_custkey // {BOOK_CUSTOMERS} end AS book FROM customer)"
 _SET = "case c_nationkey " + " ".join(f"when {i} then '{k.lower()}'" for i, k in enumerate((*LISTED, "CDP", "CATCLIENTS"))) + " end"
 QUERIES["p08_run_outcomes"] = p08
 SQL["p08_run_outcomes"] = (
@@ -82,10 +89,10 @@ SQL["p08_run_outcomes"] = (
     "case when c_nationkey < 5 then null when c_nationkey = 5 then 'ETL failed: ValueError: BadZipFile: File is not a zip file' "
     f"when c_nationkey = 6 then '{gate.BAD_EXTENSION}.csv' when c_nationkey = 7 then '{gate.TEMP_OR_HIDDEN}' "
     f"when c_nationkey = 8 then '{gate.EMPTY}' else '{gate.UNLISTED}' end AS reason, "
-    "case when c_nationkey < 5 then count(*) end AS rows FROM customer GROUP BY c_nationkey"
+    f"case when c_nationkey < 5 then count(*) end AS rows FROM {_FILES} GROUP BY c_nationkey, book"
 )
 QUERIES["g14_durations"] = g14
-SQL["g14_durations"] = "SELECT DISTINCT 'suivi_' || c_nationkey || '.xlsx' AS name, true AS timed FROM customer WHERE c_nationkey IN (0, 1)"
+SQL["g14_durations"] = f"SELECT DISTINCT {_NAME} AS name, true AS timed FROM {_FILES} WHERE c_nationkey < 5"
 
 
 def n13b(spark, sf):
