@@ -1,12 +1,12 @@
 """URL filters from rules and from the links between hosts.
 
-A page's URL is judged by the longest rule that fits it. Hosts that no rule decides are judged by the link graph:
-trust starts at hosts whose pages the rules allow and follows links (personalised PageRank), distrust starts
-at hosts whose pages the rules block and follows links backwards, to those who link there. By shares, a host is blocked where
-its share of distrust exceeds its share of trust and an even share, each by a factor; only hosts most of whose pages are
-judged alike are seeds. By itself (``own``, as the query does) a host has between no and full trust and distrust: every host with
-a judged page is a seed by the share of such pages, and what a host gets is a mean over its own links, so that neither the size
-of other seeds nor the number of others who link there changes it.
+A page's URL is judged by the longest rule that fits it. Hosts of pages that no rule decides are judged by the link graph with two
+personalised PageRanks: trust starts at hosts with pages the rules allow and follows links, each host dealing its score over its own links;
+distrust starts at hosts with pages the rules block and follows links backwards, each host dealing its score over those who link there.
+A seed's mass is the share of its pages that are judged so, whatever their number, and scores are not scaled, so a host is judged by its
+own two scores: it is blocked if any distrust reaches it and that is no less than its trust and the word of its own undecided pages.
+These speak for a host that has judged pages as well; a host without any is judged by its links alone, and more links to
+other hosts take nothing from the distrust of the one it links to.
 
 Hosts and links are added up before they are shuffled; each round joins scores with links and adds up again, and is
 a written table. Host tables are joined by shuffle, where adaptive execution splits a host with many pages.
@@ -17,12 +17,11 @@ from __future__ import annotations
 import string
 from collections.abc import Sequence
 from dataclasses import dataclass
-from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellweave.llm.common import discard, keep, scratch
+from cellweave.llm.common import discard, keep, written
 
 LINK = r"""(?i)(?:href|src)\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s<>]+)"""
 
@@ -71,116 +70,74 @@ def host_links(pages: DataFrame) -> DataFrame:
 
 
 def seeds(judged: DataFrame) -> DataFrame:
-    """``kind``, ``host``, ``seed``: hosts most of whose pages rules allow (trust) or block (distrust), with their pages."""
-    by_host = judged.where("host <> ''").groupBy("host").agg(
-        F.count("*").alias("n"),
-        F.count_if(F.col("rule_verdict") == "allow").alias("trust"),
-        F.count_if(F.col("rule_verdict") == "block").alias("distrust"),
-    )
-    each = by_host.select("host", "n", F.expr("stack(2, 'trust', trust, 'distrust', distrust) as (kind, pages)"))
-    return each.where("2 * pages > n").select("kind", "host", F.col("pages").cast("double").alias("seed"))
-
-
-def own_seeds(judged: DataFrame) -> DataFrame:
-    """``kind``, ``host``, ``seed``: all hosts with pages that rules allow (trust) or block (distrust), with the share of these pages."""
-    by_host = judged.where("host <> ''").groupBy("host").agg(
+    """``host``, ``trust`` and ``distrust``: the shares of a host's pages that rules allow and block; hosts with any of them."""
+    shares = judged.where("host <> ''").groupBy("host").agg(
         (F.count_if(F.col("rule_verdict") == "allow") / F.count("*")).alias("trust"),
         (F.count_if(F.col("rule_verdict") == "block") / F.count("*")).alias("distrust"),
     )
-    each = by_host.select("host", F.expr("stack(2, 'trust', trust, 'distrust', distrust) as (kind, seed)"))
-    return each.where("seed > 0").select("kind", "host", "seed")
-
+    return shares.where("trust + distrust > 0")
 
-def propagate(
-    links: DataFrame, start: DataFrame, damping: float, tolerance: float, rounds: int | None, own: bool = False
-) -> DataFrame:
-    """``kind``, ``host``, ``score``: personalised PageRank of each kind, distrust over links reversed.
 
-    Mass of hosts without links on is not dealt again, which changes all scores of a kind by one factor. Ends when a round
-    moves less than ``tolerance`` of the seeds' mass, or after ``rounds``.
+def propagate(links: DataFrame, start: DataFrame, damping: float, tolerance: float) -> DataFrame:
+    """``kind``, ``host``, ``score``: personalised PageRank of each kind from ``seed``, distrust over links reversed.
 
-    With ``own``, seeds are taken as they are and a link passes its share of the links of the host that gets the score; a round ends it
-    that moves no host by ``tolerance``.
+    The mass of hosts without links on is not dealt again. Ends when a round moves less than ``tolerance`` of the seeds' mass,
+    which takes at most as many rounds as the damping needs to fall below it.
     """
     spark = links.sparkSession
     forward = links.select(F.lit("trust").alias("kind"), "source", "target", "weight")
     backward = links.select(F.lit("distrust").alias("kind"), F.col("target").alias("source"), F.col("source").alias("target"), "weight")
     both = forward.unionByName(backward)
-    side = "target" if own else "source"
-    out = both.groupBy("kind", side).agg(F.sum("weight").alias("out"))
-    steps = keep(both.join(out, ["kind", side]).selectExpr("kind", "source", "target", "weight / out as share"), "steps")
-    total = start.groupBy("kind").agg(F.sum("seed").alias("total"))
-    base = keep(start.join(F.broadcast(total), "kind").selectExpr("kind", "host", "seed as seed" if own else "seed / total as seed"), "seeds")
+    out = both.groupBy("kind", "source").agg(F.sum("weight").alias("out"))
+    steps, steps_at = written(both.join(out, ["kind", "source"]).selectExpr("kind", "source", "target", "weight / out as share"), "steps")
+    base = keep(start.select("kind", "host", "seed"), "seeds")
+    mass = base.agg(F.sum("seed")).first()[0] or 0.0
     scores, path = base.withColumnRenamed("seed", "score"), None
-    for _ in range(rounds) if rounds else count():
+    while mass:
         passed = scores.join(steps, (scores["kind"] == steps["kind"]) & (scores["host"] == steps["source"]))
         parts = (
             passed.select(scores["kind"], F.col("target").alias("host"), (F.col("score") * F.col("share") * damping).alias("new"), F.lit(0.0).alias("old"))
             .unionByName(base.select("kind", "host", (F.col("seed") * (1 - damping)).alias("new"), F.lit(0.0).alias("old")))
             .unionByName(scores.select("kind", "host", F.lit(0.0).alias("new"), F.col("score").alias("old")))
         )
-        summed = parts.groupBy("kind", "host").agg(F.sum("new").alias("score"), F.sum("old").alias("old"))
-        before, path = path, scratch(spark, "scores")
-        summed.write.parquet(path)
-        written = spark.read.schema(summed.schema).parquet(path)
+        before = path
+        after, path = written(parts.groupBy("kind", "host").agg(F.sum("new").alias("score"), F.sum("old").alias("old")), "scores")
         if before:
             discard(spark, before)
-        measure = F.max if own else F.sum
-        moved = written.agg(measure(F.abs(F.col("score") - F.col("old")))).first()[0] or 0.0
-        scores = written.drop("old")
-        if moved < tolerance:
+        moved = after.agg(F.sum(F.abs(F.col("score") - F.col("old")))).first()[0] or 0.0
+        scores = after.drop("old")
+        if moved < tolerance * mass:
             break
+    discard(spark, steps_at)
     return scores
 
 
-def host_verdicts(
-    judged: DataFrame, links: DataFrame, damping: float = 0.85, tolerance: float = 1e-6, rounds: int | None = None,
-    ratio: float = 1.0, floor: float = 1.0,
-) -> DataFrame:
-    """``host``, ``host_verdict``, ``trust_share``, ``distrust_share`` of the hosts any score reaches.
-
-    Blocked are hosts whose distrust share is above ``ratio`` times their trust share and above ``floor`` times the even share.
-    """
-    scores = propagate(links, seeds(judged), damping, tolerance, rounds)
-    total = scores.groupBy("kind").agg(F.sum("score").alias("total"), F.count("*").alias("reached"))
-    shares = scores.join(F.broadcast(total), "kind").withColumn("share", F.col("score") / F.col("total"))
-    by_host = shares.groupBy("host").agg(
-        F.coalesce(F.sum(F.when(F.col("kind") == "trust", F.col("share"))), F.lit(0.0)).alias("trust_share"),
-        F.coalesce(F.sum(F.when(F.col("kind") == "distrust", F.col("share"))), F.lit(0.0)).alias("distrust_share"),
-        F.max(F.when(F.col("kind") == "distrust", F.col("reached"))).alias("reached"),
-    )
-    blocked = (F.col("distrust_share") > ratio * F.col("trust_share")) & (
-        F.col("distrust_share") * F.col("reached") >= floor
-    )
-    verdict = F.when(blocked, F.lit("block")).otherwise(F.lit("allow"))
-    return by_host.select("host", verdict.alias("host_verdict"), "trust_share", "distrust_share")
-
-
-def own_verdicts(
-    judged: DataFrame, links: DataFrame, damping: float = 0.85, tolerance: float = 1e-6, ratio: float = 1.0, least: float = 0.5
-) -> DataFrame:
-    """As ``host_verdicts``, each host by itself; the shares are those of a seed all of whose pages are judged so.
-
-    Blocked are hosts whose distrust is above ``ratio`` times their trust and at least ``least`` times that of a host all of whose links
-    go to hosts that are blocked as a whole and link nowhere.
-    """
-    scores = propagate(links, own_seeds(judged), damping, tolerance, None, own=True)
-    share = F.col("score") / (1 - damping)
-    by_host = scores.groupBy("host").agg(
-        F.coalesce(F.sum(F.when(F.col("kind") == "trust", share)), F.lit(0.0)).alias("trust_share"),
-        F.coalesce(F.sum(F.when(F.col("kind") == "distrust", share)), F.lit(0.0)).alias("distrust_share"),
+def host_verdicts(judged: DataFrame, links: DataFrame, damping: float = 0.85, tolerance: float = 1e-6) -> DataFrame:
+    """``host``, ``host_verdict``, ``trust_score``, ``distrust_score`` of the hosts any score reaches."""
+    own = keep(seeds(judged), "own")
+    start = own.select("host", F.expr("stack(2, 'trust', trust, 'distrust', distrust) as (kind, seed)")).where("seed > 0")
+    scores = propagate(links, start, damping, tolerance)
+    by_kind = scores.select(
+        "host",
+        F.when(F.col("kind") == "trust", F.col("score")).otherwise(0.0).alias("trust_score"),
+        F.when(F.col("kind") == "distrust", F.col("score")).otherwise(0.0).alias("distrust_score"),
+        F.lit(0.0).alias("undecided"),
     )
-    blocked = (F.col("distrust_share") > ratio * F.col("trust_share")) & (F.col("distrust_share") >= least * damping - 1e-9)
+    # The undecided pages of a host with judged ones, as if they were a seed.
+    word = own.select("host", F.lit(0.0).alias("trust_score"), F.lit(0.0).alias("distrust_score"), ((1 - F.col("trust") - F.col("distrust")) * (1 - damping)).alias("undecided"))
+    by_host = by_kind.unionByName(word).groupBy("host").agg(*[F.sum(c).alias(c) for c in ("trust_score", "distrust_score", "undecided")])
+    # Scores of seeds are fractions that do not come out even in doubles.
+    blocked = (F.col("distrust_score") > 0) & (F.col("distrust_score") >= (F.col("trust_score") + F.col("undecided")) * (1 - 1e-9))
     verdict = F.when(blocked, F.lit("block")).otherwise(F.lit("allow"))
-    return by_host.select("host", verdict.alias("host_verdict"), "trust_share", "distrust_share")
+    return by_host.select("host", verdict.alias("host_verdict"), "trust_score", "distrust_score")
 
 
-def judge_urls(pages: DataFrame, rules: Sequence[Rule], own: bool = False, **thresholds: float) -> DataFrame:
-    """Per page: ``host``, ``path``, ``rule`` (null if none fits), ``verdict``. With ``own`` hosts are judged each by itself.
+def judge_urls(pages: DataFrame, rules: Sequence[Rule], damping: float = 0.85, tolerance: float = 1e-6) -> DataFrame:
+    """Per page: ``host``, ``path``, ``rule`` (null if none fits), ``verdict``, and the scores of the host.
 
     Defined cases: a null URL or one without ``://`` has an empty host and path and, unless a rule for it exists, is allowed;
     a null html has no links; links to the own host do not count; a host that neither trust nor distrust reaches is
-    allowed; repeated rows are judged alike; other columns are ignored; an empty table gives no rows.
+    allowed; repeated rows are judged alike; a page of any length is searched whole; other columns are ignored; an empty table gives no rows.
     """
     url = F.col("url")
     judged = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"))
@@ -190,8 +147,8 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], own: bool = False, **thr
     )
     judged = keep(judged, "urls")
     links = keep(host_links(pages), "host-links")
-    hosts = (own_verdicts if own else host_verdicts)(judged, links, **thresholds)
+    hosts = host_verdicts(judged, links, damping, tolerance)
     verdict = F.coalesce("rule_verdict", "host_verdict", F.lit("allow")).alias("verdict")
     return judged.join(hosts, "host", "left").select(
-        "page_id", "host", "path", "rule", verdict, "trust_share", "distrust_share"
+        "page_id", "host", "path", "rule", verdict, "trust_score", "distrust_score"
     )

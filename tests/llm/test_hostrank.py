@@ -38,37 +38,32 @@ def verdicts_by_hand(rows, damping=0.85, rounds=400):
         for target in re.findall(r"""(?:href|src)\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s<>]+)""", html or "", re.I):
             if host and target.lower() != host:
                 links[host, target.lower()] = links.get((host, target.lower()), 0) + 1
-    shares = {}
-    for kind, verdict in (("trust", "allow"), ("distrust", "block")):
-        edges = links if kind == "trust" else {(b, a): w for (a, b), w in links.items()}
-        seeds = {}
-        for host in {h for h, _, _ in judged if h}:
-            own = [r for h, _, r in judged if h == host]
-            hits = sum(r is not None and r.verdict == verdict for r in own)
-            if 2 * hits > len(own):
-                seeds[host] = hits
-        total = sum(seeds.values())
-        score = {h: n / total for h, n in seeds.items()}
+    hosts = {h for h, _, _ in judged if h}
+    own = {h: [r.verdict if r else None for host, _, r in judged if host == h] for h in hosts}
+    share = {k: {h: own[h].count(k) / len(own[h]) for h in hosts} for k in ("allow", "block", None)}
+    scores = {}
+    for verdict, edges in (("allow", links), ("block", {(b, a): w for (a, b), w in links.items()})):
+        seed = {h: s for h, s in share[verdict].items() if s}
         out = {}
         for (a, _), w in edges.items():
             out[a] = out.get(a, 0) + w
+        score = dict(seed)
         for _ in range(rounds):
-            new = {h: (1 - damping) * n / total for h, n in seeds.items()}
+            new = {h: (1 - damping) * s for h, s in seed.items()}
             for (a, b), w in edges.items():
                 if a in score:
                     new[b] = new.get(b, 0) + damping * score[a] * w / out[a]
             score = new
-        whole = sum(score.values())
-        shares[kind] = {h: s / whole for h, s in score.items()} if whole else {}
+        scores[verdict] = score
     result = []
     for (page_id, _, _), (host, path, rule) in zip(rows, judged, strict=True):
-        trust, distrust = shares["trust"].get(host, 0), shares["distrust"].get(host, 0)
-        blocked = distrust > trust and distrust * len(shares["distrust"]) >= 1
+        word = (1 - damping) * share[None].get(host, 0) if share["allow"].get(host) or share["block"].get(host) else 0
+        trust, distrust = scores["allow"].get(host, 0), scores["block"].get(host, 0)
+        blocked = distrust > 0 and distrust >= (trust + word) * (1 - 1e-9)
         verdict = rule.verdict if rule else "block" if blocked else "allow"
         result.append((page_id, host, path, rule.name if rule else None, verdict))
     return result
 
-
 ODD = [
     (1, None, None), (2, "", "<a href=//x.org>"), (3, "no scheme here", ""), (4, "http://", None), (5, "http://COM/a?b#c", None),
     (6, "http://www.Example.com/en/1?x=/fr/", None), (7, "ftp://example.com/en/#://other.net/es/", None), (8, "http://a.net/es/", None),
@@ -93,7 +88,7 @@ def linked(seed=7):
 
 @pytest.mark.parametrize("rows", [ODD, linked(), linked(8)], ids=["odd", "linked", "linked again"])
 def test_against_plain_version(spark, rows):
-    result = hostrank.judge_urls(pages(spark, rows), RULES, tolerance=1e-12, rounds=200)
+    result = hostrank.judge_urls(pages(spark, rows), RULES, tolerance=1e-9)
     got = [(r.page_id, r.host, r.path, r.rule, r.verdict) for r in result.collect()]
     assert sorted(got, key=repr) == sorted(verdicts_by_hand(rows), key=repr)
 
@@ -104,7 +99,7 @@ def test_distrust_reaches_those_who_link_to_blocked_hosts(spark):
         (3, "http://fine.org/", '<a href="http://good.com/">'), (4, "http://good.com/", '<a href="http://fine.org/">'),
         (5, "http://alone.org/", ""),
     ]
-    found = {r.page_id: r.verdict for r in hostrank.judge_urls(pages(spark, rows), RULES, floor=0.5).collect()}
+    found = {r.page_id: r.verdict for r in hostrank.judge_urls(pages(spark, rows), RULES).collect()}
     assert found == {1: "block", 2: "block", 3: "allow", 4: "allow", 5: "allow"}
 
 
@@ -119,11 +114,13 @@ def judged_by_query(spark, tmp_path, rows):
 
 
 def test_query_blocks_linkers_whatever_the_size_of_other_seeds(spark, tmp_path):
-    """A seed of many pages, small ones with one or many linkers; trusted hosts and hosts with few such links stay."""
+    """A seed of many pages, small ones with one or many linkers; who links to others as well is blocked, who is trusted as well is not."""
     bad = [f"http://hot.net/es/{i}" for i in range(60)] + [f"http://cold{k}.net/es/{i}" for k in range(4) for i in range(2)]
     only = [(f"http://linker{k}.org/", f'<a href="http://cold{min(k, 3)}.net/es/">') for k in range(12)]
     few = "".join(f'<a href="http://other{i}.org/">' for i in range(9)) + '<a href="http://hot.net/es/">'
-    rest = [("http://few.org/", few), ("http://good.com/", '<a href="http://known.org/">'), ("http://known.org/", ""), ("http://alone.org/", "")]
+    only.append(("http://few.org/", few))
+    known = '<a href="http://hot.net/es/"><a href="http://other1.org/">'
+    rest = [("http://good.com/", '<a href="http://known.org/">'), ("http://known.org/", known), ("http://alone.org/", ""), ("http://other1.org/", "")]
     rows = [(i, *r) for i, r in enumerate([*[(u, "") for u in bad], *only, *rest])]
     found = judged_by_query(spark, tmp_path, rows)
     assert [found[i] for i, _, _ in rows] == ["block"] * (len(bad) + len(only)) + ["allow"] * len(rest)
@@ -140,5 +137,24 @@ def test_query_counts_blocked_pages_that_are_no_majority(spark, tmp_path):
 def test_rounds_go_on_to_the_tolerance_in_a_cycle(spark):
     links = spark.createDataFrame([("a", "b", 1.0), ("b", "a", 1.0)], "source string, target string, weight double")
     start = spark.createDataFrame([("trust", "a", 1.0)], "kind string, host string, seed double")
-    score = {r.host: r.score for r in hostrank.propagate(links, start, 0.85, 1e-6, None).collect()}
+    score = {r.host: r.score for r in hostrank.propagate(links, start, 0.85, 1e-6).collect()}
     assert score["a"] == pytest.approx(0.15 / (1 - 0.85**2), abs=1e-5)
+
+
+def test_links_to_other_hosts_do_not_help_a_host(spark, tmp_path):
+    """The same host with one link to a blocked one, then with two more to hosts nothing is known of."""
+    for n, more in enumerate(["", '<a href="http://x.org/"><a href="http://y.org/">']):
+        rows = [(1, "http://bad.net/es/1", ""), (2, "http://farm.org/", '<a href="http://bad.net/es/1">' + more), (3, "http://x.org/", "")]
+        (tmp_path / str(n)).mkdir()
+        found = judged_by_query(spark, tmp_path / str(n), rows)
+        assert found == {1: "block", 2: "block", 3: "allow"}
+
+
+def test_a_score_is_dealt_over_the_links_of_its_host(spark):
+    links = spark.createDataFrame([("a", "b", 3.0), ("a", "c", 1.0), ("d", "c", 1.0)], "source string, target string, weight double")
+    start = spark.createDataFrame([("trust", "a", 1.0), ("distrust", "c", 1.0)], "kind string, host string, seed double")
+    score = {(r.kind, r.host): r.score for r in hostrank.propagate(links, start, 0.8, 1e-9).collect()}
+    assert score == pytest.approx({
+        ("trust", "a"): 0.2, ("trust", "b"): 0.2 * 0.8 * 0.75, ("trust", "c"): 0.2 * 0.8 * 0.25,
+        ("distrust", "c"): 0.2, ("distrust", "a"): 0.2 * 0.8 / 2, ("distrust", "d"): 0.2 * 0.8 / 2,
+    })
