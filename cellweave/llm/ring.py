@@ -9,8 +9,11 @@ The ring has a fixed number of slots. Only the row count of each slot goes to th
 size whatever the data. There whole ranges of slots are dealt out, and the ranges go back as a broadcast
 of at most slots plus shards times slots-with-overflow rows.
 
-Defined cases: a null text has size 1; null ids share one place of the ring, equal rows another, and
-are still dealt evenly; other columns are ignored; an empty table gives no rows.
+Rows are numbered within their slot, each slot in one task; a slot that holds many of them, as that of a null or often repeated id may,
+is numbered part by part as it was read, and the parts' counts are added up, so no task has more than it read.
+
+Defined cases: a null text has size 1; a text of any length is measured whole; null ids share one place of the ring, equal rows
+another, and are still dealt evenly; other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -21,7 +24,12 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cellweave.llm.common import keep
+from cellweave.operators.dedupe import number_within
+
 SLOTS = 1 << 14
+# A slot with more rows than this and than a thousandth of all is numbered in parts.
+LARGE_SLOT = 10_000
 NODES = 128
 DEALT = "slot long, low long, high long, shard int, base long"
 
@@ -74,23 +82,38 @@ def deal(counts: dict[int, int], shards: int, nodes: int = NODES, slots: int = S
     return dealt
 
 
-def shard_documents(docs: DataFrame, shards: int, nodes: int = NODES, slots: int = SLOTS) -> DataFrame:
+def _numbered(sized: DataFrame, counts: dict[int, int], large_slot: int) -> DataFrame:
+    """Rows with ``_rank``, their number within their slot from 0."""
+    least = max(large_slot, sum(counts.values()) // 1000)
+    large = [slot for slot, n in counts.items() if n > least]  # fewer than a thousand
+    order = [F.col(c) for c in ("_place", "doc_id", "text_crc32", "size")]
+    in_slot = Window.partitionBy("_slot").orderBy(*order)
+    small = sized.where(~F.col("_slot").isin(large)) if large else sized
+    ranked = small.withColumn("_rank", F.row_number().over(in_slot).cast("long") - 1)
+    if not large:
+        return ranked
+    parts = number_within(sized.where(F.col("_slot").isin(large)), ["_slot"], F.col("_part"), order, "_rank")
+    return ranked.unionByName(parts.withColumn("_rank", F.col("_rank").cast("long") - 1))
+
+
+def shard_documents(docs: DataFrame, shards: int, nodes: int = NODES, slots: int = SLOTS, large_slot: int = LARGE_SLOT) -> DataFrame:
     """Per document: ``size`` in bytes plus one, ``text_crc32``, its ``shard`` and its gapless place ``slot`` there."""
     spark = docs.sparkSession
     place = F.xxhash64("doc_id")
     slot = F.shiftrightunsigned(place, 64 - (slots - 1).bit_length()).alias("_slot")
-    counts = docs.select(slot).groupBy("_slot").count().collect()
-    dealt = deal({row[0]: row[1] for row in counts}, shards, nodes, slots)
-    ranges = spark.createDataFrame(dealt, DEALT).withColumnsRenamed({"slot": "_slot", "shard": "_shard"})
     sized = docs.select(
         "doc_id",
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
         slot,
         place.alias("_place"),
+        F.spark_partition_id().alias("_part"),
     )
-    in_slot = Window.partitionBy("_slot").orderBy("_place", "doc_id", "text_crc32", "size")
-    ranked = sized.withColumn("_rank", F.row_number().over(in_slot).cast("long") - 1)
+    sized = keep(sized, "sizes")
+    counts = {row[0]: row[1] for row in sized.groupBy("_slot").count().collect()}
+    dealt = deal(counts, shards, nodes, slots)
+    ranges = spark.createDataFrame(dealt, DEALT).withColumnsRenamed({"slot": "_slot", "shard": "_shard"})
+    ranked = _numbered(sized, counts, large_slot)
     at = (ranked["_slot"] == ranges["_slot"]) & ranked["_rank"].between(F.col("low"), F.col("high") - 1)
     return ranked.join(F.broadcast(ranges), at).select(
         "doc_id",

@@ -1,6 +1,8 @@
 import zlib
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from cellweave.llm import ring
 from helpers_llm import documents, odd_documents
 
@@ -17,6 +19,32 @@ def test_odd_rows_are_dealt_evenly(spark):
     assert {r.law for r in result} == {"rows"} and {r.grown_shard for r in result} == {None}
 
 
+def test_a_slot_of_many_rows_is_numbered_in_parts(spark):
+    """Half of the rows have no id, a third are equal."""
+    rows = [(None, f"text {i % 50}") for i in range(600)] + [(7, "same")] * 400 + [(i, f"t{i}") for i in range(100, 300)]
+    docs = documents(spark, rows).repartition(6)
+    result = ring.shard_documents(docs, 8, large_slot=50)
+    plan = result._jdf.queryExecution().optimizedPlan().toString()
+    assert "_part" in plan
+    kept = result.collect()
+    wanted = [(i, len(t) + 1, zlib.crc32(t.encode())) for i, t in rows]
+    assert sorted([(r.doc_id, r.size, r.text_crc32) for r in kept], key=repr) == sorted(wanted, key=repr)
+    assert sorted((r.shard, r.slot) for r in kept) == [(s, k) for s in range(8) for k in range(150)]
+
+
+def test_no_task_numbers_more_than_it_read(spark):
+    docs = documents(spark, [(None, f"text {i}") for i in range(800)]).repartition(8)
+    sized = docs.select(F.lit(0).alias("_slot"), F.lit(0).alias("_place"), "doc_id", F.lit(1).alias("text_crc32"), F.lit(1).alias("size"), F.spark_partition_id().alias("_part"))
+    sized = spark.createDataFrame(sized.collect(), sized.schema)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        numbered = ring._numbered(sized, {0: 800}, 50).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sorted(r._rank for r in numbered) == list(range(800))
+    assert len({r.task for r in numbered}) > 1
+
+
 def test_empty_table_and_fewer_rows_than_shards(spark):
     assert ring.shard_documents(documents(spark, []), 8).count() == 0
     few = ring.shard_documents(documents(spark, [(1, "a"), (2, "b")]), 8).collect()
