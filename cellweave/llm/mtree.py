@@ -271,8 +271,9 @@ def search_trees(trees: DataFrame, asked: DataFrame, blocks: int, k: int) -> Dat
     """Search each tree for the queries that ask for it, a bounded block of queries and one tree at a time."""
     block = F.pmod(F.xxhash64("number"), F.lit(blocks)).alias("block")
     asked = asked.select("pivot", "part", block, "number", "query_id", "vector", "floor")
-    trees = trees.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
     key = ("pivot", "part", "block")
+    # Only what is asked for: a tree goes to the blocks that have a query for it.
+    trees = trees.join(keep(asked.select(*key).distinct(), "asked"), ["pivot", "part"])
 
     def work(held: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         found = []
