@@ -10,7 +10,7 @@ letter), the cutting into words, the byte alphabet, the merges, the word-end mar
 which are found in the text before anything else.
 
 Defined cases: a null or empty text has no ids and decodes to an empty text; equal documents give
-equal rows; other columns are ignored.
+equal rows; a text of any length is encoded whole; other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations

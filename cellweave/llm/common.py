@@ -22,7 +22,9 @@ def scratch(spark: SparkSession, label: str) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    # Tasks do not know which file system a path without scheme belongs to.
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}")
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
 
 
 def tune(spark: SparkSession) -> SparkSession:

@@ -7,7 +7,8 @@ lies within a band of each measure; lists of codes, keyboard noise, markup and g
 Each text is judged by itself in one pass over the table, so nothing is shuffled or broadcast.
 
 Defined cases: a null text has no words and fails the base rule; an unknown or null language has the band of its
-script, found from the letters of the text; equal rows give equal results; other columns are ignored.
+script, found from the letters of the text; equal rows give equal results; a text of any length is
+measured whole; other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -140,7 +140,7 @@ def without_repeated_lines(
     the largest id that holds them.
 
     Defined cases: a null or empty text is one empty line; every row is a document, and rows that share the largest
-    id all keep the line; a missing id is the smallest; a document may lose all its lines; other columns, whatever
+    id all keep the line; a missing id is the smallest; a text or line of any length counts whole; a document may lose all its lines; other columns, whatever
     their names, come along; an empty table gives no rows.
     """
     runs = Runs(docs.sparkSession, min_docs)

@@ -10,7 +10,8 @@ Groups are dealt by a hash of a number each piece has, so no document, source or
 group large, and their number follows from the number of tokens.
 
 Defined cases: a null text is empty, so its document is the end id alone; documents of equal or
-null id are packed each for itself; other columns are ignored; an empty table packs to nothing.
+null id are packed each for itself; a text of any length is packed whole, in pieces;
+other columns are ignored; an empty table packs to nothing.
 """
 
 from __future__ import annotations

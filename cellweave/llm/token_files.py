@@ -6,8 +6,8 @@ Its index has the document ids and where each document starts. A reader of some
 decompresses only the frames these lie in.
 
 Defined cases: a null text is an empty one and gives the end id alone; null document ids come
-first; documents of equal id are all written, in an order of their own; other columns are ignored;
-an empty table gives no files.
+first; documents of equal id are all written, in an order of their own; a text of any length is one record;
+other columns are ignored; an empty table gives no files.
 """
 
 from __future__ import annotations

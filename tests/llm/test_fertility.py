@@ -73,3 +73,8 @@ def test_filter_agrees_with_verdict_and_keeps_columns(spark):
     no_lang = table.drop("lang")
     assert fertility.without_rejected(no_lang, FERTILITY, BANDS).count() == len(verdicts)
     assert fertility.judge(documents(spark, []), FERTILITY, BANDS).count() == 0
+
+
+def test_empty_table(spark):
+    assert fertility.judge(documents(spark, []), FERTILITY, BANDS).count() == 0
+    assert fertility.without_rejected(documents(spark, []), FERTILITY, BANDS).count() == 0
