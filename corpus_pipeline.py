@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cellweave.llm import fertility, jaccard, lines, packing
+from cellweave.llm import fertility, lines, packing, simhash
 from cellweave.llm.common import keep, tune
-from cellweave.llm.queries import BANDS, END_OF_DOCUMENT, FERTILITY, WORD_BPE, vocabulary
+from cellweave.llm.queries import BANDS, END_OF_DOCUMENT, FERTILITY, MAX_BITS, SHINGLE, WORD_BPE, vocabulary
 
-#: Tokeniser fertility, near copies and packing have no counterpart in SQL.
+#: Tokeniser fertility, SimHash and packing have no counterpart in SQL.
 ORACLE_SQL: str | None = None
 
 
@@ -27,9 +27,9 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of texts that share 0.8 of their five-word shingles the document of the least id."""
+    """Of each group of texts whose SimHash fingerprints hang together the document of the least id."""
     tune(spark)
-    return jaccard.without_near_copies(docs, width=5, least=0.8)
+    return simhash.without_near_duplicates(docs, SHINGLE, MAX_BITS)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
