@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from cellweave.functions.text import na_to_null
+from cellweave.sources.quoted import read_quoted
 
 
-def read_delimited(spark: SparkSession, paths: list[str] | str, separator: str = ",") -> DataFrame:
+def read_delimited(
+    spark: SparkSession, paths: list[str] | str, separator: str = ",", line_breaks: bool = False
+) -> DataFrame:
     """Grid rows of delimited files; every column is text.
 
     The number of columns is bounded by a first pass which counts separators per line, since titles
@@ -17,7 +20,11 @@ def read_delimited(spark: SparkSession, paths: list[str] | str, separator: str =
 
     ``row_idx`` is the start of the file's block plus the record's position: a record takes at least
     one byte, so it grows along the file. It is not dense.
+
+    With ``line_breaks`` quoted values may hold line breaks (``quoted``); every quote in the file then has to be one of a pair.
     """
+    if line_breaks:
+        return read_quoted(spark, paths, separator)
     lines = spark.read.text(paths)
     widest = lines.agg(F.max(F.length("value") - F.length(F.replace("value", F.lit(separator), F.lit("")))))
     n_cols = (widest.first()[0] or 0) + 1

@@ -16,6 +16,7 @@ from cellweave.sinks.published import PublishedSink
 from cellweave.sinks.tables import JdbcSink, TableSink
 from cellweave.sources.delimited import read_delimited
 from cellweave.sources.listing import list_arrivals
+from cellweave.sources.quoted import read_quoted
 from cellweave.sources.workbook import decode_sheets, open_workbooks
 from workloads import columns
 from workloads.base import derive, plain_sql, scan
@@ -91,6 +92,25 @@ QUERIES["s03_delimited_files"] = s03
 SQL["s03_delimited_files"] = f"SELECT c0, c1, c2, nullif(c3, 'N/A') AS c3 FROM ({plain_sql(PARTS)})"
 
 
+# Values with line breaks, quotes and separators.
+NOTES = (
+    "SELECT cast(c_custkey as string) AS c0, c_name || chr(10) || '\"' || c_mktsegment || '\";' || chr(13) || chr(10) AS c1, "
+    "case when c_custkey % 3 = 0 then 'N/A' else cast(c_nationkey as string) || ';' || chr(10) end AS c2, cast(c_acctbal as string) AS c3 FROM {customer}"
+)
+
+
+def s03b(spark, sf):
+    """Files of many small ranges, whose records hold line breaks."""
+    folder = new_folder(tune(spark), "delimited")
+    derive(spark, sf, NOTES).write.option("escape", '"').option("sep", ";").option("ignoreTrailingWhiteSpace", "false").csv(folder)
+    rows = read_quoted(spark, folder, ";", range_bytes=16 << 10)
+    return rows.select(*[c("values")[i].alias(f"c{i}") for i in range(4)])
+
+
+QUERIES["s03b_line_breaks_in_values"] = s03b
+SQL["s03b_line_breaks_in_values"] = f"SELECT c0, c1, nullif(c2, 'N/A') AS c2, c3 FROM ({plain_sql(NOTES)})"
+
+
 def s06(spark, sf):
     """List one folder per document source; each holds one file."""
     folder = new_folder(tune(spark), "arrivals")
