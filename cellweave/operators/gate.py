@@ -5,7 +5,7 @@ Arrivals: (path, name, parent, ext, length, mtime). Contract: (env_key, path, pa
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellweave.functions.text import trimmed
@@ -129,8 +129,44 @@ def forget_vanished(manifest: DataFrame, arrivals: DataFrame) -> DataFrame:
     return manifest.join(arrivals.select("path"), "path", "left_semi")
 
 
-def destinations(decided: DataFrame, status: Column, at: Column) -> DataFrame:
-    """Archive path of each file; a name already taken in its folder gets ``__i`` before the suffix."""
+def taken_numbers(dests: DataFrame) -> DataFrame:
+    """``dest_dir``, ``name``, ``nth`` of archive paths (``dest``): the numbers of a name that they occupy.
+
+    ``a__2.xlsx`` is number 2 of ``a.xlsx``, and also number 0 of its own name.
+    """
+    name = F.regexp_extract("dest", "[^/]*$", 0)
+    numbered = r"^(.*)__([1-9][0-9]{0,8})((?:\.[^./]+)?)$"
+    own = F.struct(name.alias("name"), F.lit(0).cast("long").alias("nth"))
+    base = F.concat(F.regexp_extract(name, numbered, 1), F.regexp_extract(name, numbered, 3))
+    other = F.struct(base.alias("name"), F.regexp_extract(name, numbered, 2).try_cast("long").alias("nth"))
+    both = F.when(name.rlike(numbered), F.array(own, other)).otherwise(F.array(own))
+    return dests.select(F.regexp_replace("dest", "/[^/]*$", "").alias("dest_dir"), F.inline(both)).distinct()
+
+
+def free_numbers(taken: DataFrame) -> DataFrame:
+    """``dest_dir``, ``name``, ``start``, ``before``, ``length``: runs of numbers that are free between and behind those taken.
+
+    ``before`` counts the free numbers of the runs before; the last run has no end. Taken numbers become runs first, numbered
+    bucket by bucket, so a crowded name is split over tasks and only its runs are put in order.
+    """
+    key = ["dest_dir", "name"]
+    numbered = number_within(taken, key, F.floor(F.col("nth") / 4096), [F.col("nth")], "_i")
+    runs = numbered.groupBy(*key, (F.col("nth") - F.col("_i")).alias("_run")).agg(F.min("nth").alias("low"), F.max("nth").alias("high"))
+    order = Window.partitionBy(*key).orderBy("low")
+    runs = runs.withColumns({"next": F.lead("low").over(order), "first": F.row_number().over(order) == 1})
+    gap = F.struct((F.col("high") + 1).alias("start"), (F.col("next") - F.col("high") - 1).alias("length"))
+    head = F.struct(F.lit(0).cast("long").alias("start"), F.col("low").alias("length"))
+    gaps = runs.select(*key, F.inline(F.when(F.col("first"), F.array(head, gap)).otherwise(F.array(gap))))
+    earlier = Window.partitionBy(*key).orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    counted = gaps.withColumn("before", F.coalesce(F.sum("length").over(earlier), F.lit(0)))
+    return counted.filter("length is null or length > 0")
+
+
+def destinations(decided: DataFrame, status: Column, at: Column, taken: DataFrame | None = None) -> DataFrame:
+    """Archive path of each file; a name already taken in its folder gets ``__i`` before the suffix.
+
+    ``taken`` holds archive paths of earlier runs (``dest``); files get the least numbers that these leave free.
+    """
     stamp = F.date_format(at, "yyyy-MM-dd_HHmm")
     folder = F.concat_ws("/", F.col("parent"), F.lit("Archives"), F.concat_ws("_", status, stamp))
     stem = F.when(F.col("ext") == "", F.col("name")).otherwise(
@@ -143,7 +179,15 @@ def destinations(decided: DataFrame, status: Column, at: Column) -> DataFrame:
         [at, F.col("path")],
         "_nth",
     )
-    nth = F.col("_nth") - 1
+    numbered = numbered.withColumn("_nth", F.col("_nth").cast("long") - 1)
+    if taken is not None:
+        free = free_numbers(taken_numbers(taken)).withColumnsRenamed({"dest_dir": "_dir", "name": "_name"})
+        free = free.withColumnRenamed("length", "_length")
+        here = (F.col("dest_dir") == F.col("_dir")) & (F.col("name") == F.col("_name")) & (F.col("_nth") >= F.col("before"))
+        here = here & (F.col("_length").isNull() | (F.col("_nth") < F.col("before") + F.col("_length")))
+        number = F.coalesce(F.col("start") + F.col("_nth") - F.col("before"), F.col("_nth"))
+        numbered = numbered.join(free, here, "left").withColumn("_nth", number).drop("_dir", "_name", "start", "before", "_length")
+    nth = F.col("_nth")
     return numbered.withColumn(
         "dest",
         F.concat(

@@ -1,7 +1,8 @@
 """Column profile: every statistic the type decision needs, in one aggregation over the cells.
 
 Cells are in long form, so a table of hundreds of columns costs one narrow aggregate whose partial
-sums are combined before the shuffle; what is shuffled is one row per column and task.
+sums are combined before the shuffle. A column that repeats few texts is first counted by text, so that its
+statistics come from one look at each text, by weight.
 """
 
 from __future__ import annotations
@@ -12,6 +13,10 @@ from pyspark.sql import Window
 
 from cellweave.functions import booleans, dates, numbers, text
 from cellweave.plans.rules import Rules
+from cellweave.session import settle
+
+# Columns are counted by text where that leaves at most one cell in so many before the shuffle.
+SHRINKS = 2
 
 
 def cell_facts(cells: DataFrame, rules: Rules, keep: list[str]) -> DataFrame:
@@ -68,44 +73,73 @@ def cell_facts(cells: DataFrame, rules: Rules, keep: list[str]) -> DataFrame:
     )
 
 
+def weighted(cells: DataFrame, by: list[str]) -> DataFrame:
+    """Cells with a ``weight``: the different texts of a column with their numbers, where that makes cells fewer.
+
+    Most columns repeat few texts, so most of their cells need not be looked at. Whether a column does is measured first, by how many
+    different texts each task has of it, since that many rows are left before the shuffle; where more than a share of
+    1 / ``SHRINKS`` would be left, cells stay as they are and are not shuffled.
+    """
+    in_task = cells.groupBy(*by, F.spark_partition_id()).agg(
+        F.approx_count_distinct("value").alias("texts"), F.count(F.lit(1)).alias("cells")
+    )
+    # Metadata: a row for each column, which is looked up for every cell.
+    sizes = settle(in_task.groupBy(*by).agg((F.sum("texts") * SHRINKS <= F.sum("cells")).alias("repeats")))
+    marked = cells.select(*by, "value").join(sizes, by)
+    often = marked.filter("repeats").groupBy(*by, "value").agg(F.count(F.lit(1)).alias("weight"))
+    return often.unionByName(marked.filter("not repeats").select(*by, "value", F.lit(1).cast("long").alias("weight")))
+
+
 def _statistics(rules: Rules) -> list[Column]:
+    def cells(where: Column | None = None) -> Column:
+        """Number of cells, by weight."""
+        weight = F.col("weight")
+        return F.sum(weight if where is None else F.when(where, weight).otherwise(0))
+
     def count_dates(c: str, name: str) -> list[Column]:
         ok = dates.is_in_range(F.col(c))
         return [
-            F.count_if(ok).alias(f"n_{name}"),
-            F.count_if(ok & dates.has_time(F.col(c))).alias(f"n_{name.removesuffix('_parsed')}_timed"),
+            cells(ok).alias(f"n_{name}"),
+            cells(ok & dates.has_time(F.col(c))).alias(f"n_{name.removesuffix('_parsed')}_timed"),
         ]
 
+    def present(c: str) -> Column:
+        return F.col(c).isNotNull()
+
     in_range = F.col("number").between(
         dates.SERIAL_MIN, rules.serial_upper if rules.serial_upper is not None else 0.0
     )
     integral = numbers.is_close_to_integral if rules.close_is_integral else numbers.is_integral
-    n_zero = F.count_if("is_zero")
+    is_zero = F.col("is_zero")
     return [
-        F.count(F.lit(1)).alias("n_cells"),
-        (F.count("text") + n_zero).alias("n_value"),
-        (F.count_if(F.col("text") != "") + n_zero).alias("n_filled"),
-        (F.count_if(~F.col("text").isin("", "nan")) + n_zero).alias("n_not_nan"),
-        F.count("text").alias("n_nonnull"),
-        F.count_if(F.col("text") != "").alias("n_text"),
-        F.count_if("is_iso").alias("n_iso"),
+        cells().alias("n_cells"),
+        (cells(present("text")) + cells(is_zero)).alias("n_value"),
+        (cells(F.col("text") != "") + cells(is_zero)).alias("n_filled"),
+        (cells(~F.col("text").isin("", "nan")) + cells(is_zero)).alias("n_not_nan"),
+        cells(present("text")).alias("n_nonnull"),
+        cells(F.col("text") != "").alias("n_text"),
+        cells(F.col("is_iso")).alias("n_iso"),
         *count_dates("iso", "iso_parsed"),
-        F.count("number").alias("n_number"),
-        F.count_if(in_range).alias("n_in_range"),
+        cells(present("number")).alias("n_number"),
+        cells(in_range).alias("n_in_range"),
         *count_dates("serial", "serial"),
-        F.count_if("has_token").alias("n_token"),
+        cells(F.col("has_token")).alias("n_token"),
         *count_dates("day_first", "day_first"),
         *count_dates("month_first", "month_first"),
-        F.count("boolean").alias("n_boolean"),
-        F.count("number_like").alias("n_number_like"),
+        cells(present("boolean")).alias("n_boolean"),
+        cells(present("number_like")).alias("n_number_like"),
         F.coalesce(F.bool_and(integral(F.col("number_like"))), F.lit(False)).alias("all_integral"),
     ]
 
 
+def _profile(cells: DataFrame, rules: Rules, by: list[str]) -> DataFrame:
+    facts = cell_facts(weighted(cells, by), rules, [*by, "weight"])
+    return facts.groupBy(*by).agg(*_statistics(rules))
+
+
 def profile_cells(cells: DataFrame, rules: Rules, by: list[str]) -> DataFrame:
     """Profile the column ``value`` per group of ``by``; ``n`` is the number of cells."""
-    stats = cell_facts(cells, rules, by).groupBy(*by).agg(*_statistics(rules))
-    return stats.withColumnRenamed("n_cells", "n")
+    return _profile(cells, rules, by).withColumnRenamed("n_cells", "n")
 
 
 def profile_table(df: DataFrame, rules: Rules, columns: list[str] | None = None) -> DataFrame:
@@ -131,8 +165,7 @@ def profile_body(body: DataFrame, headers: DataFrame, rules: Rules) -> DataFrame
     """
     cells = body.select("sheet_id", F.posexplode("values").alias("col_idx", "value"))
     by = ["sheet_id", "col_idx"]
-    stats = cell_facts(cells, rules, by).groupBy(*by).agg(*_statistics(rules))
-    stats = stats.withColumn("n", F.max("n_cells").over(Window.partitionBy("sheet_id"))).drop("n_cells")
+    stats = _profile(cells, rules, by).withColumn("n", F.max("n_cells").over(Window.partitionBy("sheet_id"))).drop("n_cells")
     return headers.select("sheet_id", "path", "sheet", "sheet_idx").join(stats, "sheet_id").drop("sheet_id")
 
 

@@ -104,7 +104,7 @@ def run_once(
     gated.write.parquet(folder)
     decided = spark.read.schema(gated.schema).parquet(folder)
     try:
-        records = _outcomes(spark, decided, sink, run, repeatable)
+        records = _outcomes(spark, decided, sink, run, repeatable, outcomes.taken(spark, store, run.id) if store else None)
         return outcomes.append(records, store, run.id) if store else records
     finally:
         contract.unpersist()
@@ -112,7 +112,9 @@ def run_once(
             remove(spark, folder)
 
 
-def _outcomes(spark: SparkSession, decided: DataFrame, sink, run: Run, repeatable: bool) -> DataFrame:
+def _outcomes(
+    spark: SparkSession, decided: DataFrame, sink, run: Run, repeatable: bool, taken_dests: DataFrame | None
+) -> DataFrame:
     """Load the accepted files; the records of all files."""
     results, taken = [], {}
     for f in decided.filter(F.col("decision") == gate.RUN).orderBy("path").toLocalIterator():
@@ -134,9 +136,9 @@ def _outcomes(spark: SparkSession, decided: DataFrame, sink, run: Run, repeatabl
     fine = tried.filter("problem is null").withColumnRenamed("note", "reason")
     refused = decided.filter(F.col("decision") == gate.REJECT)
     return (
-        outcomes.rejected(refused, run.id, at)
-        .unionByName(outcomes.rejected(failed, run.id, at))
-        .unionByName(outcomes.loaded(fine, run.id, at))
+        outcomes.rejected(refused, run.id, at, taken_dests)
+        .unionByName(outcomes.rejected(failed, run.id, at, taken_dests))
+        .unionByName(outcomes.loaded(fine, run.id, at, taken_dests))
     )
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellweave.operators import gate
+from cellweave.sources.listing import child_folders
 
 OUTCOMES = (
     "run_id string, path string, dataset string, status string, reason string, dest string, "
@@ -13,18 +14,18 @@ OUTCOMES = (
 )
 
 
-def rejected(decided: DataFrame, run_id: str, at: Column) -> DataFrame:
+def rejected(decided: DataFrame, run_id: str, at: Column, taken: DataFrame | None = None) -> DataFrame:
     """Outcome records of the files the gate turned down."""
-    files = gate.destinations(decided.filter(F.col("decision") == gate.REJECT), F.lit(gate.REJECTED), at)
+    files = gate.destinations(decided.filter(F.col("decision") == gate.REJECT), F.lit(gate.REJECTED), at, taken)
     return _shape(files, run_id, gate.REJECTED)
 
 
-def loaded(decided: DataFrame, run_id: str, at: Column) -> DataFrame:
+def loaded(decided: DataFrame, run_id: str, at: Column, taken: DataFrame | None = None) -> DataFrame:
     """Outcome records of loaded files; ``rows`` and ``duration_s`` are used when present.
 
     The reason of a loaded file says which of its sheets were not loaded, and how many values casts lost.
     """
-    files = gate.destinations(decided.filter(F.col("decision") == gate.RUN), F.lit(gate.LOADED), at)
+    files = gate.destinations(decided.filter(F.col("decision") == gate.RUN), F.lit(gate.LOADED), at, taken)
     return _shape(files, run_id, gate.LOADED)
 
 
@@ -35,6 +36,13 @@ def append(records: DataFrame, store: str, run_id: str) -> DataFrame:
     return read(spark, store).filter(F.col("run_id") == run_id)
 
 
+def taken(spark: SparkSession, store: str, run_id: str) -> DataFrame | None:
+    """Archive paths in the store but for those of a run that is being repeated; None if there is no store yet."""
+    if not child_folders(spark, store):
+        return None
+    return read(spark, store).filter(F.col("run_id").cast("string") != run_id).select("dest")
+
+
 def read(spark: SparkSession, store: str) -> DataFrame:
     """All outcomes in the store."""
     return spark.read.schema(OUTCOMES).parquet(store)

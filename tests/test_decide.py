@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from cellweave.operators import cast, decide, profile
+from cellweave.operators import cast, decide, history, profile
 from cellweave.plans import rules as R
 from cellweave.plans.ingest import decide_table, type_table
 
@@ -117,3 +117,50 @@ def test_cast_step_and_single_expression_agree(spark):
         by_steps = cast.cast_table(df, [cast.TypedColumn("a", "a", tag, method)], R.FQT).collect()
         at_once = df.select(cast.cast_value(F.col("a"), tag, method, R.FQT).alias("a")).collect()
         assert by_steps == at_once
+
+
+def profiles_of(spark, monkeypatch, shrinks, cells):
+    monkeypatch.setattr(profile, "SHRINKS", shrinks)
+    return {r.name: r.asDict() for r in profile.profile_cells(cells, R.FQT, ["name"]).collect()}
+
+
+def test_counting_by_text_changes_no_statistic(spark, monkeypatch):
+    values = mix(0.6, ["1 234,5", "2025-01-02", "oui", "45000", "13/02/2025 10:30", "inf"], [None, " ", "0", "nan", "x"])
+    rows = [("many", v) for v in values * 3] + [("each", f"{i} 000,5") for i in range(300)] + [("none", None)] * 5
+    cells = spark.createDataFrame(rows, "name string, value string").repartition(3)
+    # All columns by text, none of them, and as they come.
+    by_text, by_cell, chosen = (profiles_of(spark, monkeypatch, s, cells) for s in (0, 10**6, 2))
+    assert by_text == by_cell == chosen
+    monkeypatch.setattr(profile, "SHRINKS", 2)
+    left = {(r.name, r.n): r.weight for r in profile.weighted(cells, ["name"]).groupBy("name").agg(F.count("*").alias("n"), F.sum("weight").alias("weight")).collect()}
+    assert left[("each", 300)] == 300 and sum(left.values()) == len(rows)
+    assert next(n for name, n in left if name == "many") <= 12
+
+
+def test_profiles_of_parts_add_up_to_that_of_the_whole(spark, tmp_path):
+    rows = [("a", "1"), ("a", "2,5"), ("b", None), ("b", "oui"), ("c", "2025-01-02"), ("a", "x"), ("c", "2025-01-02 10:00:00"), ("d", "7")]
+    whole = spark.createDataFrame(rows * 4, "name string, value string")
+    store = history.ProfileStore(str(tmp_path / "profiles"))
+    for load_id, part in (("one", rows * 3), ("two", rows), ("two", rows)):
+        store.add(profile.profile_cells(spark.createDataFrame(part, whole.schema), R.FQT, ["name"]), load_id)
+    found = {r.name: r.asDict() for r in store.profile(spark, ["name"]).collect()}
+    assert found == {r.name: r.asDict() for r in profile.profile_cells(whole, R.FQT, ["name"]).collect()}
+    assert store.loads(spark) == ["one", "two"]
+
+
+def test_whole_numbers_in_one_part_only(spark):
+    parts = [[("a", "1"), ("b", "1"), ("c", "x")], [("a", "x"), ("b", "1,5"), ("c", "y")]]
+    frames = [profile.profile_cells(spark.createDataFrame(p, "name string, value string"), R.FQT, ["name"]) for p in parts]
+    found = {r.name: r.all_integral for r in history.add_profiles(frames[0].unionByName(frames[1]), ["name"]).collect()}
+    assert found == {"a": True, "b": False, "c": False}
+
+
+def test_columns_widen_to_a_type_that_holds_both(spark):
+    stored = [("a", "INT"), ("b", "DATETIME"), ("c", "BOOL"), ("d", "DATE"), ("e", "STRING"), ("f", "FLOAT"), ("gone", "INT")]
+    decided = [("a", "FLOAT"), ("b", "DATE"), ("c", "INT"), ("d", "DATE"), ("e", "INT"), ("f", "INT"), ("new", "BOOL")]
+    frames = [spark.createDataFrame(x, "name string, tag string") for x in (stored, decided)]
+    found = {r.name: (r.tag, r.must_widen) for r in history.widening(*frames).collect()}
+    assert found == {
+        "a": ("FLOAT", True), "b": ("DATETIME", False), "c": ("STRING", True), "d": ("DATE", False), "e": ("STRING", False),
+        "f": ("FLOAT", False), "gone": ("INT", False), "new": ("BOOL", False),
+    }

@@ -294,3 +294,24 @@ def test_stream_sees_each_file_once(spark, tmp_path):
     assert run() == ["a.xlsx"]
     (folder / "c.xlsx").write_bytes(b"xy")
     assert run() == ["a.xlsx", "c.xlsx"]
+
+
+def test_numbers_left_free_by_earlier_runs(spark):
+    at = datetime(2025, 1, 1, 10, 30)
+    files = gate.path_parts(spark.createDataFrame([(f"/d/{n}", at) for n in ("a.xlsx",) * 3 + ("b", "c.xlsx", "a__2.xlsx")], "path string, mtime timestamp"))
+    folder = "/d/Archives/Loaded_2025-01-01_1030/"
+    old = ["a.xlsx", "a__2.xlsx", "b", *(f"b__{i}" for i in range(1, 9000)), "x.xlsx"]
+    taken = spark.createDataFrame([(folder + n,) for n in old] + [("/d/Archives/Loaded_2025-01-01_1031/c.xlsx",)], "dest string")
+    got = sorted(r.dest for r in gate.destinations(files, F.lit("Loaded"), F.col("mtime"), taken).collect())
+    assert got == sorted(folder + n for n in ["a__1.xlsx", "a__3.xlsx", "a__4.xlsx", "b__9000", "c.xlsx", "a__2__1.xlsx"])
+
+
+def test_a_second_run_in_the_same_minute_gets_the_next_name(spark, tmp_path, tmp_path_factory):
+    store, out = str(tmp_path_factory.mktemp("outcomes")), str(tmp_path_factory.mktemp("tables"))
+    (tmp_path / "a.xlsx").write_bytes(workbook({"s": HOURS}))
+    contract = gate.make_contract(spark.createDataFrame([("FILE_PATH_RPA", str(tmp_path / "a.xlsx"))], "env_key string, path string"))
+    at = datetime(2025, 1, 1, 10, 30)
+    for run_id in ("r1", "r2", "r2", "r3"):
+        run_once(spark, contract, FolderSink(out), audit.Run(id=run_id, at=at, user="u"), grace=0.0, store=store)
+    names = {r.run_id: os.path.basename(r.dest) for r in outcomes.read(spark, store).collect()}
+    assert names == {"r1": "a.xlsx", "r2": "a__1.xlsx", "r3": "a__2.xlsx"}

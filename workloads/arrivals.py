@@ -193,6 +193,25 @@ def g12b(spark, sf):
     return dest.groupBy(c("dest_dir").alias("dir"), "name").agg(F.max(nth).alias("last"))
 
 
+@add(
+    "g12c_archive_names_over_runs",
+    f", {_DEST}, fs AS (SELECT DISTINCT dir, name, ext FROM nth), old AS (SELECT dir, name, k FROM fs, unnest([0, 1, 3, 4]) u(k)), "
+    "cand AS (SELECT dir, name, k, row_number() OVER (PARTITION BY dir, name ORDER BY k) - 1 AS i FROM "
+    "(SELECT f.dir, f.name, g.k FROM fs f, range(0, (SELECT max(i) + 6 FROM nth)) g(k) WHERE NOT EXISTS "
+    "(SELECT 1 FROM old o WHERE o.dir = f.dir AND o.name = f.name AND o.k = g.k))) "
+    "SELECT id, n.dir || '/' || left(n.name, length(n.name) - length(n.ext)) || '__' || c.k || n.ext AS dest "
+    "FROM nth n JOIN cand c ON n.dir = c.dir AND n.name = c.name AND n.i = c.i",
+)
+def g12c(spark, sf):
+    """Numbers 0, 1, 3 and 4 of every name are taken by an earlier run: 2 comes first, then 5 and on."""
+    files = arrivals(spark, sf)
+    names = gate.destinations(files, F.lit(gate.REJECTED), c("mtime")).select("dest_dir", "name", "ext").distinct()
+    stem = F.expr("left(name, length(name) - length(ext))")
+    numbers = F.explode(F.array(*[F.lit(x) for x in ("", "__1", "__3", "__4")])).alias("number")
+    taken = names.select("dest_dir", stem.alias("stem"), "ext", numbers).select(F.concat("dest_dir", F.lit("/"), "stem", "number", "ext").alias("dest"))
+    return gate.destinations(files, F.lit(gate.REJECTED), c("mtime"), taken).select("id", "dest")
+
+
 @add("g13_run_summary", "SELECT 'run-1' AS run_id, count(*) FILTER (decision = 'run') AS ok, count(*) FILTER (decision = 'reject') AS reject FROM decided")
 def g13(spark, sf):
     files, at = decided(spark, sf), c("mtime")

@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from cellweave.functions import booleans, dates, numbers, text
 from cellweave.operators import cast, decide, profile
+from cellweave.operators.history import ProfileStore
 from cellweave.plans import rules as R
 from cellweave.plans.ingest import type_table
+from cellweave.session import new_folder, tune
 from workloads.base import (
     clock, derive, dmy, french, iso, mdy, plain_sql, sql_boolean, sql_clean_number, sql_date, sql_fold, sql_has_any,
     sql_is_iso, sql_iso, sql_na, sql_number, sql_number_like, sql_serial, sql_timed, sql_token, sql_trim, sql_snake,
@@ -227,6 +229,26 @@ SQL["t08_tag_types"] = (
     f"when 'FLOAT' then 'double' when 'BOOL' then 'boolean' else 'string' end AS spark_type FROM ({sql_decided(R.PAAE)})"
 )
 
+
+
+def t09(spark, sf):
+    """Types from the stored profiles of three loads, one of them added twice; no load looks at the rows of another."""
+    store = ProfileStore(new_folder(tune(spark), "profiles"))
+    lines, moments = derive(spark, sf, LINES), derive(spark, sf, EVENTS)
+    loads = {
+        "first": profile.melt(lines.filter("l_linenumber <= 3"), list(LINE_COLUMNS)),
+        "second": profile.melt(lines.filter("l_linenumber > 3"), list(LINE_COLUMNS)),
+        "events": profile.melt(moments, list(EVENT_COLUMNS)),
+    }
+    for load_id in ("first", "second", "events", "first"):
+        store.add(profile.profile_cells(loads[load_id], R.RPA, ["name"]), load_id)
+    hinted = store.profile(spark, ["name"]).withColumn("hint", c("name"))
+    return decide.decide(hinted, R.RPA).select("name", "n", "tag", "method", "lost_values")
+
+
+QUERIES["t09_decide_over_loads"] = t09
+SQL["t09_decide_over_loads"] = SQL["t03_decide_rpa"]
+
 # --- cast ---------------------------------------------------------------------------------------------------
 KEYS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
