@@ -239,14 +239,15 @@ def project_positions(rows: DataFrame, names: tuple[str, ...]) -> DataFrame:
     return rows.select(*SHEET, "row_idx", *[F.get("values", F.lit(i)).alias(n) for i, n in zip(found, names)])
 
 
-def unique_tables(sheets: DataFrame, cut: bool = True) -> DataFrame:
+def unique_tables(sheets: DataFrame, cut: bool = True, within: tuple[str, ...] = ()) -> DataFrame:
     """Number table names that several sheets would have: the second ``t`` becomes ``t__2``.
 
     ``sheets`` has a row for each sheet (path, sheet_idx, table). Names are numbered by path and sheet, cut
     again so that the number fits, and numbered once more should a numbered name be taken already.
+    ``within`` names columns inside whose groups alone names have to differ.
     """
-    while sheets.groupBy("table").count().where("count > 1").limit(1).count():
-        by_place = Window.partitionBy("table").orderBy("path", "sheet_idx")
+    while sheets.groupBy(*within, "table").count().where("count > 1").limit(1).count():
+        by_place = Window.partitionBy(*within, "table").orderBy("path", "sheet_idx")
         nth = F.concat(F.lit("__"), F.row_number().over(by_place).cast("string"))
         sheets = sheets.withColumn("_nth", nth)
         room = F.lit(text.IDENTIFIER_LENGTH) - F.length("_nth") if cut else F.length("table")

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from itertools import groupby
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellweave.functions import numbers, text
@@ -20,6 +20,7 @@ from cellweave.plans.rules import Rules
 from cellweave.session import new_folder, settle
 
 CATEGORY_TABLE = "dim_client_categories"
+AUDIT_SQL_TYPES = {"created_at": "TIMESTAMP WITH TIME ZONE", "created_by": "TEXT"}
 STAGED_ROWS = 250_000
 PAYMENT_COLUMNS = ("code_condition", "libelle", "delai_source")
 
@@ -61,13 +62,18 @@ def stage(rows: DataFrame) -> tuple[DataFrame, str]:
     """
     spark = rows.sparkSession
     path = new_folder(spark, "staged")
-    keyed = shape.drop_blank_rows(rows).withColumn("sheet_key", F.md5(F.concat_ws("|", "path", F.col("sheet_idx").cast("string"))))
+    keyed = shape.drop_blank_rows(rows).withColumn("sheet_key", sheet_key(F.col("path"), F.col("sheet_idx")))
     # Rows of a sheet are dealt together, in parts, so that a sheet is a few files and not one for each task.
     spread = F.floor(F.coalesce("row_idx", F.lit(0)) / STAGED_ROWS)
     keyed.repartition("sheet_key", spread).write.partitionBy("sheet_key").parquet(path)
     return spark.read.schema(keyed.schema).parquet(path), path
 
 
+def sheet_key(path: Column, sheet_idx: Column) -> Column:
+    """Names the folder of a sheet's staged rows."""
+    return F.md5(F.concat_ws("|", path, sheet_idx.cast("string")))
+
+
 def decide_sheets(rows: DataFrame, rules: Rules, blanks_dropped: bool = False) -> DataFrame:
     """Decisions for every column of every sheet: metadata, with the header's position."""
     headers = shape.find_headers(rows, rules, blanks_dropped)
@@ -86,12 +92,12 @@ def sheet_counts(rows: DataFrame) -> DataFrame:
     return rows.groupBy("path").agg(F.count_distinct("sheet_idx").alias("n_sheets"))
 
 
-def sheet_tables(sheets: DataFrame, counts: DataFrame, rules: Rules) -> DataFrame:
-    """Path, sheet_idx and target table of each sheet; no two sheets have the same table."""
+def sheet_tables(sheets: DataFrame, counts: DataFrame, rules: Rules, within: tuple[str, ...] = ()) -> DataFrame:
+    """Path, sheet_idx and target table of each sheet; no two sheets, or none within a group, have the same table."""
     base = text.snake(F.regexp_extract("path", r"([^/]*?)(?:\.[^./]*)?$", 1))
     each = sheets.select("path", "sheet", "sheet_idx").distinct().join(counts, "path")
     named = each.withColumn("table", shape.table_name(base, F.col("sheet"), F.col("n_sheets"), rules.cut_table_name))
-    return shape.unique_tables(settle(named.select("path", "sheet_idx", "table")), rules.cut_table_name)
+    return shape.unique_tables(settle(named.select("path", "sheet_idx", "table")), rules.cut_table_name, within)
 
 
 def typed_sheets(staged: DataFrame, rules: Rules, counts: DataFrame | None = None) -> Iterator[TypedTable]:
@@ -113,7 +119,7 @@ def typed_sheets(staged: DataFrame, rules: Rules, counts: DataFrame | None = Non
 
 def _typed_sheet(staged: DataFrame, columns: list, rules: Rules) -> TypedTable:
     first = columns[0]
-    key = F.md5(F.concat_ws("|", F.lit(first.path), F.lit(str(first.sheet_idx))))
+    key = sheet_key(F.lit(first.path), F.lit(first.sheet_idx))
     rows = staged.filter((F.col("sheet_key") == key) & (F.col("row_idx") > first.header_row))
     typed = [cast.TypedColumn(c.col_idx, c.name, c.tag, c.method) for c in columns]
     kinds = decide.sql_types(rules)
@@ -219,7 +225,6 @@ def load_dataset(
     A table that fails on its data is reported and the others go on. ``taken`` holds the tables this run
     has written with their file; a table another file has written is refused, never overwritten.
     """
-    audit_types = {"created_at": "TIMESTAMP WITH TIME ZONE", "created_by": "TEXT"}
     report, taken = LoadReport(), {} if taken is None else taken
     for table in typed_tables(dataset, rows, counts):
         if taken.setdefault(table.name, table.path) != table.path:
@@ -229,7 +234,7 @@ def load_dataset(
         count = F.count(F.lit(1)).alias("n")
         observed = _observe(audited, count)
         try:
-            known = sink.write(observed[0], table.name, {**table.sql_types, **audit_types}, load_id or run.id)
+            known = sink.write(observed[0], table.name, {**table.sql_types, **AUDIT_SQL_TYPES}, load_id or run.id)
         except Exception as error:
             if not is_data_error(error):
                 raise

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from cellweave.operators import gate
 from cellweave.operators.audit import Run
+from cellweave.plans import rules as R
 from cellweave.plans.ingest import LoadReport, cause, is_data_error, load_dataset, stage
+from cellweave.plans.together import FileResult, has_scheme, load_together
 from cellweave.session import new_folder, remove, scratch_space, settle
 from cellweave.sinks import outcomes
 from cellweave.sources.listing import list_arrivals, literal_path
@@ -89,9 +91,9 @@ def run_once(
     it the returned frame reads the decisions in the shared folder. A fault of the cluster rather than of a file ends the
     run. A ``repeatable`` run names loads by the files' versions, so that a sink that publishes takes each version once.
 
-    Accepted files are at most the files the contract lists, so going through them one after
-    another on the driver is bounded by the contract; each load is a distributed job. Returns the
-    outcomes of the run.
+    Accepted files are at most the files the contract lists, so a record for each on the driver is bounded by the contract. Workbooks
+    of one dataset whose types are inferred load together (``together``), the others one after another, groups by
+    their first path. Returns the outcomes of the run.
     """
     run = run or Run()
     contract = contract.persist()
@@ -112,22 +114,49 @@ def run_once(
             remove(spark, folder)
 
 
+def _load(
+    spark: SparkSession, dataset: str, loads: dict[str, str | None], sink, run: Run, taken: dict[str, str]
+) -> dict[str, FileResult]:
+    """Load the files of a dataset together, or one after another if one of them spoils the load of all."""
+    if len(loads) > 1:
+        tried = dict(taken)
+        try:
+            results = load_together(spark, dataset, loads, sink, run, tried)
+            taken.update(tried)
+            return results
+        except (ValueError, PySparkException) as error:
+            if not is_data_error(error):
+                raise
+    results = {}
+    for path, load_id in loads.items():
+        started, result = time.perf_counter(), FileResult(LoadReport())
+        try:
+            result.report = load_file(spark, path, dataset, sink, run, taken, load_id)
+        except (ValueError, PySparkException) as error:
+            if not is_data_error(error):
+                raise
+            result.error = error
+        result.seconds = time.perf_counter() - started
+        results[path] = result
+    return results
+
+
 def _outcomes(
     spark: SparkSession, decided: DataFrame, sink, run: Run, repeatable: bool, taken_dests: DataFrame | None
 ) -> DataFrame:
     """Load the accepted files; the records of all files."""
     results, taken = [], {}
-    for f in decided.filter(F.col("decision") == gate.RUN).orderBy("path").toLocalIterator():
-        started, rows, problem, note = time.perf_counter(), None, None, None
-        try:
-            load_id = version_id(f.path, f.mtime, f.length) if repeatable else None
-            report = load_file(spark, f.path, f.dataset, sink, run, taken, load_id)
-            rows, note = report.rows, report.note()
-        except (ValueError, PySparkException) as error:
-            if not is_data_error(error):
-                raise
-            problem = f"ETL failed: {cause(error)}"
-        results.append((f.path, rows, time.perf_counter() - started, problem, note))
+    accepted = decided.filter(F.col("decision") == gate.RUN).orderBy("path").collect()  # files the contract lists
+    groups: dict[tuple, list] = {}
+    for f in accepted:
+        groups.setdefault((f.dataset, has_scheme(f.path)) if f.dataset in R.INFERRED else (f.path,), []).append(f)
+    for files in groups.values():
+        loads = {f.path: version_id(f.path, f.mtime, f.length) if repeatable else None for f in files}
+        for path, result in _load(spark, files[0].dataset, loads, sink, run, taken).items():
+            if result.error:
+                results.append((path, None, result.seconds, f"ETL failed: {cause(result.error)}", None))
+            else:
+                results.append((path, result.report.rows, result.seconds, None, result.report.note()))
 
     done = spark.createDataFrame(results, "path string, rows long, duration_s double, problem string, note string")
     tried = decided.drop("reason").join(done, "path")

@@ -92,6 +92,25 @@ def settle(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def can_move(spark: SparkSession, source: str, target: str) -> bool:
+    """Whether both paths are on one file system, so that moving files moves no data through the driver."""
+    conf, path = spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs.Path
+    return path(source).getFileSystem(conf).getUri().equals(path(target).getFileSystem(conf).getUri())
+
+
+def move(spark: SparkSession, source: str, target: str, replace: bool) -> None:
+    """Move the files of a folder to another one of the same file system, in place of what is there or beside it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    start, end = path(source), path(target)
+    fs = end.getFileSystem(spark._jsc.hadoopConfiguration())
+    if replace:
+        fs.delete(end, True)
+    fs.mkdirs(end)
+    for status in fs.listStatus(start):
+        if not fs.rename(status.getPath(), path(end, status.getPath().getName())):
+            raise OSError(f"{status.getPath().toString()} could not be moved to {target}")
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder of the shared folder that no frame reads any more."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

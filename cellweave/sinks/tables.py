@@ -1,5 +1,6 @@
 """Write typed tables: to the Spark catalog or to a database.
 
+A sink with ``adopt`` takes files that are written already, by moving them; ``hand_over`` writes for one that has none or cannot.
 ``load_id`` names a load. These sinks do not use it, so a load that is repeated is written again; ``published`` has one that does.
 """
 
@@ -7,11 +8,25 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+from cellweave.session import can_move, move
 
 BATCH_SIZE = 1000
 
 
+def hand_over(sink, spark: SparkSession, folder: str, schema: StructType, table: str, sql_types: dict[str, str], load_id: str) -> int | None:
+    """Give a sink the Parquet files of a table. The folder is not to be used afterwards. Returns what ``write`` does."""
+    if getattr(sink, "can_adopt", None) and sink.can_adopt(spark, folder):
+        return sink.adopt(spark, folder, schema, table, load_id)
+    return sink.write(spark.read.schema(schema).parquet(folder), table, sql_types, load_id)
+
+
+def column_list(schema: StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+
+
 @dataclass(frozen=True)
 class TableSink:
     """Catalog tables. ``overwrite`` drops and recreates, so the schema may change between loads."""
@@ -21,8 +36,25 @@ class TableSink:
     format: str = "parquet"
     root: str | None = None  # keep the files under this folder instead of the warehouse
 
+    def name(self, table: str) -> str:
+        return f"`{self.schema}`.`{table}`" if self.schema else f"`{table}`"
+
+    def can_adopt(self, spark: SparkSession, folder: str) -> bool:
+        if (self.mode, self.format) != ("overwrite", "parquet"):
+            return False
+        home = self.root or spark.catalog.getDatabase(self.schema or spark.catalog.currentDatabase()).locationUri
+        return can_move(spark, folder, home)
+
+    def adopt(self, spark: SparkSession, folder: str, schema: StructType, table: str, load_id: str | None = None) -> None:
+        name, place = self.name(table), f" LOCATION '{self.root}/{table}'" if self.root else ""
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"CREATE TABLE {name} ({column_list(schema)}) USING parquet{place}")
+        home = next(r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect() if r.col_name == "Location")
+        move(spark, folder, home, replace=True)
+        spark.catalog.refreshTable(name)
+
     def write(self, df: DataFrame, table: str, sql_types: dict[str, str] | None = None, load_id: str | None = None) -> None:
-        name = f"`{self.schema}`.`{table}`" if self.schema else f"`{table}`"
+        name = self.name(table)
         writer = df.write.mode(self.mode).format(self.format)
         if self.root:
             writer = writer.option("path", f"{self.root}/{table}")
@@ -39,6 +71,12 @@ class FolderSink:
     def write(self, df: DataFrame, table: str, sql_types: dict[str, str] | None = None, load_id: str | None = None) -> None:
         df.write.mode(self.mode).parquet(f"{self.root}/{table}")
 
+    def can_adopt(self, spark: SparkSession, folder: str) -> bool:
+        return self.mode in ("overwrite", "append") and can_move(spark, folder, self.root)
+
+    def adopt(self, spark: SparkSession, folder: str, schema: StructType, table: str, load_id: str | None = None) -> None:
+        move(spark, folder, f"{self.root}/{table}", replace=self.mode == "overwrite")
+
 
 @dataclass(frozen=True)
 class JdbcSink:
