@@ -91,11 +91,13 @@ def test_live_stream_loads_a_file_that_rests(spark, tmp_path):
     query = watch.watch_contract(spark, contract, FolderSink(out), state, str(tmp_path / "ck"), poll_seconds=1, grace=1.0)
     try:
         until = time.monotonic() + 90
-        while not os.path.exists(f"{state}/outcomes/run_id=batch-0") and time.monotonic() < until:
-            if os.path.isdir(f"{state}/outcomes") and any("_SUCCESS" in f for _, _, f in os.walk(f"{state}/outcomes")):
-                break
+        loaded: list[str] = []
+        # The batch that loads the file has to end by itself, or stopping the stream races with its last steps.
+        while not any(os.path.exists(tmp_path / "ck" / "commits" / n) for n in loaded) and time.monotonic() < until:
             assert query.isActive, query.exception()
             time.sleep(0.5)
+            stored = os.listdir(f"{state}/outcomes") if os.path.isdir(f"{state}/outcomes") else []
+            loaded = [n.removeprefix("run_id=batch-") for n in stored if n.startswith("run_id=batch-")]
     finally:
         query.stop()
     assert [(os.path.basename(r.path), r.rows) for r in outcomes.read(spark, f"{state}/outcomes").collect()] == [("a.xlsx", 28)]
