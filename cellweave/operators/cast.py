@@ -13,6 +13,11 @@ from cellweave.operators.decide import SPARK_TYPES
 from cellweave.plans.rules import Rules
 
 
+# Holds the texts that a cast turned into null. No column has this name, since names lose their outer underscores.
+LOST = "__lost"
+LOST_CELLS = "array<struct<col_idx:int,name:string,text:string>>"
+
+
 class TypedColumn(NamedTuple):
     """Where a column comes from and what it becomes."""
 
@@ -61,15 +66,39 @@ def cast_value(c: Column, tag: str, method: str, rules: Rules) -> Column:
     return _finish(_prepare(_text(c, rules), method, rules), tag, method, rules)
 
 
-def _cast_steps(df: DataFrame, sources: dict[str, Column], columns: list[TypedColumn], rules: Rules, keep: list[str]) -> DataFrame:
-    """The cast of many columns as three projections, so that no value is worked out twice."""
+def _cast_steps(
+    df: DataFrame, sources: dict[str, Column], columns: list[TypedColumn], rules: Rules, keep: list[str], lost: bool = False
+) -> DataFrame:
+    """The cast of many columns as three projections, so that no value is worked out twice.
+
+    With ``lost`` the texts travel along, and a fourth projection keeps those that became null in ``LOST``.
+    """
     df = df.select(*keep, *[_text(sources[c.name], rules).alias(c.name) for c in columns])
+    risky = [c for c in columns if c.method != "text"] if lost else []
+    if risky:
+        df = df.withColumn(LOST, F.array(*[F.col(f"`{c.name}`") for c in risky]))
+        keep = [*keep, LOST]
     for step in (
         [_prepare(F.col(f"`{c.name}`"), c.method, rules).alias(c.name) for c in columns],
         [_finish(F.col(f"`{c.name}`"), c.tag, c.method, rules).alias(c.name) for c in columns],
     ):
         df = df.select(*keep, *step)
-    return df
+    return df.withColumn(LOST, _lost(risky)) if lost else df
+
+
+def _lost(columns: list[TypedColumn]) -> Column:
+    """The texts in ``LOST`` whose column is null, with column number and name; null if there is none."""
+    cells = []
+    for i, c in enumerate(columns):
+        cell = F.struct(F.lit(c.source).cast("int").alias("col_idx"), F.lit(c.name).alias("name"), F.get(LOST, F.lit(i)).alias("text"))
+        cells.append(F.when(F.get(LOST, F.lit(i)).isNotNull() & F.col(f"`{c.name}`").isNull(), cell))
+    found = F.array_compact(F.array(*cells)).cast(LOST_CELLS) if cells else F.lit(None).cast(LOST_CELLS)
+    return F.when(F.size(found) > 0, found)
+
+
+def lost_cells(typed: DataFrame, *place: str) -> DataFrame:
+    """A row for each text a cast lost: ``place``, then number and name of the column and the trimmed text."""
+    return typed.select(*place, F.explode(LOST).alias("cell")).select(*place, "cell.*")
 
 
 def typed_columns(decided: DataFrame, source: str = "name") -> list[TypedColumn]:
@@ -85,8 +114,10 @@ def cast_table(df: DataFrame, columns: Iterable[TypedColumn], rules: Rules, keep
     return _cast_steps(df, sources, columns, rules, list(keep))
 
 
-def cast_rows(rows: DataFrame, columns: Iterable[TypedColumn], rules: Rules, keep: Iterable[str] = ()) -> DataFrame:
-    """Typed projection of grid rows: each column is a position of the array."""
+def cast_rows(
+    rows: DataFrame, columns: Iterable[TypedColumn], rules: Rules, keep: Iterable[str] = (), lost: bool = False
+) -> DataFrame:
+    """Typed projection of grid rows: each column is a position of the array. ``lost`` adds the column ``LOST``."""
     columns = list(columns)
     sources = {c.name: F.get("values", F.lit(c.source)) for c in columns}
-    return _cast_steps(rows, sources, columns, rules, list(keep))
+    return _cast_steps(rows, sources, columns, rules, list(keep), lost)

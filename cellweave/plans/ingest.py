@@ -19,6 +19,8 @@ from cellweave.plans import rules as R
 from cellweave.plans.rules import Rules
 from cellweave.session import new_folder, settle
 
+# Where a lost text stood. The names are given outer underscores, which no column of a sheet has.
+LOST_PLACE = ("__path", "__sheet_idx", "__row_idx")
 CATEGORY_TABLE = "dim_client_categories"
 AUDIT_SQL_TYPES = {"created_at": "TIMESTAMP WITH TIME ZONE", "created_by": "TEXT"}
 STAGED_ROWS = 250_000
@@ -34,6 +36,7 @@ class TypedTable:
     frame: DataFrame
     sql_types: dict[str, str]
     lost_values: int = 0
+    losses: DataFrame | None = None  # the texts lost, with their place, where these are wanted and there are any
 
 
 # --- tables of untyped text -----------------------------------------------------------------------
@@ -100,8 +103,10 @@ def sheet_tables(sheets: DataFrame, counts: DataFrame, rules: Rules, within: tup
     return shape.unique_tables(settle(named.select("path", "sheet_idx", "table")), rules.cut_table_name, within)
 
 
-def typed_sheets(staged: DataFrame, rules: Rules, counts: DataFrame | None = None) -> Iterator[TypedTable]:
-    """The typed table of each sheet.
+def typed_sheets(
+    staged: DataFrame, rules: Rules, counts: DataFrame | None = None, losses: bool = False
+) -> Iterator[TypedTable]:
+    """The typed table of each sheet, with the places of lost texts if ``losses`` are wanted.
 
     ``staged`` comes from ``stage``. Decisions stream to the driver sheet by sheet, so the number
     of sheets is not bounded; each yielded frame reads one sheet only.
@@ -114,22 +119,36 @@ def typed_sheets(staged: DataFrame, rules: Rules, counts: DataFrame | None = Non
     ).orderBy("path", "sheet_idx", "col_idx")
     for _, group in groupby(ordered.toLocalIterator(), key=lambda r: (r.path, r.sheet_idx)):
         columns = list(group)
-        yield _typed_sheet(staged, columns, rules)
+        yield _typed_sheet(staged, columns, rules, losses)
 
 
-def _typed_sheet(staged: DataFrame, columns: list, rules: Rules) -> TypedTable:
+def _typed_sheet(staged: DataFrame, columns: list, rules: Rules, losses: bool) -> TypedTable:
     first = columns[0]
     key = sheet_key(F.lit(first.path), F.lit(first.sheet_idx))
     rows = staged.filter((F.col("sheet_key") == key) & (F.col("row_idx") > first.header_row))
     typed = [cast.TypedColumn(c.col_idx, c.name, c.tag, c.method) for c in columns]
-    kinds = decide.sql_types(rules)
-    return TypedTable(
-        first.path,
-        first.table,
-        cast.cast_rows(rows, typed, rules),
-        {c.name: kinds[c.tag] for c in typed},
-        sum(c.lost_values for c in columns),
-    )
+    kinds, n_lost = decide.sql_types(rules), sum(c.lost_values for c in columns)
+    frame, lost = split_losses(rows, typed, rules) if losses and n_lost else (cast.cast_rows(rows, typed, rules), None)
+    return TypedTable(first.path, first.table, frame, {c.name: kinds[c.tag] for c in typed}, n_lost, lost)
+
+
+def split_losses(
+    rows: DataFrame, columns: list[cast.TypedColumn], rules: Rules, keep: tuple[str, ...] = ()
+) -> tuple[DataFrame, DataFrame]:
+    """Cast rows once, written down with the texts lost beside the typed columns; the typed rows, and the lost texts with their place.
+
+    Each frame reads its own columns of what was written.
+    """
+    placed = rows.withColumns({p: F.col(p.strip("_")) for p in LOST_PLACE})
+    written = settle(cast.cast_rows(placed, columns, rules, [*keep, *LOST_PLACE], lost=True))
+    lost = cast.lost_cells(written, *keep, *LOST_PLACE)
+    return written.drop(*LOST_PLACE, cast.LOST), lost.withColumnsRenamed({p: p.strip("_") for p in LOST_PLACE})
+
+
+def keep_losses(lost: DataFrame, folder: str, run: Run) -> None:
+    """Store lost texts by run and table; tables a run writes again replace their own."""
+    writer = lost.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("table").parquet(f"{folder.rstrip('/')}/run_id={run.id}")
 
 
 # --- datasets with a fixed shape --------------------------------------------------------------------
@@ -174,10 +193,12 @@ def client_categories(rows: DataFrame, rules: Rules = R.CATCLIENTS) -> DataFrame
 
 # --- one dataset -------------------------------------------------------------------------------------
 
-def typed_tables(dataset: str, rows: DataFrame, counts: DataFrame | None = None) -> Iterator[TypedTable]:
+def typed_tables(
+    dataset: str, rows: DataFrame, counts: DataFrame | None = None, losses: bool = False
+) -> Iterator[TypedTable]:
     """Output tables of a dataset's grid rows. The rows should be staged."""
     if dataset in R.INFERRED:
-        yield from typed_sheets(rows, R.INFERRED[dataset], counts)
+        yield from typed_sheets(rows, R.INFERRED[dataset], counts, losses)
         return
     if dataset == "cdp":
         # Each workbook is a table of its own, with its own columns and types.
@@ -219,14 +240,16 @@ def load_dataset(
     counts: DataFrame | None = None,
     taken: dict[str, str] | None = None,
     load_id: str | None = None,
+    losses: str | None = None,
 ) -> LoadReport:
     """Write every table of a dataset with audit columns. ``load_id`` names the load to the sink, by default the run does.
+    ``losses`` names a folder that keeps the texts casts lost, with their place.
 
     A table that fails on its data is reported and the others go on. ``taken`` holds the tables this run
     has written with their file; a table another file has written is refused, never overwritten.
     """
     report, taken = LoadReport(), {} if taken is None else taken
-    for table in typed_tables(dataset, rows, counts):
+    for table in typed_tables(dataset, rows, counts, losses is not None):
         if taken.setdefault(table.name, table.path) != table.path:
             report.problems.append(f"{table.name}: already written in this run from {taken[table.name]}")
             continue
@@ -244,6 +267,8 @@ def load_dataset(
         report.rows += observed[1].get["n"] if known is None else known
         report.tables += 1
         report.lost_values += table.lost_values
+        if table.losses is not None:
+            keep_losses(table.losses.withColumn("table", F.lit(table.name)), losses, run)
     return report
 
 

@@ -46,29 +46,36 @@ def load_file(
     run: Run,
     taken: dict[str, str] | None = None,
     load_id: str | None = None,
+    losses: str | None = None,
 ) -> LoadReport:
     """Load one accepted workbook; one without any readable table raises, so that it is recorded as rejected.
 
     What the load writes down on its way is removed at its end.
     """
     with scratch_space(spark, "load"):
-        return _load_file(spark, path, dataset, sink, run, taken, load_id)
+        return _load_file(spark, path, dataset, sink, run, taken, load_id, losses)
 
 
 def _load_file(
-    spark: SparkSession, path: str, dataset: str, sink, run: Run, taken: dict[str, str] | None, load_id: str | None
+    spark: SparkSession,
+    path: str,
+    dataset: str,
+    sink,
+    run: Run,
+    taken: dict[str, str] | None,
+    load_id: str | None,
+    losses: str | None,
 ) -> LoadReport:
-    sheets = settle(list_sheets(spark, literal_path(path)).withColumn("path", F.lit(path)))
+    sheets = settle(list_sheets(spark, literal_path(path), first_only=dataset == "cdp").withColumn("path", F.lit(path)))
     problem = sheets.filter("error is not null").select("error").first()
     if problem:
         raise ValueError(problem.error)
-    wanted = sheets.filter("sheet_idx = 0") if dataset == "cdp" else sheets
     counts = sheets.groupBy("path").agg(F.max("n_sheets").alias("n_sheets"))
-    staged, _ = stage(decode_sheets(wanted, report_errors=True))
+    staged, _ = stage(decode_sheets(sheets, report_errors=True))
     broken = staged.filter(F.col("row_idx") == BROKEN_ROW).select("sheet_idx", "sheet", F.get("values", F.lit(0)).alias("why"))
     broken = broken.orderBy("sheet_idx").collect()  # at most a row for each sheet of the workbook
     sound = staged.filter(~F.col("sheet_idx").isin(*[r.sheet_idx for r in broken])) if broken else staged
-    report = load_dataset(dataset, sound, sink, run, counts, taken, load_id)
+    report = load_dataset(dataset, sound, sink, run, counts, taken, load_id, losses)
     report.problems[:0] = [f"{r.sheet}: {r.why}" for r in broken]
     if report.problems and not report.tables:
         raise ValueError("; ".join(report.problems))
@@ -84,12 +91,14 @@ def run_once(
     arrivals: DataFrame | None = None,
     store: str | None = None,
     repeatable: bool = False,
+    losses: str | None = None,
 ) -> DataFrame:
     """Gate, load and record. One file's failure does not stop the others, nor does one sheet's.
 
     With ``store`` the outcomes are kept in that folder, one part for each run, and nothing else of the run stays; without
     it the returned frame reads the decisions in the shared folder. A fault of the cluster rather than of a file ends the
     run. A ``repeatable`` run names loads by the files' versions, so that a sink that publishes takes each version once.
+    ``losses`` names a folder that keeps, by run and table, each text a cast lost, with its place.
 
     Accepted files are at most the files the contract lists, so a record for each on the driver is bounded by the contract. Workbooks
     of one dataset whose types are inferred load together (``together``), the others one after another, groups by
@@ -106,7 +115,7 @@ def run_once(
     gated.write.parquet(folder)
     decided = spark.read.schema(gated.schema).parquet(folder)
     try:
-        records = _outcomes(spark, decided, sink, run, repeatable, outcomes.taken(spark, store, run.id) if store else None)
+        records = _outcomes(spark, decided, sink, run, repeatable, outcomes.taken(spark, store, run.id) if store else None, losses)
         return outcomes.append(records, store, run.id) if store else records
     finally:
         contract.unpersist()
@@ -115,13 +124,13 @@ def run_once(
 
 
 def _load(
-    spark: SparkSession, dataset: str, loads: dict[str, str | None], sink, run: Run, taken: dict[str, str]
+    spark: SparkSession, dataset: str, loads: dict[str, str | None], sink, run: Run, taken: dict[str, str], losses: str | None = None
 ) -> dict[str, FileResult]:
     """Load the files of a dataset together, or one after another if one of them spoils the load of all."""
     if len(loads) > 1:
         tried = dict(taken)
         try:
-            results = load_together(spark, dataset, loads, sink, run, tried)
+            results = load_together(spark, dataset, loads, sink, run, tried, losses)
             taken.update(tried)
             return results
         except (ValueError, PySparkException) as error:
@@ -131,7 +140,7 @@ def _load(
     for path, load_id in loads.items():
         started, result = time.perf_counter(), FileResult(LoadReport())
         try:
-            result.report = load_file(spark, path, dataset, sink, run, taken, load_id)
+            result.report = load_file(spark, path, dataset, sink, run, taken, load_id, losses)
         except (ValueError, PySparkException) as error:
             if not is_data_error(error):
                 raise
@@ -142,7 +151,7 @@ def _load(
 
 
 def _outcomes(
-    spark: SparkSession, decided: DataFrame, sink, run: Run, repeatable: bool, taken_dests: DataFrame | None
+    spark: SparkSession, decided: DataFrame, sink, run: Run, repeatable: bool, taken_dests: DataFrame | None, losses: str | None
 ) -> DataFrame:
     """Load the accepted files; the records of all files."""
     results, taken = [], {}
@@ -152,7 +161,7 @@ def _outcomes(
         groups.setdefault((f.dataset, has_scheme(f.path)) if f.dataset in R.INFERRED else (f.path,), []).append(f)
     for files in groups.values():
         loads = {f.path: version_id(f.path, f.mtime, f.length) if repeatable else None for f in files}
-        for path, result in _load(spark, files[0].dataset, loads, sink, run, taken).items():
+        for path, result in _load(spark, files[0].dataset, loads, sink, run, taken, losses).items():
             if result.error:
                 results.append((path, None, result.seconds, f"ETL failed: {cause(result.error)}", None))
             else:

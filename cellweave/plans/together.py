@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from cellweave.operators import cast, decide, shape
 from cellweave.operators.audit import Run, with_audit
 from cellweave.plans import rules as R
-from cellweave.plans.ingest import AUDIT_SQL_TYPES, LoadReport, cause, decide_sheets, is_data_error, sheet_key, sheet_tables, stage
+from cellweave.plans.ingest import AUDIT_SQL_TYPES, LoadReport, cause, decide_sheets, is_data_error, keep_losses, sheet_key, sheet_tables, split_losses, stage
 from cellweave.plans.rules import Rules
 from cellweave.session import new_folder, scratch_space, settle
 from cellweave.sinks.tables import hand_over
@@ -52,20 +52,21 @@ def load_together(
     sink,
     run: Run,
     taken: dict[str, str] | None = None,
+    losses: str | None = None,
 ) -> dict[str, FileResult]:
     """Load the workbooks, given as path and id of its load (None: the run's).
 
-    The paths all have a scheme, or none of them has. ``taken`` is as in ``load_dataset``; of workbooks whose tables have the
+    The paths all have a scheme, or none of them has. ``taken`` and ``losses`` are as in ``load_dataset``; of workbooks whose tables have the
     same name the first by path has it. A file's seconds are those from the start of the load to its last table.
     """
     if len({has_scheme(p) for p in files}) > 1:
         raise ValueError("paths with a scheme and paths without one cannot be loaded together")
     with scratch_space(spark, "together"):
-        return _load_together(spark, R.INFERRED[dataset], files, sink, run, {} if taken is None else taken)
+        return _load_together(spark, R.INFERRED[dataset], files, sink, run, {} if taken is None else taken, losses)
 
 
 def _load_together(
-    spark: SparkSession, rules: Rules, files: dict[str, str | None], sink, run: Run, taken: dict[str, str]
+    spark: SparkSession, rules: Rules, files: dict[str, str | None], sink, run: Run, taken: dict[str, str], losses: str | None
 ) -> dict[str, FileResult]:
     started = time.perf_counter()
     results = {path: FileResult(LoadReport()) for path in files}
@@ -96,7 +97,7 @@ def _load_together(
         layouts = settle(layouts.join(spark.createDataFrame(refused, "sheet_key string"), "sheet_key", "left_anti"))
 
     folder = new_folder(spark, "tables")
-    written = _write_layouts(staged, layouts, rules, run, folder)
+    written = _write_layouts(staged, layouts, rules, run, folder, losses)
     counts = _table_rows(spark, folder) if written else {}
     for t in planned:
         result, (schema, types) = results[t.path], written[t.layout]
@@ -136,14 +137,22 @@ def sheet_layouts(rows: DataFrame, sheets: DataFrame, rules: Rules) -> DataFrame
     return settle(named)
 
 
-def _write_layouts(staged: DataFrame, layouts: DataFrame, rules: Rules, run: Run, folder: str) -> dict[str, tuple]:
+def _write_layouts(
+    staged: DataFrame, layouts: DataFrame, rules: Rules, run: Run, folder: str, losses: str | None
+) -> dict[str, tuple]:
     """Write the tables of each layout into a folder of its own; schema and SQL types of each layout."""
     kinds, written = decide.sql_types(rules), {}
-    for form in layouts.select("layout", "columns").dropDuplicates(["layout"]).toLocalIterator():
+    forms = layouts.groupBy("layout").agg(F.first("columns").alias("columns"), F.sum("lost_values").alias("n_lost"))
+    for form in forms.toLocalIterator():
         columns = [cast.TypedColumn(c.col_idx, c.name, c.tag, c.method) for c in form.columns]
         members = layouts.filter(F.col("layout") == form.layout).select("sheet_key", "header_row", F.col("table").alias(TABLE))
         body = staged.join(members, "sheet_key").filter(F.col("row_idx") > F.col("header_row"))
-        audited = with_audit(cast.cast_rows(body, columns, rules, keep=(TABLE,)), run)
+        if losses and form.n_lost:
+            typed, lost = split_losses(body, columns, rules, keep=(TABLE,))
+            keep_losses(lost.withColumnRenamed(TABLE, "table"), losses, run)
+        else:
+            typed = cast.cast_rows(body, columns, rules, keep=(TABLE,))
+        audited = with_audit(typed, run)
         audited.write.partitionBy(TABLE).parquet(f"{folder}/layout={form.layout}")
         types = {**{c.name: kinds[c.tag] for c in columns}, **AUDIT_SQL_TYPES}
         written[form.layout] = (audited.drop(TABLE).schema, types)

@@ -37,22 +37,20 @@ _RELATION = "{http://schemas.openxmlformats.org/officeDocument/2006/relationship
 
 def read_workbooks(spark: SparkSession, paths: list[str] | str, first_sheet_only: bool = False) -> DataFrame:
     """All sheets of the workbooks as grid rows. A file that cannot be opened fails the read with its reason."""
-    sheets = list_sheets(spark, paths)
+    sheets = list_sheets(spark, paths, first_sheet_only)
     reason = F.concat_ws(": ", "path", "error")
     sheets = sheets.withColumn("path", F.when(F.col("error").isNull(), F.col("path")).otherwise(F.raise_error(reason)))
-    if first_sheet_only:
-        sheets = sheets.filter("sheet_idx = 0")
     return decode_sheets(sheets)
 
 
-def list_sheets(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """One record per sheet, or one with an error for a file that cannot be opened."""
-    return open_workbooks(spark.read.format("binaryFile").load(paths))
+def list_sheets(spark: SparkSession, paths: list[str] | str, first_only: bool = False) -> DataFrame:
+    """One record per sheet, or one with an error for a file that cannot be opened. ``first_only`` unpacks no sheet but the first."""
+    return open_workbooks(spark.read.format("binaryFile").load(paths), first_only)
 
 
-def open_workbooks(files: DataFrame) -> DataFrame:
+def open_workbooks(files: DataFrame, first_only: bool = False) -> DataFrame:
     """Sheets of the workbooks held in a frame with columns ``path`` and ``content``."""
-    return files.select("path", "content").mapInPandas(_open_workbooks, SHEETS)
+    return files.select("path", "content").mapInPandas(lambda batches: _open_workbooks(batches, first_only), SHEETS)
 
 
 def decode_sheets(sheets: DataFrame, report_errors: bool = False) -> DataFrame:
@@ -67,12 +65,12 @@ def decode_sheets(sheets: DataFrame, report_errors: bool = False) -> DataFrame:
     )
 
 
-def _open_workbooks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _open_workbooks(batches: Iterator[pd.DataFrame], first_only: bool) -> Iterator[pd.DataFrame]:
     names = [c.split()[0] for c in SHEETS.split(", ")]
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
             try:
-                for record in _sheets_of(path, content):
+                for record in _sheets_of(path, content, first_only):
                     yield pd.DataFrame([record], columns=names)
             except Exception as e:
                 failed = [path, None, None, 0, None, None, None, None, f"{type(e).__name__}: {e}"]
@@ -83,7 +81,7 @@ def _tag(element) -> str:
     return element.tag.rpartition("}")[2]
 
 
-def _sheets_of(path: str, content: bytes) -> Iterator[list]:
+def _sheets_of(path: str, content: bytes, first_only: bool = False) -> Iterator[list]:
     with zipfile.ZipFile(io.BytesIO(content)) as z:
         entries = set(z.namelist())
         book = ElementTree.fromstring(z.read("xl/workbook.xml"))
@@ -93,7 +91,7 @@ def _sheets_of(path: str, content: bytes) -> Iterator[list]:
         strings = _packed(z, "xl/sharedStrings.xml") if "xl/sharedStrings.xml" in entries else None
         styles = _date_styles(z.read("xl/styles.xml")) if "xl/styles.xml" in entries else []
         sheets = [e for e in book.iter() if _tag(e) == "sheet"]
-        for i, sheet in enumerate(sheets):
+        for i, sheet in enumerate(sheets[:1] if first_only else sheets):
             target = targets[sheet.get(_RELATION)]
             part = target.lstrip("/") if target.startswith("/") else "xl/" + target
             yield [path, sheet.get("name"), i, len(sheets), _packed(z, part), strings, styles, date1904, None]

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from cellweave.operators import audit, gate
-from cellweave.plans import runner, together
+from cellweave.plans import ingest, runner, together
+from cellweave.plans import rules as R
 from cellweave.sinks.published import PublishedSink
 from cellweave.sinks.tables import FolderSink, TableSink
 from tests.test_runs import cut_short
@@ -139,3 +140,44 @@ def test_mixed_paths_are_loaded_in_two_groups(spark, tmp_path):
         together.load_together(spark, "rpa", dict.fromkeys(paths), None, audit.Run(user="u"))
     got = run_all(spark, paths, FolderSink(str(tmp_path / "out")))
     assert got == {f"{n}.xlsx": ("Loaded", None, 2) for n in "abcd"}
+
+
+def lost_in(spark, folder):
+    names = ["run_id", "table", "sheet_idx", "row_idx", "col_idx", "name", "text"]
+    return sorted(tuple(r) for r in spark.read.parquet(folder).select(*names).collect())
+
+
+def test_lost_texts_are_kept_with_their_place(spark, tmp_path, monkeypatch):
+    body = [["Nom", "Heures"], ["x", 1.5], ["y", " rien "], ["z", 2]]
+    paths = put(tmp_path, {"perdu.xlsx": workbook({"Un": body, "Deux": hours(3)}), "autre.xlsx": workbook({"s": body[:3]})})
+    want = [("r1", "autre", 0, 2, 1, "heures", "rien"), ("r1", "perdu__un", 0, 2, 1, "heures", "rien")]
+    for way in ("together", "one by one"):
+        folder = str(tmp_path / way / "lost")
+        for _ in range(2):
+            sink = FolderSink(str(tmp_path / way / "out"))
+            got = run_all(spark, paths, sink, losses=folder)
+            assert got == {"perdu.xlsx": ("Loaded", "1 values lost", 6), "autre.xlsx": ("Loaded", "1 values lost", 2)}
+        assert lost_in(spark, folder) == want
+        table = spark.read.parquet(f"{sink.root}/perdu__un")
+        assert table.columns == ["nom", "heures", "created_at", "created_by"]
+        assert sorted((r.nom, r.heures) for r in table.collect()) == [("x", 1.5), ("y", None), ("z", 2.0)]
+
+        def spoilt(*args):
+            raise ValueError("spoilt")
+
+        monkeypatch.setattr(runner, "load_together", spoilt)
+
+
+def test_as_many_texts_are_lost_as_the_profile_says(spark, grid):
+    texts = ["12", "1 234,5", "13/02/2025", "31/02/2025", "2025-01-06", "2025-13-01", "oui", "NON", "peut-être", "0", "", " ", "inf", "45000", "1e400", None]
+    body = [[f"n{i}", *[t if (i + k) % 9 else "x" for k, t in enumerate([texts[i % len(texts)]] * 3)], "13/02/2025" if i % 20 else "?", str(i) if i % 20 else "?", "oui" if i % 20 else "?"] for i in range(120)]
+    rows, _ = ingest.stage(grid({"s": [["Nom", "Date début", "Montant", "Heures", "Échéance", "Budget", "Retour"], *body]}))
+    for rules in R.INFERRED.values():
+        (table,) = ingest.typed_sheets(rows, rules, losses=True)
+        n = 0 if table.losses is None else table.losses.count()
+        assert n == table.lost_values
+        if n:
+            cells = {(r.name, r.row_idx): r.text for r in table.losses.collect()}
+            assert len(cells) == n and all(t is not None for t in cells.values())
+            plan = table.losses._jdf.queryExecution().executedPlan().toString()
+            assert "echeance" not in plan.split("ReadSchema")[-1].split("__lost")[0]

@@ -1,5 +1,6 @@
 from datetime import date, datetime
 
+from cellweave.sources import workbook as source
 from cellweave.sources.delimited import read_delimited
 from cellweave.sources.workbook import decode_sheets, list_sheets, read_workbooks
 from workloads.books import workbook
@@ -37,6 +38,16 @@ def test_sheets_and_first_sheet(spark, tmp_path):
     assert sheets.select("n_sheets").distinct().collect()[0][0] == 3 and sheets.count() == 9
 
 
+def test_first_sheet_only_unpacks_no_other(monkeypatch):
+    content, packed = workbook({"Un": [["a"]], "Deux": [["b"]], "Trois": [["c"]]}), []
+    original = source._packed
+    monkeypatch.setattr(source, "_packed", lambda z, name: packed.append(name) or original(z, name))
+    assert [(r[1], r[3]) for r in source._sheets_of("p", content, first_only=True)] == [("Un", 3)]
+    assert packed == ["xl/sharedStrings.xml", "xl/worksheets/sheet1.xml"]
+    packed.clear()
+    assert len(list(source._sheets_of("p", content))) == 3 and len(packed) == 4
+
+
 def test_unreadable_file_is_reported(spark, tmp_path):
     write(tmp_path, "old.xls", b"\xd0\xcf\x11\xe0 not a zip")
     write(tmp_path, "ok.xlsx", {"s": [["a"]]})

@@ -66,7 +66,7 @@ def s01(spark, sf):
 
 
 def s02(spark, sf):
-    return _wide(decode_sheets(open_workbooks(books(spark, sf)).filter("sheet_idx = 0")))
+    return _wide(decode_sheets(open_workbooks(books(spark, sf), first_only=True)))
 
 
 QUERIES["s01_workbook_sheets"] = s01
