@@ -87,11 +87,11 @@ def _cast_steps(
 
 
 def _lost(columns: list[TypedColumn]) -> Column:
-    """The texts in ``LOST`` whose column is null, with column number and name; null if there is none."""
+    """The texts in ``LOST`` whose column is null, with column number and name; null if there is none. A blank is no text."""
     cells = []
     for i, c in enumerate(columns):
         cell = F.struct(F.lit(c.source).cast("int").alias("col_idx"), F.lit(c.name).alias("name"), F.get(LOST, F.lit(i)).alias("text"))
-        cells.append(F.when(F.get(LOST, F.lit(i)).isNotNull() & F.col(f"`{c.name}`").isNull(), cell))
+        cells.append(F.when((F.get(LOST, F.lit(i)) != "") & F.col(f"`{c.name}`").isNull(), cell))
     found = F.array_compact(F.array(*cells)).cast(LOST_CELLS) if cells else F.lit(None).cast(LOST_CELLS)
     return F.when(F.size(found) > 0, found)
 
