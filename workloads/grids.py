@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from cellweave.functions import text
 from cellweave.operators import dedupe, profile, shape
 from cellweave.plans import ingest
 from cellweave.plans import rules as R
+from cellweave.session import new_folder
+from cellweave.sinks.keyed import KeyedTable
 from cellweave.sources.table import table_cells, table_rows
 from workloads.columns import SQL_OUTCOME, sql_chain, sql_profile
 from workloads.base import derive, french, plain_sql, q, scan, sql_fold, sql_has_any, sql_na, sql_snake, sql_trim
@@ -304,6 +308,20 @@ def d01(spark, sf):
     return dedupe.dedupe_labels(derive(spark, sf, LABELS), ["sheet_idx", "row_idx"])
 
 
+@add(
+    "d01b_labels_over_loads",
+    f"SELECT libelle, categorie, sheet_idx, row_idx FROM ({plain_sql(LABELS)}) QUALIFY row_number() OVER (PARTITION BY libelle {_ORDER}) = 1",
+)
+def d01b(spark, sf):
+    """Labels of three loads, one of them twice, merged into a stored table; as if they had come at once."""
+    labels = derive(spark, sf, LABELS).withColumn("uncategorised", ~F.coalesce(F.length("categorie") > 0, F.lit(False)))
+    name = f"labels_{uuid.uuid4().hex}"
+    table = KeyedTable(name, new_folder(spark, "keyed"), ("libelle",), ("uncategorised", "sheet_idx", "row_idx"), buckets=8)
+    for number, part in ((1, 0), (2, 1), (2, 1), (3, 2)):
+        table.upsert(labels.filter(c("row_idx") % 3 == part), number)
+    return table.read(spark).drop("uncategorised")
+
+
 @add(
     "d02_dedupe_by_position",
     f"SELECT libelle, sheet_idx, row_idx FROM ({plain_sql(LABELS)}) "
