@@ -26,9 +26,9 @@ GRACE_SECONDS = 2.0
 def decide_arrivals(
     spark: SparkSession, contract: DataFrame, folders: Iterable[str], grace: float = GRACE_SECONDS
 ) -> DataFrame:
-    """List the folders twice, ``grace`` seconds apart, and gate what is there."""
+    """List the folders twice, ``grace`` seconds apart, and gate what is there. The first listing is written down."""
     folders = list(folders)
-    first = list_arrivals(spark, folders)  # listed here and now, not when the frame is read
+    first = settle(list_arrivals(spark, folders))  # listed here and now, not when the frame is read
     time.sleep(grace)
     return gate.gate(gate.stability(first, list_arrivals(spark, folders)), contract)
 
@@ -106,13 +106,14 @@ def run_once(
     """
     run = run or Run()
     contract = contract.persist()
-    if arrivals is None:
-        folders = [r.parent for r in gate.watched_folders(contract).orderBy("parent").toLocalIterator()]
-        gated = decide_arrivals(spark, contract, folders, grace)
-    else:
-        gated = gate.gate(arrivals, contract)
     folder = new_folder(spark, "decided")
-    gated.write.parquet(folder)
+    with scratch_space(spark, "listed"):
+        if arrivals is None:
+            folders = [r.parent for r in gate.watched_folders(contract).orderBy("parent").toLocalIterator()]
+            gated = decide_arrivals(spark, contract, folders, grace)
+        else:
+            gated = gate.gate(arrivals, contract)
+        gated.write.parquet(folder)
     decided = spark.read.schema(gated.schema).parquet(folder)
     try:
         records = _outcomes(spark, decided, sink, run, repeatable, outcomes.taken(spark, store, run.id) if store else None, losses)

@@ -6,11 +6,12 @@ from collections.abc import Iterable, Iterator
 from typing import Any
 
 import pandas as pd
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from cellweave.sources.listing import list_folders, qualified
+
 STATE = "length long, mtime long, since long, released boolean"
 FOUND = "path string, length long, mtime long, listed_at long"
 # A path that has not been listed for so long is forgotten.
@@ -23,25 +24,11 @@ def listing_stream(spark: SparkSession, folders: Iterable[str]) -> DataFrame:
     A clock gives one row a batch, and a task lists a folder. Folders without scheme are those of Spark's
     default file system; paths are written like their folders. A folder that is missing is empty.
     """
-    conf = spark._jsc.hadoopConfiguration()
-    named = []
-    for folder in folders:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        named.append((folder, path.getFileSystem(conf).makeQualified(path).toString()))
+    named = qualified(spark, folders)
     places = F.array(*[F.struct(F.lit(n).alias("folder"), F.lit(u).alias("uri")) for n, u in named])
     clock = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1).load()
     each = clock.select(F.inline(places)).repartition(max(1, len(named)), "folder")
-    listed = each.mapInPandas(_list, "path string, length long, mtime long")
-    return listed.select("path", "length", F.timestamp_micros("mtime").alias("mtime"), F.current_timestamp().alias("listed_at"))
-
-
-def _list(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for folder, uri in zip(batch["folder"], batch["uri"], strict=True):
-            system, root = fs.FileSystem.from_uri(uri.replace("file:/", "file:///", 1) if not uri.startswith("file:///") else uri)
-            found = system.get_file_info(fs.FileSelector(root, allow_not_found=True))
-            files = [(f"{folder.rstrip('/')}/{f.base_name}", f.size, f.mtime_ns // 1000) for f in found if f.is_file]
-            yield pd.DataFrame(files, columns=["path", "length", "mtime"])
+    return list_folders(each).select("path", "length", F.timestamp_micros("mtime").alias("mtime"), F.current_timestamp().alias("listed_at"))
 
 
 def stable_files(listings: DataFrame, grace: float, forget: float | None = None) -> DataFrame:

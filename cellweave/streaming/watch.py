@@ -13,7 +13,7 @@ from pyspark.sql.types import BinaryType, LongType, StringType, StructField, Str
 from cellweave.operators import gate
 from cellweave.operators.audit import Run
 from cellweave.plans.runner import GRACE_SECONDS, run_once, update_manifest
-from cellweave.session import new_folder, remove, scratch_space
+from cellweave.session import new_folder, remove, scratch_space, settle
 from cellweave.sources.listing import child_folders, list_arrivals
 from cellweave.streaming.stable import FORGET_SECONDS, listing_stream, stable_files
 
@@ -75,22 +75,23 @@ def run_on_changes(
     def listing() -> DataFrame:
         return list_arrivals(spark, folders).filter(~gate.is_ignored_by_watch(F.col("name")))
 
-    arrivals = listing()
     versions = sorted(int(v) for v in child_folders(spark, f"{state}/manifest"))
     last = f"{state}/manifest/{versions[-1]}" if versions else None
     known = spark.read.schema(MANIFEST).parquet(last) if last else spark.createDataFrame([], MANIFEST)
-    changed = gate.new_or_updated(arrivals, known)
-    if changed.isEmpty():
+    if gate.new_or_updated(listing(), known).isEmpty():
         return None
-    time.sleep(grace)
-    checked = gate.stability(changed, listing())
-    after = versions[-1] + 1 if versions else 0
-    run = run or Run(id=f"poll-{after}")
-    records = run_once(spark, contract, sink, run, arrivals=checked, store=f"{state}/outcomes", repeatable=True)
-    waiting = gate.gate(checked, contract).filter(F.col("decision") == gate.DEFER)
-    seen = arrivals.join(waiting, "path", "left_anti")
-    # A poll that broke while it wrote the manifest has left a part of it under this number.
-    update_manifest(known, seen, run).write.mode("overwrite").parquet(f"{state}/manifest/{after}")
+    with scratch_space(spark, "poll"):
+        arrivals = settle(listing())
+        changed = gate.new_or_updated(arrivals, known)
+        time.sleep(grace)
+        checked = settle(gate.stability(changed, listing()))
+        after = versions[-1] + 1 if versions else 0
+        run = run or Run(id=f"poll-{after}")
+        records = run_once(spark, contract, sink, run, arrivals=checked, store=f"{state}/outcomes", repeatable=True)
+        waiting = gate.gate(checked, contract).filter(F.col("decision") == gate.DEFER)
+        seen = arrivals.join(waiting, "path", "left_anti")
+        # A poll that broke while it wrote the manifest has left a part of it under this number.
+        update_manifest(known, seen, run).write.mode("overwrite").parquet(f"{state}/manifest/{after}")
     for old in versions[:-1]:
         remove(spark, f"{state}/manifest/{old}")
     return records

@@ -315,3 +315,31 @@ def test_a_second_run_in_the_same_minute_gets_the_next_name(spark, tmp_path, tmp
         run_once(spark, contract, FolderSink(out), audit.Run(id=run_id, at=at, user="u"), grace=0.0, store=store)
     names = {r.run_id: os.path.basename(r.dest) for r in outcomes.read(spark, store).collect()}
     assert names == {"r1": "a.xlsx", "r2": "a__1.xlsx", "r3": "a__2.xlsx"}
+
+
+def test_folders_are_listed_in_tasks(spark, tmp_path):
+    """Names with spaces, accents and signs of URIs, dot-files and empty files; no file passes through the driver."""
+    rooms = [tmp_path / n for n in ("Mes fichiers", "été 100%", "a#b?c", "vide")]
+    for i, room in enumerate(rooms):
+        room.mkdir()
+        for k in range(i % 3 + 1 if i < 3 else 0):
+            (room / f"pièce {k}%20.xlsx").write_bytes(b"x" * k)
+        (room / "dossier").mkdir()
+    (rooms[0] / ".caché").write_bytes(b"")
+    os.utime(rooms[0] / ".caché", (1_700_000_000, 1_700_000_000.123456))
+    found = list_arrivals(spark, [*map(str, rooms), str(tmp_path / "absent"), f"file:{rooms[2]}"])
+    plan = found._jdf.queryExecution().toString()
+    assert "MapInPandas" in plan and "Scan ExistingRDD[folder" in plan
+    got = {r.path: (r.name, r.parent, r.ext, r.length) for r in found.collect()}
+    want = {}
+    for room in rooms:
+        for f in room.iterdir():
+            if f.is_file():
+                want[str(f)] = (f.name, str(room), "" if f.name.startswith(".") else ".xlsx", f.stat().st_size)
+    for f in rooms[2].iterdir():
+        if f.is_file():
+            want[f"file:{f}"] = (f.name, f"file:{rooms[2]}", ".xlsx", f.stat().st_size)
+    assert got == want
+    at = found.filter(F.col("name") == ".caché").select(F.unix_millis("mtime").alias("t")).first().t
+    assert at == 1_700_000_000_123
+    assert list_arrivals(spark, []).count() == 0

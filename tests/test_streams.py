@@ -3,6 +3,7 @@
 import os
 import time
 from datetime import datetime, timedelta
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import PythonException
@@ -109,9 +110,10 @@ def test_a_poll_waits_for_a_file_that_grows(spark, tmp_path, monkeypatch):
     whole = workbook({"s": HOURS})
     path.write_bytes(whole[:100])
     contract, sink = contract_of(spark, RPA=path), FolderSink(str(tmp_path / "out"))
-    monkeypatch.setattr(watch.time, "sleep", lambda seconds: path.write_bytes(whole))
+    # The poll's own sleep alone: threads of the session sleep as well.
+    monkeypatch.setattr(watch, "time", SimpleNamespace(sleep=lambda seconds: path.write_bytes(whole)))
     assert watch.run_on_changes(spark, contract, sink, state).count() == 0
-    monkeypatch.setattr(watch.time, "sleep", lambda seconds: None)
+    monkeypatch.setattr(watch, "time", SimpleNamespace(sleep=lambda seconds: None))
     assert [r.rows for r in watch.run_on_changes(spark, contract, sink, state).collect()] == [28]
     assert watch.run_on_changes(spark, contract, sink, state) is None
 
