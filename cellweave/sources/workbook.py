@@ -11,7 +11,8 @@ import io
 import re
 import zipfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from datetime import datetime, timedelta
 from xml.etree import ElementTree
 
@@ -81,43 +82,72 @@ def _tag(element) -> str:
     return element.tag.rpartition("}")[2]
 
 
+@dataclass
+class Book:
+    """What a workbook says of its sheets: name and part of each, and what their cells need to be read."""
+
+    sheets: list[tuple[str, str]]
+    strings: str | None
+    styles: list[int]
+    date1904: bool
+
+
+def read_book(z: zipfile.ZipFile) -> Book:
+    entries = set(z.namelist())
+    book = ElementTree.fromstring(z.read("xl/workbook.xml"))
+    relations = ElementTree.fromstring(z.read("xl/_rels/workbook.xml.rels"))
+    targets = {r.get("Id"): r.get("Target") for r in relations}
+    sheets = []
+    for sheet in (e for e in book.iter() if _tag(e) == "sheet"):
+        target = targets[sheet.get(_RELATION)]
+        sheets.append((sheet.get("name"), target.lstrip("/") if target.startswith("/") else "xl/" + target))
+    return Book(
+        sheets,
+        "xl/sharedStrings.xml" if "xl/sharedStrings.xml" in entries else None,
+        _date_styles(z.read("xl/styles.xml")) if "xl/styles.xml" in entries else [],
+        any(_tag(e) == "workbookPr" and e.get("date1904") in ("1", "true") for e in book.iter()),
+    )
+
+
 def _sheets_of(path: str, content: bytes, first_only: bool = False) -> Iterator[list]:
     with zipfile.ZipFile(io.BytesIO(content)) as z:
-        entries = set(z.namelist())
-        book = ElementTree.fromstring(z.read("xl/workbook.xml"))
-        relations = ElementTree.fromstring(z.read("xl/_rels/workbook.xml.rels"))
-        targets = {r.get("Id"): r.get("Target") for r in relations}
-        date1904 = any(_tag(e) == "workbookPr" and e.get("date1904") in ("1", "true") for e in book.iter())
-        strings = _packed(z, "xl/sharedStrings.xml") if "xl/sharedStrings.xml" in entries else None
-        styles = _date_styles(z.read("xl/styles.xml")) if "xl/styles.xml" in entries else []
-        sheets = [e for e in book.iter() if _tag(e) == "sheet"]
-        for i, sheet in enumerate(sheets[:1] if first_only else sheets):
-            target = targets[sheet.get(_RELATION)]
-            part = target.lstrip("/") if target.startswith("/") else "xl/" + target
-            yield [path, sheet.get("name"), i, len(sheets), _packed(z, part), strings, styles, date1904, None]
+        book = read_book(z)
+        strings = _packed(z, book.strings) if book.strings else None
+        for i, (name, part) in enumerate(book.sheets[:1] if first_only else book.sheets):
+            yield [path, name, i, len(book.sheets), _packed(z, part), strings, book.styles, book.date1904, None]
 
 
-def _packed(z: zipfile.ZipFile, name: str) -> bytes:
-    """A part of the zip, compressed by itself; never held unpacked."""
-    packer, out = zlib.compressobj(), []
+def unpacked(z: zipfile.ZipFile, name: str) -> Iterator[bytes]:
+    """A part of the zip, unpacked a chunk at a time and no further than it is read."""
     with z.open(name) as part:
         while chunk := part.read(CHUNK_BYTES):
-            out.append(packer.compress(chunk))
-    return b"".join([*out, packer.flush()])
+            yield chunk
 
 
-def _elements(packed: bytes, name: str) -> Iterator:
-    """Stream the elements of one name out of a packed part, dropping each once it is used."""
-    parser, unpacker = ElementTree.XMLPullParser(("start", "end")), zlib.decompressobj()
-    parents: list = []
+def _packed(z: zipfile.ZipFile, name: str) -> bytes:
+    """A part of the zip, compressed by itself; never held unpacked."""
+    packer = zlib.compressobj()
+    return b"".join([*map(packer.compress, unpacked(z, name)), packer.flush()])
+
+
+def _inflated(packed: bytes) -> Iterator[bytes]:
+    unpacker = zlib.decompressobj()
     waiting, at = b"", 0
     while not unpacker.eof:
         if not waiting:
             waiting, at = packed[at : at + CHUNK_BYTES], at + CHUNK_BYTES
             if not waiting:
                 raise ValueError("a part of the workbook ends early")
-        parser.feed(unpacker.decompress(waiting, CHUNK_BYTES))
+        yield unpacker.decompress(waiting, CHUNK_BYTES)
         waiting = unpacker.unconsumed_tail
+
+
+def elements(chunks: Iterable[bytes], name: str) -> Iterator:
+    """Stream the elements of one name out of a part, dropping each once it is used."""
+    parser = ElementTree.XMLPullParser(("start", "end"))
+    parents: list = []
+    for chunk in chunks:
+        parser.feed(chunk)
         for event, e in parser.read_events():
             if event == "start":
                 parents.append(e)
@@ -145,7 +175,22 @@ def _date_styles(xml: bytes) -> list[int]:
 
 
 def _shared_strings(packed: bytes | None) -> list[str]:
-    return [] if packed is None else [_rich_text(e) for e in _elements(packed, "si")]
+    return [] if packed is None else [_rich_text(e) for e in elements(_inflated(packed), "si")]
+
+
+class SharedStrings:
+    """The shared strings of a workbook, read as far as a cell has asked for them."""
+
+    def __init__(self, chunks: Iterable[bytes]) -> None:
+        self._items, self._known = elements(chunks, "si"), []
+
+    def __getitem__(self, i: int) -> str:
+        while i >= len(self._known):
+            item = next(self._items, None)
+            if item is None:
+                raise IndexError(f"no shared string {i}")
+            self._known.append(_rich_text(item))
+        return self._known[i]
 
 
 def _rich_text(item) -> str:
@@ -168,7 +213,7 @@ def _decode(batches: Iterator[pd.DataFrame], report_errors: bool) -> Iterator[pd
 def _decode_sheet(s) -> Iterator[pd.DataFrame]:
     strings, styles = _shared_strings(s.strings), set(s.date_styles)
     rows = []
-    for row_idx, values in _sheet_rows(s.part, strings, styles, s.date1904):
+    for row_idx, values in sheet_rows(_inflated(s.part), strings, styles, s.date1904):
         rows.append((s.path, s.sheet, s.sheet_idx, row_idx, values))
         if len(rows) >= BATCH_ROWS:
             yield _frame(rows)
@@ -181,10 +226,10 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["path", "sheet", "sheet_idx", "row_idx", "values"])
 
 
-def _sheet_rows(packed: bytes, strings: list[str], styles: set[int], date1904: bool):
+def sheet_rows(chunks: Iterable[bytes], strings: list[str] | SharedStrings, styles: set[int], date1904: bool):
     """Stream (row index, values) out of a sheet; gaps in a row become null."""
     next_row = 0
-    for e in _elements(packed, "row"):
+    for e in elements(chunks, "row"):
         row = int(e.get("r", next_row + 1)) - 1
         next_row = row + 1
         values: list[str | None] = []
@@ -205,7 +250,7 @@ def _column(reference: str) -> int:
     return n - 1
 
 
-def _cell_text(cell, strings: list[str], styles: set[int], date1904: bool) -> str | None:
+def _cell_text(cell, strings: list[str] | SharedStrings, styles: set[int], date1904: bool) -> str | None:
     kind = cell.get("t", "n")
     if kind == "inlineStr":
         return next((_rich_text(c) for c in cell if _tag(c) == "is"), None)

@@ -6,18 +6,20 @@ import re
 import uuid
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from cellweave.operators import decide
 from cellweave.plans import rules as R
-from cellweave.session import new_folder, tune
+from cellweave.session import new_folder, settle, tune
 from cellweave.sinks.published import PublishedSink
 from cellweave.sinks.tables import JdbcSink, TableSink
 from cellweave.sources.delimited import read_delimited
 from cellweave.sources.listing import list_arrivals
 from cellweave.sources.quoted import read_quoted
 from cellweave.sources.workbook import decode_sheets, open_workbooks
+from cellweave.sources.workbook_source import scan_workbooks
 from workloads import columns
 from workloads.base import derive, plain_sql, scan
 from workloads.books import workbook
@@ -74,6 +76,53 @@ SQL["s01_workbook_sheets"] = BOOKS_SQL
 QUERIES["s02_first_sheet"] = s02
 SQL["s02_first_sheet"] = f"SELECT * FROM ({BOOKS_SQL}) WHERE sheet_idx = 0"
 
+
+def _saved(folder: str):
+    def save(batches):
+        system, root = fs.FileSystem.from_uri(folder if ":" in folder else f"file://{folder}")
+        system.create_dir(root)
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"], strict=True):
+                with system.open_output_stream(f"{root}/{path.rpartition('/')[2]}") as out:
+                    out.write(content)
+            yield batch[["path"]]
+
+    return save
+
+
+def book_files(spark, sf):
+    """A folder of the workbooks as files."""
+    folder = new_folder(tune(spark), "books")
+    settle(books(spark, sf).mapInPandas(_saved(folder), "path string"))
+    return folder
+
+
+def _placed(rows):
+    """Rows of files under the path their workbook was made for."""
+    return _wide(rows.withColumn("path", F.concat(F.lit("/depot/"), F.regexp_extract("path", "[^/]*$", 0))))
+
+
+def s01b(spark, sf):
+    return _placed(scan_workbooks(spark, book_files(spark, sf)))
+
+
+def s02b(spark, sf):
+    """The source is told of the sheet and of the last row, so neither other sheets nor later rows are unpacked."""
+    return _placed(scan_workbooks(spark, book_files(spark, sf), sheets=[0], below=61))
+
+
+def s02c(spark, sf):
+    """What a header search looks at: the first rows of each sheet."""
+    return _placed(scan_workbooks(spark, book_files(spark, sf), head=30))
+
+
+QUERIES["s01b_workbook_source"] = s01b
+SQL["s01b_workbook_source"] = BOOKS_SQL
+QUERIES["s02b_one_sheet_to_a_row"] = s02b
+SQL["s02b_one_sheet_to_a_row"] = f"SELECT * FROM ({BOOKS_SQL}) WHERE sheet_idx = 0 AND row_idx < 61"
+QUERIES["s02c_sheet_heads"] = s02c
+SQL["s02c_sheet_heads"] = f"SELECT * FROM ({BOOKS_SQL}) WHERE row_idx < 30"
+
 # A title line, then records with separators and quotes inside.
 PARTS = (
     "SELECT cast(p_partkey as string) AS c0, p_name || ', \"' || p_type || '\"' AS c1, cast(p_retailprice as string) AS c2, "
