@@ -37,9 +37,12 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 _LENGTH = re.compile(rb"\r\nContent-Length: (\d+)\r\n")
 
 
-def record_id(page_id: int, repeat: int = 0) -> str:
-    """Identifier of the record of a page; repeated pages are numbered."""
-    return f"urn:page:{'none' if page_id == NO_ID else page_id}" + (f":{repeat}" if repeat else "")
+def record_id(page_id: int, digest: str, repeat: int = 0) -> str:
+    """Identifier of the record of a page and its payload's digest; repeated rows of both are numbered.
+
+    Rows of one page id but different payloads are written by different tasks, so the id alone would not be unique.
+    """
+    return f"urn:page:{'none' if page_id == NO_ID else page_id}:{digest}" + (f":{repeat}" if repeat else "")
 
 
 def page_of(identifier: str) -> int | None:
@@ -125,12 +128,13 @@ class BundleReader:
         self.frames = FrameReader(source)
 
     def record(self, identifier: str) -> tuple[dict[str, str], bytes]:
-        for line in self.frames.index().decode().split("\n"):
-            name, frame, offset, length = line.split("\t")
-            if name == identifier:
-                data = self.frames.frame(int(frame))
-                return next(parse_records(data[int(offset) : int(offset) + int(length)]))
-        raise KeyError(identifier)
+        index = b"\n%b\n" % self.frames.index()
+        at = index.find(b"\n%b\t" % identifier.encode())
+        if at < 0:
+            raise KeyError(identifier)
+        _, frame, offset, length = index[at + 1 : index.index(b"\n", at + 1)].split(b"\t")
+        data = self.frames.frame(int(frame))
+        return next(parse_records(data[int(offset) : int(offset) + int(length)]))
 
     def records(self) -> Iterator[tuple[dict[str, str], bytes]]:
         for number in range(self.frames.frames):
@@ -166,21 +170,19 @@ def write_archives(
         if first is None:
             return
         name = f"pages-{TaskContext.get().partitionId():07d}.warc.zst"
-        count, page, seen, repeat = 0, object(), set(), 0
+        count, last, repeat = 0, None, 0
         with whole_file(folder, name) as out:
             writer = BundleWriter(out, frame_bytes)
             while first is not None:
                 for page_id, url, payload, digest, response in rows(
                     first, "_key", "url", "payload", "digest", "response"
                 ):
-                    if page_id != page:
-                        page, seen, repeat = page_id, set(), 0
-                    is_response = response is None or (response == page_id and digest not in seen)
-                    seen.add(digest)
-                    identifier = record_id(page_id, repeat)
-                    refers_to = None if is_response else record_id(response)
+                    repeat = repeat + 1 if last == (page_id, digest) else 0
+                    last = (page_id, digest)
+                    is_response = response is None or (response == page_id and not repeat)
+                    identifier = record_id(page_id, digest, repeat)
+                    refers_to = None if is_response else record_id(response, digest)
                     writer.add(identifier, make_record(identifier, url, payload, date, refers_to))
-                    repeat += 1
                     count += 1
                 first = next(batches, None)
             writer.close()

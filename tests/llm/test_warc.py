@@ -74,6 +74,26 @@ def test_one_record_is_read_from_one_frame(spark):
     assert len(found) == 60
 
 
+def test_record_ids_are_unique_and_revisits_name_a_response(spark):
+    """Rows of one page id, null included, with different payloads lie in different files."""
+    rows = [(1 + i % 2 if i % 3 else None, "http://a.com", f"payload {i % 7}") for i in range(120)]
+    folder = scratch(spark, "archives")
+    manifest = keep(warc.write_archives(pages(spark, rows), folder), "manifest")
+    system, root = filesystem(folder)
+    named, referred, read = {}, set(), 0
+    for row in manifest.collect():
+        with system.open_input_file(f"{root}/{row.file}") as source:
+            reader = warc.BundleReader(source)
+            for fields, block in reader.records():
+                name = fields["WARC-Record-ID"].strip("<>")
+                assert reader.record(name) == (fields, block)
+                named[name] = (fields["WARC-Type"], fields["WARC-Payload-Digest"])
+                referred |= {(fields["WARC-Refers-To"].strip("<>"), fields["WARC-Payload-Digest"])} if "WARC-Refers-To" in fields else set()
+                read += 1
+    assert read == len(named) == 120 and len(referred) == 7
+    assert all(named[name] == ("response", digest) for name, digest in referred)
+
+
 def test_wrong_payload_is_refused():
     record = warc.make_record("urn:page:1", "http://a.com", b"payload", "2025-01-01T00:00:00Z", None)
     fields, block = next(warc.parse_records(record))
