@@ -5,6 +5,8 @@ import time
 from datetime import datetime, timedelta
 from types import SimpleNamespace
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.errors import PythonException
 from pyspark.sql import functions as F
@@ -202,3 +204,42 @@ def test_a_worker_without_the_package_ends_the_run(spark, tmp_path):
     assert not ingest.is_data_error(PythonException("ImportError: x")) and ingest.is_data_error(ValueError("bad cell"))
     with pytest.raises(PythonException):
         runner.run_once(spark, contract_of(spark, RPA=tmp_path / "a.xlsx"), Broken(), audit.Run(user="u"), grace=0.0)
+
+
+def test_states_of_many_paths_lie_in_buckets(spark, tmp_path):
+    """A path with a state and a call of its own each cost a hundred times the work."""
+    n, found = 3 * stable.BUCKETS, []
+    parts = "'p' || id AS path", "id % 5 AS length", "timestamp_seconds(id % 3) AS mtime"
+    for at in (100, 104, 106):
+        spark.range(n).selectExpr(*parts, f"timestamp_seconds({at} + id % 7) AS listed_at").write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema("path string, length long, mtime timestamp, listed_at timestamp").parquet(str(tmp_path / "in"))
+        writer = stable.stable_files(stream, 5.0).writeStream.outputMode("update").option("checkpointLocation", str(tmp_path / "ck"))
+        query = writer.foreachBatch(lambda b, _: found.extend(b.collect())).trigger(availableNow=True).start()
+        query.awaitTermination()
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= stable.BUCKETS
+    assert sorted((r.path, r.length, r.listed_at.second) for r in found) == sorted((f"p{i}", i % 5, (106 + i % 7) % 60) for i in range(n))
+
+
+def test_versions_let_through_are_those_of_one_listing_after_another():
+    random, wait = np.random.default_rng(3), 5
+    records, states = None, {}
+    for batch in range(6):
+        size = 400
+        listed = pd.DataFrame({
+            "path": random.choice([f"p{i}" for i in range(40)], size), "length": random.choice(2, size, p=[0.9, 0.1]),
+            "mtime": random.choice(2, size, p=[0.9, 0.1]), "listed_at": random.integers(0, 20, size) + 7 * batch,
+        })
+        records, through = stable._advance(records, listed, wait, batch)
+        expected = []
+        for r in listed.sort_values(["listed_at", "mtime", "length"]).itertuples():
+            version, since, released = states.get(r.path, (None, 0, False))
+            if version != (r.length, r.mtime):
+                version, since, released = (r.length, r.mtime), r.listed_at, False
+            if not released and r.listed_at - since >= wait:
+                released = True
+                expected.append((r.path, *version, r.listed_at))
+            states[r.path] = version, since, released
+        assert expected and sorted(through.itertuples(index=False, name=None)) == sorted(expected)
+        records = stable._unpacked(stable._packed(records))
+        assert {r.path: ((r.length, r.mtime), r.since, r.released) for r in records.itertuples()} == states
+        assert set(records[records["seen"] == batch]["path"]) == set(listed["path"])
