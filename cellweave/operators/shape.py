@@ -29,9 +29,13 @@ def rows_to_cells(rows: DataFrame) -> DataFrame:
 
 
 def pivot_cells(cells: DataFrame, n_cols: int) -> DataFrame:
-    """Cells to one wide record per row; the pivot values are given, so no extra job finds them."""
+    """Cells to one wide record per row; the pivot values are given, so no extra job finds them.
+
+    Texts are aggregated by sorting, so cells are dealt by row first: a task sorts its share of the rows, not what it has read and unpacked.
+    """
     wide = (
-        cells.groupBy(*SHEET, "row_idx")
+        cells.repartition(*SHEET, "row_idx")
+        .groupBy(*SHEET, "row_idx")
         .pivot("col_idx", list(range(n_cols)))
         .agg(F.first("value", ignorenulls=True))
     )

@@ -108,3 +108,12 @@ def test_payment_terms(grid, rows, types):
 def test_payment_terms_need_two_columns(grid):
     with pytest.raises(ValueError):
         ingest.payment_terms(grid({"s": [["a"], ["b"]]}))
+
+
+def test_cells_are_dealt_by_row_before_they_are_sorted(grid):
+    rows = grid({"a": [["x", None], ["y", "z"]], "b": [[None, "w"]]})
+    wide = shape.pivot_cells(shape.rows_to_cells(rows), 2)
+    assert sorted(tuple(r)[2:] for r in wide.collect()) == [(0, 0, "x", None), (0, 1, "y", "z"), (1, 0, None, "w")]
+    plan = wide._jdf.queryExecution().sparkPlan().toString()
+    prepared = wide._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert "Aggregate" in plan and "Aggregate" not in prepared.split("Exchange", 1)[1]
