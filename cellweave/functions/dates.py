@@ -60,6 +60,9 @@ WORD_SHAPE = "(?i)^(?:[0-9]{1,2}[ -])?[a-z]{3,9}[ -][0-9][-0-9,.:T ]{3,}$"
 # What all accepted forms with digits only look like; keeps most texts away from the patterns.
 DIGIT_SHAPE = "^[0-9][-0-9/.T: ]{3,}$"
 
+# The commonest date, in two digits, two digits and four, needs no rewriting by pattern.
+TWO_TWO_FOUR = "^[0-9]{2}[-/.][0-9]{2}[-/.][0-9]{4}$"
+
 PLAUSIBLE = "^ ?[0-9]{4}-(?:0?[1-9]|1[0-2])-(?:0?[1-9]|[12][0-9]|3[01])(?:[ T]|$)"
 
 # Nanosecond time covers 1677-09-21 to 2262-04-11; dates outside are no dates here either.
@@ -105,7 +108,9 @@ def date_text(c: Column) -> Column:
     dates never swap day and month.
     """
     digits = F.coalesce(*[F.when(c.rlike(shape), _rewrite(c, forms)) for shape, forms in FORMS])
-    return F.when(c.rlike(DIGIT_SHAPE), digits).when(c.rlike(WORD_SHAPE), _month_to_number(_rewrite(c, WORD_FORMS)))
+    plain = F.concat(F.lit(" "), F.substring(c, 7, 4), F.lit("-"), F.substring(c, 1, 2), F.lit("-"), F.substring(c, 4, 2), F.lit(" "))
+    plain = F.when((F.length(c) == 10) & c.rlike(TWO_TWO_FOUR), plain)
+    return F.when(c.rlike(DIGIT_SHAPE), F.coalesce(plain, digits)).when(c.rlike(WORD_SHAPE), _month_to_number(_rewrite(c, WORD_FORMS)))
 
 
 def swap_day_month(rewritten: Column) -> Column:

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 # A number as accepted from text; try_cast alone would also take suffixes such as 1d.
 NUMBER = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
+# Numbers that any double holds, as most are; what became of them needs no look.
+NEVER_INFINITE = r"^[+-]?(?:[0-9]{1,300}(?:\.[0-9]*)?|\.[0-9]+)$"
 # The infinite numbers accepted from text, in any case.
 INFINITE = ("inf", "+inf", "-inf", "infinity", "+infinity", "-infinity")
 THOUSANDS_DOT = r"(?<=[0-9])\.(?=[0-9]{3}(?:[^0-9]|$))"
@@ -32,8 +34,8 @@ NO_WORDS = NumberStyle(" \xa0", blank_words=True)
 
 def finite_number(c: Column) -> Column:
     """Double for a text made of digits as they stand; one too large for a double is no number."""
-    parsed = F.when(c.rlike(NUMBER), c.try_cast("double"))
-    return F.nullif(F.nullif(parsed, F.lit(float("inf"))), F.lit(float("-inf")))
+    number = c.try_cast("double")
+    return F.when(c.rlike(NEVER_INFINITE), number).when(c.rlike(NUMBER), F.when(F.abs(number) < float("inf"), number))
 
 
 def infinite_number(c: Column) -> Column:

@@ -32,21 +32,26 @@ def _text(c: Column, rules: Rules) -> Column:
     return text.zero_to_null(v) if rules.zero_is_null else v
 
 
-def _prepare(v: Column, method: str, rules: Rules) -> Column:
-    """From the trimmed text to what the last step refers to several times."""
+def _rewrite(v: Column, method: str, rules: Rules) -> Column:
+    """From the trimmed text to the text that is parsed; parsing refers to it several times."""
     if method == "iso":
-        return dates.to_timestamp(F.when(v.rlike(dates.ISO), v))
-    if method == "serial":
-        return numbers.plain_number(v)
+        return F.when(v.rlike(dates.ISO), v)
     if method == "day_first":
-        return dates.to_timestamp(dates.swap_day_month(dates.date_text(v)))
+        return dates.swap_day_month(dates.date_text(v))
     if method == "month_first":
-        return dates.to_timestamp(dates.date_text(v))
+        return dates.date_text(v)
     if method in ("int", "float"):
         return numbers.clean_number(v, rules.number_style)
     return v
 
 
+def _prepare(p: Column, method: str) -> Column:
+    """From there to what the last step refers to several times."""
+    if method in ("iso", "day_first", "month_first"):
+        return dates.to_timestamp(p)
+    return numbers.plain_number(p) if method == "serial" else p
+
+
 def _finish(p: Column, tag: str, method: str, rules: Rules) -> Column:
     if method in ("iso", "day_first", "month_first"):
         p = dates.in_range(p)
@@ -63,15 +68,15 @@ def _finish(p: Column, tag: str, method: str, rules: Rules) -> Column:
 
 def cast_value(c: Column, tag: str, method: str, rules: Rules) -> Column:
     """The cast of one column as a single expression."""
-    return _finish(_prepare(_text(c, rules), method, rules), tag, method, rules)
+    return _finish(_prepare(_rewrite(_text(c, rules), method, rules), method), tag, method, rules)
 
 
 def _cast_steps(
     df: DataFrame, sources: dict[str, Column], columns: list[TypedColumn], rules: Rules, keep: list[str], lost: bool = False
 ) -> DataFrame:
-    """The cast of many columns as three projections, so that no value is worked out twice.
+    """The cast of many columns as four projections, so that no value is worked out twice.
 
-    With ``lost`` the texts travel along, and a fourth projection keeps those that became null in ``LOST``.
+    With ``lost`` the texts travel along, and a fifth projection keeps those that became null in ``LOST``.
     """
     df = df.select(*keep, *[_text(sources[c.name], rules).alias(c.name) for c in columns])
     risky = [c for c in columns if c.method != "text"] if lost else []
@@ -79,7 +84,8 @@ def _cast_steps(
         df = df.withColumn(LOST, F.array(*[F.col(f"`{c.name}`") for c in risky]))
         keep = [*keep, LOST]
     for step in (
-        [_prepare(F.col(f"`{c.name}`"), c.method, rules).alias(c.name) for c in columns],
+        [_rewrite(F.col(f"`{c.name}`"), c.method, rules).alias(c.name) for c in columns],
+        [_prepare(F.col(f"`{c.name}`"), c.method).alias(c.name) for c in columns],
         [_finish(F.col(f"`{c.name}`"), c.tag, c.method, rules).alias(c.name) for c in columns],
     ):
         df = df.select(*keep, *step)

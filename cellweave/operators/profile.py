@@ -57,6 +57,8 @@ def cell_facts(cells: DataFrame, rules: Rules, keep: list[str]) -> DataFrame:
         (number.isNull() & dates.has_date_token(v)).alias("has_token"),
     )
     cleaned = F.col("cleaned")
+    # Of its own, since the test of its months and days and the cast both refer to it.
+    cells = cells.withColumn("swapped", dates.swap_day_month(F.col("date_text")))
     return cells.select(
         *keep,
         "text",
@@ -64,7 +66,7 @@ def cell_facts(cells: DataFrame, rules: Rules, keep: list[str]) -> DataFrame:
         F.col("iso_text").isNotNull().alias("is_iso"),
         dates.to_timestamp(F.col("iso_text")).alias("iso"),
         dates.to_timestamp(F.col("date_text")).alias("month_first"),
-        dates.to_timestamp(dates.swap_day_month(F.col("date_text"))).alias("day_first"),
+        dates.to_timestamp(F.col("swapped")).alias("day_first"),
         "number",
         F.when(cleaned == v, number).otherwise(numbers.plain_number(cleaned)).alias("number_like"),
         dates.from_serial(number, upper).alias("serial"),

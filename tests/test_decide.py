@@ -164,3 +164,10 @@ def test_columns_widen_to_a_type_that_holds_both(spark):
         "a": ("FLOAT", True), "b": ("DATETIME", False), "c": ("STRING", True), "d": ("DATE", False), "e": ("STRING", False),
         "f": ("FLOAT", False), "gone": ("INT", False), "new": ("BOOL", False),
     }
+
+
+def test_a_date_is_rewritten_once(spark):
+    df = spark.createDataFrame([("13/02/2025",), ("1.2.25",), ("31/02/2024",), (" 05-06-2025 10:30 ",)], "d string")
+    typed = cast.cast_table(df, [cast.TypedColumn("d", "d", "DATETIME", "day_first")], R.FNP)
+    assert [r.d and r.d.isoformat() for r in typed.collect()] == ["2025-02-13T00:00:00", "2025-02-01T00:00:00", None, "2025-06-05T10:30:00"]
+    assert typed._jdf.queryExecution().optimizedPlan().toString().count(" 20$3-$1-$2") == 1

@@ -35,3 +35,16 @@ def test_every_query_has_sql():
     queries, oracles = registry()
     assert set(oracles) == set(queries)
     assert set(queries) <= set(entry.queries())
+
+
+def test_lines_meet_their_sheets_without_a_shuffle(spark, tmp_path):
+    """Lines of one status are a large share of all, so a shuffle by it leaves a few tasks with all rows."""
+    from workloads import jobs
+
+    rows = "cast(id as bigint) AS l_orderkey, id AS l_partkey, id AS l_suppkey, 1 AS l_linenumber, 1.5d AS l_quantity, 10.25d AS l_extendedprice"
+    more = "substr('ANR', cast(id % 3 + 1 as int), 1) AS l_returnflag, 'O' AS l_linestatus, timestamp_ntz'2024-05-06' AS l_shipdate"
+    spark.sql(f"SELECT {rows}, {more} FROM range(30)").write.parquet(str(tmp_path / "lineitem.parquet"))
+    sheets = jobs.sheets(spark, str(tmp_path))
+    assert sheets.count() == 39
+    plan = sheets._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(l_returnflag" not in plan

@@ -5,6 +5,7 @@ from datetime import datetime
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from cellweave.functions import booleans, dates, numbers, text
 
@@ -118,3 +119,16 @@ def test_serials(column):
     assert low[:2] == [datetime(2023, 3, 15), datetime(2023, 3, 15, 12)] and low[2:] == [None] * 7
     wide = column(values, lambda c: dates.from_serial(c, 2_950_000.0), "double")
     assert [w is None for w in wide] == [False, False, True, False, False, False, True, True, True]
+
+
+def test_plain_dates_are_rewritten_as_by_pattern(column):
+    texts = ["13/02/2025", "02-13-2025", "99.99.9999", "1/02/2025", "13/02/2025 ", "13/02/25", "2025-02-13", " 13/02/2025"]
+    by_pattern = lambda c: F.regexp_replace(c, dates._AB + "([0-9]{4})" + dates._TIME, " $3-$1-$2 $4")
+    plain = [t for t in texts if len(t) == 10 and t[2] in "-/."]
+    assert column(plain, dates.date_text) == column(plain, by_pattern) == [f" {t[6:]}-{t[:2]}-{t[3:5]} " for t in plain]
+
+
+def test_numbers_too_large_for_a_double(column):
+    texts = ["1" + "0" * 299, "9" * 400, "-" + "9" * 400, "1e400", "-1e400", "1e300", ".5", "0" * 320 + "1", "1d", "12."]
+    found = column(texts, numbers.finite_number)
+    assert found == [1e299, None, None, None, None, 1e300, 0.5, 1.0, None, 12.0]

@@ -19,10 +19,10 @@ def scan(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def derive(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    """Run shared SQL in Spark; ``{table}`` names a test table."""
+def derive(spark: SparkSession, sf_dir: str, sql: str, **frames: DataFrame) -> DataFrame:
+    """Run shared SQL in Spark; ``{table}`` names a test table or one of ``frames``."""
     used = sorted(set(re.findall(r"\{(\w+)\}", sql)))
-    return spark.sql(spark_sql(sql), **{t: scan(spark, sf_dir, t) for t in used})
+    return spark.sql(spark_sql(sql), **{t: frames[t] if t in frames else scan(spark, sf_dir, t) for t in used})
 
 
 def spark_sql(sql: str) -> str:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from cellweave.functions import text
 from cellweave.plans import ingest
 from cellweave.plans import rules as R
+from cellweave.session import settle
 from cellweave.sources.table import table_rows
 from workloads import grids
 from workloads.base import derive, dmy, french, iso, scan, sql_trim
@@ -19,23 +20,25 @@ c = F.col
 # Three sheets of order lines: a title, an empty row, the header, the lines.
 HEADER = ("Montant H.T.", "Date de retrait", "Semaine", "Retour", "Motif statut", "Code article", "Heures", "Nature")
 NULLS = ", ".join(["null"] * (len(HEADER) - 2))
+NUMBERED = (
+    "SELECT flag, cast(row_number() OVER (ORDER BY flag) - 1 as int) AS idx FROM (SELECT DISTINCT l_returnflag AS flag FROM {lineitem})"
+)
 SHEETS = (
-    "WITH names AS (SELECT DISTINCT l_returnflag AS flag FROM {lineitem}), "
-    "numbered AS (SELECT flag, cast(row_number() OVER (ORDER BY flag) - 1 as int) AS idx FROM names) "
-    "SELECT flag, idx, cast(0 as bigint) AS row_idx, ARR('Relevé', 'édité', " + NULLS + ") AS vals FROM numbered UNION ALL "
-    "SELECT flag, idx, cast(1 as bigint), ARR(cast(null as string), null, " + NULLS + ") FROM numbered UNION ALL "
-    "SELECT flag, idx, cast(2 as bigint), ARR(" + ", ".join(f"'{h}'" for h in HEADER) + ") FROM numbered UNION ALL "
+    "SELECT flag, idx, cast(0 as bigint) AS row_idx, ARR('Relevé', 'édité', " + NULLS + ") AS vals FROM {numbered} UNION ALL "
+    "SELECT flag, idx, cast(1 as bigint), ARR(cast(null as string), null, " + NULLS + ") FROM {numbered} UNION ALL "
+    "SELECT flag, idx, cast(2 as bigint), ARR(" + ", ".join(f"'{h}'" for h in HEADER) + ") FROM {numbered} UNION ALL "
     "SELECT l_returnflag, idx, 10 + l_orderkey * 10 + l_linenumber, ARR("
     + french("l_extendedprice", "\xa0")
     + f", {dmy('l_shipdate')}, {iso('l_shipdate')}, case when l_linestatus = 'O' then 'oui' else ' NON ' end, "
     "'S' || cast(l_linenumber % 3 as string), cast(1000000 + l_partkey as string), cast(l_quantity as string), "
     "case when l_linenumber < 4 then 'N/A' else cast(l_quantity * 10 as string) end) "
-    "FROM {lineitem} JOIN numbered ON l_returnflag = flag"
+    "FROM {lineitem} JOIN {numbered} ON l_returnflag = flag"
 )
 
 
 def sheets(spark, sf, sql=SHEETS):
-    rows = derive(spark, sf, sql)
+    # The sheets' numbers are metadata, stored so that their size is known and the lines need no shuffle to meet them.
+    rows = derive(spark, sf, sql, numbered=settle(derive(spark, sf, NUMBERED)))
     return rows.select(
         F.lit("/depot/Lignes 2025.xlsx").alias("path"),
         F.concat(F.lit("Statut "), "flag").alias("sheet"),
