@@ -100,6 +100,12 @@ def _month_to_number(rewritten: Column) -> Column:
     return F.regexp_replace(rewritten, F.lit("[A-Za-z]+"), number.cast("string"))
 
 
+def _plain(c: Column, begin: str, month: int, day: int) -> Column:
+    """The commonest date rewritten, given where its month and day begin; null for other texts."""
+    parts = (F.lit(begin), F.substring(c, 7, 4), F.lit("-"), F.substring(c, month, 2), F.lit("-"), F.substring(c, day, 2), F.lit(" "))
+    return F.when((F.length(c) == 10) & c.rlike(TWO_TWO_FOUR), F.concat(*parts))
+
+
 def date_text(c: Column) -> Column:
     """Rewrite a date text to ``y-m-d time``, reading year-last texts month first.
 
@@ -108,9 +114,8 @@ def date_text(c: Column) -> Column:
     dates never swap day and month.
     """
     digits = F.coalesce(*[F.when(c.rlike(shape), _rewrite(c, forms)) for shape, forms in FORMS])
-    plain = F.concat(F.lit(" "), F.substring(c, 7, 4), F.lit("-"), F.substring(c, 1, 2), F.lit("-"), F.substring(c, 4, 2), F.lit(" "))
-    plain = F.when((F.length(c) == 10) & c.rlike(TWO_TWO_FOUR), plain)
-    return F.when(c.rlike(DIGIT_SHAPE), F.coalesce(plain, digits)).when(c.rlike(WORD_SHAPE), _month_to_number(_rewrite(c, WORD_FORMS)))
+    other = F.when(c.rlike(DIGIT_SHAPE), digits).when(c.rlike(WORD_SHAPE), _month_to_number(_rewrite(c, WORD_FORMS)))
+    return F.coalesce(_plain(c, " ", 1, 4), other)
 
 
 def swap_day_month(rewritten: Column) -> Column:
@@ -118,6 +123,11 @@ def swap_day_month(rewritten: Column) -> Column:
     return F.regexp_replace(rewritten, "^ ([0-9]+)-([0-9]+)-([0-9]+)", "$1-$3-$2")
 
 
+def day_first_text(c: Column) -> Column:
+    """``date_text`` read day first; the commonest date is put together at once."""
+    return F.coalesce(_plain(c, "", 4, 1), swap_day_month(date_text(c)))
+
+
 def to_timestamp(rewritten: Column) -> Column:
     """Cast ``y-m-d time``; null for what is no date.
 
@@ -127,8 +137,7 @@ def to_timestamp(rewritten: Column) -> Column:
 
 
 def parse_date(c: Column, day_first: bool) -> Column:
-    rewritten = date_text(c)
-    return in_range(to_timestamp(swap_day_month(rewritten) if day_first else rewritten))
+    return in_range(to_timestamp(day_first_text(c) if day_first else date_text(c)))
 
 
 def from_serial(v: Column, upper: float) -> Column:

@@ -29,7 +29,8 @@ FIRST_SYLLABLE, LAST_SYLLABLE = "\uac00", "\ud7a3"
 
 
 def na_to_null(c: Column) -> Column:
-    return F.when(~c.isin(*NA_TOKENS), c)
+    # Longer texts need no look at the list.
+    return F.when((F.octet_length(c) > max(map(len, NA_TOKENS))) | ~c.isin(*NA_TOKENS), c)
 
 
 def trimmed(c: Column) -> Column:

@@ -37,7 +37,7 @@ def _rewrite(v: Column, method: str, rules: Rules) -> Column:
     if method == "iso":
         return F.when(v.rlike(dates.ISO), v)
     if method == "day_first":
-        return dates.swap_day_month(dates.date_text(v))
+        return dates.day_first_text(v)
     if method == "month_first":
         return dates.date_text(v)
     if method in ("int", "float"):

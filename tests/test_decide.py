@@ -1,5 +1,7 @@
 """Each rule just above and just below its threshold."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -171,3 +173,53 @@ def test_a_date_is_rewritten_once(spark):
     typed = cast.cast_table(df, [cast.TypedColumn("d", "d", "DATETIME", "day_first")], R.FNP)
     assert [r.d and r.d.isoformat() for r in typed.collect()] == ["2025-02-13T00:00:00", "2025-02-01T00:00:00", None, "2025-06-05T10:30:00"]
     assert typed._jdf.queryExecution().optimizedPlan().toString().count(" 20$3-$1-$2") == 1
+
+
+def odd_texts(n):
+    """Amounts, dates with times, whole numbers and words near the bounds of what ``alike`` makes equal."""
+    pick = random.Random(7)
+    digits = lambda k: "".join(pick.choice("0123456789") for _ in range(k))
+    gap = lambda: pick.choice(["", " ", "\xa0", " ", "."])
+    makers = [
+        lambda: pick.choice(["", "-", "+"]) + digits(pick.randint(0, 3)) + gap() + pick.choice([digits(3), "999", "000"]) + "," + pick.choice([digits(2), "00", "50", "1"]),
+        lambda: pick.choice(["", "-"]) + str(pick.randint(1, 999)) + gap() + digits(3) + gap() + digits(3) + "," + pick.choice([digits(2), "00"]),
+        lambda: pick.choice(["2024-02-30", "1677-09-21", "2262-04-12", "13/02/2025", "1.2.24"]) + pick.choice(" T") + pick.choice(["10:30:00", "00:00:00", "24:00:00", "09:05"]) + pick.choice(["", ".000", ".25"]),
+        lambda: pick.choice(["", "-", "0"]) + digits(pick.choice([5, 7, 8, 9, 18])),
+        lambda: f"{pick.randint(1600, 2300)}{pick.randint(0, 13):02d}{pick.randint(0, 32):02d}",
+        lambda: " ".join(pick.choice(["janvier", "May", "12", "2024", "infinity", "oui", "Customer#1", "13/02/2024", "12,50", "10:30:00"]) for _ in range(3)),
+    ]
+    return sorted({pick.choice(["", "", " ", "\n"]) + pick.choice(makers)() + pick.choice(["", "", "\xa0", "\x85"]) for _ in range(n)})
+
+
+@pytest.mark.parametrize("rules", R.INFERRED.values(), ids=lambda r: r.name)
+def test_texts_made_alike_have_the_same_statistics(spark, rules):
+    texts = spark.createDataFrame(list(enumerate(odd_texts(4000))), "name int, text string")
+    changed = texts.withColumn("value", profile.alike(F.col("text"))).filter("value <> text").localCheckpoint()
+    assert changed.count() > 800 > 2 * changed.select("value").distinct().count()
+
+    def statistics(value):
+        cells = changed.select("name", F.col(value).alias("value"), F.lit(1).cast("long").alias("weight"))
+        facts = profile.cell_facts(cells, rules, ["name", "weight"])
+        return facts.groupBy("name").agg(*profile._statistics(rules))
+
+    assert statistics("value").exceptAll(statistics("text")).collect() == []
+
+
+def test_cells_are_looked_at_once_and_leave_few_texts(spark):
+    amounts = spark.range(5000).selectExpr("'a' AS name", "concat(id % 30, ' ', lpad(id % 900, 3, '0'), ',', lpad(id % 7, 2, '0')) AS value")
+    times = spark.range(5000).selectExpr("'b' AS name", "concat('2025-01-02 ', lpad(id % 24, 2, '0'), ':', lpad(id % 60, 2, '0'), ':07') AS value")
+    names = spark.range(5000).selectExpr("'c' AS name", "concat('Customer#', lpad(id, 9, '0')) AS value")
+    cells = amounts.unionByName(times).unionByName(names)
+    left = profile.weighted(cells.select("name", profile.alike(F.col("value")).alias("value")), ["name"])
+    assert {r["name"]: r["count"] for r in left.groupBy("name").count().collect()} == {"a": 210, "b": 1, "c": 1}
+    plan = profile.profile_cells(cells, R.FQT, ["name"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (") == 3
+
+
+def test_cents_are_rounded_once_for_a_row(spark, tmp_path):
+    from workloads import base
+
+    spark.sql("SELECT -1234.565d AS x UNION ALL SELECT null").write.parquet(str(tmp_path / "part.parquet"))
+    df = base.derive(spark, str(tmp_path), f"SELECT {base.french('x', '.')} AS v FROM {{part}}")
+    assert sorted((r.v for r in df.collect()), key=str) == ["-1.234,57", None]
+    assert df.columns == ["v"] and df._jdf.queryExecution().optimizedPlan().toString().count("round(") == 1

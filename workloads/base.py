@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cellweave.functions.text import SPACES
 from cellweave.session import tune
@@ -15,6 +16,9 @@ TABLES = (
 )
 
 
+CENTS = r"cast\(round\((\w+) \* 100\) as bigint\)"
+
+
 def scan(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -22,7 +26,12 @@ def scan(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def derive(spark: SparkSession, sf_dir: str, sql: str, **frames: DataFrame) -> DataFrame:
     """Run shared SQL in Spark; ``{table}`` names a test table or one of ``frames``."""
     used = sorted(set(re.findall(r"\{(\w+)\}", sql)))
-    return spark.sql(spark_sql(sql), **{t: frames[t] if t in frames else scan(spark, sf_dir, t) for t in used})
+    tables = {t: frames[t] if t in frames else scan(spark, sf_dir, t) for t in used}
+    # Cents are rounded once for a row and not wherever they are named.
+    for column in sorted(set(re.findall(CENTS, sql))):
+        sql = sql.replace(cents(column), f"{column}_cents")
+        tables = {t: df.withColumn(f"{column}_cents", F.expr(cents(column))) if column in df.columns else df for t, df in tables.items()}
+    return spark.sql(spark_sql(sql), **tables)
 
 
 def spark_sql(sql: str) -> str:
