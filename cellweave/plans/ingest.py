@@ -17,7 +17,7 @@ from cellweave.operators.audit import Run, with_audit
 from cellweave.operators.dedupe import dedupe_labels
 from cellweave.plans import rules as R
 from cellweave.plans.rules import Rules
-from cellweave.session import new_folder, settle
+from cellweave.session import new_folder, settle, task_count
 
 # Where a lost text stood. The names are given outer underscores, which no column of a sheet has.
 LOST_PLACE = ("__path", "__sheet_idx", "__row_idx")
@@ -57,18 +57,22 @@ def type_table(df: DataFrame, rules: Rules, columns: list[str] | None = None, ke
 
 # --- sheets ---------------------------------------------------------------------------------------
 
-def stage(rows: DataFrame) -> tuple[DataFrame, str]:
+def stage(rows: DataFrame, by_sheet: bool = True) -> tuple[DataFrame, str]:
     """Write grid rows without blank rows to the shared folder, one partition folder per sheet; the rows and the folder.
 
     Header search, profile and one cast per sheet read them again; without this a workbook would
-    be decoded every time, and a cast would read sheets other than its own.
+    be decoded every time, and a cast would read sheets other than its own. Where sheets are read together, without ``by_sheet``, they
+    share files, one for each task, so that their number does not grow with the sheets.
     """
     spark = rows.sparkSession
     path = new_folder(spark, "staged")
     keyed = shape.drop_blank_rows(rows).withColumn("sheet_key", sheet_key(F.col("path"), F.col("sheet_idx")))
     # Rows of a sheet are dealt together, in parts, so that a sheet is a few files and not one for each task.
     spread = F.floor(F.coalesce("row_idx", F.lit(0)) / STAGED_ROWS)
-    keyed.repartition("sheet_key", spread).write.partitionBy("sheet_key").parquet(path)
+    if by_sheet:
+        keyed.repartition("sheet_key", spread).write.partitionBy("sheet_key").parquet(path)
+    else:
+        keyed.repartition(task_count(spark), "sheet_key", spread).write.parquet(path)
     return spark.read.schema(keyed.schema).parquet(path), path
 
 

@@ -8,6 +8,7 @@ from contextlib import contextmanager
 from contextvars import ContextVar
 from pathlib import Path
 
+from py4j.java_gateway import JavaClass
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the engine relies on. ANSI mode stays on: every conversion of untyped text
@@ -92,20 +93,37 @@ def settle(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def task_count(spark: SparkSession) -> int:
+    """Tasks to deal rows to where these are few and the work on each of them is much."""
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def hadoop_path(spark: SparkSession) -> JavaClass:
+    """Hadoop's class of paths, without a look at each package of its name, which costs more than what is done with a path."""
+    return JavaClass("org.apache.hadoop.fs.Path", spark._jvm._gateway_client)
+
+
 def can_move(spark: SparkSession, source: str, target: str) -> bool:
     """Whether both paths are on one file system, so that moving files moves no data through the driver."""
-    conf, path = spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs.Path
+    conf, path = spark._jsc.hadoopConfiguration(), hadoop_path(spark)
     return path(source).getFileSystem(conf).getUri().equals(path(target).getFileSystem(conf).getUri())
 
 
 def move(spark: SparkSession, source: str, target: str, replace: bool) -> None:
-    """Move the files of a folder to another one of the same file system, in place of what is there or beside it."""
-    path = spark._jvm.org.apache.hadoop.fs.Path
+    """Move the files of a folder to another one of the same file system, in place of what is there or beside it.
+
+    Where nothing is beside them the folder moves as a whole, which costs the same whatever it holds.
+    """
+    path = hadoop_path(spark)
     start, end = path(source), path(target)
     fs = end.getFileSystem(spark._jsc.hadoopConfiguration())
     if replace:
         fs.delete(end, True)
-    fs.mkdirs(end)
+    if replace or not fs.exists(end):
+        fs.mkdirs(end.getParent())
+        if not fs.rename(start, end):
+            raise OSError(f"{source} could not be moved to {target}")
+        return
     for status in fs.listStatus(start):
         if not fs.rename(status.getPath(), path(end, status.getPath().getName())):
             raise OSError(f"{status.getPath().toString()} could not be moved to {target}")

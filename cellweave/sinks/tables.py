@@ -16,9 +16,16 @@ from cellweave.session import can_move, move
 BATCH_SIZE = 1000
 
 
-def hand_over(sink, spark: SparkSession, folder: str, schema: StructType, table: str, sql_types: dict[str, str], load_id: str) -> int | None:
-    """Give a sink the Parquet files of a table. The folder is not to be used afterwards. Returns what ``write`` does."""
-    if getattr(sink, "can_adopt", None) and sink.can_adopt(spark, folder):
+def can_adopt(sink, spark: SparkSession, folder: str) -> bool:
+    """Whether a sink takes files of a folder, or of folders in it, as they are."""
+    return bool(getattr(sink, "can_adopt", None) and sink.can_adopt(spark, folder))
+
+
+def hand_over(
+    sink, spark: SparkSession, folder: str, schema: StructType, table: str, sql_types: dict[str, str], load_id: str, adopts: bool
+) -> int | None:
+    """Give a sink the Parquet files of a table, as they are if it ``adopts`` them. The folder is not to be used afterwards. Returns what ``write`` does."""
+    if adopts:
         return sink.adopt(spark, folder, schema, table, load_id)
     return sink.write(spark.read.schema(schema).parquet(folder), table, sql_types, load_id)
 

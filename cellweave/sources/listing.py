@@ -19,6 +19,7 @@ from cellweave.operators.gate import path_parts
 # Schemes of the file systems Arrow opens by themselves; folders of others are listed by the driver through Hadoop.
 ARROW_SCHEMES = ("file", "hdfs", "viewfs", "s3", "gs", "gcs", "abfs", "abfss")
 FOUND_BATCH = 10_000
+SCHEME = "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
 
 
 def literal_path(path: str) -> str:

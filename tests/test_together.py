@@ -93,6 +93,35 @@ def test_jobs_do_not_grow_with_the_workbooks(spark, tmp_path):
     assert many <= few + 5  # a job more lists many paths in parallel, and more staged rows mean a few more tasks' looks
 
 
+def test_folders_on_the_way_do_not_grow_with_the_workbooks(spark, tmp_path, monkeypatch):
+    """Sheets lie together in files of the tasks, none of a folder is listed for a sheet, and a table's folder is moved as one."""
+    heads = [[*HEAD, "Montant"], HEAD]
+    paths = put(tmp_path, {f"livre_{i}.xlsx": workbook({"s": [heads[i % 2], *[[*r, r[2]][: len(heads[i % 2])] for r in hours(1 + i % 3)[1:]]]}) for i in range(60)})
+    written, asked = {}, []
+    original, sink = together._body, FolderSink(str(tmp_path / "out"))
+
+    def spy(staged, layouts):
+        body = original(staged, layouts)
+        written.update({"staged": staged.inputFiles(), "dealt": body.inputFiles(), "layouts": layouts.select("layout").distinct().count()})
+        return body
+
+    monkeypatch.setattr(together, "_body", spy)
+    monkeypatch.setattr(FolderSink, "can_adopt", lambda self, spark, folder: asked.append(folder) or True)
+    results = together.load_together(spark, "rpa", dict.fromkeys(paths), sink, audit.Run(id="r", user="u"))
+    tasks = max(spark.sparkContext.defaultParallelism, 4)
+    assert len(written["staged"]) <= tasks + 1 and 2 <= written["layouts"] <= 4 and len(written["dealt"]) <= written["layouts"] * tasks and len(asked) == 1
+    for i, path in enumerate(paths):
+        table = spark.read.parquet(f"{sink.root}/livre_{i}")
+        assert results[path].report.rows == 1 + i % 3 and len(table.columns) == 6 - i % 2
+        assert i > 3 or table.count() == 1 + i % 3
+
+
+def test_a_missing_file_spoils_no_other(spark, tmp_path):
+    paths = [*put(tmp_path, {"un deux%20.xlsx": workbook({"s": hours(2)})}), str(tmp_path / "absent.xlsx")]
+    got = runner._load(spark, "rpa", dict.fromkeys(paths), FolderSink(str(tmp_path / "out")), audit.Run(id="r", user="u"), {})
+    assert (got[paths[0]].error, got[paths[0]].report.rows) == (None, 2) and "PATH_NOT_FOUND" in str(got[paths[1]].error)
+
+
 def test_layouts_are_shared_by_sheets_alike(spark, tmp_path):
     paths = put(tmp_path, {"a.xlsx": workbook({"s": hours(3), "t": hours(2), "u": [["Nom"], ["x"]]})})
     seen = []
