@@ -10,15 +10,31 @@ from __future__ import annotations
 import os
 import re
 import unicodedata
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import pairwise
+from string import ascii_letters
 from struct import pack
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 CACHE_PARTS = 300_000
 CACHE_WORDS = 700_000
 # Longer parts are encoded but not kept.
 CACHE_CHARS = 48
+# Characters of a lot of texts that is encoded together, and new parts in a text given to the library.
+TOGETHER_CHARS = 16_000_000
+TOGETHER_PARTS = 300
+# Recurring parts that are kept from one lot of texts to the next.
+RECENT_PARTS = 700_000
+# What a row counts beside its text.
+ROW_CHARS = 64
+BLANKS = frozenset(" \n")
+ASCII_LETTERS = frozenset(ascii_letters)
+MARK = "\0"
 # The patterns by which the two public tokenizers cut text into words.
 BYTE_LEVEL_WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 LOWER_CASE_WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -32,11 +48,19 @@ def parts_with_blanks(text: str) -> list[str]:
     A byte-level pattern takes one leading blank into a word and a lone line feed by itself, and in
     both cases starts anew there. Longer runs of white space are left whole.
     """
-    # White space other than a blank is not printable, so this finds texts with single blanks and line feeds only.
+    return marked_blanks(text).split(MARK) if single_blanks(text) else _ONE_BLANK.split(text)
+
+
+def single_blanks(text: str) -> bool:
+    """Whether all white space of a text is single blanks and line feeds between visible characters."""
+    # White space other than a blank is not printable.
     plain = text.replace("\n", " ")
-    if plain.isprintable() and "  " not in plain and plain[:1] != " " and plain[-1:] != " ":
-        return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
-    return _ONE_BLANK.split(text)
+    return plain.isprintable() and "  " not in plain and plain[:1] != " " and plain[-1:] != " "
+
+
+def marked_blanks(text: str) -> str:
+    """A mark before every blank and line feed."""
+    return text.replace(" ", f"{MARK} ").replace("\n", f"{MARK}\n")
 
 
 def parts_without_blanks(text: str) -> list[str]:
@@ -138,7 +162,115 @@ class TextEncoder:
         return pack(f"<{len(ids)}I", *ids)
 
 
+class BatchEncoder(TextEncoder):
+    """Ids of many texts at a time by a byte-level tokenizer, which keeps every byte of a text.
+
+    Arrow cuts the texts and makes their parts distinct, so a part is looked up once for a lot of texts. Those not
+    known go to the library together: each begins with a blank or line feed before a visible character and ends
+    with one, so the library cuts between them as it does in their texts; and as a token stands for a known number
+    of bytes, the sizes of the parts tell which ids are whose. Parts that recur in a lot are kept for the next ones.
+    """
+
+    def __init__(self, path: str):
+        super().__init__(path, True)
+        pieces = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.token_bytes = np.zeros(max(pieces.values()) + 1, dtype=np.int64)
+        self.token_bytes[list(pieces.values())] = list(map(len, pieces))
+        self.recent: dict[str, bytes] = {}
+        self.signs = {sign: self._part(sign) for sign in ".,;:!?"}
+
+    def encode_all(self, rows: Iterable[tuple[int | None, str]]) -> Iterator[tuple[int | None, bytes]]:
+        """The key of each row and the ids of its text, in the order given."""
+        keys, texts, chars = [], [], 0
+        for key, text in rows:
+            keys.append(key)
+            texts.append(text)
+            chars += len(text) + ROW_CHARS
+            if chars >= TOGETHER_CHARS:
+                yield from zip(keys, self._together(texts), strict=True)
+                keys, texts, chars = [], [], 0
+        yield from zip(keys, self._together(texts), strict=True)
+
+    def _together(self, texts: list[str]) -> Iterator[bytes]:
+        marked = [self._marked(text) for text in texts]
+        cut = pc.split_pattern(pa.array([m for m in marked if m is not None], pa.string()), MARK)
+        parts = cut.values.dictionary_encode()
+        recurs = np.bincount(parts.indices.to_numpy(), minlength=len(parts.dictionary)) > 1
+        known = self._ids(parts.dictionary.to_numpy(zero_copy_only=False).tolist(), recurs)
+        found = pa.array(known, pa.binary()).take(parts.indices)
+        bounds = np.concatenate([[0], np.cumsum(pc.binary_length(found).to_numpy(), dtype=np.int64)])
+        bounds = iter(bounds[cut.offsets.to_numpy()].tolist())
+        packed = memoryview(found.buffers()[2] or b"")
+        end = next(bounds, 0)
+        for text, mark in zip(texts, marked, strict=True):
+            if mark is None:
+                yield self.encode(text)
+            else:
+                start, end = end, next(bounds)
+                yield bytes(packed[start:end])
+
+    def _marked(self, text: str) -> str | None:
+        """The text with a mark at every cut; none for one that is encoded by itself."""
+        if len(text) >= TOGETHER_CHARS or MARK in text or any(content in text for content in self.special):
+            return None
+        return marked_blanks(text) if single_blanks(text) else _ONE_BLANK.sub(MARK, text)
+
+    def _ids(self, parts: list[str], recurs: np.ndarray) -> list[bytes]:
+        """Ids of distinct parts. A sign after a letter is a word of its own, so only what stands before it need be known."""
+        known, signs = self.recent, self.signs
+        found = list(map(known.get, parts))
+        missing, whole, signed = [], [], []
+        for i, (part, ids) in enumerate(zip(parts, found, strict=True)):
+            if ids is None:
+                missing.append(i)
+                if part[-1:] in signs and part[-2:-1] in ASCII_LETTERS:
+                    signed.append(i)
+                else:
+                    whole.append(i)
+        new = [parts[i] for i in whole]
+        fresh = dict(zip(new, self._encoded(new), strict=True))
+        for i, ids in zip(whole, fresh.values(), strict=True):
+            found[i] = ids
+        new = list(dict.fromkeys(w for w in [parts[i][:-1] for i in signed] if w not in fresh and w not in known))
+        fresh.update(zip(new, self._encoded(new), strict=True))
+        for i in signed:
+            word = parts[i][:-1]
+            found[i] = (fresh.get(word) or known[word]) + signs[parts[i][-1]]
+        if len(known) > RECENT_PARTS:
+            known.clear()
+            missing = range(len(parts))
+        for i in np.array(missing, dtype=np.int64)[recurs[missing]].tolist():
+            if len(parts[i]) <= CACHE_CHARS:
+                known[parts[i]] = found[i]
+        return found
+
+    def _encoded(self, parts: list[str]) -> list[bytes]:
+        """Ids of distinct parts, from the library."""
+        joined = [part for part in parts if part[:1] in BLANKS and len(part.strip()) == len(part) - 1]
+        texts = ["".join(joined[at : at + TOGETHER_PARTS]) for at in range(0, len(joined), TOGETHER_PARTS)]
+        given = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        ids = np.concatenate([np.array(i, dtype="<u4") for i in [[], *(g.ids for g in given)]])
+        sizes = np.cumsum([len(part) if part.isascii() else len(part.encode()) for part in joined])
+        ends = 4 * np.searchsorted(np.cumsum(self.token_bytes[ids]), sizes, side="right")
+        packed, starts = ids.tobytes(), [0, *ends.tolist()]
+        found = [packed[start:end] for start, end in pairwise(starts)]
+        if len(joined) == len(parts):
+            return found
+        # The first and last parts of texts may begin or end otherwise; those are encoded each by itself.
+        known = dict(zip(joined, found, strict=True))
+        alone = [part for part in parts if part not in known]
+        given = self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)
+        known.update(zip(alone, (self._packed(g.ids) for g in given), strict=True))
+        return [known[part] for part in parts]
+
+
 @lru_cache(maxsize=2)
 def text_encoder(path: str, keeps_blanks: bool) -> TextEncoder:
     """One encoder for each worker process and tokenizer."""
     return TextEncoder(path, keeps_blanks)
+
+
+@lru_cache(maxsize=1)
+def batch_encoder(path: str) -> BatchEncoder:
+    """One encoder of many texts for each worker process."""
+    return BatchEncoder(path)

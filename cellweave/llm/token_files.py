@@ -16,6 +16,7 @@ import struct
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cellweave.llm.common import filesystem, keep, rows, scratch, text_or_empty, whole_file
-from cellweave.llm.encoder import text_encoder
+from cellweave.llm.encoder import batch_encoder
 from cellweave.llm.seekable import FrameReader, FrameWriter
 
 FRAME_TOKENS = 1 << 18
@@ -121,7 +122,7 @@ def write_token_files(
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = text_encoder(tokenizer, True)
+        encoder = batch_encoder(tokenizer)
         shard = TaskContext.get().partitionId()
         batches = (b for b in batches if b.num_rows)
         first = next(batches, None)
@@ -130,10 +131,9 @@ def write_token_files(
         name = f"shard-{shard:07d}.tokens"
         with whole_file(folder, name) as out:
             writer = ShardWriter(out, frame_tokens)
-            while first is not None:
-                for doc_id, text in rows(first, "doc_id", "text"):
-                    writer.add(doc_id, encoder.encode(text) + end)
-                first = next(batches, None)
+            texts = (row for batch in chain([first], batches) for row in rows(batch, "doc_id", "text"))
+            for doc_id, ids in encoder.encode_all(texts):
+                writer.add(doc_id, ids + end)
             writer.close()
         yield pa.RecordBatch.from_pydict(
             {

@@ -7,7 +7,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from cellweave.llm.bpe import MergeTree, NEVER, PairEncoder, encode_and_decode
-from cellweave.llm.encoder import TextEncoder
+from cellweave.llm.encoder import BatchEncoder, TextEncoder
 from helpers_llm import documents, odd_documents
 
 BYTE, WORDS = P.path("byte_bpe_50k.json"), P.path("word_bpe_49k.json")
@@ -31,6 +31,43 @@ def test_parts_encode_like_the_whole_text(path, keeps_blanks):
         assert ids(encoder.encode(text)) == library.encode(text, add_special_tokens=False).ids, repr(text[:100])
 
 
+@pytest.mark.parametrize("together, recent, chars", [(16_000_000, 700_000, 48), (3000, 5, 4), (1, 0, 0)])
+def test_texts_encode_together_like_each_alone(monkeypatch, together, recent, chars):
+    monkeypatch.setattr("cellweave.llm.encoder.TOGETHER_CHARS", together)
+    monkeypatch.setattr("cellweave.llm.encoder.RECENT_PARTS", recent)
+    monkeypatch.setattr("cellweave.llm.encoder.CACHE_CHARS", chars)
+    encoder, library = BatchEncoder(BYTE), Tokenizer.from_file(BYTE)
+    rows = [*enumerate(texts()), (None, "first time. second time."), (None, "second first time. <|endoftext|>")]
+    for _ in range(2):
+        found = list(encoder.encode_all(iter(rows)))
+        assert [key for key, _ in found] == [key for key, _ in rows]
+        for (_, text), (_, packed) in zip(rows, found, strict=True):
+            assert ids(packed) == library.encode(text, add_special_tokens=False).ids, repr(text[:100])
+    assert list(encoder.encode_all([])) == []
+
+
+def test_library_is_given_the_new_parts_of_many_texts_at_once():
+    class Counted:
+        def __init__(self, library):
+            self.library, self.given = library, []
+
+        def encode_batch_fast(self, texts, add_special_tokens):
+            self.given += texts
+            return self.library.encode_batch_fast(texts, add_special_tokens=add_special_tokens)
+
+    encoder = BatchEncoder(BYTE)
+    counted = encoder.tokenizer = Counted(encoder.tokenizer)
+    rows = [(i, f"The house of number, the house {'abcdefgh'[i % 8]}.\nA garden") for i in range(800)]
+    found = dict(encoder.encode_all(rows))
+    library = Tokenizer.from_file(BYTE)
+    assert all(ids(found[i]) == library.encode(text).ids for i, text in rows)
+    words = " ".join(counted.given).split()
+    assert sorted(words) == sorted(["The", "house", "of", "the", "A", "garden", "number", *"abcdefgh"])
+    assert len(counted.given) == 3
+    list(encoder.encode_all(rows))
+    assert len(counted.given) == 3
+
+
 def test_segment_tree_encodes_and_decodes_like_the_library():
     encoder, library = PairEncoder(WORDS), Tokenizer.from_file(WORDS)
     for text in texts():
