@@ -15,6 +15,7 @@ from functools import lru_cache
 from itertools import pairwise
 from string import ascii_letters
 from struct import pack
+from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
@@ -25,13 +26,11 @@ CACHE_PARTS = 300_000
 CACHE_WORDS = 700_000
 # Longer parts are encoded but not kept.
 CACHE_CHARS = 48
-# Characters of a lot of texts that is encoded together, and new parts in a text given to the library.
-TOGETHER_CHARS = 16_000_000
-TOGETHER_PARTS = 300
+# Bytes that a lot of texts encoded together takes in memory, and new parts in a text given to the library.
+TOGETHER_BYTES = 12_000_000
+TOGETHER_PARTS = 2000
 # Recurring parts that are kept from one lot of texts to the next.
 RECENT_PARTS = 700_000
-# What a row counts beside its text.
-ROW_CHARS = 64
 BLANKS = frozenset(" \n")
 ASCII_LETTERS = frozenset(ascii_letters)
 MARK = "\0"
@@ -181,29 +180,35 @@ class BatchEncoder(TextEncoder):
 
     def encode_all(self, rows: Iterable[tuple[int | None, str]]) -> Iterator[tuple[int | None, bytes]]:
         """The key of each row and the ids of its text, in the order given."""
-        keys, texts, chars = [], [], 0
+        keys, texts, size = [], [], 0
         for key, text in rows:
             keys.append(key)
             texts.append(text)
-            chars += len(text) + ROW_CHARS
-            if chars >= TOGETHER_CHARS:
+            size += getsizeof(text)
+            if size >= TOGETHER_BYTES:
                 yield from zip(keys, self._together(texts), strict=True)
-                keys, texts, chars = [], [], 0
+                keys, texts, size = [], [], 0
         yield from zip(keys, self._together(texts), strict=True)
 
     def _together(self, texts: list[str]) -> Iterator[bytes]:
         marked = [self._marked(text) for text in texts]
-        cut = pc.split_pattern(pa.array([m for m in marked if m is not None], pa.string()), MARK)
+        alone = [mark is None for mark in marked]
+        cut = pc.split_pattern(pa.array([mark for mark in marked if mark is not None], pa.string()), MARK)
+        del marked
         parts = cut.values.dictionary_encode()
+        bounds = cut.offsets.to_numpy()
+        del cut
         recurs = np.bincount(parts.indices.to_numpy(), minlength=len(parts.dictionary)) > 1
         known = self._ids(parts.dictionary.to_numpy(zero_copy_only=False).tolist(), recurs)
         found = pa.array(known, pa.binary()).take(parts.indices)
-        bounds = np.concatenate([[0], np.cumsum(pc.binary_length(found).to_numpy(), dtype=np.int64)])
-        bounds = iter(bounds[cut.offsets.to_numpy()].tolist())
+        del known, parts
+        ends = np.concatenate([[0], np.cumsum(pc.binary_length(found).to_numpy(), dtype=np.int64)])
+        bounds = iter(ends[bounds].tolist())
+        del ends
         packed = memoryview(found.buffers()[2] or b"")
         end = next(bounds, 0)
-        for text, mark in zip(texts, marked, strict=True):
-            if mark is None:
+        for text, by_itself in zip(texts, alone, strict=True):
+            if by_itself:
                 yield self.encode(text)
             else:
                 start, end = end, next(bounds)
@@ -211,7 +216,7 @@ class BatchEncoder(TextEncoder):
 
     def _marked(self, text: str) -> str | None:
         """The text with a mark at every cut; none for one that is encoded by itself."""
-        if len(text) >= TOGETHER_CHARS or MARK in text or any(content in text for content in self.special):
+        if getsizeof(text) >= TOGETHER_BYTES or MARK in text or any(content in text for content in self.special):
             return None
         return marked_blanks(text) if single_blanks(text) else _ONE_BLANK.sub(MARK, text)
 
@@ -247,9 +252,12 @@ class BatchEncoder(TextEncoder):
     def _encoded(self, parts: list[str]) -> list[bytes]:
         """Ids of distinct parts, from the library."""
         joined = [part for part in parts if part[:1] in BLANKS and len(part.strip()) == len(part) - 1]
-        texts = ["".join(joined[at : at + TOGETHER_PARTS]) for at in range(0, len(joined), TOGETHER_PARTS)]
-        given = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        ids = np.concatenate([np.array(i, dtype="<u4") for i in [[], *(g.ids for g in given)]])
+        ids = [np.array([], dtype="<u4")]
+        for at in range(0, len(joined), TOGETHER_PARTS):
+            text = "".join(joined[at : at + TOGETHER_PARTS])
+            given = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+            ids.append(np.array(given[0].ids, dtype="<u4"))
+        ids = np.concatenate(ids)
         sizes = np.cumsum([len(part) if part.isascii() else len(part.encode()) for part in joined])
         ends = 4 * np.searchsorted(np.cumsum(self.token_bytes[ids]), sizes, side="right")
         packed, starts = ids.tobytes(), [0, *ends.tolist()]

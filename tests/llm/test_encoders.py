@@ -31,9 +31,9 @@ def test_parts_encode_like_the_whole_text(path, keeps_blanks):
         assert ids(encoder.encode(text)) == library.encode(text, add_special_tokens=False).ids, repr(text[:100])
 
 
-@pytest.mark.parametrize("together, recent, chars", [(16_000_000, 700_000, 48), (3000, 5, 4), (1, 0, 0)])
+@pytest.mark.parametrize("together, recent, chars", [(12_000_000, 700_000, 48), (3000, 5, 4), (150, 0, 0)])
 def test_texts_encode_together_like_each_alone(monkeypatch, together, recent, chars):
-    monkeypatch.setattr("cellweave.llm.encoder.TOGETHER_CHARS", together)
+    monkeypatch.setattr("cellweave.llm.encoder.TOGETHER_BYTES", together)
     monkeypatch.setattr("cellweave.llm.encoder.RECENT_PARTS", recent)
     monkeypatch.setattr("cellweave.llm.encoder.CACHE_CHARS", chars)
     encoder, library = BatchEncoder(BYTE), Tokenizer.from_file(BYTE)
